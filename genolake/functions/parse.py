@@ -43,14 +43,34 @@ def _after_eq(item: Column) -> Column:
     return F.when(F.instr(item, "=") > 0, F.regexp_extract(item, r"^[^=]*=(.*)$", 1))
 
 
+def field_at(value: Column | str, i: int) -> Column:
+    """The i-th (0-based) tab-separated field, cut with ``substring_index``
+    (no array is built; cheapest for CHROM and POS)."""
+    v = _c(value)
+    return F.substring_index(F.substring_index(v, "\t", i + 1), "\t", -1) if i else F.substring_index(v, "\t", 1)
+
+
+def info_keys(info: Column) -> Column:
+    """Keys of an INFO text in order (values cut out, then split; no lambda)."""
+    return F.split(F.regexp_replace(info, "=[^;]*", ""), ";")
+
+
+def info_value(info: Column, key: str) -> Column:
+    """Value text of one INFO key (first occurrence); null if the key is
+    absent or a flag.  Read straight from the text, no map is built."""
+    g = F.regexp_extract(info, r"(?:^|;)" + key.replace(".", r"\.") + r"(=[^;]*)", 1)
+    return F.when(g != "", F.substring(g, 2, 1 << 30))
+
+
 def info_map(info: Column) -> Column:
     """INFO text -> map<string,string>; flags map to null, ``.`` -> empty map.
 
     ``str_to_map`` throws on a repeated key, so only records that repeat a
-    key take the first-wins path (quadratic in that record's keys).
+    key take the first-wins path (lambda based, quadratic in that record's
+    keys); the test for repeats is lambda-free.
     """
     items = F.split(info, ";")
-    keys = F.transform(items, lambda x: F.substring_index(x, "=", 1))
+    keys = info_keys(info)
     dkeys = F.array_distinct(keys)
     first_wins = F.map_from_arrays(
         dkeys,
@@ -63,41 +83,41 @@ def info_map(info: Column) -> Column:
 
 
 def typed_list(text: Column, sql_type: str) -> Column:
-    """Comma list -> array of ``sql_type``; ``.`` items become null; null stays null."""
-    return F.when(text.isNotNull(), F.transform(
-        F.split(text, ","), lambda x: F.when(x != MISSING, x).try_cast(sql_type)))
+    """Comma list -> array of ``sql_type``; ``.`` (or bad) items become null;
+    null stays null.  Element-wise array ``try_cast`` (codegen, no lambda)."""
+    return F.split(text, ",").try_cast(f"array<{sql_type}>")
 
 
 def bad_list_items(text: Column, sql_type: str) -> Column:
     """True if some non-missing item of a comma list does not cast."""
-    return F.coalesce(F.exists(F.split(text, ","),
-                               lambda x: (x != MISSING) & x.try_cast(sql_type).isNull()), F.lit(False))
+    items = F.split(text, ",")
+    return F.coalesce(F.size(F.array_remove(items, MISSING))
+                      != F.size(F.array_compact(items.try_cast(f"array<{sql_type}>"))), F.lit(False))
 
 
-def genotype_structs(fields: Column, fmt: Column) -> Column:
-    """Per-sample fields -> array<struct<sample_idx, gt, gq, pl>>.
+def format_index(fkeys: Column, key: str) -> Column:
+    """0-based position of ``key`` in the FORMAT keys, -1 if absent."""
+    return F.array_position(fkeys, key).cast("int") - 1
 
-    Keys are looked up in this record's FORMAT (any order); keys missing
-    from FORMAT or trailing keys dropped by a sample give null.
-    """
-    fkeys = F.split(fmt, ":")
-    gt_i = F.array_position(fkeys, "GT").cast("int") - 1
-    gq_i = F.array_position(fkeys, "GQ").cast("int") - 1
-    pl_i = F.array_position(fkeys, "PL").cast("int") - 1
-    samples = F.slice(fields, 10, F.greatest(F.size(fields) - 9, F.lit(0)))
-    parts = F.transform(samples, lambda s: F.split(s, ":"))
 
+def sample_value(parts: Column, idx: Column) -> Column:
+    """Subfield ``idx`` of one sample's ``:``-split parts; ``.``/absent -> null."""
+    return missing_to_null(F.get(parts, idx))
+
+
+def genotype_structs(sample_parts: Column, gt_i: Column, gq_i: Column, pl_i: Column) -> Column:
+    """Per-sample parts (array of ``split(sample, ':')``) -> array<struct<
+    sample_idx, gt, gq, pl, bad>>.  Indices come from this record's FORMAT
+    (any key order); trailing keys dropped by a sample give null."""
     def one(p, i):
-        gt = F.get(p, gt_i)
-        gq = F.get(p, gq_i)
-        pl = F.get(p, pl_i)
+        gq = sample_value(p, gq_i)
+        pl = sample_value(p, pl_i)
         return F.struct(
             i.alias("sample_idx"),
-            missing_to_null(gt).alias("gt"),
-            missing_to_null(gq).try_cast("int").alias("gq"),
-            F.when(pl.isNotNull() & (pl != MISSING), typed_list(pl, "int")).alias("pl"),
-            (gq.isNotNull() & (gq != MISSING) & gq.try_cast("int").isNull()
-             | F.coalesce(pl.isNotNull() & (pl != MISSING) & bad_list_items(pl, "int"), F.lit(False))
-             ).alias("bad"))
-
-    return F.transform(parts, one)
+            sample_value(p, gt_i).alias("gt"),
+            gq.try_cast("int").alias("gq"),
+            typed_list(pl, "int").alias("pl"),
+            ((gq.isNotNull() & gq.try_cast("int").isNull())
+             | (pl.isNotNull() & bad_list_items(pl, "int"))).alias("bad"))
+
+    return F.transform(sample_parts, one)

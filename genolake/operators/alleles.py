@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alleles import allele_class, genotype_class, normalize
+from .flatten import sample_rows
 
 VARIANT_KEY = ("chrom", "pos", "ref", "alt")
 
@@ -47,19 +48,25 @@ def allele_class_counts(alleles: DataFrame) -> DataFrame:
 
 
 def genotypes_long(v: DataFrame, samples: list[str] | None = None,
-                   keep: tuple[str, ...] = ("chrom", "pos", "ref")) -> DataFrame:
-    """One row per (record, sample): ``sample_idx, sample, gt, gq, pl``."""
-    out = v.select(*keep, F.inline("genotypes")).drop("bad")
+                   keep: tuple[str, ...] = ("chrom", "pos", "ref"), with_pl: bool = False) -> DataFrame:
+    """One row per (record, sample): ``sample_idx, sample, gt, gq`` (T7).
+
+    Built from the record line by ``posexplode`` (see ``flatten.sample_rows``)
+    rather than from the nested ``genotypes`` array, so it stays in
+    whole-stage codegen."""
+    out = sample_rows(v, keep, with_pl)
     if samples is not None:
         out = out.withColumn("sample", F.get(F.lit(list(samples)), F.col("sample_idx")))
     return out
 
 
 def genotype_class_counts(v: DataFrame, samples: list[str] | None = None) -> DataFrame:
-    """Count of genotype classes per sample (explode + map-side partial aggregate)."""
-    g = v.select(F.inline(F.transform("genotypes", lambda s: F.struct(
-        s["sample_idx"].alias("sample_idx"), genotype_class(s["gt"]).alias("gt_class")))))
-    out = g.groupBy("sample_idx", "gt_class").agg(F.count(F.lit(1)).alias("n_genotypes"))
+    """Count of genotype classes per sample (A7): explode + map-side partial
+    aggregate in one code-generated stage; one row per (sample, class) per
+    task crosses the shuffle."""
+    g = sample_rows(v, keep=())
+    out = (g.groupBy("sample_idx", genotype_class("gt").alias("gt_class"))
+           .agg(F.count(F.lit(1)).alias("n_genotypes")))
     if samples is not None:
         out = out.withColumn("sample", F.get(F.lit(list(samples)), F.col("sample_idx")))
     return out

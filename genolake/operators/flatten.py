@@ -1,9 +1,18 @@
 """Lines -> wide variant table (operators T1, T2, T3, T6).
 
 One output row per VCF record.  Everything is a projection over the line,
-so Catalyst prunes what a query does not use: a count by chromosome only
-evaluates ``substring_index`` + ``split`` on the first eight fields, and the
-per-sample split runs only when ``genotypes`` is selected.
+so Catalyst prunes what a query does not use:
+
+* ``chrom`` and ``pos`` are cut with ``substring_index`` (no array), so a
+  count by chromosome in a position range never splits the line;
+* the other fixed fields come from a split of the first eight fields only;
+* the per-sample split runs only when ``genotypes`` is selected.  Its
+  per-record inputs (all fields, FORMAT key positions, ``:``-split samples)
+  are separate projections referenced several times, which keeps Catalyst
+  from inlining them into the per-sample lambda.
+
+Per-sample queries should use ``sample_rows``: ``posexplode`` of the sample
+fields with plain, code-generated column expressions instead of a lambda.
 """
 
 from __future__ import annotations
@@ -32,14 +41,18 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
 
     Keeps every input column (``raw_len``, ``ordinal``, ... pass through).
     """
+    keep = list(body.columns)
     f8 = P.fixed_fields("value")
-    df = body.select("*", f8.alias("_f8"))
+    fields = P.all_fields("value")
+    chrom = P.field_at("value", 0)
+    pos_t = P.field_at("value", 1)
+    df = body.select("*", f8.alias("_f8"), fields.alias("_fields"))
     g = lambda i: F.get(F.col("_f8"), i)
-    pos_t, qual_t, info_t = g(1), P.missing_to_null(g(5)), g(7)
+    qual_t, info_t = P.missing_to_null(g(5)), g(7)
     df = df.select(
-        *[c for c in body.columns],
-        g(0).alias("chrom"),
-        contig_index_expr(g(0), header).alias("contig_idx"),
+        *keep, "_fields",
+        chrom.alias("chrom"),
+        contig_index_expr(chrom, header).alias("contig_idx"),
         pos_t.try_cast("bigint").alias("pos"),
         P.missing_to_null(g(2)).alias("id"),
         g(3).alias("ref"),
@@ -49,33 +62,60 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
         info_t.alias("info_text"),
         P.info_map(info_t).alias("info"),
         F.when(F.size(F.col("_f8")) < 8, F.lit("fields")).alias("_short"),
-        (pos_t.isNotNull() & pos_t.try_cast("bigint").isNull()).alias("_bad_pos"),
+        (pos_t.try_cast("bigint").isNull()).alias("_bad_pos"),
         (qual_t.isNotNull() & qual_t.try_cast("double").isNull()).alias("_bad_qual"),
+        P.missing_to_null(F.get(F.col("_fields"), 8)).alias("format"),
+        F.split(F.get(F.col("_fields"), 8), ":").alias("_fk"),
+        F.slice(F.col("_fields"), 10, F.greatest(F.size(F.col("_fields")) - 9, F.lit(0))).alias("_samples"),
     )
-    info = F.col("info")
-    af_t = F.try_element_at(info, F.lit("AF"))
-    ac_t = F.try_element_at(info, F.lit("AC"))
-    an_t = F.try_element_at(info, F.lit("AN"))
-    fields = P.all_fields("value")
-    fmt = F.get(fields, 8)
+    info_txt = F.col("info_text")
+    af_t = P.info_value(info_txt, "AF")
+    ac_t = P.info_value(info_txt, "AC")
+    an_t = P.info_value(info_txt, "AN")
+    fk = F.col("_fk")
     df = df.select(
-        *[c for c in body.columns],
+        *keep,
         "chrom", "contig_idx", "pos", "id", "ref", "alts", "qual", "filters", "info_text", "info",
         P.typed_list(af_t, "double").alias("af"),
         P.typed_list(ac_t, "int").alias("ac"),
         P.missing_to_null(an_t).try_cast("int").alias("an"),
-        P.missing_to_null(fmt).alias("format"),
-        P.genotype_structs(fields, fmt).alias("genotypes"),
-        F.filter(F.array(
+        "format",
+        P.format_index(fk, "GT").alias("_gt_i"), P.format_index(fk, "GQ").alias("_gq_i"),
+        P.format_index(fk, "PL").alias("_pl_i"),
+        F.transform("_samples", lambda s: F.split(s, ":")).alias("_parts"),
+        F.array_compact(F.array(
             F.col("_short"),
             F.when(F.col("_bad_pos"), F.lit("pos")),
             F.when(F.col("_bad_qual"), F.lit("qual")),
             F.when(P.bad_list_items(af_t, "double"), F.lit("AF")),
             F.when(P.bad_list_items(ac_t, "int"), F.lit("AC")),
             F.when(an_t.isNotNull() & (an_t != ".") & an_t.try_cast("int").isNull(), F.lit("AN")),
-        ), lambda x: x.isNotNull()).alias("_bad"),
+        )).alias("_bad"),
     )
-    return df
+    return df.select(
+        *keep, "chrom", "contig_idx", "pos", "id", "ref", "alts", "qual", "filters", "info_text", "info",
+        "af", "ac", "an", "format",
+        P.genotype_structs(F.col("_parts"), F.col("_gt_i"), F.col("_gq_i"), F.col("_pl_i")).alias("genotypes"),
+        "_bad")
+
+
+def sample_rows(v: DataFrame, keep=("chrom", "pos", "ref"), with_pl: bool = False) -> DataFrame:
+    """One row per (record, sample) straight from the line: ``sample_idx,
+    gt, gq`` (and ``pl``).  ``posexplode`` + plain expressions, all in
+    whole-stage codegen; FORMAT positions are computed once per record."""
+    fields = P.all_fields("value")
+    fk = F.split(F.get(F.col("_fields"), 8), ":")
+    base = v.select(*keep, fields.alias("_fields"))
+    base = base.select(*keep, P.format_index(fk, "GT").alias("_gt_i"), P.format_index(fk, "GQ").alias("_gq_i"),
+                       P.format_index(fk, "PL").alias("_pl_i"),
+                       F.posexplode(F.slice(F.col("_fields"), 10, F.greatest(F.size(F.col("_fields")) - 9,
+                                                                              F.lit(0)))).alias("sample_idx", "_s"))
+    parts = F.split(F.col("_s"), ":")
+    cols = [*keep, "sample_idx", P.sample_value(parts, F.col("_gt_i")).alias("gt"),
+            P.sample_value(parts, F.col("_gq_i")).try_cast("int").alias("gq")]
+    if with_pl:
+        cols.append(P.typed_list(P.sample_value(parts, F.col("_pl_i")), "int").alias("pl"))
+    return base.select(*cols)
 
 
 def alt_text(alts: Column | str = "alts") -> Column:
