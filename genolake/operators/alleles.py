@@ -22,7 +22,11 @@ def split_multiallelic(v: DataFrame, keep: tuple[str, ...] | list[str] | None =
     ``af`` (the Number=A value for that allele).  Records without ALT drop out.
     """
     base = list(keep) if keep is not None else [c for c in v.columns if c not in ("af",)]
-    return (v.select(*base, F.col("af").alias("_af"), F.posexplode("alts").alias("_i", "alt"))
+    # posexplode_outer + null filter: same rows as posexplode, but Spark does
+    # not infer a size(alts) > 0 filter that it would push below the parse
+    # projection (re-splitting every line).
+    return (v.select(*base, F.col("af").alias("_af"), F.posexplode_outer("alts").alias("_i", "alt"))
+            .where(F.col("alt").isNotNull())
             .select(*base, "alt", (F.col("_i") + 1).alias("allele_idx"),
                     F.get(F.col("_af"), F.col("_i")).alias("af")))
 

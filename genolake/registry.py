@@ -41,6 +41,7 @@ AF_BIN = 0.05
 LIMIT = 1000
 PREVIEW = 10
 READ_SHARD = 3
+TABLE_BUCKET = 10_000_000  # coordinate bucket of the loaded table (folders per contig ~ 45M / this)
 
 
 def query(fn):
@@ -48,8 +49,16 @@ def query(fn):
     return fn
 
 
+_SCANS: dict[tuple, VcfScan] = {}
+
+
 def fixture_scan(spark: SparkSession, sf_dir: str) -> VcfScan:
-    return open_vcf(spark, materialize_fixture_vcf(spark, sf_dir))
+    """The fixture VCF, opened once per session and path (header read once)."""
+    path = materialize_fixture_vcf(spark, sf_dir)
+    key = (id(spark.sparkContext), path)
+    if key not in _SCANS:
+        _SCANS[key] = open_vcf(spark, path)
+    return _SCANS[key]
 
 
 def _ordered(scan: VcfScan, region=None) -> DataFrame:
@@ -332,9 +341,10 @@ def dedup_shards(spark, sf_dir):
 def load_variants(spark, sf_dir):
     path = scratch_path(spark, "variants-table")
     a = _alleles(spark, sf_dir).select("chrom", "pos", "ref", "alt", "allele_idx", "af", "qual")
-    TB.load_table(a, path)
+    TB.load_table(a, path, width=TABLE_BUCKET)
     t = TB.read_table(spark, path)
-    return t.where(TB.range_filter(*RANGE)).groupBy("chrom").agg(F.count(F.lit(1)).alias("variants"))
+    return (t.where(TB.range_filter(*RANGE, width=TABLE_BUCKET))
+            .groupBy("chrom").agg(F.count(F.lit(1)).alias("variants")))
 
 
 TSV_SCHEMA = "chrom string, pos long, ref string, alt string, allele_idx int, af double, qual double"

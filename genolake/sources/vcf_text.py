@@ -173,7 +173,9 @@ def read_header(spark: SparkSession, lines: DataFrame, first_chunk: int = 1024,
 def body_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Record lines only: header and blank lines removed, a trailing CR cut.
 
-    Adds ``raw_len``: utf-8 bytes of the line as stored plus its newline.
+    Adds ``raw_len``: utf-8 bytes of the line plus one newline byte.  (The
+    text reader already ends lines at ``\r\n``; a lone trailing CR, as in a
+    file with mixed endings, is cut here.)
     Columns named in ``keep`` pass through.
     """
     v = F.col("value")
