@@ -3,7 +3,7 @@
 Layout under ``base`` (one folder per run, append-only)::
 
     shards/run_id=<id>/shard_id=<k>/part-*.parquet   records: ordinal, line, chrom, pos, ...
-    headers/run_id=<id>/part-*.txt                    the VCF header, once per run (K3)
+    headers/run_id=<id>/part-*.json                   the VCF header lines, once per run (K3)
     manifests/run_id=<id>/part-*.json                 one row per shard, written last (K4)
     params/run_id=<id>/part-*.json                    the run's parameters
 
@@ -28,6 +28,11 @@ from ..operators.ordinal import with_ordinal, with_shard_id
 from ..sources.scan import VcfScan, open_vcf
 
 RUN_ID_FORMAT = "%Y-%m-%d_%H-%M-%S"
+# Columns of a shard file; ``shard_id`` (and ``run_id`` when reading a base)
+# come from folder names.  Explicit so that empty runs read back too.
+SHARD_FILE_SCHEMA = ("ordinal long, line string, raw_len int, chrom string, contig_idx int, pos long, "
+                     "ref string, shard_id int")
+SHARD_SCHEMA = SHARD_FILE_SCHEMA + ", run_id string"
 SHARD_NAME = "shard_%04d"
 
 
@@ -91,7 +96,7 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
         "run_id string, source string, records_per_shard int, region string, started_at timestamp_ntz, "
         "compact boolean")
     params.coalesce(1).write.mode("errorifexists").json(f"{base}/params/run_id={run_id}")
-    written = spark.read.parquet(shards_path)
+    written = spark.read.schema(SHARD_FILE_SCHEMA).parquet(shards_path)
     manifest_of(written, shards_path).coalesce(1).write.mode("errorifexists") \
         .json(f"{base}/manifests/run_id={run_id}")
     return read_manifest(spark, base, run_id)
@@ -120,7 +125,7 @@ def read_shards(spark: SparkSession, base: str, run_id: str | None = None,
     that failed half-way has shards but no manifest).
     """
     root = f"{base.rstrip('/')}/shards"
-    df = spark.read.option("basePath", root).parquet(root)
+    df = spark.read.schema(SHARD_SCHEMA).option("basePath", root).parquet(root)
     if run_id is not None:
         df = df.where(F.col("run_id") == run_id)
     if shard_id is not None:

@@ -16,11 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alleles import split_multiallelic
 from ..operators.flatten import flatten
+from ..plans.shard import SHARD_SCHEMA
 from ..session import scratch_path
 from ..sources.vcf_text import VcfHeader
 
-SHARD_SCHEMA = ("ordinal long, line string, raw_len int, chrom string, contig_idx int, pos long, ref string, "
-                "run_id string, shard_id int")
 
 ALLELE_COLUMNS = ("run_id", "shard_id", "ordinal", "chrom", "contig_idx", "pos", "ref", "alt", "allele_idx",
                   "af", "qual", "filters")
