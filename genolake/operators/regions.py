@@ -117,3 +117,14 @@ def region_counts(variants: DataFrame, regions: DataFrame, **kw) -> DataFrame:
     counts = pairs.groupBy("region_id").agg(F.count(F.lit(1)).alias("n_variants"))
     return (regions.join(counts, "region_id", "left")
             .withColumn("n_variants", F.coalesce(F.col("n_variants"), F.lit(0).cast("long"))))
+
+
+def sort_coordinates(df: DataFrame, partitions: int | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Coordinate order (L3): range-partition on ``(contig_idx, pos)`` and
+    sort inside partitions, so partition ``k`` holds the ``k``-th coordinate
+    range and files written in partition order are globally sorted.  The
+    range bounds include ``pos``, so one contig is spread over many tasks.
+    Undeclared contigs (null ``contig_idx``) go last, by name."""
+    keys = [F.col("contig_idx").asc_nulls_last(), F.col("chrom"), F.col("pos"), *[F.col(c) for c in tie]]
+    out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.region import overlaps, parse_region
@@ -86,22 +86,39 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
                       "chrom", "contig_idx", "pos", "ref")
     if compact:
         out = out.repartition("shard_id")
+    # Row count of the write, observed in the same job (A8); compared with
+    # the manifest read back from disk before the run is committed.
+    obs = Observation(f"shard-{run_id}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("records_written"))
     (out.sortWithinPartitions("shard_id", "ordinal")
      .write.mode("errorifexists").partitionBy("shard_id").parquet(shards_path))
+    written_rows = int(obs.get.get("records_written", 0))
     spark.createDataFrame([(i, ln) for i, ln in enumerate(scan.header.lines)], "line_no int, line string") \
         .coalesce(1).write.mode("errorifexists").json(f"{base}/headers/run_id={run_id}")
+    written = spark.read.schema(SHARD_FILE_SCHEMA).parquet(shards_path)
+    manifest = manifest_of(written, shards_path).cache()
+    in_manifest = manifest.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
+    if int(in_manifest) != written_rows:
+        raise RuntimeError(f"run {run_id}: {written_rows} records written but {in_manifest} read back")
     params = spark.createDataFrame(
         [(run_id, str(source), int(records_per_shard), str(region) if region else None,
-          datetime.now(timezone.utc).replace(tzinfo=None), bool(compact))],
-        "run_id string, source string, records_per_shard int, region string, started_at timestamp_ntz, "
-        "compact boolean")
+          datetime.now(timezone.utc).replace(tzinfo=None), bool(compact), written_rows)],
+        "run_id string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
+        "compact boolean, records_written long")
     params.coalesce(1).write.mode("errorifexists").json(f"{base}/params/run_id={run_id}")
-    written = spark.read.schema(SHARD_FILE_SCHEMA).parquet(shards_path)
-    manifest_of(written, shards_path).coalesce(1).write.mode("errorifexists") \
-        .json(f"{base}/manifests/run_id={run_id}")
+    # The manifest is written last: its presence marks the run committed.
+    manifest.coalesce(1).write.mode("errorifexists").json(f"{base}/manifests/run_id={run_id}")
+    manifest.unpersist()
     return read_manifest(spark, base, run_id)
 
 
+def read_params(spark: SparkSession, base: str) -> DataFrame:
+    """Parameters and observed counts of every run."""
+    return spark.read.schema(
+        "run_id string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
+        "compact boolean, records_written long").json(f"{base.rstrip('/')}/params")
+
+
 MANIFEST_SCHEMA = ("shard_id int, n_records long, first_ordinal long, last_ordinal long, first_chrom string, "
                    "first_pos long, last_chrom string, last_pos long, n_bytes long, shard_name string, "
                    "path string")

@@ -39,7 +39,12 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
         v = with_ordinal(v.select("value", "raw_len", "chrom", "pos", "ref", "alts", "qual",
                                   "_split_file", "_split_start"))
         v = limit_records(v, limit)
-    rows = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect()
+    try:
+        rows = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect()
+    except Exception as e:  # S5: a read failure names the source
+        if isinstance(e, (FileNotFoundError, ValueError)):
+            raise
+        raise IOError(f"Failed to stream VCF {source}: {e}") from e
     chromosomes = {row["chrom"]: int(row["n"]) for row in rows}
     total = sum(chromosomes.values())
     total_bytes = int(sum(row["b"] or 0 for row in rows))

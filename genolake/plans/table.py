@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import schema_json
+
 DEFAULT_BUCKET = 1_000_000
 
 
@@ -32,9 +34,17 @@ def load_table(df: DataFrame, path: str, width: int = DEFAULT_BUCKET, partitions
            .repartitionByRange(n, "chrom", "pos")
            .sortWithinPartitions("chrom", "pos_bucket", *cluster, "pos"))
     out.write.mode(mode).format(fmt).partitionBy("chrom", "pos_bucket").save(path)
+    # The schema is stored beside the data (a "_" folder, skipped by readers)
+    # so later loads can be checked with ``schema.check_schema`` (Q4).
+    spark.createDataFrame([(schema_json(df),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path.rstrip('/')}/_schema")
     return path
 
 
+def stored_schema(spark: SparkSession, path: str) -> str:
+    return spark.read.text(f"{path.rstrip('/')}/_schema").first()[0]
+
+
 def range_filter(start: int, end: int, chrom: str | None = None, width: int = DEFAULT_BUCKET) -> Column:
     """``pos BETWEEN start AND end`` plus the bucket predicate that prunes folders."""
     lo, hi = int(start) - int(start) % width, int(end) - int(end) % width
