@@ -8,12 +8,13 @@ line keeps the split it came from (file path, byte offset of the split).
   ``monotonically_increasing_id`` (ids are consecutive inside a split,
   because a split is read by one task in order);
 * driver: sort the splits by (path, offset) and add up counts -> offsets
-  (one small row per input split, never per record);
+  (one small row per input split, never per record; the split table is
+  metadata, bounded by input size / split size);
 * job 2: ``ordinal = offset + id - min_id``, joined by split key.
 
 Both jobs read the same files with the same settings, so the ids agree.
-The split table is broadcast when its row count (known on the driver) is
-below ``broadcast_max_splits``, else joined normally.
+The split table is broadcast when its size (row count known on the driver)
+is below ``broadcast_max_bytes``, else joined normally.
 """
 
 from __future__ import annotations
@@ -23,31 +24,45 @@ from pyspark.sql import functions as F
 
 SPLIT_COLS = ("_split_file", "_split_start")
 
+# Bytes per row of the offsets table as broadcast: four longs plus overhead.
+_OFFSET_ROW_BYTES = 48
 
-def with_ordinal(df: DataFrame, broadcast_max_splits: int = 200_000, name: str = "ordinal") -> DataFrame:
+
+def with_ordinal(df: DataFrame, broadcast_max_bytes: int = 256 << 20, name: str = "ordinal") -> DataFrame:
     """Add a dense 0-based ``ordinal`` in file order; drops the split columns.
 
     ``df`` must carry ``_split_file`` and ``_split_start`` (see
     ``VcfScan.body(with_split=True)``); filter it *before* calling this so
     ordinals are dense over the kept records.
+
+    The offsets table has one row per input split (about input size / 128 MB:
+    ~800k rows at 100 TB).  It is keyed by a 64-bit hash of the path (checked
+    collision-free on the driver) so a row is ~48 bytes, and broadcast only
+    while its size stays under ``broadcast_max_bytes``; past that it is a
+    regular join.
     """
     spark = df.sparkSession
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    splits = (tagged.groupBy(*SPLIT_COLS)
+    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_fh", F.xxhash64("_split_file")))
+    splits = (tagged.groupBy("_split_file", "_fh", "_split_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_min_mid"))
               .collect())
     splits.sort(key=lambda r: (r["_split_file"], r["_split_start"]))
+    by_hash = {}
+    for r in splits:
+        if by_hash.setdefault(r["_fh"], r["_split_file"]) != r["_split_file"]:
+            raise RuntimeError("path hash collision between input files; rename one of them: "
+                               f"{by_hash[r['_fh']]} / {r['_split_file']}")
     rows, off = [], 0
     for r in splits:
-        rows.append((r["_split_file"], r["_split_start"], off, r["_min_mid"]))
+        rows.append((r["_fh"], r["_split_start"], off, r["_min_mid"]))
         off += r["_n"]
-    offsets = spark.createDataFrame(
-        rows, "_split_file string, _split_start long, _off long, _min_mid long")
-    if len(rows) <= broadcast_max_splits:
+    offsets = spark.createDataFrame(rows, "_fh long, _split_start long, _off long, _min_mid long")
+    if len(rows) * _OFFSET_ROW_BYTES <= broadcast_max_bytes:
         offsets = F.broadcast(offsets)
-    out = tagged.join(offsets, list(SPLIT_COLS), "inner")
+    out = tagged.join(offsets, ["_fh", "_split_start"], "inner")
     return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_min_mid"))
-            .drop("_off", "_mid", "_min_mid", *SPLIT_COLS))
+            .drop("_off", "_mid", "_min_mid", "_fh", *SPLIT_COLS))
 
 
 def with_shard_id(df: DataFrame, records_per_shard: int, ordinal: str = "ordinal") -> DataFrame:

@@ -11,7 +11,8 @@ the region set only):
   ``(chrom, bin)`` and re-check the overlap.  A (variant, region) pair is
   kept only in the bin of ``greatest(pos, region_start)``, so every pair
   appears exactly once with no ``distinct``.  The region side is broadcast
-  only when its binned row count is below ``broadcast_max_rows``; otherwise
+  only when its binned row count times a row-size estimate is below
+  ``broadcast_max_bytes`` (default 64 MB); otherwise
   both sides are shuffled on (chrom, bin) and AQE splits skewed bins.
 
 Regions are a DataFrame ``(region_id, chrom, start, end)``, 1-based inclusive.
@@ -27,6 +28,9 @@ from ..functions.region import Region, parse_region, record_end
 DEFAULT_BIN = 100_000
 # VCF/BCF positions are 32-bit: open-ended regions are binned up to here.
 MAX_POS = 2147483647
+# Estimated bytes of one binned region row in a broadcast hash relation
+# (contig name, three longs, id, row overhead).
+_REGION_ROW_BYTES = 96
 
 
 def regions_frame(spark: SparkSession, regions: list[str | Region]) -> DataFrame:
@@ -48,7 +52,7 @@ def _small_join(variants: DataFrame, regions: DataFrame, how: str) -> DataFrame:
 
 
 def _binned_pairs(variants: DataFrame, regions: DataFrame, bin_width: int,
-                  broadcast_max_rows: int) -> DataFrame:
+                  broadcast_max_bytes: int) -> DataFrame:
     w = int(bin_width)
     # Open-ended regions ("chr1:100-") are binned up to the largest 32-bit position.
     rb = (regions.select(
@@ -56,10 +60,10 @@ def _binned_pairs(variants: DataFrame, regions: DataFrame, bin_width: int,
         *[F.col(c) for c in regions.columns if c not in ("chrom", "start", "end")])
         .withColumn("_bin", F.explode(F.sequence(
             F.expr(f"_r_start div {w}"), F.expr(f"least(_r_end, {MAX_POS}) div {w}")))))
-    n_binned = rb.count()
+    n_binned = rb.count()  # size check before any broadcast
     vb = variants.withColumn("_bin", F.explode(F.sequence(
         F.expr(f"pos div {w}"), F.expr(f"_v_end div {w}"))))
-    if n_binned <= broadcast_max_rows:
+    if n_binned * _REGION_ROW_BYTES <= broadcast_max_bytes:
         rb = F.broadcast(rb)
     cond = ((vb["chrom"] == rb["_r_chrom"]) & (vb["_bin"] == rb["_bin"])
             & (vb["pos"] <= rb["_r_end"]) & (vb["_v_end"] >= rb["_r_start"])
@@ -73,7 +77,7 @@ def _prepare(variants: DataFrame, use_info_end: bool) -> DataFrame:
 
 
 def overlap_pairs(variants: DataFrame, regions: DataFrame, small_max: int = 1000,
-                  bin_width: int = DEFAULT_BIN, broadcast_max_rows: int = 2_000_000,
+                  bin_width: int = DEFAULT_BIN, broadcast_max_bytes: int = 64 << 20,
                   use_info_end: bool = False, n_regions: int | None = None) -> DataFrame:
     """Every (variant, region) pair that overlaps, each exactly once."""
     v = _prepare(variants, use_info_end)
@@ -81,13 +85,13 @@ def overlap_pairs(variants: DataFrame, regions: DataFrame, small_max: int = 1000
     if n <= small_max:
         out = _small_join(v, regions, "inner")
     else:
-        out = _binned_pairs(v, regions, bin_width, broadcast_max_rows)
+        out = _binned_pairs(v, regions, bin_width, broadcast_max_bytes)
     return out.drop("_v_end", "_r_chrom").withColumnRenamed("_r_start", "region_start") \
         .withColumnRenamed("_r_end", "region_end")
 
 
 def overlapping_any(variants: DataFrame, regions: DataFrame, small_max: int = 1000,
-                    bin_width: int = DEFAULT_BIN, broadcast_max_rows: int = 2_000_000,
+                    bin_width: int = DEFAULT_BIN, broadcast_max_bytes: int = 64 << 20,
                     use_info_end: bool = False, key: str | None = None) -> DataFrame:
     """Variants overlapping at least one region, each once (semi join, U1).
 
@@ -105,7 +109,7 @@ def overlapping_any(variants: DataFrame, regions: DataFrame, small_max: int = 10
     if added:
         v = v.withColumn(k, F.monotonically_increasing_id())
     cols = [c for c in v.columns if c != "_v_end"]
-    pairs = _binned_pairs(v, regions.select("chrom", "start", "end"), bin_width, broadcast_max_rows)
+    pairs = _binned_pairs(v, regions.select("chrom", "start", "end"), bin_width, broadcast_max_bytes)
     out = pairs.select(*cols).dropDuplicates([k])
     return out.drop(k) if added else out
 

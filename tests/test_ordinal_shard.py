@@ -53,6 +53,13 @@ def test_ordinals_dense_and_in_file_order(spark, tmp_path, n_files, max_bytes):
     assert [p for _, p in got] == [r[1] for r in _rows()]
 
 
+def test_ordinals_without_broadcast(spark, tmp_path):
+    s = open_vcf(spark, _write_split(tmp_path, 3))
+    v = with_ordinal(s.variants(with_split=True).select("pos", "_split_file", "_split_start"),
+                     broadcast_max_bytes=0)
+    assert sorted(r["ordinal"] for r in v.collect()) == list(range(N))
+
+
 def test_ordinals_after_region_filter(spark, tmp_path):
     s = open_vcf(spark, _write_split(tmp_path, 3))
     v = with_ordinal(s.variants("chr2", with_split=True).select("pos", "_split_file", "_split_start"))

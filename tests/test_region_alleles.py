@@ -52,8 +52,8 @@ def _brute(vs, rs):
     return pairs
 
 
-@pytest.mark.parametrize("small_max", [10_000, 0])  # broadcast path and binned path
-def test_region_join_matches_brute_force(spark, small_max):
+@pytest.mark.parametrize("small_max,bmax", [(10_000, 1 << 20), (0, 1 << 20), (0, 0)])
+def test_region_join_matches_brute_force(spark, small_max, bmax):
     rnd = random.Random(7)
     vs = [(rnd.choice(["chr1", "chr2"]), rnd.randint(1, 5000), "A" * rnd.choice([1, 1, 1, 40, 300]))
           for _ in range(400)]
@@ -63,14 +63,15 @@ def test_region_join_matches_brute_force(spark, small_max):
         rs.append((rid, rnd.choice(["chr1", "chr2"]), a, a + rnd.choice([0, 5, 50, 700])))
     v = spark.createDataFrame([(i, c, p, ref) for i, (c, p, ref) in enumerate(vs)], "vid int, chrom string, pos long, ref string")
     r = spark.createDataFrame(rs, "region_id int, chrom string, start long, end long")
-    pairs = R.overlap_pairs(v, r, small_max=small_max, bin_width=100)
+    pairs = R.overlap_pairs(v, r, small_max=small_max, bin_width=100, broadcast_max_bytes=bmax)
     got = {(x["vid"], x["region_id"]) for x in pairs.collect()}
     want = _brute(vs, rs)
     assert got == want
     assert pairs.count() == len(want)  # every pair exactly once
-    semi = R.overlapping_any(v, r, small_max=small_max, bin_width=100)
+    semi = R.overlapping_any(v, r, small_max=small_max, bin_width=100, broadcast_max_bytes=bmax)
     assert sorted(x["vid"] for x in semi.collect()) == sorted({i for i, _ in want})
-    counts = {x["region_id"]: x["n_variants"] for x in R.region_counts(v, r, small_max=small_max, bin_width=100).collect()}
+    counts = {x["region_id"]: x["n_variants"] for x in R.region_counts(v, r, small_max=small_max, bin_width=100,
+                                                                  broadcast_max_bytes=bmax).collect()}
     for rid, *_ in rs:
         assert counts[rid] == sum(1 for _, j in want if j == rid)
 
