@@ -74,13 +74,13 @@ def gt_alleles(gt: Column | str = "gt") -> Column:
 def genotype_class(gt: Column | str = "gt") -> Column:
     """hom_ref / het / hom_alt / missing, blind to phasing and ploidy.
 
-    Any ``.`` allele (or no GT) -> missing; one distinct allele ``0`` ->
-    hom_ref; one distinct other allele -> hom_alt; otherwise het.
+    Any ``.`` or empty allele (or no GT) -> missing; all alleles ``0`` ->
+    hom_ref; all alleles the same non-zero number -> hom_alt; otherwise het.
+    Regular expressions with literal patterns (compiled once, code-generated);
+    the hom_alt test uses a back-reference to the first allele.
     """
     g = _c(gt)
-    a = gt_alleles(g)
-    d = F.array_distinct(a)
-    return (F.when(g.isNull() | F.exists(a, lambda x: (x == ".") | (x == "")), F.lit(MISSING_GT))
-            .when((F.size(d) == 1) & (F.get(d, 0) == "0"), F.lit(HOM_REF))
-            .when(F.size(d) == 1, F.lit(HOM_ALT))
+    return (F.when(g.isNull() | g.rlike(r"(^|[/|])\.?([/|]|$)"), F.lit(MISSING_GT))
+            .when(g.rlike(r"^0+([/|]0+)*$"), F.lit(HOM_REF))
+            .when(g.rlike(r"^0*([1-9][0-9]*)([/|]0*\1)*$"), F.lit(HOM_ALT))
             .otherwise(F.lit(HET)))

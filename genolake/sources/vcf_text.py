@@ -171,15 +171,12 @@ def read_header(spark: SparkSession, lines: DataFrame, first_chunk: int = 1024,
 
 
 def body_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Record lines only: header and blank lines removed, a trailing CR cut.
+    """Record lines only: header and blank lines removed.
 
-    Adds ``raw_len``: utf-8 bytes of the line plus one newline byte.  (The
-    text reader already ends lines at ``\r\n``; a lone trailing CR, as in a
-    file with mixed endings, is cut here.)
+    Adds ``raw_len``: utf-8 bytes of the line plus one newline byte.  The text
+    reader ends lines at ``\n``, ``\r\n`` or ``\r``, so no CR reaches here.
     Columns named in ``keep`` pass through.
     """
     v = F.col("value")
-    stripped = F.when(v.endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")).otherwise(v)
-    return (lines.where(~v.startswith("#"))
-            .select(stripped.alias("value"), (F.octet_length(v) + 1).alias("raw_len"), *keep)
-            .where(F.length("value") > 0))
+    return (lines.where(~v.startswith("#") & (F.length(v) > 0))
+            .select(v.alias("value"), (F.octet_length(v) + 1).alias("raw_len"), *keep))
