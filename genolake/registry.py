@@ -55,7 +55,7 @@ _SCANS: dict[tuple, VcfScan] = {}
 def fixture_scan(spark: SparkSession, sf_dir: str) -> VcfScan:
     """The fixture VCF, opened once per session and path (header read once)."""
     path = materialize_fixture_vcf(spark, sf_dir)
-    key = (id(spark.sparkContext), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _SCANS:
         _SCANS[key] = open_vcf(spark, path)
     return _SCANS[key]

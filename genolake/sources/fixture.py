@@ -100,7 +100,7 @@ def fixture_vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CACHE: dict[tuple, str] = {}
 
 
-def materialize_fixture_vcf(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> str:
+def materialize_fixture_vcf(spark: SparkSession, sf_dir: str) -> str:
     """Write the fixture VCF as sorted text part files; return the folder.
 
     The global sort is a range-partitioned shuffle, so the part files in name
@@ -113,13 +113,11 @@ def materialize_fixture_vcf(spark: SparkSession, sf_dir: str, partitions: int |
         stamp = (st.st_size, int(st.st_mtime))
     except OSError:
         stamp = None
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir) if stamp else sf_dir, stamp, partitions)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) if stamp else sf_dir, stamp)
     if key in _CACHE:
         return _CACHE[key]
     out = scratch_path(spark, "fixture-vcf")
     df = fixture_vcf_lines(spark, sf_dir)
-    if partitions:
-        df = df.repartitionByRange(partitions, "k1", "k2", "value")
     (df.orderBy("k1", "k2", "value").select("value")
      .write.mode("errorifexists").text(out))
     _CACHE[key] = out

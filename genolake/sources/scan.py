@@ -39,12 +39,17 @@ class VcfScan:
         keep = ("_split_file", "_split_start") if with_split else ()
         return body_lines(lines, keep)
 
-    def variants(self, region: Region | str | None = None, with_split: bool = False) -> DataFrame:
-        """Wide variant table (schema 1.2), restricted to ``region`` if given."""
+    def variants(self, region: Region | str | None = None, with_split: bool = False,
+                 use_info_end: bool = False) -> DataFrame:
+        """Wide variant table (schema 1.2), restricted to ``region`` if given.
+
+        A record's span is ``pos .. pos + len(ref) - 1``; with ``use_info_end``
+        an ``INFO/END`` value (structural variants) takes precedence.
+        """
         r = parse_region(region) if isinstance(region, str) else region
         v = flatten(self.body(r, with_split=with_split), self.header)
         if r is not None:
-            v = v.where(overlaps(r))
+            v = v.where(overlaps(r, info="info" if use_info_end else None))
         return v
 
 

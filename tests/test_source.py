@@ -79,3 +79,25 @@ def test_crlf_line_ends(spark, vcf):
     assert [g["gq"] for g in r["genotypes"]] == [7, 9, 3]
     assert r["raw_len"] == len(tsv(("chr1", 5, "rs1", "A", "G", 9.5, "PASS", "DP=3", "GT:GQ", "0/1:7",
                                     "1/1:9", "0|0:3"))) + 1  # the reader ends lines at CRLF; one newline byte
+
+
+def test_read_failure_is_ioerror_naming_the_source(spark, monkeypatch):
+    from genolake.sources import vcf_text
+
+    class Boom:
+        def text(self, paths):
+            raise RuntimeError("connection reset")
+
+    class FakeSpark:
+        read = Boom()
+
+    with pytest.raises(IOError, match="https://example.com/x.vcf"):
+        vcf_text.read_lines(FakeSpark(), "https://example.com/x.vcf")
+
+
+def test_info_end_extends_the_span(spark, vcf):
+    text = HEADER + "\n" + tsv(("chr1", 100, ".", "N", "<DEL>", 9, "PASS", "END=5000;SVLEN=-4900"),
+                               ("chr1", 200, ".", "A", "G", 9, "PASS", "."))
+    s = open_vcf(spark, vcf(text))
+    assert s.variants("chr1:4000-4500").count() == 0
+    assert s.variants("chr1:4000-4500", use_info_end=True).count() == 1
