@@ -71,16 +71,24 @@ def manifest_of(records: DataFrame, shards_path: str | None = None) -> DataFrame
 
 
 def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000, region=None,
-          run_id: str | None = None, compact: bool = False, scan: VcfScan | None = None) -> DataFrame:
+          run_id: str | None = None, compact: bool = False, scan: VcfScan | None = None,
+          redo: bool = False) -> DataFrame:
     """Run the shard job; returns the manifest DataFrame (read back from disk).
 
     Each run writes only its own ``run_id=<id>`` folders with
     ``errorifexists``: a repeated run id fails instead of overwriting.
+    ``redo=True`` deliberately rewrites that one run (its manifest is removed
+    first, so readers see it as uncommitted until the new manifest lands);
+    other runs are untouched.
     """
     run_id = run_id or new_run_id()
     scan = scan or open_vcf(spark, source)
     base = base.rstrip("/")
     shards_path = f"{base}/shards/run_id={run_id}"
+    mode = "overwrite" if redo else "errorifexists"
+    if redo:  # uncommit first: replace the manifest by an empty one
+        spark.createDataFrame([], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite") \
+            .json(f"{base}/manifests/run_id={run_id}")
     recs = shard_records(scan, records_per_shard, region)
     out = recs.select("shard_id", "ordinal", F.col("value").alias("line"), "raw_len",
                       "chrom", "contig_idx", "pos", "ref")
@@ -91,10 +99,10 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
     obs = Observation(f"shard-{run_id}")
     out = out.observe(obs, F.count(F.lit(1)).alias("records_written"))
     (out.sortWithinPartitions("shard_id", "ordinal")
-     .write.mode("errorifexists").partitionBy("shard_id").parquet(shards_path))
+     .write.mode(mode).partitionBy("shard_id").parquet(shards_path))
     written_rows = int(obs.get.get("records_written", 0))
     spark.createDataFrame([(i, ln) for i, ln in enumerate(scan.header.lines)], "line_no int, line string") \
-        .coalesce(1).write.mode("errorifexists").json(f"{base}/headers/run_id={run_id}")
+        .coalesce(1).write.mode(mode).json(f"{base}/headers/run_id={run_id}")
     written = spark.read.schema(SHARD_FILE_SCHEMA).parquet(shards_path)
     manifest = manifest_of(written, shards_path).cache()
     in_manifest = manifest.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
@@ -105,9 +113,9 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
           datetime.now(timezone.utc).replace(tzinfo=None), bool(compact), written_rows)],
         "run_id string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
         "compact boolean, records_written long")
-    params.coalesce(1).write.mode("errorifexists").json(f"{base}/params/run_id={run_id}")
+    params.coalesce(1).write.mode(mode).json(f"{base}/params/run_id={run_id}")
     # The manifest is written last: its presence marks the run committed.
-    manifest.coalesce(1).write.mode("errorifexists").json(f"{base}/manifests/run_id={run_id}")
+    manifest.coalesce(1).write.mode(mode).json(f"{base}/manifests/run_id={run_id}")
     manifest.unpersist()
     return read_manifest(spark, base, run_id)
 

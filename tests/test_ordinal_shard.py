@@ -112,6 +112,18 @@ def test_shard_region_and_empty(spark, tmp_path):
     assert m.count() == 0
 
 
+def test_redo_rewrites_one_run(spark, tmp_path):
+    src = _write_split(tmp_path, 1)
+    base = str(tmp_path / "out")
+    S.shard(spark, src, base, records_per_shard=1000, run_id="a")
+    S.shard(spark, src, base, records_per_shard=1000, run_id="b")
+    m = S.shard(spark, src, base, records_per_shard=600, run_id="a", redo=True)
+    assert m.count() == 5
+    counts = {r[0]: r[1] for r in S.read_shards(spark, base).groupBy("run_id").count().collect()}
+    assert counts == {"a": N, "b": N}
+    assert S.read_manifest(spark, base).where("run_id = 'b'").count() == 3
+
+
 def test_records_per_shard_must_be_positive(spark, tmp_path):
     with pytest.raises(ValueError):
         S.shard(spark, _write_split(tmp_path, 1), str(tmp_path / "o"), records_per_shard=0, run_id="x")
