@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from genolake.operators.ordinal import limit_records, with_ordinal
 from genolake.operators.quality import shard_validation
