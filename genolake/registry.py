@@ -23,7 +23,7 @@ from .operators.ordinal import limit_records, with_ordinal
 from .plans import export as E
 from .plans import shard as S
 from .plans import table as TB
-from .session import scratch_path
+from .session import scratch_path, session_key
 from .sources.fixture import materialize_fixture_vcf
 from .sources.scan import VcfScan, open_vcf
 
@@ -55,7 +55,7 @@ _SCANS: dict[tuple, VcfScan] = {}
 def fixture_scan(spark: SparkSession, sf_dir: str) -> VcfScan:
     """The fixture VCF, opened once per session and path (header read once)."""
     path = materialize_fixture_vcf(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _SCANS:
         _SCANS[key] = open_vcf(spark, path)
     return _SCANS[key]

@@ -40,13 +40,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint directory; set a private one only if unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="genolake-ck-"))
-    return sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no SparkContext
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir()
+        if d:
+            return d
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="genolake-ck-"))
+        return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return conf
+    global _PRIVATE_ROOT
+    if _PRIVATE_ROOT is None:
+        _PRIVATE_ROOT = tempfile.mkdtemp(prefix="genolake-ck-")
+    return _PRIVATE_ROOT
+
+
+_PRIVATE_ROOT: str | None = None
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 
 # Fixed values of the fixture (FIXTURES.md): 22 contigs chr1..chr22, three
 # samples, and the genotype code table 0 -> 0/0, 1 -> 0/1, 2 -> 1/1, 3 -> ./.
@@ -113,7 +113,7 @@ def materialize_fixture_vcf(spark: SparkSession, sf_dir: str) -> str:
         stamp = (st.st_size, int(st.st_mtime))
     except OSError:
         stamp = None
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) if stamp else sf_dir, stamp)
+    key = (session_key(spark), os.path.abspath(sf_dir) if stamp else sf_dir, stamp)
     if key in _CACHE:
         return _CACHE[key]
     out = scratch_path(spark, "fixture-vcf")
