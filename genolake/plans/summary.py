@@ -1,57 +1,92 @@
 """The summary job (A1-A4, A9, A10, L1, L2, P6): counts, bytes, preview.
 
 Result has the reference's keys ``total_variants``, ``total_bytes``,
-``chromosomes`` (count per chromosome).  Without a limit it is one
-aggregate pass grouped by chromosome (collected: one row per contig).  A
-limit (first N records in file order; 0 or None = no limit) and the preview
-(first 10 records) use file-order ordinals.
+``chromosomes`` (count per chromosome).  One aggregate pass over the whole
+source; only the leading files are read again for the preview and a limit.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.region import overlaps, parse_region
 from ..operators.aggregate import preview_text
 from ..operators.flatten import flatten
 from ..operators.ordinal import limit_records, with_ordinal
-from ..sources.scan import open_vcf
+from ..sources.scan import VcfScan, open_vcf
 
 log = logging.getLogger(__name__)
 
 
 def summarize(spark: SparkSession, source, region=None, limit: int | None = None,
               preview: int = 10) -> dict:
+    """Counts, bytes and preview of a VCF source (optionally a region and a
+    limit in file order; 0 or None = no limit).
+
+    Plan: one pass grouped by (input file, chromosome) gives the totals, the
+    per-chromosome counts and each file's record count (one small row per
+    file and contig).  Files in path order are the VCF's order, so the
+    preview and the records cut by a limit lie in a prefix of the file
+    list: only those files are scanned again, with file-order ordinals.
+    """
     scan = open_vcf(spark, source)
     h = scan.header
     log.info("VCF version: %s", h.version)
     log.info("Samples: %d (%s...)", len(h.samples), ", ".join(h.samples[:5]))
     log.info("Contigs: %d", len(h.contigs))
     r = parse_region(region) if isinstance(region, str) else region
-    need_order = bool(limit) or preview > 0
-    v = flatten(scan.body(r, with_split=need_order), h)
-    if r is not None:
-        v = v.where(overlaps(r))
-    if need_order:
-        v = with_ordinal(v.select("value", "raw_len", "chrom", "pos", "ref", "alts", "qual",
-                                  "_split_file", "_split_start"))
-        v = limit_records(v, limit)
+
+    def records(s: VcfScan) -> DataFrame:
+        v = flatten(s.body(r, with_split=True), h)
+        if r is not None:
+            v = v.where(overlaps(r))
+        return v.select("value", "raw_len", "chrom", "pos", "ref", "alts", "qual", "_split_file", "_split_start")
+
     try:
-        rows = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect()
+        per = (records(scan).groupBy("_split_file", "chrom")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect())
     except Exception as e:  # S5: a read failure names the source
         if isinstance(e, (FileNotFoundError, ValueError)):
             raise
         raise IOError(f"Failed to stream VCF {source}: {e}") from e
-    chromosomes = {row["chrom"]: int(row["n"]) for row in rows}
+    files = sorted({row["_split_file"] for row in per})
+    file_n = {f: 0 for f in files}
+    for row in per:
+        file_n[row["_split_file"]] += int(row["n"])
+    offset, off = {}, 0
+    for f in files:
+        offset[f] = off
+        off += file_n[f]
+
+    def prefix_scan(k: int) -> VcfScan:
+        """The files holding the first ``k`` records (a prefix of the list)."""
+        head = [f for f in files if offset[f] < k and file_n[f] > 0]
+        return VcfScan(spark, source, h, spark.read.text(head))
+
+    chromosomes: dict[str, int] = {}
+    total_bytes = 0
+    for row in per:
+        f = row["_split_file"]
+        if not limit or offset[f] + file_n[f] <= limit:
+            chromosomes[row["chrom"]] = chromosomes.get(row["chrom"], 0) + int(row["n"])
+            total_bytes += int(row["b"] or 0)
+    if limit and any(offset[f] < limit < offset[f] + file_n[f] for f in files):
+        b = next(f for f in files if offset[f] < limit < offset[f] + file_n[f])
+        part = VcfScan(spark, source, h, spark.read.text([b]))
+        cut = limit_records(with_ordinal(records(part)), limit - offset[b])
+        for row in cut.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect():
+            chromosomes[row["chrom"]] = chromosomes.get(row["chrom"], 0) + int(row["n"])
+            total_bytes += int(row["b"] or 0)
     total = sum(chromosomes.values())
-    total_bytes = int(sum(row["b"] or 0 for row in rows))
     lines = []
-    if preview > 0 and total:
-        lines = [row["t"] for row in v.where(F.col("ordinal") < preview).orderBy("ordinal")
-                 .select(preview_text(v).alias("t")).collect()]
+    shown = min(preview, limit) if limit else preview  # the preview never passes the limit
+    if shown > 0 and total:
+        first = with_ordinal(records(prefix_scan(shown)))
+        lines = [row["t"] for row in first.where(F.col("ordinal") < shown).orderBy("ordinal")
+                 .select(preview_text(first).alias("t")).collect()]
         for ln in lines:
             print(ln)
     log.info("Total variants processed: %s", f"{total:,}")

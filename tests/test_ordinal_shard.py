@@ -154,3 +154,20 @@ def test_summarize(spark, tmp_path, capsys):
     assert reg["total_variants"] == N // 4
     empty = summarize(spark, src, region="chrX")
     assert empty["total_variants"] == 0 and empty["average_bytes"] is None and empty["preview"] == []
+
+
+@pytest.mark.parametrize("limit", [1, 834, 835, 1667, 2100, 5000])
+def test_summarize_limit_matches_python(spark, tmp_path, limit):
+    src = _write_split(tmp_path, 3)  # files of 834, 834, 832 records
+    out = summarize(spark, src, limit=limit, preview=3)
+    head = _rows()[:limit]
+    want = {}
+    for r in head:
+        want[r[0]] = want.get(r[0], 0) + 1
+    assert out["chromosomes"] == dict(sorted(want.items()))
+    assert out["total_bytes"] == sum(len("\t".join(map(str, r))) + 1 for r in head)
+    assert len(out["preview"]) == min(3, limit)
+    reg = summarize(spark, src, region="chr10", limit=limit, preview=2)
+    chr10 = [r for r in _rows() if r[0] == "chr10"][:limit]
+    assert reg["total_variants"] == len(chr10)
+    assert reg["preview"][0].startswith(f"Variant 1: chr10:{chr10[0][1]} ")
