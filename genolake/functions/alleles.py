@@ -52,11 +52,13 @@ def normalize(pos: Column | str = "pos", ref: Column | str = "ref", alt: Column
     pre = _shared_len(rr, aa, F.least(F.length(rr), F.length(aa)) - 1, F.left)
     out_r = _drop_left(rr, pre)
     out_a = _drop_left(aa, pre)
-    sym = is_symbolic(a)
+    # Only alleles with both sides longer than one base can be trimmed; all
+    # others (most SNVs and indels) pass through without string work.
+    keep = is_symbolic(a) | (F.least(F.length(r), F.length(a)) < 2)
     return F.struct(
-        F.when(sym, p).otherwise(p + pre).alias("pos"),
-        F.when(sym, r).otherwise(out_r).alias("ref"),
-        F.when(sym, a).otherwise(out_a).alias("alt"))
+        F.when(keep, p).otherwise(p + pre).alias("pos"),
+        F.when(keep, r).otherwise(out_r).alias("ref"),
+        F.when(keep, a).otherwise(out_a).alias("alt"))
 
 
 def _left_n(s: Column, n: Column) -> Column:

@@ -29,6 +29,13 @@ def all_fields(value: Column | str = "value") -> Column:
     return F.split(_c(value), "\t")
 
 
+def sample_count(value: Column | str = "value") -> Column:
+    """Number of sample columns of a record line (tabs beyond the eighth);
+    no split, no per-sample work."""
+    v = _c(value)
+    return F.greatest(F.length(v) - F.length(F.replace(v, F.lit("\t"), F.lit(""))) - 8, F.lit(0)).cast("int")
+
+
 def missing_to_null(c: Column) -> Column:
     return F.when(c != MISSING, c)
 

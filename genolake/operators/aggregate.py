@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import sample_count
 from .flatten import alt_text
 
 
@@ -63,7 +64,7 @@ def stage_counts(lines: DataFrame, header=None) -> DataFrame:
         F.count_if(v.startswith("#")).alias("header_lines"),
         F.count_if(rec).alias("records"),
         F.coalesce(F.sum(F.when(rec, F.size("alts"))), F.lit(0)).cast("long").alias("alleles"),
-        F.coalesce(F.sum(F.when(rec, F.size("genotypes"))), F.lit(0)).cast("long").alias("genotypes"),
+        F.coalesce(F.sum(F.when(rec, sample_count("value"))), F.lit(0)).cast("long").alias("genotypes"),
         F.count_if(rec & (F.size("_bad") > 0)).alias("records_with_bad_fields"))
     names = ["lines", "header_lines", "records", "alleles", "genotypes", "records_with_bad_fields"]
     return agg.select(F.inline(F.array(*[
