@@ -128,3 +128,30 @@ def genotype_structs(sample_parts: Column, gt_i: Column, gq_i: Column, pl_i: Col
              | (pl.isNotNull() & bad_list_items(pl, "int"))).alias("bad"))
 
     return F.transform(sample_parts, one)
+
+
+# VCF header Type -> Spark type (fixed mapping of the VCF specification's types).
+INFO_TYPES = {"Integer": "int", "Float": "double", "Flag": "boolean", "String": "string", "Character": "string"}
+
+
+def info_flag(info: Column, key: str) -> Column:
+    """True when the key is present (as a flag or with a value)."""
+    return F.coalesce(info.rlike(r"(^|;)" + key.replace(".", r"\.") + r"(;|=|$)"), F.lit(False))
+
+
+def typed_info(info: Column, definitions: dict[str, dict[str, str]]) -> Column:
+    """struct with one typed field per declared INFO key: Flag -> boolean,
+    Number=1 -> scalar, any other Number (A, R, G, ., n>1) -> array; values
+    that do not parse are null (``_bad`` / ``info_violations`` report them).
+    Each field is read straight from the text, no map is built."""
+    fields = []
+    for key, d in definitions.items():
+        t = INFO_TYPES.get(d.get("Type", "String"), "string")
+        if t == "boolean":
+            col = info_flag(info, key)
+        elif d.get("Number") == "1":
+            col = missing_to_null(info_value(info, key)).try_cast(t)
+        else:
+            col = typed_list(info_value(info, key), t)
+        fields.append(col.alias(key))
+    return F.struct(*fields) if fields else F.lit(None).cast("struct<>")

@@ -118,6 +118,12 @@ def sample_rows(v: DataFrame, keep=("chrom", "pos", "ref"), with_pl: bool = Fals
     return base.select(*cols)
 
 
+def with_typed_info(v: DataFrame, header: VcfHeader) -> DataFrame:
+    """Adds ``info_typed``: every INFO key the header declares, typed by its
+    Type and Number (T2)."""
+    return v.withColumn("info_typed", P.typed_info(F.col("info_text"), header.info))
+
+
 def alt_text(alts: Column | str = "alts") -> Column:
     """ALT as written: alleles joined by ``,``, ``.`` when there are none."""
     a = F.col(alts) if isinstance(alts, str) else alts

@@ -98,3 +98,14 @@ def test_only_needed_fields_are_split(spark, vcf):
     v = _scan(spark, vcf).variants()
     plan = v.where(F.col("pos") > 150).groupBy("chrom").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "substring_index" in plan and "split(value" not in plan.replace(" ", "")
+
+
+def test_typed_info_from_header(spark, vcf):
+    from genolake.operators.flatten import with_typed_info
+
+    s = _scan(spark, vcf)
+    rows = {r["pos"]: r["info_typed"] for r in with_typed_info(s.variants(), s.header).collect()}
+    assert rows[100].asDict() == {"AF": [0.1, 0.2], "DP": 10, "DB": True}
+    assert rows[200].asDict() == {"AF": None, "DP": None, "DB": False}
+    assert rows[300]["DP"] == 5  # repeated key: first wins
+    assert rows[400]["AF"] == [None] and rows[400]["DP"] is None  # bad values are null
