@@ -143,7 +143,8 @@ def read_manifest(spark: SparkSession, base: str, run_id: str | None = None) ->
 
 
 def read_shards(spark: SparkSession, base: str, run_id: str | None = None,
-                shard_id: int | None = None, committed_only: bool = True) -> DataFrame:
+                shard_id: int | None = None, committed_only: bool = True,
+                max_listed_runs: int = 10_000) -> DataFrame:
     """Shard records (S6); ``run_id``/``shard_id`` filters prune folders.
 
     With ``committed_only``, only runs with a manifest are returned (a run
@@ -157,7 +158,12 @@ def read_shards(spark: SparkSession, base: str, run_id: str | None = None,
         df = df.where(F.col("shard_id") == int(shard_id))
     if committed_only:
         runs = read_manifest(spark, base).select("run_id").distinct()
-        df = df.join(F.broadcast(runs), "run_id", "left_semi")
+        committed = runs.limit(max_listed_runs + 1).collect()
+        if len(committed) <= max_listed_runs:
+            # A literal IN list on the partition column prunes run folders at the scan.
+            df = df.where(F.col("run_id").isin([r["run_id"] for r in committed]))
+        else:
+            df = df.join(runs, "run_id", "left_semi")
     return df
 
 
