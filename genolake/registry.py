@@ -19,7 +19,7 @@ from .operators import compare as C
 from .operators import quality as Q
 from .operators import regions as R
 from .operators.flatten import alt_text, flatten
-from .operators.ordinal import limit_records, with_ordinal
+from .operators.ordinal import with_ordinal
 from .plans import export as E
 from .plans import shard as S
 from .plans import table as TB
@@ -272,13 +272,13 @@ def stage_counts(spark, sf_dir):
 
 @query
 def preview_text(spark, sf_dir):
-    v = limit_records(_ordered(fixture_scan(spark, sf_dir)), PREVIEW)
+    v = fixture_scan(spark, sf_dir).head(PREVIEW)
     return v.select("ordinal", A.preview_text(v).alias("text"))
 
 
 @query
 def limit_variants(spark, sf_dir):
-    v = limit_records(_ordered(fixture_scan(spark, sf_dir)), LIMIT)
+    v = fixture_scan(spark, sf_dir).head(LIMIT)
     return v.select("ordinal", *_record_cols(v))
 
 

@@ -53,6 +53,36 @@ class VcfScan:
         return v
 
 
+    def head(self, n: int, region: Region | str | None = None) -> DataFrame:
+        """The first ``n`` records in file order (``ordinal < n``), reading
+        only a prefix of the input files.
+
+        Files in path order are the VCF's order, so the first ``n`` records
+        lie in the shortest prefix of the sorted file list holding ``n``
+        records.  The prefix grows in doubling batches (one count job per
+        batch, so at most log2(files) jobs); ordinals are then assigned over
+        the prefix alone.  This is the early stop on a limit: a 100 TB
+        source split into many files reads only its first file(s).
+        """
+        from ..operators.ordinal import limit_records, with_ordinal
+
+        files = sorted(self.lines.inputFiles())
+        if n <= 0 or not files:
+            return self.variants(region, with_split=True).limit(0).withColumn(
+                "ordinal", F.lit(0).cast("long")).drop("_split_file", "_split_start")
+        chosen, seen, step = [], 0, 1
+        while len(chosen) < len(files) and seen < n:
+            batch = files[len(chosen):len(chosen) + step]
+            seen += self._on(batch).variants(region).count()
+            chosen += batch
+            step *= 2
+        return limit_records(with_ordinal(self._on(chosen).variants(region, with_split=True)), n)
+
+    def _on(self, files: list[str]) -> "VcfScan":
+        """The same source restricted to some of its files (same header)."""
+        return VcfScan(self.spark, self.source, self.header, self.spark.read.text(files))
+
+
 def open_vcf(spark: SparkSession, source, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> VcfScan:
     """Resolve the source, read its header, return the scan handle."""
     lines = read_lines(spark, source, remote_schemes)

@@ -179,3 +179,14 @@ def test_shards_concatenated_equal_the_input(spark, tmp_path):
     S.shard(spark, src, base, records_per_shard=700, run_id="cat")
     got = [r["line"] for r in S.read_shards(spark, base, "cat").orderBy("shard_id", "ordinal").collect()]
     assert got == ["\t".join(map(str, r)) for r in _rows()]
+
+
+@pytest.mark.parametrize("n", [0, 1, 10, 834, 835, 2000, 9999])
+def test_head_reads_a_prefix_in_file_order(spark, tmp_path, n):
+    src = _write_split(tmp_path, 5)
+    s = open_vcf(spark, src)
+    got = sorted((r["ordinal"], r["pos"]) for r in s.head(n).select("ordinal", "pos").collect())
+    want = [r[1] for r in _rows()][:n]
+    assert [p for _, p in got] == want and [o for o, _ in got] == list(range(len(want)))
+    reg = sorted((r["ordinal"], r["pos"]) for r in s.head(n, "chr2").select("ordinal", "pos").collect())
+    assert [p for _, p in reg] == [r[1] for r in _rows() if r[0] == "chr2"][:n]
