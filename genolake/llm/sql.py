@@ -26,4 +26,20 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f
 """
 
-SQL: dict[str, str] = {"op10_quality_rules": OP10}
+OP9 = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+marked AS (SELECT *, coalesce('+' || role, '-') AS r, coalesce('+' || text, '-') AS x FROM t),
+per_turn AS (SELECT conv_id, turn, count(*) AS n,
+                    md5(string_agg(turn || chr(1) || r || chr(1) || x, chr(2) ORDER BY r, x)) AS h
+             FROM marked GROUP BY ALL),
+pre AS (SELECT conv_id, turn, string_agg(h, ',') OVER (PARTITION BY conv_id ORDER BY turn) AS p,
+               max(turn) OVER (PARTITION BY conv_id) AS last FROM per_turn),
+complete AS (SELECT p, min(conv_id) AS conv_id, count(*) AS copies FROM pre WHERE turn = last GROUP BY p),
+kept AS (SELECT conv_id, copies FROM complete WHERE p NOT IN (SELECT p FROM pre WHERE turn < last))
+SELECT conv_id, copies::BIGINT AS copies, count(DISTINCT turn)::BIGINT AS n_turns, count(*)::BIGINT AS n_rows,
+       string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), ''
+                  ORDER BY turn, r, x) AS rendered
+FROM marked JOIN kept USING (conv_id) GROUP BY conv_id, copies
+"""
+
+SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10}
