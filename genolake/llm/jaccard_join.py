@@ -40,13 +40,12 @@ from pyspark.sql import functions as F
 
 from .common import id_text, stored
 from .graph import connected_components, stream_groups
+from .sketch import frequency_levels, slot
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 GROUPS = 64
 LEAF = 16
-SKETCH_BITS = 21
-SKETCH_ROW = 1 << 16
 SALTS = 64
 MAX_CLUSTER = 2000
 MAX_SHINGLES = 3_000_000
@@ -165,42 +164,7 @@ def link_forest(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[
 
 def shingle_levels(docs: DataFrame) -> np.ndarray:
     """Frequency level of every sketch slot, from all shingles of all documents (fixed size)."""
-    width = 1 << SKETCH_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, any_rows = np.zeros(width, np.uint32), False
-        for b in batches:
-            for t in b.column(1):
-                s = shingles(t.as_py())
-                np.add.at(sketch, _slot(s), 1)
-                any_rows = True
-        if any_rows:
-            rows = sketch.reshape(-1, SKETCH_ROW)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()),
-                                              pa.array([r.tobytes() for r in rows], pa.binary())], names=["k", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, c in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(c.as_py(), np.uint32)
-                total[k] = total[k] + part if k in total else part.astype(np.uint64)
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                              pa.array([v.tobytes() for v in total.values()], pa.binary())],
-                                             names=["k", "counts"])
-
-    rows = (id_text(docs).mapInArrow(count, "k int, counts binary").repartition("k")
-            .mapInArrow(add, "k int, counts binary").collect())
-    counts = np.zeros(width, np.uint64)
-    for r in rows:
-        counts[r["k"] * SKETCH_ROW:(r["k"] + 1) * SKETCH_ROW] = np.frombuffer(r["counts"], np.uint64)
-    floor = 2.0 * counts.mean() + 16
-    return np.clip(np.floor(np.log2(np.maximum(counts / floor, 0.5))) + 1, 0, 31).astype(np.uint8)
-
-
-def _slot(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return frequency_levels(docs, lambda texts: map(shingles, texts))
 
 
 def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -221,7 +185,7 @@ def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 ids.append(fp)
                 if len(s) and fp not in seen:
                     seen.add(fp)
-                    lv = level[_slot(s)]
+                    lv = level[slot(s)]
                     take = prefix_size(len(s))
                     order = np.lexsort((s, lv))[:take]
                     tokens.append(s[order].view(np.int64))

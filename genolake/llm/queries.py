@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from .chat import format_chats
 from .common import table
 from .decontamination import contamination
+from .jaccard_join import near_duplicates
 from .quality_classifier import classify as classify_quality
 from .quality_rules import rule_verdicts
 from .sharding import shard_rows
+from .suffix_dedup import dedup_digests
 from .token_store import stored_token_digests
 from .toxicity import classify as classify_toxicity
 
@@ -26,10 +28,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_rows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -53,7 +63,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_decontamination": op2_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,

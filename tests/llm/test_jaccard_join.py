@@ -73,7 +73,7 @@ def test_components_equal_brute_force(spark, seed):
 def test_blocks_and_salts_change_nothing(spark, monkeypatch):
     rows = corpus(5)
     monkeypatch.setattr(J, "MAX_CLUSTER", 7)
-    monkeypatch.setattr(J, "shingle_levels", lambda d: (J.np.arange(1 << J.SKETCH_BITS) % 3).astype("uint8"))
+    monkeypatch.setattr(J, "shingle_levels", lambda d: (J.np.arange(1 << 21) % 3).astype("uint8"))
     assert run(spark, rows) == brute(rows)
 
 
