@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,6 +163,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return id_text(docs).mapInArrow(vote, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold; one map pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    @F.pandas_udf("double")
+    def vote(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for c in chunks:
+            parts = [np.stack([terms(t) for t in c.iloc[lo:lo + BLOCK]]) for lo in range(0, len(c), BLOCK)]
+            yield pd.Series(np.concatenate([shared.value.score(x) for x in parts]) if parts else [], dtype="float64")
+
+    return docs.where(vote(F.coalesce("text", F.lit(""))) >= threshold)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` (1: good)."""
     out = score(docs, fit(docs, labels))

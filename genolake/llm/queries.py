@@ -14,6 +14,7 @@ from .decontamination import contamination
 from .jaccard_join import near_duplicates
 from .quality_classifier import classify as classify_quality
 from .quality_rules import rule_verdicts
+from .sentencepiece_lattice import round_trip
 from .sharding import shard_rows
 from .suffix_dedup import dedup_digests
 from .token_store import stored_token_digests
@@ -28,6 +29,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_decontamination": op2_decontamination,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_jaccard_join": op6_jaccard_join,

@@ -415,6 +415,32 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return out.withColumn("n_spans", F.size("spans").cast("long"))
 
 
+def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs``, all columns, with the repeated bytes cut from ``text`` (a character cut in part goes whole)."""
+    ranges = removed_ranges(docs, length).groupBy("doc_id", "tag").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("_ranges"))
+    ranges = ranges.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "_ranges")
+
+    @F.arrow_udf("string")
+    def cut_out(text: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for t, r in zip(text, found):
+            raw = t.as_py()
+            if r.is_valid and raw is not None:
+                raw = raw.encode()
+                lo, hi = merged(*(r.values.field(k).to_numpy() for k in (0, 1)))
+                edges = [0, *np.stack([lo, hi], 1).ravel().tolist(), len(raw)]
+                raw = b"".join(raw[a:e] for a, e in zip(edges[::2], edges[1::2])).decode("utf-8", "ignore")
+            out.append(raw)
+        return pa.array(out, pa.string())
+
+    tag = F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    own = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
+    joined = docs.withColumn("_own", own).withColumn("_own_tag", tag).join(
+        ranges, (F.col("_own") == F.col("_id")) & (F.col("_own_tag") == F.col("_tag")), "left")
+    return joined.withColumn("text", cut_out("text", "_ranges")).select(*docs.columns)
+
+
 def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     return dedup_substrings(docs, length).select("doc_id", "n_bytes", "n_removed", "n_spans",
