@@ -1,8 +1,8 @@
 """Toxicity by a weighted lexicon.
 
 Folding: lower case, accents removed, look-alike letters of other scripts and
-digit or sign substitutions read as the letters they imitate, everything else
-a blank.  Folding maps characters one to one, so spans stay valid in the text.
+digit or sign substitutions read as the letters they imitate (``1`` stands for
+i and l alike, so these two fold together), everything else a blank.  Folding maps characters one to one, so spans stay valid in the text.
 
 Lexicon: word stems (a stem matches at the start of a word) with weights.  An
 Aho-Corasick automaton finds all stems in one pass; per word the heaviest stem
@@ -67,7 +67,7 @@ def _fold_table() -> dict[int, str]:
         out[cp] = " "
     for k, v in LOOKALIKES.items():
         out[ord(k)] = v
-    return out
+    return {cp: "i" if v == "l" else v for cp, v in out.items()} | {ord("l"): "i"}
 
 
 _FOLD = _fold_table()
@@ -144,11 +144,10 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush():
         for label, c in tally.items():
-            for stems in [list(c.items())]:
-                if stems:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([s for s, _ in stems], pa.string()), pa.array([label] * len(stems), pa.int32()),
-                         pa.array([n for _, n in stems], pa.int64())], names=["stem", "label", "n"])
+            if c:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), pa.string()), pa.array([label] * len(c), pa.int32()),
+                     pa.array(list(c.values()), pa.int64())], names=["stem", "label", "n"])
             c.clear()
 
     for b in batches:
@@ -163,8 +162,9 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pick_stems(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Stems with weights from ``(stem, toxic families, clean families)``.
 
-    A longer stem whose kept shorter stem is nearly as frequent among clean
-    documents adds nothing and is dropped.
+    A stem gives way to a longer one that nearly all its toxic families have
+    ("idi" to "idiot"); a longer stem that tells hardly more than a kept
+    shorter one is dropped.
     """
     least = max(MIN_FAMILIES, MIN_SHARE * toxic)
     rated = {}
@@ -172,6 +172,10 @@ def pick_stems(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> di
         ratio = ((a + 0.5) / (toxic + 1)) / ((b + 0.5) / (clean + 1))
         if a >= least and ratio >= MIN_RATIO:
             rated[stem] = (a, b, math.log(ratio))
+    for stem in sorted(rated, key=len, reverse=True):
+        for k in range(len(stem) - 1, 0, -1):
+            if stem[:k] in rated and stem in rated and rated[stem][0] >= 0.95 * rated[stem[:k]][0]:
+                del rated[stem[:k]]
     kept: dict[str, float] = {}
     for stem in sorted(rated, key=lambda s: (len(s), s)):
         a, b, w = rated[stem]
@@ -219,7 +223,7 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon, least: float) -> list[str]:
                 text = folded.as_py()
                 around = set()
                 for s in hits(text, a):
-                    before, after = text[:s].split()[-1:] if s < 64 else text[s - 64:s].split()[-1:], text[s:s + 96].split()[:2]
+                    before, after = text[max(0, s - 64):s].split()[-1:], text[s:s + 96].split()[:2]
                     around.add(" ".join(after))
                     around.add(" ".join(before + after[:1]))
                 rows += [(p, label.as_py()) for p in around if " " in p]
