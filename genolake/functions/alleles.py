@@ -29,13 +29,16 @@ def allele_class(ref: Column | str = "ref", alt: Column | str = "alt") -> Column
             .otherwise(F.lit(DEL)))
 
 
-def _shared_len(a: Column, b: Column, n: Column, side) -> Column:
-    """Largest k in 1..n with side(a,k) == side(b,k); 0 if none or n < 1.
+def _same_start(a: Column, b: Column) -> Column:
+    """Number of leading characters two texts share; linear in their length."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    at = F.array_position(same, False)
+    return F.when(at > 0, at - 1).otherwise(F.least(F.length(a), F.length(b))).cast("int")
 
-    ``sequence(1, 0)`` counts down, so ``n < 1`` is guarded explicitly.
-    """
-    ks = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: side(a, k) == side(b, k))
-    return F.when(n < 1, F.lit(0)).otherwise(F.coalesce(F.array_max(ks), F.lit(0)))
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def normalize(pos: Column | str = "pos", ref: Column | str = "ref", alt: Column | str = "alt") -> Column:
@@ -46,27 +49,20 @@ def normalize(pos: Column | str = "pos", ref: Column | str = "ref", alt: Column
     Left-alignment needs the reference genome and is not done.
     """
     p, r, a = _c(pos), _c(ref), _c(alt)
-    suf = _shared_len(r, a, F.least(F.length(r), F.length(a)) - 1, F.right)
-    rr = _left_n(r, F.length(r) - suf)
-    aa = _left_n(a, F.length(a) - suf)
-    pre = _shared_len(rr, aa, F.least(F.length(rr), F.length(aa)) - 1, F.left)
-    out_r = _drop_left(rr, pre)
-    out_a = _drop_left(aa, pre)
+    short = F.least(F.length(r), F.length(a))
     # Only alleles with both sides longer than one base can be trimmed; all
     # others (most SNVs and indels) pass through without string work.
-    keep = is_symbolic(a) | (F.least(F.length(r), F.length(a)) < 2)
-    return F.struct(
-        F.when(keep, p).otherwise(p + pre).alias("pos"),
-        F.when(keep, r).otherwise(out_r).alias("ref"),
-        F.when(keep, a).otherwise(out_a).alias("alt"))
-
-
-def _left_n(s: Column, n: Column) -> Column:
-    return F.left(s, n)
+    keep = is_symbolic(a) | (short < 2)
 
+    def trimmed(t: Column) -> Column:
+        pre, suf = t["pre"], t["suf"]
+        return F.struct((p + pre).alias("pos"), F.substr(r, pre + 1, F.length(r) - suf - pre).alias("ref"),
+                        F.substr(a, pre + 1, F.length(a) - suf - pre).alias("alt"))
 
-def _drop_left(s: Column, n: Column) -> Column:
-    return F.substr(s, n + 1)
+    suffix = F.least(_same_start(F.reverse(r), F.reverse(a)), short - 1)
+    both = _let(suffix, lambda suf: F.struct(
+        F.least(_same_start(r, a), short - suf - 1).alias("pre"), suf.alias("suf")))
+    return F.when(keep, F.struct(p.alias("pos"), r.alias("ref"), a.alias("alt"))).otherwise(_let(both, trimmed))
 
 
 def gt_alleles(gt: Column | str = "gt") -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 MAX_COORD = (1 << 62)  # "to the end of the contig"
 
-_REGION = re.compile(r"^(?P<chrom>[^:]+)(?::(?P<start>[\d,]+)?(?:-(?P<end>[\d,]*))?)?$")
+_RANGE = re.compile(r"(?P<start>[\d,]+)?(?:-(?P<end>[\d,]*))?")
 
 
 @dataclass(frozen=True)
@@ -34,19 +34,28 @@ class Region:
         return f"{self.chrom}:{self.start}-{self.end}"
 
 
-def parse_region(text: str) -> Region:
-    """Parse a region string; raises ``ValueError`` on bad input."""
+def parse_region(text: str, contigs=()) -> Region:
+    """Parse a region string; raises ``ValueError`` on bad input.
+
+    Contig names may hold colons (``HLA-A*01:01:01:01``): the longest name of
+    ``contigs`` that the text starts with is taken first; without one, a text
+    of several colons is read up to its last one.
+    """
     if text is None or not str(text).strip():
         raise ValueError("empty region")
-    m = _REGION.match(str(text).strip())
-    if not m:
+    text = str(text).strip()
+    known = max((c for c in contigs if text == c or text.startswith(c + ":")), key=len, default=None)
+    chrom, _, rest = (known, "", text[len(known) + 1:]) if known else (text, "", "") if ":" not in text \
+        else text.rpartition(":")
+    m = _RANGE.fullmatch(rest)
+    if not m or not chrom:
         raise ValueError(f"invalid region: {text!r}")
     start = int(m.group("start").replace(",", "")) if m.group("start") else 1
     end_txt = m.group("end")
     end = int(end_txt.replace(",", "")) if end_txt else MAX_COORD
     if start < 1 or end < start:
         raise ValueError(f"invalid region bounds: {text!r}")
-    return Region(m.group("chrom"), start, end)
+    return Region(chrom, start, end)
 
 
 def record_end(pos: Column | str = "pos", ref: Column | str = "ref", info: Column | str | None = None) -> Column:
@@ -69,11 +78,3 @@ def overlaps(region: Region, chrom: Column | str = "chrom", pos: Column | str =
     if region.start > 1:
         cond = cond & (record_end(p, ref, info) >= F.lit(region.start))
     return cond
-
-
-def overlaps_any(regions: list[Region], **cols) -> Column:
-    """OR of ``overlaps`` for a short, fixed list of regions."""
-    cond = F.lit(False)
-    for r in regions:
-        cond = cond | overlaps(r, **cols)
-    return cond

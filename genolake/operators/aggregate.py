@@ -38,7 +38,10 @@ def count_in_range(v: DataFrame, start: int, end: int) -> DataFrame:
 def python_float_text(c: Column) -> Column:
     """Text of a double as Python's ``str(float)`` gives it for the usual
     QUAL range; null gives ``None`` (what the reference prints)."""
-    return F.when(c.isNull(), F.lit("None")).otherwise(c.cast("string"))
+    plain = c.cast("decimal(38,6)").cast("string")
+    short = F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")
+    return (F.when(c.isNull(), F.lit("None"))
+            .when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), short).otherwise(c.cast("string")))
 
 
 def preview_text(v: DataFrame, ordinal: str = "ordinal") -> Column:

@@ -42,10 +42,6 @@ def normalize_alleles(alleles: DataFrame) -> DataFrame:
             .drop("_n"))
 
 
-def with_allele_class(alleles: DataFrame) -> DataFrame:
-    return alleles.withColumn("allele_class", allele_class("ref", "alt"))
-
-
 def allele_class_counts(alleles: DataFrame) -> DataFrame:
     return (alleles.groupBy(allele_class("ref", "alt").alias("allele_class"))
             .agg(F.count(F.lit(1)).alias("n_alleles")))

@@ -90,6 +90,8 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
             F.when(P.bad_list_items(af_t, "double"), F.lit("AF")),
             F.when(P.bad_list_items(ac_t, "int"), F.lit("AC")),
             F.when(an_t.isNotNull() & (an_t != ".") & an_t.try_cast("int").isNull(), F.lit("AN")),
+            F.when(F.size(F.array_distinct(P.info_keys(info_txt))) < F.size(P.info_keys(info_txt)),
+                   F.lit("INFO")),
         )).alias("_bad"),
     )
     return df.select(
@@ -128,8 +130,3 @@ def alt_text(alts: Column | str = "alts") -> Column:
     """ALT as written: alleles joined by ``,``, ``.`` when there are none."""
     a = F.col(alts) if isinstance(alts, str) else alts
     return F.when(F.size(a) > 0, F.array_join(a, ",")).otherwise(F.lit("."))
-
-
-def core(df: DataFrame) -> DataFrame:
-    """The fixed columns only (P5 projection)."""
-    return df.select("chrom", "contig_idx", "pos", "id", "ref", "alts", "qual", "filters")

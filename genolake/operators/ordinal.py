@@ -4,65 +4,74 @@ A VCF's record order is its file order.  Spark packs input splits into
 partitions by size, so partition order is not file order; instead every
 line keeps the split it came from (file path, byte offset of the split).
 
-* job 1: per split, the number of surviving records and the smallest
-  ``monotonically_increasing_id`` (ids are consecutive inside a split,
-  because a split is read by one task in order);
-* driver: sort the splits by (path, offset) and add up counts -> offsets
-  (one small row per input split, never per record; the split table is
-  metadata, bounded by input size / split size);
-* job 2: ``ordinal = offset + id - min_id``, joined by split key.
-
-Both jobs read the same files with the same settings, so the ids agree.
-The split table is broadcast when its size (row count known on the driver)
-is below ``broadcast_max_bytes``, else joined normally.
+* the records are written once to the scratch folder with their split and
+  their place in it (``monotonically_increasing_id`` is consecutive inside a
+  split, because a split is read by one task in order);
+* per split, a count and the smallest id are taken from the written records;
+* a distributed prefix sum over the splits, ordered by (path, offset), gives
+  each split's first ordinal: ``ordinal = offset + id - min_id``.
+
+Everything after the first step reads the written records, so no later change
+of settings, cores or executors can cut the input differently: no record can
+be lost or numbered twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 SPLIT_COLS = ("_split_file", "_split_start")
 
-# Bytes per row of the offsets table as broadcast: four longs plus overhead.
-_OFFSET_ROW_BYTES = 48
 
+def prefix_sum(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Adds the sum of ``value`` over all rows before each row in key order.
+
+    Range-partitioned and written once; running sums inside each partition,
+    plus the total of the partitions before it.  Only one row per written
+    partition comes to the driver.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "prefix-sum")
+    (df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()).write.parquet(path))
+    placed = spark.read.schema(f"{_ddl(df)}, _pid int").parquet(path)
+    totals = sorted((r["_pid"], r["_n"]) for r in placed.groupBy("_pid").agg(F.sum(value).alias("_n")).collect())
+    rows, off = [], 0
+    for pid, n in totals:
+        rows.append((pid, off))
+        off += n
+    bases = spark.createDataFrame(rows, "_pid int, _base long")
+    w = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumn("_run", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    return inside.join(bases, "_pid").withColumn(out, F.col("_base") + F.col("_run")).drop("_pid", "_base", "_run")
 
-def with_ordinal(df: DataFrame, broadcast_max_bytes: int = 256 << 20, name: str = "ordinal") -> DataFrame:
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Add a dense 0-based ``ordinal`` in file order; drops the split columns.
 
     ``df`` must carry ``_split_file`` and ``_split_start`` (see
     ``VcfScan.body(with_split=True)``); filter it *before* calling this so
-    ordinals are dense over the kept records.
-
-    The offsets table has one row per input split (about input size / 128 MB:
-    ~800k rows at 100 TB).  It is keyed by a 64-bit hash of the path (checked
-    collision-free on the driver) so a row is ~48 bytes, and broadcast only
-    while its size stays under ``broadcast_max_bytes``; past that it is a
-    regular join.
+    ordinals are dense over the kept records.  ``df`` is computed and written
+    once, here.
     """
     spark = df.sparkSession
-    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_fh", F.xxhash64("_split_file")))
-    splits = (tagged.groupBy("_split_file", "_fh", "_split_start")
-              .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_min_mid"))
-              .collect())
-    splits.sort(key=lambda r: (r["_split_file"], r["_split_start"]))
-    by_hash = {}
-    for r in splits:
-        if by_hash.setdefault(r["_fh"], r["_split_file"]) != r["_split_file"]:
-            raise RuntimeError("path hash collision between input files; rename one of them: "
-                               f"{by_hash[r['_fh']]} / {r['_split_file']}")
-    rows, off = [], 0
-    for r in splits:
-        rows.append((r["_fh"], r["_split_start"], off, r["_min_mid"]))
-        off += r["_n"]
-    offsets = spark.createDataFrame(rows, "_fh long, _split_start long, _off long, _min_mid long")
-    if len(rows) * _OFFSET_ROW_BYTES <= broadcast_max_bytes:
-        offsets = F.broadcast(offsets)
-    out = tagged.join(offsets, ["_fh", "_split_start"], "inner")
-    return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_min_mid"))
-            .drop("_off", "_mid", "_min_mid", "_fh", *SPLIT_COLS))
+    path = scratch_path(spark, "ordinals")
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    tagged.write.parquet(path)
+    placed = spark.read.schema(tagged.schema).parquet(path)
+    splits = placed.groupBy(*SPLIT_COLS).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_min_mid"))
+    offsets = prefix_sum(splits, list(SPLIT_COLS), "_n", "_off").drop("_n")
+    out = placed.join(offsets, list(SPLIT_COLS), "left")
+    first = F.when(F.col("_off").isNull(), F.raise_error(F.lit("a split of the input has no ordinal")).cast("long")) \
+        .otherwise(F.col("_off"))
+    return (out.withColumn(name, first + F.col("_mid") - F.col("_min_mid"))
+            .drop("_off", "_mid", "_min_mid", *SPLIT_COLS))
 
 
 def with_shard_id(df: DataFrame, records_per_shard: int, ordinal: str = "ordinal") -> DataFrame:

@@ -1,14 +1,14 @@
 """Data-quality jobs on the variant table (Q1, Q2, Q3, J3).
 
-Every check is an aggregate or a join on a unique key; none collects a
-group.  Record-to-successor checks (sortedness, dense ordinals) pair each
-record with ``ordinal + 1`` by an equi-join instead of a window over a
-contig, so a contig with a third of the rows is not one task.
+Every check is an aggregate; none collects a group.  Checks against the
+preceding record (sortedness, dense ordinals) use windows over blocks of
+consecutive records, or over shards, plus one row per block for the edges, so a
+contig with a third of the rows is not one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.vcf_text import VcfHeader
@@ -66,64 +66,84 @@ def completeness(v: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.size(g)), F.lit(0)).cast("long").alias("n_genotypes"))
 
 
-def successor_pairs(df: DataFrame, ordinal: str = "ordinal", cols=("contig_idx", "chrom", "pos"),
-                    within: str | None = None) -> DataFrame:
-    """Each record joined to the record with ``ordinal + 1`` (same ``within``
-    group if given): columns ``a_*`` and ``b_*``.  Unique-key equi-join."""
-    keys = [ordinal] + ([within] if within else [])
-    a = df.select(*[F.col(c).alias(f"a_{c}") for c in keys + list(cols) if c in df.columns])
-    b = df.select(*[F.col(c).alias(f"b_{c}") for c in keys + list(cols) if c in df.columns])
-    cond = a[f"a_{ordinal}"] + 1 == b[f"b_{ordinal}"]
-    if within:
-        cond = cond & (a[f"a_{within}"] == b[f"b_{within}"])
-    return a.join(b, cond, "inner")
+ORDER_BLOCK = 100_000
 
 
-def out_of_order(pairs: DataFrame) -> DataFrame:
-    """Rows of ``successor_pairs`` where the successor sorts before its predecessor."""
-    return pairs.where((F.col("b_contig_idx") < F.col("a_contig_idx"))
-                       | ((F.col("b_contig_idx") == F.col("a_contig_idx")) & (F.col("b_pos") < F.col("a_pos"))))
+def contig_ranks(v: DataFrame) -> DataFrame:
+    """``chrom, _rank``: declared contigs in header order, others after them by first appearance."""
+    return v.groupBy("chrom").agg(F.min("contig_idx").alias("_i"), F.min("ordinal").alias("_o")).select(
+        "chrom", F.coalesce(F.col("_i").cast("long"), F.lit(1 << 40) + F.col("_o")).alias("_rank"))
+
+
+def _with_previous(v: DataFrame, block: str) -> DataFrame:
+    """Each record with its predecessor's ``chrom``, rank, position and block (``_p``; null for the first record).
+
+    ``lag`` inside blocks of consecutive records, then one row per block for
+    the records at the edges: the records are shuffled once.
+    """
+    here = F.struct("chrom", "_rank", "pos", F.col(block).alias("block"))
+    w = Window.partitionBy(block).orderBy("ordinal")
+    x = v.withColumn("_p", F.lag(here).over(w)).withColumn("_edge", F.row_number().over(w) == 1)
+    ends = v.groupBy(block).agg(F.min("ordinal").alias("_first"), F.max_by(here, "ordinal").alias("_last"),
+                                F.max("ordinal").alias("_end"))
+    before = ends.select((F.col("_end") + 1).alias("_first"), F.col("_last").alias("_q"))
+    edges = ends.join(before, "_first").select(F.col(block).alias("_eb"), "_q")
+    return (x.join(edges, F.col("_edge") & (F.col(block) == F.col("_eb")), "left")
+            .withColumn("_p", F.coalesce("_p", "_q")).drop("_eb", "_q"))
+
+
+def _backward() -> Column:
+    """The record sorts before its predecessor: a smaller position on one contig, or a contig left earlier."""
+    p = F.col("_p")
+    return F.coalesce(F.when(p["chrom"] == F.col("chrom"), F.col("pos") < p["pos"])
+                      .otherwise(F.col("_rank") < p["_rank"]), F.lit(False))
 
 
 def coordinate_order_report(v: DataFrame) -> DataFrame:
-    """Per chromosome: records, min/max pos, and records out of coordinate order."""
-    bad = (out_of_order(successor_pairs(v.select("ordinal", "contig_idx", "chrom", "pos")))
-           .groupBy(F.col("b_chrom").alias("chrom")).agg(F.count(F.lit(1)).alias("n_unsorted")))
-    stats = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_records"), F.min("pos").alias("min_pos"),
-                                   F.max("pos").alias("max_pos"))
-    return (stats.join(bad, "chrom", "left")
-            .withColumn("n_unsorted", F.coalesce(F.col("n_unsorted"), F.lit(0).cast("long"))))
+    """Per chromosome: records, min/max pos, and records out of coordinate order.
+
+    Contigs that the header does not declare are ordered by their first
+    record, so their positions, and returns to them, are checked too.
+    """
+    x = v.select("ordinal", "contig_idx", "chrom", "pos", F.floor(F.col("ordinal") / ORDER_BLOCK).alias("_b"))
+    x = _with_previous(x.join(contig_ranks(x), "chrom"), "_b")
+    return x.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_records"), F.min("pos").alias("min_pos"),
+                                  F.max("pos").alias("max_pos"), F.count_if(_backward()).alias("n_unsorted"))
 
 
 def shard_validation(records: DataFrame, records_per_shard: int, total: int | None = None) -> DataFrame:
     """Per shard: count vs. the expected count, dense ordinals, sortedness
-    inside the shard, and order across the boundary to the next shard.
+    inside the shard, and order across the boundary to the previous record.
     ``total`` is the run's record count (from the manifest; counted if not given)."""
     n = int(records_per_shard)
     total = records.count() if total is None else int(total)
-    stats = records.groupBy("shard_id").agg(
+    x = records.select("ordinal", "contig_idx", "chrom", "pos", "shard_id")
+    x = _with_previous(x.join(contig_ranks(x), "chrom"), "shard_id")
+    w = Window.partitionBy("shard_id").orderBy("ordinal")
+    x = x.withColumn("_step", F.col("ordinal") - F.lag("ordinal").over(w))
+    inside = F.col("_p.block") == F.col("shard_id")
+    out = x.groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("n_records"), F.min("ordinal").alias("_lo"), F.max("ordinal").alias("_hi"),
-        F.count_distinct("ordinal").alias("_nd"))
-    pairs = successor_pairs(records.select("ordinal", "shard_id", "contig_idx", "chrom", "pos"),
-                            cols=("shard_id", "contig_idx", "chrom", "pos"))
-    bad = out_of_order(pairs).groupBy(F.col("b_shard_id").alias("shard_id"), (
-        F.col("a_shard_id") != F.col("b_shard_id")).alias("_boundary")).agg(F.count(F.lit(1)).alias("_n"))
-    inside = bad.where(~F.col("_boundary")).select("shard_id", F.col("_n").alias("n_unsorted"))
-    across = bad.where(F.col("_boundary")).select("shard_id", F.lit(True).alias("_bad_start"))
-    out = stats.join(inside, "shard_id", "left").join(across, "shard_id", "left")
+        F.coalesce(F.max(F.col("_step") != 1), F.lit(False)).alias("_gap"),
+        F.count_if(_backward() & inside).alias("n_unsorted"),
+        F.coalesce(F.max(_backward() & ~inside), F.lit(False)).alias("starts_before_previous"))
     expected = F.least(F.lit(n).cast("long"), F.lit(total).cast("long") - F.col("shard_id").cast("long") * n)
     return out.select(
         "shard_id", "n_records", expected.alias("expected_records"),
-        ((F.col("_hi") - F.col("_lo") + 1 == F.col("n_records")) & (F.col("_nd") == F.col("n_records"))
-         & (F.col("_lo") == F.col("shard_id").cast("long") * n)).alias("ordinals_dense"),
-        F.coalesce(F.col("n_unsorted"), F.lit(0).cast("long")).alias("n_unsorted"),
-        F.coalesce(F.col("_bad_start"), F.lit(False)).alias("starts_before_previous"))
+        (~F.col("_gap") & (F.col("_lo") == F.col("shard_id").cast("long") * n)).alias("ordinals_dense"),
+        "n_unsorted", "starts_before_previous")
 
 
-def orphan_rows(records: DataFrame, alleles: DataFrame, key: str = "ordinal") -> DataFrame:
+def orphan_rows(records: DataFrame, alleles: DataFrame, key=("ordinal",)) -> DataFrame:
     """Referential check between stages (J3): records with no allele row
-    (records without ALT) and allele rows with no record (expected 0)."""
-    r = records.select(key).join(alleles.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    a = alleles.select(key).join(records.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    return (r.select(F.lit("records_without_alleles").alias("check"), F.col("n").alias("n_rows"))
-            .unionByName(a.select(F.lit("alleles_without_record").alias("check"), F.col("n").alias("n_rows"))))
+    (records without ALT) and allele rows with no record, by one aggregation
+    of both sides' tagged keys."""
+    k = [key] if isinstance(key, str) else list(key)
+    both = (records.select(*k, F.lit(1).alias("_r"), F.lit(0).cast("long").alias("_a"))
+            .unionByName(alleles.select(*k, F.lit(0).alias("_r"), F.lit(1).cast("long").alias("_a"))))
+    seen = both.groupBy(*k).agg(F.sum("_r").alias("_r"), F.sum("_a").alias("_a"))
+    n = seen.agg(F.coalesce(F.sum(F.when(F.col("_a") == 0, F.col("_r"))), F.lit(0)).alias("lone_r"),
+                 F.coalesce(F.sum(F.when(F.col("_r") == 0, F.col("_a"))), F.lit(0)).alias("lone_a"))
+    return n.select(F.inline(F.array(
+        F.struct(F.lit("records_without_alleles").alias("check"), F.col("lone_r").cast("long").alias("n_rows")),
+        F.struct(F.lit("alleles_without_record").alias("check"), F.col("lone_a").cast("long").alias("n_rows")))))

@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from ..functions.region import Region, parse_region, record_end
 
 DEFAULT_BIN = 100_000
-# VCF/BCF positions are 32-bit: open-ended regions are binned up to here.
-MAX_POS = 2147483647
 # Estimated bytes of one binned region row in a broadcast hash relation
 # (contig name, three longs, id, row overhead).
 _REGION_ROW_BYTES = 96
@@ -54,12 +52,16 @@ def _small_join(variants: DataFrame, regions: DataFrame, how: str) -> DataFrame:
 def _binned_pairs(variants: DataFrame, regions: DataFrame, bin_width: int,
                   broadcast_max_bytes: int) -> DataFrame:
     w = int(bin_width)
-    # Open-ended regions ("chr1:100-") are binned up to the largest 32-bit position.
+    # Open-ended regions ("chr1:100-") are binned up to the last base any record of their contig
+    # covers; regions beyond it, or of contigs without records, overlap nothing.
+    tops = variants.groupBy("chrom").agg(F.max("_v_end")).where("chrom IS NOT NULL").collect()  # a row per contig
+    tops = variants.sparkSession.createDataFrame([tuple(r) for r in tops], "_r_chrom string, _top long")
     rb = (regions.select(
         F.col("chrom").alias("_r_chrom"), F.col("start").alias("_r_start"), F.col("end").alias("_r_end"),
         *[F.col(c) for c in regions.columns if c not in ("chrom", "start", "end")])
+        .join(tops, "_r_chrom").where("_r_start <= _top")
         .withColumn("_bin", F.explode(F.sequence(
-            F.expr(f"_r_start div {w}"), F.expr(f"least(_r_end, {MAX_POS}) div {w}")))))
+            F.expr(f"_r_start div {w}"), F.expr(f"least(_r_end, _top) div {w}")))).drop("_top"))
     n_binned = rb.count()  # size check before any broadcast
     vb = variants.withColumn("_bin", F.explode(F.sequence(
         F.expr(f"pos div {w}"), F.expr(f"_v_end div {w}"))))

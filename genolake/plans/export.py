@@ -8,16 +8,29 @@ from pyspark.sql import types as T
 
 
 def _flat(df: DataFrame, list_sep: str = ",") -> DataFrame:
-    """Arrays become ``sep``-joined text, maps ``k=v;..`` text, structs are dropped."""
+    """Arrays become ``sep``-joined text (a missing item is ``.``, so places hold), maps ``k=v;..``
+    text; a struct gives a column per field, ``name_field``, and an array of structs the same with
+    its items joined by ``;`` (a genotype column gives ``genotypes_gt`` and so on, in sample order)."""
     cols = []
+
+    def text(c, t):
+        if isinstance(t, T.ArrayType):
+            return F.when(c.isNull(), None).otherwise(F.array_join(c.cast("array<string>"), list_sep, "."))
+        return c.cast("string")
+
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
-            cols.append(F.array_join(F.col(f.name).cast("array<string>"), list_sep).alias(f.name))
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            for g in f.dataType.elementType.fields:
+                cols.append(F.array_join(F.transform(F.col(f.name), lambda x, g=g: F.coalesce(
+                    text(x[g.name], g.dataType), F.lit("."))), ";").alias(f"{f.name}_{g.name}"))
+        elif isinstance(f.dataType, T.ArrayType):
+            cols.append(text(F.col(f.name), f.dataType).alias(f.name))
+        elif isinstance(f.dataType, T.StructType):
+            for g in f.dataType.fields:
+                cols.append(text(F.col(f.name)[g.name], g.dataType).alias(f"{f.name}_{g.name}"))
         elif isinstance(f.dataType, T.MapType):
             cols.append(F.array_join(F.transform(F.map_entries(f.name), lambda e: F.concat_ws(
                 "=", e["key"], e["value"])), ";").alias(f.name))
-        elif isinstance(f.dataType, (T.StructType, T.ArrayType)):
-            continue
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -17,6 +17,7 @@ get exactly one file per shard (the reference's one-file-per-shard form).
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,14 +41,25 @@ def new_run_id(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime(RUN_ID_FORMAT)
 
 
-def shard_records(scan: VcfScan, records_per_shard: int = 10000, region=None) -> DataFrame:
-    """Records with ``ordinal`` and ``shard_id`` (lazy, after the split-count job)."""
+def checked_run_id(run_id: str) -> str:
+    """A run id is one folder name: letters, digits, ``.``, ``_`` and ``-``."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id) or set(run_id) == {"."}:
+        raise ValueError(f"invalid run id: {run_id!r}")
+    return run_id
+
+
+def shard_records(scan: VcfScan, records_per_shard: int = 10000, region=None,
+                  use_info_end: bool = False) -> DataFrame:
+    """Records with ``ordinal`` and ``shard_id`` (the source is read once, by ``with_ordinal``).
+
+    A region is judged by the bases of REF, or by INFO/END where a record has
+    it and ``use_info_end`` is set."""
     if records_per_shard is None or int(records_per_shard) <= 0:
         raise ValueError(f"records_per_shard must be a positive integer, got {records_per_shard!r}")
-    r = parse_region(region) if isinstance(region, str) else region
+    r = parse_region(region, scan.header.contigs) if isinstance(region, str) else region
     v = flatten(scan.body(r, with_split=True), scan.header)
     if r is not None:
-        v = v.where(overlaps(r))
+        v = v.where(overlaps(r, info="info" if use_info_end else None))
     v = v.select("value", "raw_len", "chrom", "contig_idx", "pos", "ref", "_split_file", "_split_start")
     return with_shard_id(with_ordinal(v), records_per_shard)
 
@@ -81,7 +93,7 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
     first, so readers see it as uncommitted until the new manifest lands);
     other runs are untouched.
     """
-    run_id = run_id or new_run_id()
+    run_id = checked_run_id(run_id or new_run_id())
     scan = scan or open_vcf(spark, source)
     base = base.rstrip("/")
     shards_path = f"{base}/shards/run_id={run_id}"
@@ -151,9 +163,13 @@ def read_shards(spark: SparkSession, base: str, run_id: str | None = None,
     that failed half-way has shards but no manifest).
     """
     root = f"{base.rstrip('/')}/shards"
+    if run_id is not None:  # only this run's folders (or one shard's) are listed, and its manifest alone read
+        run = f"{root}/run_id={checked_run_id(run_id)}"
+        if committed_only and read_manifest(spark, base, run_id).limit(1).count() == 0:
+            return spark.createDataFrame([], SHARD_SCHEMA)
+        df = spark.read.schema(SHARD_SCHEMA).option("basePath", root).parquet(run)
+        return df if shard_id is None else df.where(F.col("shard_id") == int(shard_id))
     df = spark.read.schema(SHARD_SCHEMA).option("basePath", root).parquet(root)
-    if run_id is not None:
-        df = df.where(F.col("run_id") == run_id)
     if shard_id is not None:
         df = df.where(F.col("shard_id") == int(shard_id))
     if committed_only:

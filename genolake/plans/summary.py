@@ -17,6 +17,7 @@ from ..operators.aggregate import preview_text
 from ..operators.flatten import flatten
 from ..operators.ordinal import limit_records, with_ordinal
 from ..sources.scan import VcfScan, open_vcf
+from ..sources.vcf_text import literal_path
 
 log = logging.getLogger(__name__)
 
@@ -34,10 +35,8 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
     """
     scan = open_vcf(spark, source)
     h = scan.header
-    log.info("VCF version: %s", h.version)
-    log.info("Samples: %d (%s...)", len(h.samples), ", ".join(h.samples[:5]))
-    log.info("Contigs: %d", len(h.contigs))
-    r = parse_region(region) if isinstance(region, str) else region
+    log.info("%s: version %s, %d samples, %d contigs", source, h.version, len(h.samples), len(h.contigs))
+    r = parse_region(region, h.contigs) if isinstance(region, str) else region
 
     def records(s: VcfScan) -> DataFrame:
         v = flatten(s.body(r, with_split=True), h)
@@ -64,7 +63,7 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
     def prefix_scan(k: int) -> VcfScan:
         """The files holding the first ``k`` records (a prefix of the list)."""
         head = [f for f in files if offset[f] < k and file_n[f] > 0]
-        return VcfScan(spark, source, h, spark.read.text(head))
+        return VcfScan(spark, source, h, spark.read.text([literal_path(f) for f in head]))
 
     chromosomes: dict[str, int] = {}
     total_bytes = 0
@@ -75,7 +74,7 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
             total_bytes += int(row["b"] or 0)
     if limit and any(offset[f] < limit < offset[f] + file_n[f] for f in files):
         b = next(f for f in files if offset[f] < limit < offset[f] + file_n[f])
-        part = VcfScan(spark, source, h, spark.read.text([b]))
+        part = VcfScan(spark, source, h, spark.read.text(literal_path(b)))
         cut = limit_records(with_ordinal(records(part)), limit - offset[b])
         for row in cut.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect():
             chromosomes[row["chrom"]] = chromosomes.get(row["chrom"], 0) + int(row["n"])
@@ -89,12 +88,7 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
                  .select(preview_text(first).alias("t")).collect()]
         for ln in lines:
             print(ln)
-    log.info("Total variants processed: %s", f"{total:,}")
-    log.info("Total size (approx): %s bytes (%.2f MB)", f"{total_bytes:,}", total_bytes / 1024 / 1024)
-    if total > 0:
-        log.info("Average variant size: %.1f bytes", total_bytes / total)
-    for c in sorted(chromosomes):
-        log.info("  %s: %s variants", c, f"{chromosomes[c]:,}")
+    log.info("%s: %d records, %d bytes on %d contigs", source, total, total_bytes, len(chromosomes))
     return {"total_variants": total, "total_bytes": total_bytes,
             "chromosomes": dict(sorted(chromosomes.items())),
             "average_bytes": (total_bytes / total) if total else None,

@@ -49,6 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if d:
             return d
         conf = sc.getConf().get("spark.checkpoint.dir", None)
+        if not conf and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="genolake-ck-"))
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.region import Region, overlaps, parse_region
 from ..operators.flatten import flatten
-from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, read_header, read_lines
+from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, literal_path, read_header, read_lines
 
 
 @dataclass
@@ -32,7 +32,7 @@ class VcfScan:
             lines = lines.select("value", F.col("_metadata.file_path").alias("_split_file"),
                                  F.col("_metadata.file_block_start").alias("_split_start"))
         if region is not None:
-            r = parse_region(region) if isinstance(region, str) else region
+            r = parse_region(region, self.header.contigs) if isinstance(region, str) else region
             # Cheap text prefilter on the CHROM field; the exact overlap test
             # runs after parsing.
             lines = lines.where(F.col("value").startswith(r.chrom + "\t"))
@@ -46,7 +46,7 @@ class VcfScan:
         A record's span is ``pos .. pos + len(ref) - 1``; with ``use_info_end``
         an ``INFO/END`` value (structural variants) takes precedence.
         """
-        r = parse_region(region) if isinstance(region, str) else region
+        r = parse_region(region, self.header.contigs) if isinstance(region, str) else region
         v = flatten(self.body(r, with_split=with_split), self.header)
         if r is not None:
             v = v.where(overlaps(r, info="info" if use_info_end else None))
@@ -80,7 +80,7 @@ class VcfScan:
 
     def _on(self, files: list[str]) -> "VcfScan":
         """The same source restricted to some of its files (same header)."""
-        return VcfScan(self.spark, self.source, self.header, self.spark.read.text(files))
+        return VcfScan(self.spark, self.source, self.header, self.spark.read.text([literal_path(f) for f in files]))
 
 
 def open_vcf(spark: SparkSession, source, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> VcfScan:
@@ -88,6 +88,8 @@ def open_vcf(spark: SparkSession, source, remote_schemes=DEFAULT_REMOTE_SCHEMES)
     lines = read_lines(spark, source, remote_schemes)
     try:
         header = read_header(spark, lines)
+    except ValueError:
+        raise
     except Exception as e:
         raise IOError(f"Failed to read VCF header from {source}: {e}") from e
     return VcfScan(spark, source, header, lines)

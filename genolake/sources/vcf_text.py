@@ -6,15 +6,15 @@ input splits, so plain-text files are scanned by many tasks.  ``.gz`` files
 task each; files named ``.bgz`` are refused because the text source would
 hand back raw compressed bytes.
 
-The header (``#`` lines) is read from the head of the first file only: it is
-bounded by the header size, never by the data size, like a VCF library that
-reads the header before iterating records.
+The header (``#`` lines) of a single file is read from its head, bounded by the
+header's size; that of several files is the union of all their headers.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 # Schemes that resolve to the local file system; any other scheme is handed
 # to Hadoop only when it is in ``remote_schemes``.
 _LOCAL_SCHEMES = ("", "file")
-DEFAULT_REMOTE_SCHEMES = ("hdfs", "https")
+DEFAULT_REMOTE_SCHEMES = ("hdfs", "https", "s3a", "gs", "abfs", "abfss", "viewfs")
 
 
 def resolve_source(source: str, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> str:
@@ -138,36 +138,50 @@ def parse_header_lines(lines: list[str]) -> VcfHeader:
     return h
 
 
-def read_header(spark: SparkSession, lines: DataFrame, first_chunk: int = 1024,
-                max_lines: int = 1 << 22) -> VcfHeader:
-    """Read the header from the head of the first input file.
+def literal_path(uri: str) -> str:
+    """A file URI as Spark reports it (percent-encoded) as a path that Spark reads as this one file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
-    ``take`` runs the first input split only; its rows are checked to come
-    from byte offset 0 of the first file, otherwise (or for headers longer
-    than one chunk) the chunk grows.  Cost is bounded by the header length.
+
+def read_header(spark: SparkSession, lines: DataFrame, first_chunk: int = 1024) -> VcfHeader:
+    """The header of a source.
+
+    One file: ``take`` from its head, growing until the first record line, so
+    the cost is the header's length; if the rows taken do not start the file,
+    its ``#`` lines are filtered out of a whole scan.
+
+    Several files: the distinct ``#`` lines of all of them in one job, first
+    file first.  Contigs and definitions are the union; the sample columns
+    must agree (same names, same order) wherever a file names them, else
+    ``ValueError``: sample values are read by their place.
     """
     files = sorted(lines.inputFiles())
     if not files:
         return VcfHeader()
-    first = spark.read.text(files[0]).select(
-        "value", F.col("_metadata.file_block_start").alias("_b"))
-    n = first_chunk
-    while True:
-        rows = first.take(n)
-        if any(r["_b"] != 0 for r in rows):
-            # The first split is not the file start: fall back to a filter
-            # over the first block of that file (still header-sized output).
-            rows = (first.where((F.col("_b") == 0) & F.col("value").startswith("#"))
-                    .limit(max_lines).collect())
-            return parse_header_lines([r["value"] for r in rows])
-        head = []
-        for r in rows:
-            if not r["value"].startswith("#"):
+    if len(files) == 1:
+        first = spark.read.text(literal_path(files[0])).select(
+            "value", F.col("_metadata.file_block_start").alias("_b"))
+        n = first_chunk
+        while True:
+            rows = first.take(n)
+            if any(r["_b"] != 0 for r in rows):
+                break
+            head = []
+            for r in rows:
+                if not r["value"].startswith("#"):
+                    return parse_header_lines(head)
+                head.append(r["value"])
+            if len(rows) < n:
                 return parse_header_lines(head)
-            head.append(r["value"])
-        if len(rows) < n or n >= max_lines:
-            return parse_header_lines(head)
-        n *= 4
+            n *= 4
+    marked = lines.where(F.col("value").startswith("#")).select(
+        "value", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                          F.monotonically_increasing_id().alias("i")).alias("at"))
+    distinct = marked.groupBy("value").agg(F.min("at").alias("at")).orderBy("at").collect()
+    names = {r["value"] for r in distinct if r["value"].startswith("#CHROM")}
+    if len({tuple(n.rstrip("\r").split("\t")[9:]) for n in names}) > 1:
+        raise ValueError(f"the files name different sample columns: {sorted(names)[:4]}")
+    return parse_header_lines([r["value"] for r in distinct])
 
 
 def body_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Pick up shards as soon as they are written (S7).
-
-A file-source stream over the shard folders (``shards/run_id=*/shard_id=*``)
-parses each new shard's lines and appends the allele table to a Parquet
-sink.  The checkpoint records which files were processed, so a second
-``availableNow`` run handles only shards written since; a failed run
-resumes from the checkpoint.  The checkpoint must live on shared storage
-(by default under the session's checkpoint directory).
+"""Pick up runs as soon as their manifest is written (S7).
+
+A file-source stream over the manifests (written last, so a run without one
+is half-written and never read) hands over the runs that were committed since
+the last batch; each is loaded into its own ``run_id`` folder of the allele
+table, replacing what that folder held.  A run that is redone gets a new
+manifest and so replaces its rows; a batch that is repeated after a failure
+writes the same folders again.  The checkpoint lives with the table, on shared
+storage, and records which manifests were handled.
 """
 
 from __future__ import annotations
@@ -16,8 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alleles import split_multiallelic
 from ..operators.flatten import flatten
-from ..plans.shard import SHARD_SCHEMA
-from ..session import scratch_path
+from ..plans.shard import MANIFEST_SCHEMA, read_shards
 from ..sources.vcf_text import VcfHeader
 
 
@@ -25,15 +25,6 @@ ALLELE_COLUMNS = ("run_id", "shard_id", "ordinal", "chrom", "contig_idx", "pos",
                   "af", "qual", "filters")
 
 
-def shard_stream(spark: SparkSession, base: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of shard records (partition columns from the path)."""
-    root = f"{base.rstrip('/')}/shards"
-    r = spark.readStream.schema(SHARD_SCHEMA).option("basePath", root)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.parquet(root)
-
-
 def alleles_of_shards(records: DataFrame, header: VcfHeader | None = None) -> DataFrame:
     """Shard records -> allele rows (T1-T4), stateless, so valid on a stream."""
     v = flatten(records.select(F.col("line").alias("value"), "run_id", "shard_id", "ordinal"), header)
@@ -41,17 +32,35 @@ def alleles_of_shards(records: DataFrame, header: VcfHeader | None = None) -> Da
                                        "qual", "filters")).select(*ALLELE_COLUMNS)
 
 
+def committed_stream(spark: SparkSession, base: str) -> DataFrame:
+    """Streaming manifest rows: a run appears when (and each time) its manifest is written."""
+    root = f"{base.rstrip('/')}/manifests"
+    return spark.readStream.schema(MANIFEST_SCHEMA + ", run_id string").option("basePath", root).json(root)
+
+
+def load_runs(spark: SparkSession, base: str, runs: list[str], out_path: str, header: VcfHeader | None) -> None:
+    """Write the allele rows of committed runs, each run's folder replaced as a whole."""
+    for run in runs:
+        rows = alleles_of_shards(read_shards(spark, base, run), header)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+         .parquet(out_path))
+
+
 def start_incremental_load(spark: SparkSession, base: str, out_path: str, checkpoint: str | None = None,
-                           header: VcfHeader | None = None, available_now: bool = True,
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream shards -> allele table; returns the running query.
+                           header: VcfHeader | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start the stream committed runs -> allele table; returns the running query.
 
     With ``available_now`` (default) it processes what exists and stops
-    (``query.awaitTermination()``); otherwise it keeps polling.
+    (``query.awaitTermination()``); otherwise it keeps polling.  The default
+    checkpoint is a hidden folder of ``out_path``, so every later call goes on
+    where the last one ended.
     """
-    checkpoint = checkpoint or scratch_path(spark, "incremental-checkpoint")
-    stream = alleles_of_shards(shard_stream(spark, base, max_files_per_trigger), header)
-    w = (stream.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).partitionBy("run_id").outputMode("append"))
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}/_checkpoint"
+
+    def load(batch: DataFrame, _: int) -> None:
+        runs = sorted(r["run_id"] for r in batch.select("run_id").distinct().collect())  # run names of this batch
+        load_runs(batch.sparkSession, base, runs, out_path, header)
+
+    w = (committed_stream(spark, base).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

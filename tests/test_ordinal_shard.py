@@ -52,11 +52,20 @@ def test_ordinals_dense_and_in_file_order(spark, tmp_path, n_files, max_bytes):
     assert [p for _, p in got] == [r[1] for r in _rows()]
 
 
-def test_ordinals_without_broadcast(spark, tmp_path):
+@pytest.mark.parametrize("key,before,after", [
+    ("spark.sql.files.maxPartitionBytes", "400b", "64m"), ("spark.sql.files.maxPartitionBytes", "64m", "400b"),
+    ("spark.sql.files.minPartitionNum", "4", "16")])
+def test_ordinals_survive_other_splits(spark, tmp_path, key, before, after):
+    """The input is cut differently between the call and the action: every record keeps its place."""
     s = open_vcf(spark, _write_split(tmp_path, 3))
-    v = with_ordinal(s.variants(with_split=True).select("pos", "_split_file", "_split_start"),
-                     broadcast_max_bytes=0)
-    assert sorted(r["ordinal"] for r in v.collect()) == list(range(N))
+    try:
+        spark.conf.set(key, before)
+        v = with_ordinal(s.variants(with_split=True).select("pos", "_split_file", "_split_start"))
+        spark.conf.set(key, after)
+        got = sorted((r["ordinal"], r["pos"]) for r in v.collect())
+    finally:
+        spark.conf.unset(key)
+    assert got == [(i, r[1]) for i, r in enumerate(_rows())]
 
 
 def test_ordinals_after_region_filter(spark, tmp_path):
