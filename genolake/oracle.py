@@ -286,3 +286,122 @@ select count(*) as n_records, count(*) as missing_id, count(*) filter (where qua
        3 * count(*) as n_genotypes
 from v"""),
 }
+
+
+# The faulty fixture (sources/dirty.py): the same remainders, fixed values.
+DIRTY = BASE + f""",
+d as (
+  select *, pos % 50 = 0 as f_qual, pos % 97 = 1 as f_pos, pos % 41 = 2 as f_af, pos % 37 = 3 as f_rep,
+         pos % 29 = 4 as f_unk, pos % 31 = 5 as f_contig, pos % 200 = 6 as f_moved, pos % 53 = 7 as f_gq,
+         alt2 is not null and g1 = 1 as f_12, linenumber = 4 as f_hap
+  from v),
+dl as (
+  select *, case when f_contig then 'scaf' || cast(contig_idx as varchar) else chrom end as dchrom,
+         case when f_pos then null else pos end as dpos,
+         case when f_12 then '1/2' else {_gt('c1')} end as t1, {_gt('c2')} as t2,
+         case when f_hap then '1' else {_gt('c3', '|')} end as t3,
+         case when f_gq then 'q' else {_gq('c1')} end as q1, {_gq('c2')} as q2, {_gq('c3')} as q3
+  from d),
+dr as (
+  select *, dchrom || chr(9) || case when f_pos then 'x' else '' end || cast(pos as varchar) || chr(9) || '.' || chr(9) || ref
+      || chr(9) || alt_text || chr(9) || case when f_qual then 'high' else coalesce(cast(qual as varchar), '.') end
+      || chr(9) || filter || chr(9)
+      || 'AF=' || case when f_af then 'abc' when alt2 is not null then cast(af1 as varchar) || ',' || cast(af2 as varchar)
+                  else cast(af1 as varchar) end || ';DB'
+      || case when f_rep then ';AF=9' else '' end || case when f_unk then ';ZZ=1' else '' end || chr(9)
+      || case when linenumber = 5 then 'GQ:GT' else 'GT:GQ' end || chr(9)
+      || case when linenumber = 5 then q1 || ':' || t1 else t1 || ':' || q1 end || chr(9)
+      || case when linenumber = 2 then t2 when linenumber = 5 then q2 || ':' || t2 else t2 || ':' || q2 end || chr(9)
+      || case when linenumber = 5 then q3 || ':' || t3 else t3 || ':' || q3 end as dline
+  from dl),
+dx as (
+  select *, row_number() over (order by contig_idx, case when f_moved then 0 else pos end, dline) - 1 as dord from dr),
+dk as (
+  select *, case when f_contig then (1::bigint << 40) + min(dord) over (partition by dchrom) else contig_idx end as rnk
+  from dx)
+"""
+
+
+def _back() -> str:
+    return "coalesce(case when pchrom = dchrom then dpos < ppos else rnk < prnk end, false)"
+
+
+def _gt_text_class(t: str) -> str:
+    return (f"case when {t} like '%.%' then 'missing' when {t} in ('0/0', '0|0') then 'hom_ref' "
+            f"when {t} in ('1/1', '1|1', '1') then 'hom_alt' else 'het' end")
+
+
+_LAG = """(select *, lag(dchrom) over w as pchrom, lag(dpos) over w as ppos, lag(rnk) over w as prnk, lag(dord) over w as pord
+       from {} window w as (order by dord))"""
+
+SQL |= {
+    "typed_rejects_dirty": DIRTY + """
+select count(*) as n_records, count(*) filter (where f_qual or f_pos or f_af or f_rep) as records_with_bad_fields,
+       count(*) filter (where f_qual or qual is null) as missing_qual, count(*) filter (where f_qual) as bad_qual,
+       count(*) filter (where f_pos) as bad_pos, count(*) filter (where f_af) as bad_af,
+       count(*) filter (where f_rep) as repeated_info,
+       cast(sum((f_gq or c1 = 3)::int + (linenumber = 2 or c2 = 3)::int + (c3 = 3)::int) as bigint) as missing_gq,
+       count(*) filter (where f_gq) as bad_gq
+from d""",
+    "info_violations_dirty": DIRTY + """
+select 'ZZ' as key, 'unknown_key' as issue, count(*) as n_records from d where f_unk group by all having count(*) > 0
+union all
+select 'AF', 'wrong_number', count(*) from d where alt1 is null or (f_af and alt2 is not null) group by all having count(*) > 0
+union all
+select 'AF', 'wrong_type', count(*) from d where f_af group by all having count(*) > 0""",
+    "coordinate_sorted_dirty": DIRTY + f"""
+select dchrom as chrom, count(*) as n_records, min(dpos) as min_pos, max(dpos) as max_pos,
+       count(*) filter (where {_back()}) as n_unsorted
+from {_LAG.format('dk')} group by dchrom""",
+    "genotype_class_counts_dirty": DIRTY + f"""
+select sample, gt_class, count(*) as n_genotypes from (
+  select 'S1' as sample, {_gt_text_class('t1')} as gt_class from dl
+  union all select 'S2', {_gt_text_class('t2')} from dl union all select 'S3', {_gt_text_class('t3')} from dl)
+group by all""",
+    "shard_validation_dirty": DIRTY + f""",
+kept as (select * from dk where dord % 997 <> 5 union all select * from dk where dord % 701 = 3),
+p as {_LAG.format('kept')},
+s as (select *, dord // 5000 as sid, pord is not null and pord // 5000 = dord // 5000 as inside from p)
+select cast(sid as int) as shard_id, count(*) as n_records,
+       least(5000, (select count(*) from dk) - sid * 5000) as expected_records,
+       coalesce(not max(inside and dord - pord <> 1), true) and min(dord) = sid * 5000 as ordinals_dense,
+       count(*) filter (where inside and {_back()}) as n_unsorted,
+       coalesce(max(not inside and pord + 1 = dord and {_back()}), false) as starts_before_previous
+from s group by sid""",
+    "orphan_rows_dirty": _q("""
+, r as (select ordinal from o where ordinal % 997 <> 5 union all select ordinal from o where ordinal % 701 = 3),
+  al as (select ordinal from o where alt1 is not null and ordinal % 503 <> 2
+         union all select ordinal from o where alt2 is not null and ordinal % 503 <> 2)
+select 'records_without_alleles' as check, count(*) as n_rows from r where ordinal not in (select ordinal from al)
+union all
+select 'alleles_without_record', count(*) from al where ordinal not in (select ordinal from r)""".replace("\n, r as", ", r as", 1)),
+    "region_join_far": _q("""
+select * from (
+  select 0 as region_id, 'chr1' as chrom, count(*) as n_variants from v where chrom = 'chr1' and pos + length(ref) - 1 >= 1000
+  union all select 1, 'chr2', count(*) from v where chrom = 'chr2'
+  union all select 2, 'chr3', count(*) from v where chrom = 'chr3' and pos <= 10000000
+  union all select 3, 'chr4', 0)"""),
+    "table_range_read": _q("""
+select substr(chrom, 4) as chrom, count(*) as variants from a where pos between 500000 and 20000000 group by all"""),
+    "incremental_load": _q("""
+select case chrom when 'chr2' then 'run-b' else 'run-a' end as run_id, chrom, count(*) as n_alleles
+from a where chrom in ('chr2', 'chr4') group by all"""),
+    "coordinate_sort": _q("select ordinal, chrom, pos, ref from o"),
+    "summary_by_chrom": _q("""
+select chrom, count(*) as variants, (select count(*) from l) as total_variants,
+       (select cast(sum(strlen(line) + 1) as bigint) from l) as total_bytes
+from l group by chrom"""),
+    "load_genotypes": _q(f"""
+select chrom, pos, ref, sample, {_gt('code')} as gt, case when code = 3 then null else quantity end as gq
+from (select * from g where sample <> 'S3') where pos between 500000 and 20000000
+union all
+select chrom, pos, ref, sample, {_gt('code', '|')}, case when code = 3 then null else quantity end
+from (select * from g where sample = 'S3') where pos between 500000 and 20000000"""),
+    "columnar_per_shard": _q("""
+select cast(shard_id as int) as shard_id, count(*) as n_records, min(ordinal) as first_ordinal, 3 * count(*) as n_genotypes
+from shards group by shard_id"""),
+    "tsv_per_shard": _q(f"""
+select cast(shard_id as int) as shard_id, chrom, pos, ref,
+       {_gt('c1')} || ';' || {_gt('c2')} || ';' || {_gt('c3', '|')} as genotypes_gt
+from shards"""),
+}

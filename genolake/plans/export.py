@@ -18,11 +18,12 @@ def _flat(df: DataFrame, list_sep: str = ",") -> DataFrame:
             return F.when(c.isNull(), None).otherwise(F.array_join(c.cast("array<string>"), list_sep, "."))
         return c.cast("string")
 
+    def items(name, g):
+        return F.array_join(F.transform(F.col(name), lambda x: F.coalesce(text(x[g.name], g.dataType), F.lit("."))), ";")
+
     for f in df.schema.fields:
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
-            for g in f.dataType.elementType.fields:
-                cols.append(F.array_join(F.transform(F.col(f.name), lambda x, g=g: F.coalesce(
-                    text(x[g.name], g.dataType), F.lit("."))), ";").alias(f"{f.name}_{g.name}"))
+            cols += [items(f.name, g).alias(f"{f.name}_{g.name}") for g in f.dataType.elementType.fields]
         elif isinstance(f.dataType, T.ArrayType):
             cols.append(text(F.col(f.name), f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.StructType):
@@ -36,11 +37,12 @@ def _flat(df: DataFrame, list_sep: str = ",") -> DataFrame:
     return df.select(*cols)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
-    """Tab-separated text with a header line; returns the flattened frame written."""
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by=()) -> DataFrame:
+    """Tab-separated text with a header line, in a folder for each value of ``partition_by`` if given;
+    returns the flattened frame written."""
     flat = _flat(df)
-    flat.write.mode(mode).option("sep", "\t").option("header", True).option("nullValue", ".") \
-        .option("emptyValue", "").csv(path)
+    w = flat.write.mode(mode).option("sep", "\t").option("header", True).option("nullValue", ".").option("emptyValue", "")
+    (w.partitionBy(*partition_by) if partition_by else w).csv(path)
     return flat
 
 

@@ -27,6 +27,7 @@ from ..functions.region import overlaps, parse_region
 from ..operators.flatten import flatten
 from ..operators.ordinal import with_ordinal, with_shard_id
 from ..sources.scan import VcfScan, open_vcf
+from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES
 
 RUN_ID_FORMAT = "%Y-%m-%d_%H-%M-%S"
 # Columns of a shard file; ``shard_id`` (and ``run_id`` when reading a base)
@@ -84,7 +85,7 @@ def manifest_of(records: DataFrame, shards_path: str | None = None) -> DataFrame
 
 def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000, region=None,
           run_id: str | None = None, compact: bool = False, scan: VcfScan | None = None,
-          redo: bool = False) -> DataFrame:
+          redo: bool = False, use_info_end: bool = False, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> DataFrame:
     """Run the shard job; returns the manifest DataFrame (read back from disk).
 
     Each run writes only its own ``run_id=<id>`` folders with
@@ -94,14 +95,14 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
     other runs are untouched.
     """
     run_id = checked_run_id(run_id or new_run_id())
-    scan = scan or open_vcf(spark, source)
+    scan = scan or open_vcf(spark, source, remote_schemes)
     base = base.rstrip("/")
     shards_path = f"{base}/shards/run_id={run_id}"
     mode = "overwrite" if redo else "errorifexists"
     if redo:  # uncommit first: replace the manifest by an empty one
         spark.createDataFrame([], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite") \
             .json(f"{base}/manifests/run_id={run_id}")
-    recs = shard_records(scan, records_per_shard, region)
+    recs = shard_records(scan, records_per_shard, region, use_info_end)
     out = recs.select("shard_id", "ordinal", F.col("value").alias("line"), "raw_len",
                       "chrom", "contig_idx", "pos", "ref")
     if compact:

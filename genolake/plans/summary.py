@@ -1,95 +1,49 @@
 """The summary job (A1-A4, A9, A10, L1, L2, P6): counts, bytes, preview.
 
 Result has the reference's keys ``total_variants``, ``total_bytes``,
-``chromosomes`` (count per chromosome).  One aggregate pass over the whole
-source; only the leading files are read again for the preview and a limit.
+``chromosomes`` (count per chromosome).  Without a limit: one aggregate pass
+over the source, and the head of it for the preview.  With a limit only the
+head is read and counted (``VcfScan.head``).
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.region import overlaps, parse_region
 from ..operators.aggregate import preview_text
-from ..operators.flatten import flatten
-from ..operators.ordinal import limit_records, with_ordinal
-from ..sources.scan import VcfScan, open_vcf
-from ..sources.vcf_text import literal_path
+from ..sources.scan import open_vcf
+from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES
 
 log = logging.getLogger(__name__)
 
 
-def summarize(spark: SparkSession, source, region=None, limit: int | None = None,
-              preview: int = 10) -> dict:
-    """Counts, bytes and preview of a VCF source (optionally a region and a
-    limit in file order; 0 or None = no limit).
-
-    Plan: one pass grouped by (input file, chromosome) gives the totals, the
-    per-chromosome counts and each file's record count (one small row per
-    file and contig).  Files in path order are the VCF's order, so the
-    preview and the records cut by a limit lie in a prefix of the file
-    list: only those files are scanned again, with file-order ordinals.
-    """
-    scan = open_vcf(spark, source)
+def summarize(spark: SparkSession, source, region=None, limit: int | None = None, preview: int = 10,
+              use_info_end: bool = False, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> dict:
+    """Counts, bytes and preview of a VCF source, optionally of a region and of
+    the first ``limit`` records in file order (0 or None = no limit).  One row
+    per contig comes to the driver."""
+    scan = open_vcf(spark, source, remote_schemes)
     h = scan.header
     log.info("%s: version %s, %d samples, %d contigs", source, h.version, len(h.samples), len(h.contigs))
-    r = parse_region(region, h.contigs) if isinstance(region, str) else region
-
-    def records(s: VcfScan) -> DataFrame:
-        v = flatten(s.body(r, with_split=True), h)
-        if r is not None:
-            v = v.where(overlaps(r))
-        return v.select("value", "raw_len", "chrom", "pos", "ref", "alts", "qual", "_split_file", "_split_start")
-
+    shown = min(preview, limit) if limit else preview  # the preview never passes the limit
     try:
-        per = (records(scan).groupBy("_split_file", "chrom")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect())
+        v = scan.head(limit, region, use_info_end) if limit else scan.variants(region, use_info_end=use_info_end)
+        per = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect()
+        lines = []
+        if shown > 0 and per:
+            first = (v if limit else scan.head(shown, region, use_info_end)).where(F.col("ordinal") < shown)
+            lines = [r["t"] for r in first.orderBy("ordinal").select(preview_text(first).alias("t")).collect()]
+    except (FileNotFoundError, ValueError):
+        raise
     except Exception as e:  # S5: a read failure names the source
-        if isinstance(e, (FileNotFoundError, ValueError)):
-            raise
         raise IOError(f"Failed to stream VCF {source}: {e}") from e
-    files = sorted({row["_split_file"] for row in per})
-    file_n = {f: 0 for f in files}
-    for row in per:
-        file_n[row["_split_file"]] += int(row["n"])
-    offset, off = {}, 0
-    for f in files:
-        offset[f] = off
-        off += file_n[f]
-
-    def prefix_scan(k: int) -> VcfScan:
-        """The files holding the first ``k`` records (a prefix of the list)."""
-        head = [f for f in files if offset[f] < k and file_n[f] > 0]
-        return VcfScan(spark, source, h, spark.read.text([literal_path(f) for f in head]))
-
-    chromosomes: dict[str, int] = {}
-    total_bytes = 0
-    for row in per:
-        f = row["_split_file"]
-        if not limit or offset[f] + file_n[f] <= limit:
-            chromosomes[row["chrom"]] = chromosomes.get(row["chrom"], 0) + int(row["n"])
-            total_bytes += int(row["b"] or 0)
-    if limit and any(offset[f] < limit < offset[f] + file_n[f] for f in files):
-        b = next(f for f in files if offset[f] < limit < offset[f] + file_n[f])
-        part = VcfScan(spark, source, h, spark.read.text(literal_path(b)))
-        cut = limit_records(with_ordinal(records(part)), limit - offset[b])
-        for row in cut.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect():
-            chromosomes[row["chrom"]] = chromosomes.get(row["chrom"], 0) + int(row["n"])
-            total_bytes += int(row["b"] or 0)
-    total = sum(chromosomes.values())
-    lines = []
-    shown = min(preview, limit) if limit else preview  # the preview never passes the limit
-    if shown > 0 and total:
-        first = with_ordinal(records(prefix_scan(shown)))
-        lines = [row["t"] for row in first.where(F.col("ordinal") < shown).orderBy("ordinal")
-                 .select(preview_text(first).alias("t")).collect()]
-        for ln in lines:
-            print(ln)
+    for ln in lines:
+        print(ln)
+    chromosomes = {r["chrom"]: int(r["n"]) for r in sorted(per, key=lambda r: r["chrom"] or "")}
+    total, total_bytes = sum(chromosomes.values()), sum(int(r["b"] or 0) for r in per)
     log.info("%s: %d records, %d bytes on %d contigs", source, total, total_bytes, len(chromosomes))
-    return {"total_variants": total, "total_bytes": total_bytes,
-            "chromosomes": dict(sorted(chromosomes.items())),
-            "average_bytes": (total_bytes / total) if total else None,
-            "preview": lines}
+    return {"total_variants": total, "total_bytes": total_bytes, "chromosomes": chromosomes,
+            "average_bytes": (total_bytes / total) if total else None, "preview": lines}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import aggregate as A
@@ -23,7 +23,10 @@ from .operators.ordinal import with_ordinal
 from .plans import export as E
 from .plans import shard as S
 from .plans import table as TB
+from .plans.summary import summarize
 from .session import scratch_path, session_key
+from .streaming.incremental import start_incremental_load
+from .sources.dirty import materialize_dirty_vcf
 from .sources.fixture import materialize_fixture_vcf
 from .sources.scan import VcfScan, open_vcf
 
@@ -31,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Fixed parameters of the registered queries.
 RANGE = (10_000_000, 20_000_000)
+WIDE_RANGE = (500_000, 20_000_000)
 REGION = "chr3:10000000-20000000"
 REGION_SET = ["chr1:10000000-20000000", "chr1:15000000-25000000", "chr2:1-5000000"]
 EMPTY_REGION = "chrUn"
@@ -426,3 +430,165 @@ def completeness(spark, sf_dir):
     return Q.completeness(fixture_scan(spark, sf_dir).variants())
 
 
+
+
+# --- the faulty fixture: every check finds something --------------------------------
+
+def dirty_scan(spark: SparkSession, sf_dir: str) -> VcfScan:
+    path = materialize_dirty_vcf(spark, sf_dir)
+    key = (session_key(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = open_vcf(spark, path)
+    return _SCANS[key]
+
+
+@query
+def typed_rejects_dirty(spark, sf_dir):
+    v = dirty_scan(spark, sf_dir).variants()
+    g = F.col("genotypes")
+    return v.agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(F.size("_bad") > 0).alias("records_with_bad_fields"),
+        F.count_if(F.col("qual").isNull()).alias("missing_qual"),
+        F.count_if(F.array_contains("_bad", "qual")).alias("bad_qual"),
+        F.count_if(F.array_contains("_bad", "pos")).alias("bad_pos"),
+        F.count_if(F.array_contains("_bad", "AF")).alias("bad_af"),
+        F.count_if(F.array_contains("_bad", "INFO")).alias("repeated_info"),
+        F.sum(F.size(F.filter(g, lambda x: x["gq"].isNull()))).cast("long").alias("missing_gq"),
+        F.sum(F.size(F.filter(g, lambda x: x["bad"]))).cast("long").alias("bad_gq"))
+
+
+@query
+def info_violations_dirty(spark, sf_dir):
+    scan = dirty_scan(spark, sf_dir)
+    return Q.info_violations(scan.variants(), scan.header)
+
+
+@query
+def coordinate_sorted_dirty(spark, sf_dir):
+    return Q.coordinate_order_report(_ordered(dirty_scan(spark, sf_dir)))
+
+
+@query
+def genotype_class_counts_dirty(spark, sf_dir):
+    scan = dirty_scan(spark, sf_dir)
+    return AL.genotype_class_counts(scan.variants(), scan.header.samples).select("sample", "gt_class", "n_genotypes")
+
+
+LOST, DOUBLED = (997, 5), (701, 3)  # ordinals by remainder
+
+
+def _damaged(records: DataFrame) -> DataFrame:
+    o = F.col("ordinal")
+    return records.where(o % LOST[0] != LOST[1]).unionByName(records.where(o % DOUBLED[0] == DOUBLED[1]))
+
+
+@query
+def shard_validation_dirty(spark, sf_dir):
+    recs = S.shard_records(dirty_scan(spark, sf_dir), RECORDS_PER_SHARD)
+    total = recs.agg(F.max("ordinal")).first()[0] + 1
+    return Q.shard_validation(_damaged(recs), RECORDS_PER_SHARD, total)
+
+
+@query
+def orphan_rows_dirty(spark, sf_dir):
+    v = _ordered(fixture_scan(spark, sf_dir)).select("ordinal", "alts", "af")
+    a = AL.split_multiallelic(v, keep=("ordinal",))
+    return Q.orphan_rows(_damaged(v.select("ordinal")), a.where(F.col("ordinal") % 503 != 2))
+
+
+# --- more of the same operators ------------------------------------------------------
+
+FAR = 3_000_000_000
+
+
+@query
+def region_join_far(spark, sf_dir):
+    """Positions past 2^31 and open-ended regions, by the binned join."""
+    v = fixture_scan(spark, sf_dir).variants().select("chrom", (F.col("pos") + FAR).alias("pos"), "ref")
+    regions = R.regions_frame(spark, [f"chr1:{FAR + 1000}-", "chr2", f"chr3:{FAR}-{FAR + 10_000_000}", "chr4:1-1000"])
+    return R.region_counts(v, regions, small_max=0, bin_width=1_000_000).select("region_id", "chrom", "n_variants")
+
+
+@query
+def table_range_read(spark, sf_dir):
+    path = scratch_path(spark, "range-table")
+    a = _alleles(spark, sf_dir).select(F.substring("chrom", 4, 2).alias("chrom"), "pos", "ref", "alt")
+    TB.load_table(a, path, width=3_000_000)
+    return TB.read_range(spark, path, *WIDE_RANGE).groupBy("chrom").agg(F.count(F.lit(1)).alias("variants"))
+
+
+@query
+def incremental_load(spark, sf_dir):
+    """Two runs and a redo, loaded by three calls with default settings; a run without manifest stays out."""
+    base, out = scratch_path(spark, "incremental-runs"), scratch_path(spark, "incremental-alleles")
+    scan = fixture_scan(spark, sf_dir)
+    S.shard(spark, None, base, 9000, "chr1", run_id="run-a", scan=scan)
+    start_incremental_load(spark, base, out, header=scan.header).awaitTermination()
+    S.shard(spark, None, base, 9000, "chr2", run_id="run-b", scan=scan)
+    (S.shard_records(scan, 9000, "chr3").select("shard_id", "ordinal", F.col("value").alias("line"), "raw_len", "chrom",
+                                               "contig_idx", "pos", "ref")
+     .write.partitionBy("shard_id").parquet(f"{base}/shards/run_id=run-c"))
+    start_incremental_load(spark, base, out, header=scan.header).awaitTermination()
+    S.shard(spark, None, base, 9000, "chr4", run_id="run-a", scan=scan, redo=True)
+    start_incremental_load(spark, base, out, header=scan.header).awaitTermination()
+    return spark.read.parquet(out).groupBy("run_id", "chrom").agg(F.count(F.lit(1)).alias("n_alleles"))
+
+
+@query
+def coordinate_sort(spark, sf_dir):
+    """Records in hash order sorted again: numbered by the order of the sorted partitions."""
+    v = fixture_scan(spark, sf_dir).variants().select("chrom", "contig_idx", "pos", "ref", "value")
+    out = R.sort_coordinates(v.repartition(16, "ref", "pos"), partitions=16, tie=("value",))
+    path = scratch_path(spark, "coordinate-sorted")
+    out.withColumn("_split_file", F.format_string("%05d", F.spark_partition_id())).withColumn("_split_start", F.lit(0)) \
+        .write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_k", F.col("_split_file").cast("int"))
+    w = Window.partitionBy("_k").orderBy("contig_idx", "pos", "value")
+    sizes = {r["_k"]: r["n"] for r in placed.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).collect()}  # 16 rows
+    base = F.lit(0)
+    for k in sorted(sizes):
+        base = base + F.when(F.col("_k") > k, F.lit(sizes[k])).otherwise(0)
+    return placed.select((base + F.row_number().over(w) - 1).cast("long").alias("ordinal"), "chrom", "pos", "ref")
+
+
+@query
+def summary_by_chrom(spark, sf_dir):
+    """The summary job's ``chromosomes`` map, as rows, with its totals."""
+    out = summarize(spark, materialize_fixture_vcf(spark, sf_dir), preview=0)
+    rows = [(c, n, out["total_variants"], out["total_bytes"]) for c, n in out["chromosomes"].items()]
+    return spark.createDataFrame(rows, "chrom string, variants long, total_variants long, total_bytes long")
+
+
+@query
+def load_genotypes(spark, sf_dir):
+    """The genotype table: partitioned like the allele table, read back by range."""
+    scan = fixture_scan(spark, sf_dir)
+    path = scratch_path(spark, "genotype-table")
+    g = AL.genotypes_long(scan.variants(), scan.header.samples).select("chrom", "pos", "ref", "sample", "gt", "gq")
+    TB.load_table(g, path, width=TABLE_BUCKET)
+    return TB.read_range(spark, path, *WIDE_RANGE).select("chrom", "pos", "ref", "sample", "gt", "gq")
+
+
+@query
+def columnar_per_shard(spark, sf_dir):
+    """A run's shards as columnar files, genotypes included, a folder for each shard."""
+    base = _run(spark, sf_dir)
+    v = flatten(S.read_shards(spark, base, "run-a").select(F.col("line").alias("value"), "shard_id", "ordinal"), None)
+    path = f"{base}/columnar/run_id=run-a"
+    E.write_columnar(v.select("shard_id", "ordinal", "chrom", "pos", "ref", "alts", "qual", "genotypes"), path)
+    return spark.read.parquet(path).groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("ordinal").alias("first_ordinal"),
+        F.sum(F.size("genotypes")).cast("long").alias("n_genotypes"))
+
+
+@query
+def tsv_per_shard(spark, sf_dir):
+    """A run's shards as text tables with their genotype columns, read back."""
+    base = _run(spark, sf_dir)
+    v = flatten(S.read_shards(spark, base, "run-a").select(F.col("line").alias("value"), "shard_id", "ordinal"), None)
+    path = f"{base}/tsv/run_id=run-a"
+    flat = E.write_tsv(v.select("shard_id", "chrom", "pos", "ref", "af", "genotypes"), path, partition_by=("shard_id",))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema.fields if f.name != "shard_id")
+    t = E.read_tsv(spark, path, schema + ", shard_id int")
+    return t.select("shard_id", "chrom", "pos", "ref", "genotypes_gt")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.region import Region, overlaps, parse_region
 from ..operators.flatten import flatten
+from ..session import scratch_path
 from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, literal_path, read_header, read_lines
 
 
@@ -53,30 +54,41 @@ class VcfScan:
         return v
 
 
-    def head(self, n: int, region: Region | str | None = None) -> DataFrame:
-        """The first ``n`` records in file order (``ordinal < n``), reading
-        only a prefix of the input files.
+    def head(self, n: int | None, region: Region | str | None = None, use_info_end: bool = False) -> DataFrame:
+        """The first ``n`` records in file order (``ordinal < n``); 0 or None: all of them.
 
-        Files in path order are the VCF's order, so the first ``n`` records
-        lie in the shortest prefix of the sorted file list holding ``n``
-        records.  The prefix grows in doubling batches (one count job per
-        batch, so at most log2(files) jobs); ordinals are then assigned over
-        the prefix alone.  This is the early stop on a limit: a 100 TB
-        source split into many files reads only its first file(s).
+        Files in path order are the VCF's order, so the records lie in the
+        shortest prefix of the sorted file list that holds ``n`` of them.  The
+        prefix grows in doubling batches (records counted by input split);
+        then only the splits that hold the first ``n`` are numbered.  If the
+        input was cut differently meanwhile, the counts disagree and the call
+        fails rather than answer wrongly.
         """
-        from ..operators.ordinal import limit_records, with_ordinal
+        from ..operators.ordinal import SPLIT_COLS, limit_records, prefix_sum, with_ordinal
+
+        def records(files: list[str]) -> DataFrame:
+            return self._on(files).variants(region, with_split=True, use_info_end=use_info_end)
 
         files = sorted(self.lines.inputFiles())
-        if n <= 0 or not files:
-            return self.variants(region, with_split=True).limit(0).withColumn(
-                "ordinal", F.lit(0).cast("long")).drop("_split_file", "_split_start")
-        chosen, seen, step = [], 0, 1
+        if not n or not files:
+            return with_ordinal(self.variants(region, with_split=True, use_info_end=use_info_end))
+        chosen, seen, step, counts = [], 0, 1, None
         while len(chosen) < len(files) and seen < n:
             batch = files[len(chosen):len(chosen) + step]
-            seen += self._on(batch).variants(region).count()
+            per = records(batch).groupBy(*SPLIT_COLS).agg(F.count(F.lit(1)).alias("_n"))
+            path = scratch_path(self.spark, "split-counts")
+            per.write.parquet(path)
+            per = self.spark.read.schema(per.schema).parquet(path)
+            seen += per.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+            counts = per if counts is None else counts.unionByName(per)
             chosen += batch
             step *= 2
-        return limit_records(with_ordinal(self._on(chosen).variants(region, with_split=True)), n)
+        needed = prefix_sum(counts, list(SPLIT_COLS), "_n", "_off").where(F.col("_off") < n)
+        out = with_ordinal(records(chosen).join(needed.select(*SPLIT_COLS), list(SPLIT_COLS), "left_semi"))
+        want, got = needed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0], out.count()
+        if want != got:
+            raise RuntimeError(f"the input was cut differently while it was read: {want} records, then {got}")
+        return limit_records(out, n)
 
     def _on(self, files: list[str]) -> "VcfScan":
         """The same source restricted to some of its files (same header)."""
