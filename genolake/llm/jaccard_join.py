@@ -4,22 +4,25 @@ A document is its set of 5-word shingles (64-bit hashes).  Two documents link
 when ``100 * |A and B| >= 75 * |A or B|``.
 
 1. Texts with equal sets share a fingerprint; the join works on distinct sets.
-2. Blocking (lossless).  Linked sets overlap in at least 75 % of each, so
-   under any fixed order of the shingles their first ``n - ceil(0.75 n) + 1``
-   share one.  The order puts frequent shingles last: a fixed-size count
-   sketch over all documents ranks them in levels, hash order inside a level.
-   Sets sharing a prefix shingle fall in one cluster (connected components).
-   Very frequent shingles are salted.
-3. Count-vector R-tree.  Inside a cluster, the shingles of a set are hashed
-   into ``GROUPS`` groups and counted: a point.  The overlap of two sets is at
-   most the sum of their coordinate minima; for a tree node, with the
-   coordinate maxima of its points.  The tree prunes with that bound and with
-   the size ranges; surviving pairs are verified on the shingles themselves.
-   Pairs already connected are not verified again, so a cluster of n copies
-   costs about n verifications.
-4. Clusters beyond ``MAX_CLUSTER`` sets or ``MAX_SHINGLES`` shingles are cut
+2. Count vectors.  The shingles of a set are hashed into ``GROUPS`` groups and
+   counted: a point.  The overlap of two sets is at most the sum of their
+   coordinate minima; against an R-tree node, with the coordinate maxima of
+   its points.  With the size ranges this bounds which sets can link.
+3. Buckets (lossless).  Linked sets overlap in at least 75 % of each, so under
+   any fixed order of the shingles their first ``n - ceil(0.75 n) + 1`` share
+   one.  The order puts frequent shingles last: a fixed-size count sketch over
+   all documents ranks them in levels, hash order inside a level.  The points
+   of a bucket (a prefix shingle) are indexed in an R-tree and joined with it.
+   Frequent shingles are salted into ``SALTS`` trees, whose components are
+   then joined as nodes, by their coordinate maxima.
+4. Pairs that can link connect sets to clusters (connected components; a
+   bucket sends a spanning forest of its pairs, never all of them).
+5. Inside a cluster the R-tree proposes pairs, nearest first, which are
+   verified on the shingles themselves; pairs already connected are not
+   verified again, so a cluster of n copies costs about n verifications.
+   Clusters beyond ``MAX_CLUSTER`` sets or ``MAX_SHINGLES`` shingles are cut
    into blocks by fingerprint; every pair of blocks is a task of its own.
-5. Components over verified links give every document the least ``doc_id`` of
+6. Components over verified links give every document the least ``doc_id`` of
    its group.
 
 Defined cases: a text of fewer than 5 words is one shingle; one without words
@@ -47,8 +50,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 GROUPS = 64
 LEAF = 16
 SALTS = 64
-MAX_CLUSTER = 2000
-MAX_SHINGLES = 3_000_000
+MAX_CLUSTER = 8000
+MAX_SHINGLES = 4_000_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -170,20 +173,22 @@ def shingle_levels(docs: DataFrame) -> np.ndarray:
 def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """Two kinds of rows: a document's ``(doc_id, n, set_id)`` and the prefix shingles of its set.
 
-    A task sends the prefix of equal sets once.
+    A task sends the prefix and the point of equal sets once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = shared.value, set()
         for b in batches:
-            n_rows, tokens, owners, salts, ids = [], [], [], [], []
+            n_rows, tokens, owners, salts, ids, points = [], [], [], [], [], []
             for t in b.column(1):
                 s = shingles(t.as_py())
                 fp = fingerprint(s)
                 n_rows.append(len(s))
                 ids.append(fp)
-                if len(s) and fp not in seen:
+                new = len(s) > 0 and fp not in seen
+                points.append(count_vector(s).tobytes() if new else None)
+                if new:
                     seen.add(fp)
                     lv = level[slot(s)]
                     take = prefix_size(len(s))
@@ -194,51 +199,165 @@ def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
             k = b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n_rows, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=["doc_id", "n", "set_id", "token", "salt"])
+                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array(points, pa.binary())], names=names)
             if tokens:
                 token, owner = np.concatenate(tokens), np.concatenate(owners)
                 k = len(token)
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(owner), pa.array(token),
-                     pa.array(np.concatenate(salts))], names=["doc_id", "n", "set_id", "token", "salt"])
+                     pa.array(np.concatenate(salts)), pa.nulls(k, pa.binary())], names=names)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n long, set_id long, token long, salt int")
+    names = ["doc_id", "n", "set_id", "token", "salt", "point"]
+    return id_text(docs).mapInArrow(run, "doc_id long, n long, set_id long, token long, salt int, point binary")
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (token, salt, set): edges to the first set of each run, and firsts of salted runs."""
-    last = None  # (token, salt, first set, previous set)
+def _whole_runs(batches: Iterator[pa.RecordBatch], keys: int = 2) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by their first ``keys``, regrouped so that no run of these is cut."""
+    held: list[np.ndarray] | None = None
     for b in batches:
         if not b.num_rows:
             continue
-        token, salt, sid = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        new = np.empty(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])
-        new[0] = last is None or last[0] != token[0] or last[1] != salt[0]
-        run = np.cumsum(new) - 1
-        firsts = sid[new] if new[0] else np.concatenate([[last[2]], sid[new]])
-        first = firsts[run if new[0] else run + 1]
-        edge = sid != first
-        tie = new & (salt >= 0)
-        a = np.concatenate([sid[edge], sid[tie]])
-        z = np.concatenate([first[edge], np.zeros(int(tie.sum()), np.int64)])
-        t = np.concatenate([np.zeros(int(edge.sum()), np.int64), token[tie]])
-        kind = np.concatenate([np.zeros(int(edge.sum()), bool), np.ones(int(tie.sum()), bool)])
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z), pa.array(t), pa.array(kind)],
-                                         names=["a", "b", "token", "tie"])
-        last = (token[-1], salt[-1], first[-1])
+        cols = [np.array(c.to_pylist(), object) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False)
+                for c in b.columns]
+        if held is not None:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+        other = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in cols[:keys]]))
+        cut = other[-1] + 1 if len(other) else 0
+        if cut:
+            yield [c[:cut] for c in cols]
+        held = [c[cut:] for c in cols]
+    if held is not None:
+        yield held
+
+
+def _new_run(*cols: np.ndarray) -> np.ndarray:
+    out = np.ones(len(cols[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+    return out
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (token, salt, set): distinct members of runs of two sets or more, and of salted runs."""
+    for cols in _whole_runs(batches):
+        first = _new_run(*cols)
+        token, salt, sid = (c[first] for c in cols)
+        run = np.cumsum(_new_run(token, salt)) - 1
+        keep = (np.bincount(run)[run] > 1) | (salt >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token, salt, sid)],
+                                         names=["token", "salt", "set_id"])
+
+
+class NodeTree(CountTree):
+    """A tree of nodes: points are coordinate maxima, sizes are ranges."""
+
+    def __init__(self, points: np.ndarray, least: np.ndarray, most: np.ndarray):
+        self.leasts, self.mosts = least, most
+        super().__init__(points, least)
+
+    def _load(self, idx: np.ndarray) -> int:
+        me = super()._load(idx)
+        self.most[me] = self.mosts[idx].max()
+        return me
+
+    @staticmethod
+    def _ranges(overlap, a, b, least, most):
+        n, d = NUMERATOR, DENOMINATOR
+        return (d * most >= n * a) & (n * least <= d * b) & ((d + n) * overlap >= n * (a + least))
+
+    def near_node(self, i: int) -> np.ndarray:
+        out, todo = [], [0]
+        point, a, b = self.points[i], self.leasts[i], self.mosts[i]
+        while todo:
+            k = todo.pop()
+            if self._ranges(int(np.minimum(point, self.high[k]).sum()), a, b, self.least[k], self.most[k]):
+                if self.kids[k]:
+                    todo += self.kids[k]
+                else:
+                    out.append(self.members[k])
+        idx = np.concatenate(out) if out else np.empty(0, np.int64)
+        bound = np.minimum(self.points[idx], point).sum(1)
+        return idx[self._ranges(bound, a, b, self.leasts[idx], self.mosts[idx])]
+
+
+def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Spanning forest of the pairs that the bound allows, and each point's component."""
+    tree, root, out = NodeTree(points, least, most), np.arange(len(points)), []
+    for i in range(1, len(points)):
+        near = tree.near_node(i)
+        near = near[near < i]
+        for r, j in zip(*np.unique(root[near], return_index=True)):
+            out.append((i, int(near[j])))
+            root[root == r] = i
+    return out, root
+
+
+_EDGE_SCHEMA = "a long, b long, token long, point binary, least long, most long"
+
+
+def _edge_batch(a, b, token=(), rep=(), point=(), least=(), most=()) -> pa.RecordBatch:
+    """Edges, then node rows (``a`` a member of the node, ``b`` null)."""
+    k, m = len(a), len(token)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*a, *rep], pa.int64()), pa.array([*b, *[None] * m], pa.int64()),
+         pa.array([*[None] * k, *token], pa.int64()), pa.array([*[None] * k, *point], pa.binary()),
+         pa.array([*[None] * k, *least], pa.int64()), pa.array([*[None] * k, *most], pa.int64())],
+        names=["a", "b", "token", "point", "least", "most"])
+
+
+def _points(packed) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.int32).reshape(-1, GROUPS)
+
+
+def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (token, salt, set, n, point) in whole buckets to edges; salted buckets also send their components."""
+    for token, salt, sid, n, packed in _whole_runs(batches):
+        points = _points(packed)
+        starts = np.flatnonzero(_new_run(token, salt))
+        ends = np.append(starts[1:], len(token))
+        pair = (ends - starts == 2) & (salt[starts] < 0)
+        i = starts[pair]
+        ok = CountTree._possible(np.minimum(points[i], points[i + 1]).sum(1), n[i], n[i + 1], n[i + 1])
+        a, b = sid[i[ok]].tolist(), sid[i[ok] + 1].tolist()
+        nodes = [[], [], [], [], []]
+        for lo, hi in zip(starts[~pair].tolist(), ends[~pair].tolist()):
+            forest, root = possible_forest(points[lo:hi], n[lo:hi], n[lo:hi])
+            a += [int(sid[lo + x]) for x, _ in forest]
+            b += [int(sid[lo + y]) for _, y in forest]
+            if salt[lo] >= 0:
+                for r in np.unique(root):
+                    m = lo + np.flatnonzero(root == r)
+                    for c, v in zip(nodes, (int(token[lo]), int(sid[m[0]]), points[m].max(0).tobytes(),
+                                            int(n[m].min()), int(n[m].max()))):
+                        c.append(v)
+        yield _edge_batch(a, b, *nodes)
+
+
+def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (token, set, point, least, most), all salts of a token together, to edges between nodes."""
+    for token, rep, packed, least, most in _whole_runs(batches, 1):
+        points, out = _points(packed), []
+        starts = np.flatnonzero(_new_run(token))
+        for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(token)).tolist()):
+            if hi - lo > 1:
+                forest, _ = possible_forest(points[lo:hi], least[lo:hi], most[lo:hi])
+                out += [(int(rep[lo + x]), int(rep[lo + y])) for x, y in forest]
+        yield _edge_batch([x for x, _ in out], [y for _, y in out])
 
 
 def candidate_edges(prefixes: DataFrame) -> DataFrame:
-    """Edges ``(a, b)`` that connect all sets sharing a prefix shingle (stars, not pairs)."""
-    rows = (prefixes.select("token", "salt", "set_id").repartition("token", "salt")
-            .sortWithinPartitions("token", "salt", "set_id")
-            .mapInArrow(_stars, "a long, b long, token long, tie boolean"))
-    rows = stored(rows.dropDuplicates(), "stars")
-    ties = rows.where("tie").select("token", "a")
-    hub = ties.groupBy("token").agg(F.min("a").alias("b"))
-    return rows.where("NOT tie").select("a", "b").unionByName(
-        ties.join(hub, "token").where("a <> b").select("a", "b")).distinct()
+    """Edges ``(a, b)`` that connect all sets which share a prefix shingle and can link by their count vectors."""
+    members = (prefixes.where("token IS NOT NULL").select("token", "salt", "set_id").repartition("token", "salt")
+               .sortWithinPartitions("token", "salt", "set_id")
+               .mapInArrow(_shared, "token long, salt int, set_id long"))
+    members = stored(members, "buckets")
+    points = prefixes.where("point IS NOT NULL").groupBy("set_id").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    rows = members.join(points, "set_id").select("token", "salt", "set_id", "n", "point")
+    found = stored(rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "set_id")
+                   .mapInArrow(_bucket_edges, _EDGE_SCHEMA), "bucket-edges")
+    nodes = found.where("token IS NOT NULL").select("token", "a", "point", "least", "most")
+    across = (nodes.repartition("token").sortWithinPartitions("token", "a")
+              .mapInArrow(_node_edges, _EDGE_SCHEMA))
+    return found.where("b IS NOT NULL").select("a", "b").unionByName(across.select("a", "b")).distinct()
 
 
 def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -279,7 +398,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stored(prefix_rows(docs, levels), "prefixes")
     mine = rows.where("token IS NULL").select("doc_id", "n", "set_id")
     sets = mine.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    clusters = connected_components(candidate_edges(rows.where("token IS NOT NULL")))
+    clusters = connected_components(candidate_edges(rows))
     members = sets.join(clusters.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id")
     roots = connected_components(stored(verified_links(docs, stored(members, "members")), "links"))
     roots = roots.select(F.col("node").alias("set_id"), "root")
