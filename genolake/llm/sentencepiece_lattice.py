@@ -8,19 +8,22 @@ probabilities already; a merge model's are negative ranks, from which Zipf's
 law gives ``-log(2 + rank)``.  (For a merge model the library merges pairs
 greedily and may choose other pieces of the same text.)
 
-1. Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash of id and
-   text (copies under other ids spread); one shuffle of the texts.  All further steps are keyed by block first, so they
-   need no other shuffle.
-2. A word is a run of blanks with the characters up to the next blank; no piece
-   spans two words (checked).  Distinct words of a block: an aggregation.
-3. Every substring of up to ``max piece length`` characters of a word is
-   exploded and equi-joined to the piece table; a character without a piece of
-   its own becomes an unknown edge.
-4. Edges are grouped by word and folded, ordered by end, with ``aggregate``:
-   the state holds the best score, start and piece for every end so far; a
-   second fold walks back.  Unknown characters become byte pieces.
-5. The words' ids meet their block's documents in a co-group, which writes
-   each whole text as ids.
+1. A word is a run of blanks with the characters up to the next blank.  It falls
+   apart into parts wherever no piece holds the two neighbouring characters:
+   no path can join there, so parts are encoded on their own (and far fewer
+   of them are distinct).
+2. Each map task lists the distinct parts of its documents, in blocks of about
+   ``BLOCK_BYTES`` of text; one shuffle brings every part together once.
+3. Every substring of a part, up to the longest piece, is exploded and
+   equi-joined to the piece table; a character without a piece of its own
+   becomes an unknown edge.
+4. Edges are grouped by part (already together, so without a shuffle) and
+   folded with ``aggregate`` over the ends: the state holds the best score,
+   start and piece of every end so far; a second fold walks back.  Unknown
+   characters become byte pieces.
+5. The parts' ids go back to the blocks that hold them and meet the blocks'
+   texts (shuffled compressed) in a co-group, which writes each whole text as
+   ids.
 
 Defined cases: a null or empty text has no ids; words longer than
 ``MAX_WORD`` characters (or ``MAX_BLANKS`` blanks) are encoded in parts of that
@@ -39,6 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,88 +97,141 @@ class Pieces:
         return spark.createDataFrame(self.rows, "sub string, id int, score double")
 
 
-def lattice_edges(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """``keys.., word, start, end, id, score``: every piece of every word; id < 0 marks an unknown character."""
-    w = words.select(*keys, "word", F.translate("word", " ", MARK).alias("_w"), F.length("word").alias("_n"))
+def lattice_edges(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
+    """``word, keep.., start, end, id, score``: every piece of every word; id < 0 marks an unknown character."""
+    w = words.select("word", *keep, F.length("word").alias("_n"))
     w = w.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     w = w.withColumn("_l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("_n") - F.col("start")))))
-    w = w.withColumn("sub", F.substring("_w", F.col("start") + 1, F.col("_l")))
+    w = w.withColumn("sub", F.substring("word", F.col("start") + 1, F.col("_l")))
     table = F.broadcast(pieces.frame(words.sparkSession))
     hit = w.join(table, "sub", "left").where("id IS NOT NULL OR _l = 1")
-    return hit.select(*keys, "word", "start", (F.col("start") + F.col("_l")).alias("end"),
+    return hit.select("word", *keep, "start", (F.col("start") + F.col("_l")).alias("end"),
                       F.coalesce("id", -1 - F.col("start")).alias("id"),
                       F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
 
 
-def best_path(edges: Column) -> Column:
-    """Ids of the best path; ``edges``: one word's array of (end, start, id, score), sorted."""
-    first = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("start"), F.lit(0).alias("id")))
+def best_path(edges: Column, n: Column) -> Column:
+    """Ids of the best path to end ``n``; ``edges``: one part's array of (end, start, id, score)."""
+    first = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(0).alias("id")))
 
-    def step(best: Column, e: Column) -> Column:
-        new = F.struct((best[e["start"]]["s"] + e["score"]).alias("s"), e["start"].alias("start"), e["id"].alias("id"))
-        opened = F.size(best) > e["end"]
-        return (F.when(~opened, F.concat(best, F.array(new)))
-                .when(best[e["end"]]["s"] < new["s"], F.concat(F.slice(best, 1, e["end"]), F.array(new)))
-                .otherwise(best))
+    def step(best: Column, end: Column) -> Column:
+        # The greatest by score, then by the lesser start (kept negative), of the edges that end here.
+        at = F.filter(edges, lambda e: e["end"] == end)
+        return F.concat(best, F.array(F.array_max(F.transform(at, lambda e: F.struct(
+            (best[e["start"]]["s"] + e["score"]).alias("s"), (-e["start"]).alias("back"), e["id"].alias("id"))))))
 
     def back(best: Column) -> Column:
         state = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
         def walk(s: Column, _: Column) -> Column:
-            return F.when(s["at"] > 0, F.struct(best[s["at"]]["start"].alias("at"),
+            return F.when(s["at"] > 0, F.struct((-best[s["at"]]["back"]).alias("at"),
                                                 F.concat(F.array(best[s["at"]]["id"]), s["ids"]).alias("ids"))).otherwise(s)
 
         return F.aggregate(best, state, walk, lambda s: s["ids"])
 
-    return F.aggregate(edges, first, step, back)
+    return F.aggregate(F.sequence(F.lit(1), n), first, step, back)
 
 
-def encode_words(words: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """``keys.., word, ids`` for distinct ``(keys, word)``; no shuffle if already dealt by a key."""
-    edges = lattice_edges(words, pieces, keys)
-    grouped = edges.groupBy(*keys, "word").agg(F.array_sort(F.collect_list(F.struct("end", "start", "id", "score"))).alias("edges"))
-    return grouped.select(*keys, "word", best_path(F.col("edges")).alias("ids"))
+def encode_words(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
+    """``word, keep.., ids`` for distinct words; no shuffle if they are already dealt by word."""
+    edges = lattice_edges(words, pieces, keep)
+    grouped = edges.groupBy("word").agg(
+        F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"), *[F.first(c).alias(c) for c in keep])
+    return grouped.select("word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
+
+
+def parts_of(word: str, pairs: set[tuple[str, str]]) -> list[str]:
+    """A word (blanks marked) cut wherever no piece holds both neighbours."""
+    cuts = [0, *[i for i in range(1, len(word)) if (word[i - 1], word[i]) not in pairs], len(word)]
+    return [word[a:z] for a, z in zip(cuts, cuts[1:])]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of a task's rows with the number of their block; the same cuts on every pass over the rows."""
+    from pyspark import TaskContext
+
+    base, k, held = TaskContext.get().partitionId() << 24, 0, 0
+    for b in batches:
+        lengths = pa.compute.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
+        lo = 0
+        for hi in range(1, b.num_rows + 1):
+            held += int(lengths[hi - 1])
+            if held >= size or hi == b.num_rows:
+                yield base + k, b.slice(lo, hi - lo)
+                lo = hi
+                if held >= size:
+                    k, held = k + 1, 0
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id, text, n_words, ids`` of every row of ``docs``."""
     pieces = Pieces.read(model)
-    rows = id_text(docs)
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    dealt = (rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-             .repartition("block"))
-    # The aggregate names every column, so both uses of ``dealt`` are one shuffle.
-    words = (dealt.select("block", "doc_id", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.concat(F.lit(" "), "text"), F.lit(WORD), F.lit(0)))).alias("word"))
-        .groupBy("block", "word").agg(F.min("doc_id").alias("_any")))
-    coded = encode_words(words, pieces, ["block"]).withColumnRenamed("block", "of_block")
-    byte_ids, pattern = pieces.byte_ids, WORD
+    pairs = {(p[i], p[i + 1]) for p, _, _ in pieces.rows for i in range(len(p) - 1)}
+    rows, byte_ids, size = id_text(docs), pieces.byte_ids, BLOCK_BYTES
+    find = re.compile(WORD).findall
+
+    def words_in(text: str) -> list[str]:
+        return find(" " + text) if text else []
+
+    def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(block, words):
+            found = sorted({p for w in words for p in parts_of(w.replace(" ", MARK), pairs)})
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), pa.array(found, pa.string())],
+                                              names=["block", "word"])
+
+        current, words = None, set()
+        for block, b in _blocks(batches, size):
+            if block != current and words:
+                yield rows_of(current, words)
+                words = set()
+            current = block
+            for t in b.column(1):
+                words.update(words_in(t.as_py()))
+        if words:
+            yield rows_of(current, words)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for block, b in _blocks(batches, size):
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, b.schema, options=options) as w:
+                w.write_batch(b)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([out.getvalue().to_pybytes()],
+                                                                                      pa.binary())],
+                                             names=["block", "packed"])
+
+    parts = rows.mapInArrow(list_parts, "block long, word string")
+    parts = parts.groupBy("word").agg(F.collect_list("block").alias("blocks"))
+    coded = encode_words(parts, pieces, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = {}
-        for word, ids in zip(right.column("word").to_pylist(), right.column("ids").to_pylist()):
-            out = []
-            for i in ids:
-                if i >= 0:
-                    out.append(i)
-                else:
-                    out += [byte_ids[b] for b in word[-1 - i].encode()]
-            known[word] = (len(out), np.array(out, np.int32).tobytes())
-        find = re.compile(pattern).findall
-        n_words, arrays = [], []
-        for t in left.column("text"):
-            text = t.as_py()
-            parts = find(" " + text) if text else []
-            n_words.append(len(parts))
-            arrays.append(np.frombuffer(b"".join([known[w][1] for w in parts]), np.int32))
-        offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-        flat = np.concatenate(arrays) if arrays else np.empty(0, np.int32)
-        return pa.table({"doc_id": left.column("doc_id"), "text": left.column("text"),
-                         "n_words": pa.array(n_words, pa.int64()),
-                         "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))})
-
-    return (dealt.groupBy("block").cogroup(coded.groupBy("of_block"))
+        known: dict[str, bytes] = {}
+        for part, ids in zip(right.column("word").to_pylist(), right.column("ids").to_pylist()):
+            if min(ids) < 0:
+                ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
+            known[part] = np.array(ids, np.int32).tobytes()
+
+        class Words(dict):
+            def __missing__(self, w: str) -> bytes:
+                out = self[w] = b"".join([known[p] for p in parts_of(w.replace(" ", MARK), pairs)])
+                return out
+
+        coded_words, out = Words(), []
+        for packed in left.column("packed"):
+            for b in pa.ipc.open_stream(packed.as_py()):
+                n_words, arrays = [], []
+                for t in b.column(1):
+                    words = words_in(t.as_py())
+                    n_words.append(len(words))
+                    arrays.append(b"".join(map(coded_words.__getitem__, words)))
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in arrays])]).astype(np.int32)
+                flat = np.frombuffer(b"".join(arrays), np.int32)
+                out.append(pa.table({"doc_id": b.column(0), "text": b.column(1), "n_words": pa.array(n_words, pa.int64()),
+                                     "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))}))
+        return pa.concat_tables(out)
+
+    texts = rows.mapInArrow(pack, "block long, packed binary")
+    return (texts.groupBy("block").cogroup(coded.groupBy("of_block"))
             .applyInArrow(write, "doc_id long, text string, n_words long, ids array<int>"))
 
 
