@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,27 +44,40 @@ from genolake.session import scratch_path
 from .common import id_text, partition_offsets, spread_salt
 
 CHUNK_IDS = 1 << 16
-CACHE_PIECES = 1_000_000
+CACHE_PIECES, CACHE_WORDS = 1_000_000, 600_000
 _CUT, _UNSAFE = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
 
+class WordIds(dict):
+    """Ids (packed) of a pre-token in the library's byte letters: pieces with other punctuation share it."""
+
+    def __init__(self, model, dtype):
+        super().__init__()
+        self.tokenize, self.code = model.tokenize, "H" if dtype.itemsize == 2 else "I"
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        out = self[word] = array(self.code, [t.id for t in self.tokenize(word)]).tobytes()
+        return out
+
+
 class PieceIds(dict):
     """Ids (packed) of a text piece that follows a space, computed once by the library."""
 
     def __init__(self, tokenizer, dtype):
         super().__init__()
-        self.pre, self.model, self.dtype = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model, dtype
+        self.pre, self.words = tokenizer.pre_tokenizer.pre_tokenize_str, WordIds(tokenizer.model, dtype)
 
     def encode(self, piece: str) -> bytes:
         """``piece`` as it stands, through pre-tokenizer and model."""
-        tokenize = self.model.tokenize
-        return np.array([t.id for w, _ in self.pre(piece) for t in tokenize(w)], self.dtype).tobytes()
+        return b"".join([self.words[w] for w, _ in self.pre(piece)])
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
         if piece.isascii() and piece.isalpha():  # one pre-token; the space becomes U+0120
-            out = np.array([t.id for t in self.model.tokenize("Ġ" + piece)], self.dtype).tobytes()
+            out = self.words["Ġ" + piece]
         else:
             out = self.encode(" " + piece)
         self[piece] = out
@@ -103,7 +117,7 @@ def worker_encoder(path: str) -> Encoder:
     return kept[path]
 
 
-def pack(ids: np.ndarray, planes: str = "byte", level: int = 3) -> tuple[list[int], bytes]:
+def pack(ids: np.ndarray, planes: str = "byte", level: int = 1) -> tuple[list[int], bytes]:
     """Compressed size of each plane, and the planes."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8)
     if planes == "byte":
