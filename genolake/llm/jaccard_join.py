@@ -47,7 +47,8 @@ from .sketch import frequency_levels, slot
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
-GROUPS = 64
+GROUPS = 256
+MANY = 255  # a packed count of this stands for any number
 LEAF = 16
 SALTS = 64
 MAX_CLUSTER = 8000
@@ -85,6 +86,17 @@ def count_vector(s: np.ndarray) -> np.ndarray:
     return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def pack_point(point: np.ndarray) -> bytes:
+    return np.minimum(point, MANY).astype(np.uint8).tobytes()
+
+
+def unpack_points(packed) -> np.ndarray:
+    """Rows of counts; the largest packed value becomes a number no set reaches, so bounds stay bounds."""
+    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    out[out == MANY] = 1 << 22
+    return out
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return DENOMINATOR * both >= NUMERATOR * (len(a) + len(b) - both)
@@ -171,44 +183,37 @@ def shingle_levels(docs: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Two kinds of rows: a document's ``(doc_id, n, set_id)`` and the prefix shingles of its set.
-
-    A task sends the prefix and the point of equal sets once.
-    """
+    """Per document ``doc_id, n, set_id``; with the first of equal sets in a task, also its point and its prefix
+    shingles ``tokens``, of which the first ``cold`` are ordinary and the rest frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = shared.value, set()
         for b in batches:
-            n_rows, tokens, owners, salts, ids, points = [], [], [], [], [], []
+            sizes, ids, points, tokens, cold = [], [], [], [], []
             for t in b.column(1):
                 s = shingles(t.as_py())
                 fp = fingerprint(s)
-                n_rows.append(len(s))
+                sizes.append(len(s))
                 ids.append(fp)
-                new = len(s) > 0 and fp not in seen
-                points.append(count_vector(s).tobytes() if new else None)
-                if new:
-                    seen.add(fp)
-                    lv = level[slot(s)]
-                    take = prefix_size(len(s))
-                    order = np.lexsort((s, lv))[:take]
-                    tokens.append(s[order].view(np.int64))
-                    owners.append(np.full(take, fp, np.int64))
-                    salts.append(np.where(lv[order] > 0, fp % SALTS, -1).astype(np.int32))
-            k = b.num_rows
+                if not len(s) or fp in seen:
+                    points.append(None)
+                    tokens.append(None)
+                    cold.append(None)
+                    continue
+                seen.add(fp)
+                lv = level[slot(s)]
+                order = np.lexsort((s, lv))[:prefix_size(len(s))]
+                points.append(pack_point(count_vector(s)))
+                tokens.append(s[order].view(np.int64))
+                cold.append(int((lv[order] == 0).sum()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n_rows, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array(points, pa.binary())], names=names)
-            if tokens:
-                token, owner = np.concatenate(tokens), np.concatenate(owners)
-                k = len(token)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(owner), pa.array(token),
-                     pa.array(np.concatenate(salts)), pa.nulls(k, pa.binary())], names=names)
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary()),
+                 pa.array(tokens, pa.list_(pa.int64())), pa.array(cold, pa.int32())],
+                names=["doc_id", "n", "set_id", "point", "tokens", "cold"])
 
-    names = ["doc_id", "n", "set_id", "token", "salt", "point"]
-    return id_text(docs).mapInArrow(run, "doc_id long, n long, set_id long, token long, salt int, point binary")
+    return id_text(docs).mapInArrow(
+        run, "doc_id long, n long, set_id long, point binary, tokens array<long>, cold int")
 
 
 def _whole_runs(batches: Iterator[pa.RecordBatch], keys: int = 2) -> Iterator[list[np.ndarray]]:
@@ -237,12 +242,20 @@ def _new_run(*cols: np.ndarray) -> np.ndarray:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (token, salt, set): distinct members of runs of two sets or more, and of salted runs."""
+    """From rows sorted by (token, salt, set): distinct members of runs of two sets or more, and of salted runs.
+
+    An unsalted run is renamed by a digest of its members, so that the many
+    shingles which the same sets share make one bucket (a clash of digests
+    would only join two buckets).
+    """
     for cols in _whole_runs(batches):
         first = _new_run(*cols)
         token, salt, sid = (c[first] for c in cols)
         run = np.cumsum(_new_run(token, salt)) - 1
         keep = (np.bincount(run)[run] > 1) | (salt >= 0)
+        starts = np.flatnonzero(_new_run(run))
+        digest = _mix(np.add.reduceat(_mix(sid.view(np.uint64)), starts) + np.bincount(run).astype(np.uint64))
+        token = np.where(salt >= 0, token, digest.view(np.int64)[run])
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token, salt, sid)],
                                          names=["token", "salt", "set_id"])
 
@@ -304,14 +317,10 @@ def _edge_batch(a, b, token=(), rep=(), point=(), least=(), most=()) -> pa.Recor
         names=["a", "b", "token", "point", "least", "most"])
 
 
-def _points(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.int32).reshape(-1, GROUPS)
-
-
 def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (token, salt, set, n, point) in whole buckets to edges; salted buckets also send their components."""
     for token, salt, sid, n, packed in _whole_runs(batches):
-        points = _points(packed)
+        points = unpack_points(packed)
         starts = np.flatnonzero(_new_run(token, salt))
         ends = np.append(starts[1:], len(token))
         pair = (ends - starts == 2) & (salt[starts] < 0)
@@ -326,7 +335,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if salt[lo] >= 0:
                 for r in np.unique(root):
                     m = lo + np.flatnonzero(root == r)
-                    for c, v in zip(nodes, (int(token[lo]), int(sid[m[0]]), points[m].max(0).tobytes(),
+                    for c, v in zip(nodes, (int(token[lo]), int(sid[m[0]]), pack_point(points[m].max(0)),
                                             int(n[m].min()), int(n[m].max()))):
                         c.append(v)
         yield _edge_batch(a, b, *nodes)
@@ -335,7 +344,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (token, set, point, least, most), all salts of a token together, to edges between nodes."""
     for token, rep, packed, least, most in _whole_runs(batches, 1):
-        points, out = _points(packed), []
+        points, out = unpack_points(packed), []
         starts = np.flatnonzero(_new_run(token))
         for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(token)).tolist()):
             if hi - lo > 1:
@@ -346,9 +355,11 @@ def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidate_edges(prefixes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all sets which share a prefix shingle and can link by their count vectors."""
-    members = (prefixes.where("token IS NOT NULL").select("token", "salt", "set_id").repartition("token", "salt")
+    salt = F.when(F.col("_at") < F.col("cold"), F.lit(-1)).otherwise(F.pmod("set_id", F.lit(SALTS))).cast("int")
+    tokens = prefixes.where("tokens IS NOT NULL").select("set_id", "cold", F.posexplode("tokens").alias("_at", "token"))
+    members = (tokens.select("token", salt.alias("salt"), "set_id").repartition("token", "salt")
                .sortWithinPartitions("token", "salt", "set_id")
-               .mapInArrow(_shared, "token long, salt int, set_id long"))
+               .mapInArrow(_shared, "token long, salt int, set_id long").dropDuplicates())
     members = stored(members, "buckets")
     points = prefixes.where("point IS NOT NULL").groupBy("set_id").agg(F.first("n").alias("n"), F.first("point").alias("point"))
     rows = members.join(points, "set_id").select("token", "salt", "set_id", "n", "point")
@@ -396,7 +407,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     levels = shingle_levels(docs)
     rows = stored(prefix_rows(docs, levels), "prefixes")
-    mine = rows.where("token IS NULL").select("doc_id", "n", "set_id")
+    mine = rows.select("doc_id", "n", "set_id")
     sets = mine.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     clusters = connected_components(candidate_edges(rows))
     members = sets.join(clusters.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id")

@@ -98,6 +98,8 @@ def test_tree_finds_every_link():
             sets.append(b[keep])
     sets = [s for s in sets if len(s)]
     points, sizes = J.np.stack([J.count_vector(s) for s in sets]), J.np.array([len(s) for s in sets])
+    assert (J.unpack_points([J.pack_point(x) for x in points]) == points).all()
+    assert J.unpack_points([J.pack_point(points[0] + 300)]).min() > 10**6
     tree = J.CountTree(points, sizes)
     for i, s in enumerate(sets):
         near = set(tree.near(points[i], len(s)).tolist())
