@@ -102,10 +102,28 @@ def test_tree_finds_every_link():
     assert J.unpack_points([J.pack_point(points[0] + 300)]).min() > 10**6
     tree = J.CountTree(points, sizes)
     for i, s in enumerate(sets):
-        near = set(tree.near(points[i], len(s)).tolist())
+        near = set(tree.near(i).tolist())
         assert {j for j, o in enumerate(sets) if J.linked(s, o)} <= near
 
 
+def test_forest_connects_what_brute_force_links():
+    rnd = random.Random(9)
+    for _ in range(30):
+        base = [rnd.getrandbits(64) for _ in range(120)]
+        sets = [J.np.unique(J.np.array([x for x in base if rnd.random() < 0.93] + [rnd.getrandbits(64) for _ in range(8)],
+                                       "uint64")) for _ in range(rnd.choice([2, 9, 70]))]
+        root = list(range(len(sets)))
+        for i in range(len(sets)):
+            for j in range(i):
+                if J.linked(sets[i], sets[j]):
+                    root = [root[j] if r == root[i] else r for r in root]
+        got = list(range(len(sets)))
+        for i, j in J.link_forest(sets):
+            assert J.linked(sets[i], sets[j])
+            got = [got[j] if r == got[i] else r for r in got]
+        assert [[a == b for b in root] for a in root] == [[a == b for b in got] for a in got]
+
+
 def test_connected_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (102, 101), (7, 7), (60, 30)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
