@@ -138,12 +138,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
                      np.zeros((0, 1), np.float32), np.zeros(0))
     x = np.frombuffer(b"".join(rows["terms"]), np.float16).reshape(len(rows), TERMS).astype(np.float32)
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
-    y = x * idf
-    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
-    _, vectors = np.linalg.eigh(y.T @ y)
+    gram = np.zeros((TERMS, TERMS), np.float32)
+    for lo in range(0, len(x), BLOCK):
+        y = x[lo:lo + BLOCK] * idf
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+        gram += y.T @ y
+    _, vectors = np.linalg.eigh(gram)
     projection = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions]).astype(np.float32)
     model = Model(idf, projection, np.zeros((0, 1), np.float32), rows["label"].to_numpy(np.float64))
-    model.vectors = model.embed(x)
+    model.vectors = np.concatenate([model.embed(x[lo:lo + BLOCK]) for lo in range(0, len(x), BLOCK)])
     return model
 
 
