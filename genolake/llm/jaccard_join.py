@@ -49,7 +49,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 GROUPS = 256
 MANY = 255  # a packed count of this stands for any number
-LEAF = 16
+LEAF = 32
 SALTS = 64
 MAX_CLUSTER = 8000
 MAX_SHINGLES = 4_000_000
@@ -107,73 +107,93 @@ def prefix_size(n: int) -> int:
 
 
 class CountTree:
-    """R-tree over count vectors, bulk-loaded by halving along the widest coordinate."""
+    """R-tree over count vectors, bulk-loaded by halving along the widest coordinate.
+
+    A point is a set (``least`` = ``most`` = its size) or a group of sets
+    (coordinate maxima and the range of sizes).
+    """
+
+    def __init__(self, points: np.ndarray, least: np.ndarray, most: np.ndarray | None = None):
+        self.points, self.least, self.most = points, least, least if most is None else most
+        high, low, top, kids, self.members = [], [], [], [], []
+
+        def load(idx: np.ndarray) -> int:
+            me, p = len(high), points[idx]
+            high.append(p.max(0))
+            low.append(self.least[idx].min())
+            top.append(self.most[idx].max())
+            kids.append((-1, -1))
+            self.members.append(idx)
+            if len(idx) > LEAF:
+                axis = int(np.argmax(high[me] - p.min(0)))
+                order = idx[np.argsort(p[:, axis], kind="stable")]
+                half = len(order) // 2
+                kids[me] = (load(order[:half]), load(order[half:]))
+            return me
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        self.high, self.least, self.most, self.kids, self.members = [], [], [], [], []
         if len(points):
-            self._load(np.arange(len(points)))
-
-    def _load(self, idx: np.ndarray) -> int:
-        me, p = len(self.high), self.points[idx]
-        self.high.append(p.max(0))
-        self.least.append(self.sizes[idx].min())
-        self.most.append(self.sizes[idx].max())
-        self.kids.append(())
-        self.members.append(idx)
-        if len(idx) > LEAF:
-            axis = int(np.argmax(p.max(0) - p.min(0)))
-            order = idx[np.argsort(p[:, axis], kind="stable")]
-            half = len(order) // 2
-            self.kids[me] = (self._load(order[:half]), self._load(order[half:]))
-        return me
+            load(np.arange(len(points)))
+        self.high, self.low, self.top = np.array(high), np.array(low), np.array(top)
+        self.kids = np.array(kids).reshape(-1, 2)
 
     @staticmethod
-    def _possible(overlap, size, least, most):
-        """Can a set of ``size`` link with one in [least, most], overlapping at most ``overlap``?"""
+    def possible(overlap, a, b, least, most):
+        """Can a set of a size in [a, b] link with one in [least, most], overlapping at most ``overlap``?"""
         n, d = NUMERATOR, DENOMINATOR
-        smallest = np.maximum(least, -(-n * size // d))
-        return (d * most >= n * size) & (n * least <= d * size) & ((d + n) * overlap >= n * (size + smallest))
-
-    def near(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Points that may link with the given one (a superset of those that do)."""
-        out, todo = [], [0] if len(self.points) else []
-        while todo:
-            k = todo.pop()
-            if self._possible(int(np.minimum(point, self.high[k]).sum()), size, self.least[k], self.most[k]):
-                if self.kids[k]:
-                    todo += self.kids[k]
-                else:
-                    out.append(self.members[k])
+        smallest = np.maximum(least, -(-n * a // d))
+        return (d * most >= n * a) & (n * least <= d * b) & ((d + n) * overlap >= n * (a + smallest))
+
+    def near(self, i: int) -> np.ndarray:
+        """Points that may link with point ``i`` (a superset of those that do), itself among them."""
+        point, a, b = self.points[i], self.least[i], self.most[i]
+        nodes, out = np.zeros(1, np.int64), []
+        while len(nodes):
+            bound = np.minimum(self.high[nodes], point).sum(1)
+            nodes = nodes[self.possible(bound, a, b, self.low[nodes], self.top[nodes])]
+            leaf = self.kids[nodes, 0] < 0
+            out += [self.members[k] for k in nodes[leaf]]
+            nodes = self.kids[nodes[~leaf]].ravel()
         if not out:
             return np.empty(0, np.int64)
         idx = np.concatenate(out)
-        bound, s = np.minimum(self.points[idx], point).sum(1), self.sizes[idx]
-        return idx[self._possible(bound, size, s, s)]
+        bound = np.minimum(self.points[idx], point).sum(1)
+        return idx[self.possible(bound, a, b, self.least[idx], self.most[idx])]
 
 
 def link_forest(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect all linked sets (a spanning forest); with ``side``, only across sides."""
+    """Links that connect all linked sets (a spanning forest); with ``side``, only across sides.
+
+    Of the sets that the tree proposes for one, the nearest is verified first,
+    then all that are not connected to it yet, together.
+    """
     points = np.stack([count_vector(s) for s in sets])
     sizes = np.array([len(s) for s in sets], np.int64)
-    tree = CountTree(points, sizes)
-    root = np.arange(len(sets))
-    out = []
-    for i in range(len(sets)):
-        near = tree.near(points[i], int(sizes[i]))
+    tree, root, out = CountTree(points, sizes), np.arange(len(sets)), []
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = np.split(flat, np.cumsum(sizes)[:-1])
+    mine = np.zeros(flat.max() + 1, np.int64)
+
+    def verified(i: int, near: np.ndarray) -> np.ndarray:
+        starts = np.concatenate([[0], np.cumsum(sizes[near])[:-1]])
+        both = np.add.reduceat(mine[np.concatenate([ids[j] for j in near])], starts)
+        return near[DENOMINATOR * both >= NUMERATOR * (sizes[i] + sizes[near] - both)]
+
+    for i in range(1, len(sets)):
+        near = tree.near(i)
         near = near[near < i]
         if side is not None:
             near = near[side[near] != side[i]]
-        near = near[np.argsort(np.abs(points[near] - points[i]).sum(1), kind="stable")]
-        while len(near):
-            near = near[root[near] != root[i]]
-            if not len(near):
-                break
-            j, near = near[0], near[1:]
-            if linked(sets[i], sets[j]):
-                out.append((i, int(j)))
-                root[root == root[j]] = root[i]
+        if not len(near):
+            continue
+        mine[ids[i]] = 1
+        first = near[np.argmin(np.abs(points[near] - points[i]).sum(1))]
+        for group in (np.array([first]), near):
+            group = group[root[group] != root[i]]
+            for j in verified(i, group) if len(group) else ():
+                if root[j] != root[i]:
+                    out.append((i, int(j)))
+                    root[root == root[j]] = root[i]
+        mine[ids[i]] = 0
     return out
 
 
@@ -260,43 +280,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "salt", "set_id"])
 
 
-class NodeTree(CountTree):
-    """A tree of nodes: points are coordinate maxima, sizes are ranges."""
-
-    def __init__(self, points: np.ndarray, least: np.ndarray, most: np.ndarray):
-        self.leasts, self.mosts = least, most
-        super().__init__(points, least)
-
-    def _load(self, idx: np.ndarray) -> int:
-        me = super()._load(idx)
-        self.most[me] = self.mosts[idx].max()
-        return me
-
-    @staticmethod
-    def _ranges(overlap, a, b, least, most):
-        n, d = NUMERATOR, DENOMINATOR
-        return (d * most >= n * a) & (n * least <= d * b) & ((d + n) * overlap >= n * (a + least))
-
-    def near_node(self, i: int) -> np.ndarray:
-        out, todo = [], [0]
-        point, a, b = self.points[i], self.leasts[i], self.mosts[i]
-        while todo:
-            k = todo.pop()
-            if self._ranges(int(np.minimum(point, self.high[k]).sum()), a, b, self.least[k], self.most[k]):
-                if self.kids[k]:
-                    todo += self.kids[k]
-                else:
-                    out.append(self.members[k])
-        idx = np.concatenate(out) if out else np.empty(0, np.int64)
-        bound = np.minimum(self.points[idx], point).sum(1)
-        return idx[self._ranges(bound, a, b, self.leasts[idx], self.mosts[idx])]
-
-
 def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Spanning forest of the pairs that the bound allows, and each point's component."""
-    tree, root, out = NodeTree(points, least, most), np.arange(len(points)), []
+    tree, root, out = CountTree(points, least, most), np.arange(len(points)), []
     for i in range(1, len(points)):
-        near = tree.near_node(i)
+        near = tree.near(i)
         near = near[near < i]
         for r, j in zip(*np.unique(root[near], return_index=True)):
             out.append((i, int(near[j])))
@@ -325,7 +313,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ends = np.append(starts[1:], len(token))
         pair = (ends - starts == 2) & (salt[starts] < 0)
         i = starts[pair]
-        ok = CountTree._possible(np.minimum(points[i], points[i + 1]).sum(1), n[i], n[i + 1], n[i + 1])
+        ok = CountTree.possible(np.minimum(points[i], points[i + 1]).sum(1), n[i], n[i], n[i + 1], n[i + 1])
         a, b = sid[i[ok]].tolist(), sid[i[ok] + 1].tolist()
         nodes = [[], [], [], [], []]
         for lo, hi in zip(starts[~pair].tolist(), ends[~pair].tolist()):
