@@ -7,7 +7,7 @@ when ``100 * |A and B| >= 75 * |A or B|``.
 2. Count vectors.  The shingles of a set are hashed into ``GROUPS`` groups and
    counted: a point.  The overlap of two sets is at most the sum of their
    coordinate minima; against an R-tree node, with the coordinate maxima of
-   its points.  With the size ranges this bounds which sets can link.
+   its points.  Large sets, whose counts even out, have a second, finer point.  With the size ranges this bounds which sets can link.
 3. Buckets (lossless).  Linked sets overlap in at least 75 % of each, so under
    any fixed order of the shingles their first ``n - ceil(0.75 n) + 1`` share
    one.  The order puts frequent shingles last: a fixed-size count sketch over
@@ -48,6 +48,7 @@ from .sketch import frequency_levels, slot
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 GROUPS = 256
+FINE_FROM, FINE_GROUPS = 1024, 4096  # sets so large also have a finer point
 MANY = 255  # a packed count of this stands for any number
 LEAF = 32
 SALTS = 64
@@ -82,21 +83,34 @@ def fingerprint(s: np.ndarray) -> int:
     return int(np.array(xxhash.xxh3_64_intdigest(s.tobytes()), np.uint64).view(np.int64))
 
 
-def count_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def count_vector(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
 
 
-def pack_point(point: np.ndarray) -> bytes:
-    return np.minimum(point, MANY).astype(np.uint8).tobytes()
+def pack_point(*points: np.ndarray) -> bytes:
+    return np.minimum(np.concatenate(points), MANY).astype(np.uint8).tobytes()
 
 
-def unpack_points(packed) -> np.ndarray:
+def set_points(s: np.ndarray) -> list[np.ndarray]:
+    """A set's point; for a large set also its finer point (which adds up to the first)."""
+    return [count_vector(s)] + ([count_vector(s, FINE_GROUPS)] if len(s) >= FINE_FROM else [])
+
+
+def _counts(packed: list[bytes], groups: int) -> np.ndarray:
     """Rows of counts; the largest packed value becomes a number no set reaches, so bounds stay bounds."""
-    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, groups).astype(np.int32)
     out[out == MANY] = 1 << 22
     return out
 
 
+def unpack_points(packed) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Points; and the finer points with each point's row among them (-1: none)."""
+    row = np.full(len(packed), -1, np.int64)
+    large = [i for i, p in enumerate(packed) if len(p) > GROUPS]
+    row[large] = np.arange(len(large))
+    return _counts([p[:GROUPS] for p in packed], GROUPS), (row, _counts([packed[i][GROUPS:] for i in large], FINE_GROUPS))
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return DENOMINATOR * both >= NUMERATOR * (len(a) + len(b) - both)
@@ -113,7 +127,8 @@ class CountTree:
     (coordinate maxima and the range of sizes).
     """
 
-    def __init__(self, points: np.ndarray, least: np.ndarray, most: np.ndarray | None = None):
+    def __init__(self, points: np.ndarray, least: np.ndarray, most: np.ndarray | None = None, fine=None):
+        self.row, self.fine = fine or (np.full(len(points), -1, np.int64), None)
         self.points, self.least, self.most = points, least, least if most is None else most
         high, low, top, kids, self.members = [], [], [], [], []
 
@@ -157,7 +172,14 @@ class CountTree:
             return np.empty(0, np.int64)
         idx = np.concatenate(out)
         bound = np.minimum(self.points[idx], point).sum(1)
-        return idx[self.possible(bound, a, b, self.least[idx], self.most[idx])]
+        idx = idx[self.possible(bound, a, b, self.least[idx], self.most[idx])]
+        large = self.row[idx] >= 0
+        if self.row[i] >= 0 and large.any():  # two large sets: the finer bound too
+            both = idx[large]
+            bound = np.minimum(self.fine[self.row[both]], self.fine[self.row[i]]).sum(1)
+            both = both[self.possible(bound, a, b, self.least[both], self.most[both])]
+            idx = np.concatenate([idx[~large], both])
+        return idx
 
 
 def link_forest(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -168,7 +190,11 @@ def link_forest(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[
     """
     points = np.stack([count_vector(s) for s in sets])
     sizes = np.array([len(s) for s in sets], np.int64)
-    tree, root, out = CountTree(points, sizes), np.arange(len(sets)), []
+    large = np.flatnonzero(sizes >= FINE_FROM)
+    row = np.full(len(sets), -1, np.int64)
+    row[large] = np.arange(len(large))
+    fine = np.array([count_vector(sets[k], FINE_GROUPS) for k in large], np.int32).reshape(-1, FINE_GROUPS)
+    tree, root, out = CountTree(points, sizes, fine=(row, fine)), np.arange(len(sets)), []
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     ids = np.split(flat, np.cumsum(sizes)[:-1])
     mine = np.zeros(flat.max() + 1, np.int64)
@@ -224,7 +250,7 @@ def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 seen.add(fp)
                 lv = level[slot(s)]
                 order = np.lexsort((s, lv))[:prefix_size(len(s))]
-                points.append(pack_point(count_vector(s)))
+                points.append(pack_point(*set_points(s)))
                 tokens.append(s[order].view(np.int64))
                 cold.append(int((lv[order] == 0).sum()))
             yield pa.RecordBatch.from_arrays(
@@ -280,9 +306,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "salt", "set_id"])
 
 
-def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray, fine=None) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Spanning forest of the pairs that the bound allows, and each point's component."""
-    tree, root, out = CountTree(points, least, most), np.arange(len(points)), []
+    tree, root, out = CountTree(points, least, most, fine), np.arange(len(points)), []
     for i in range(1, len(points)):
         near = tree.near(i)
         near = near[near < i]
@@ -308,16 +334,16 @@ def _edge_batch(a, b, token=(), rep=(), point=(), least=(), most=()) -> pa.Recor
 def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (token, salt, set, n, point) in whole buckets to edges; salted buckets also send their components."""
     for token, salt, sid, n, packed in _whole_runs(batches):
-        points = unpack_points(packed)
+        points, (row, fine) = unpack_points(packed)
         starts = np.flatnonzero(_new_run(token, salt))
         ends = np.append(starts[1:], len(token))
-        pair = (ends - starts == 2) & (salt[starts] < 0)
+        pair = (ends - starts == 2) & (salt[starts] < 0) & (row[starts] < 0)
         i = starts[pair]
         ok = CountTree.possible(np.minimum(points[i], points[i + 1]).sum(1), n[i], n[i], n[i + 1], n[i + 1])
         a, b = sid[i[ok]].tolist(), sid[i[ok] + 1].tolist()
         nodes = [[], [], [], [], []]
         for lo, hi in zip(starts[~pair].tolist(), ends[~pair].tolist()):
-            forest, root = possible_forest(points[lo:hi], n[lo:hi], n[lo:hi])
+            forest, root = possible_forest(points[lo:hi], n[lo:hi], n[lo:hi], (row[lo:hi], fine))
             a += [int(sid[lo + x]) for x, _ in forest]
             b += [int(sid[lo + y]) for _, y in forest]
             if salt[lo] >= 0:
@@ -332,7 +358,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (token, set, point, least, most), all salts of a token together, to edges between nodes."""
     for token, rep, packed, least, most in _whole_runs(batches, 1):
-        points, out = unpack_points(packed), []
+        points, out = unpack_points(packed)[0], []
         starts = np.flatnonzero(_new_run(token))
         for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(token)).tolist()):
             if hi - lo > 1:

@@ -74,6 +74,7 @@ def test_blocks_and_salts_change_nothing(spark, monkeypatch):
     rows = corpus(5)
     monkeypatch.setattr(J, "MAX_CLUSTER", 7)
     monkeypatch.setattr(J, "shingle_levels", lambda d: (J.np.arange(1 << 21) % 3).astype("uint8"))
+    monkeypatch.setattr(J, "FINE_FROM", 20)
     assert run(spark, rows) == brute(rows)
 
 
@@ -87,7 +88,8 @@ def test_empty(spark):
     assert run(spark, []) == []
 
 
-def test_tree_finds_every_link():
+def test_tree_finds_every_link(monkeypatch):
+    monkeypatch.setattr(J, "FINE_FROM", 50)
     rnd = random.Random(3)
     base = [J.np.unique(J.np.array([rnd.getrandbits(64) for _ in range(rnd.choice([10, 60, 200]))], "uint64"))
             for _ in range(20)]
@@ -98,9 +100,10 @@ def test_tree_finds_every_link():
             sets.append(b[keep])
     sets = [s for s in sets if len(s)]
     points, sizes = J.np.stack([J.count_vector(s) for s in sets]), J.np.array([len(s) for s in sets])
-    assert (J.unpack_points([J.pack_point(x) for x in points]) == points).all()
-    assert J.unpack_points([J.pack_point(points[0] + 300)]).min() > 10**6
-    tree = J.CountTree(points, sizes)
+    back, fine = J.unpack_points([J.pack_point(*J.set_points(s)) for s in sets])
+    assert (back == points).all()
+    assert J.unpack_points([J.pack_point(points[0] + 300)])[0].min() > 10**6
+    tree = J.CountTree(points, sizes, fine=fine)
     for i, s in enumerate(sets):
         near = set(tree.near(i).tolist())
         assert {j for j, o in enumerate(sets) if J.linked(s, o)} <= near
