@@ -37,6 +37,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +50,8 @@ from pyspark.sql import functions as F
 from .common import id_text
 
 MARK = "▁"
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 6_000_000
+CACHE_WORDS = 200_000
 MAX_WORD, MAX_BLANKS = 256, 64
 MAX_PIECES = 500_000
 WORD = " {0,%d}[^ ]{1,%d}| {1,%d}" % (MAX_BLANKS, MAX_WORD, MAX_BLANKS)
@@ -98,14 +100,18 @@ class Pieces:
 
 
 def lattice_edges(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
-    """``word, keep.., start, end, id, score``: every piece of every word; id < 0 marks an unknown character."""
+    """``word, keep.., start, end, id, score``: every piece of every word; id < 0 marks an unknown character.
+
+    Only the edge over the first character carries ``keep`` (null on the others): there is one for every word.
+    """
     w = words.select("word", *keep, F.length("word").alias("_n"))
     w = w.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     w = w.withColumn("_l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("_n") - F.col("start")))))
     w = w.withColumn("sub", F.substring("word", F.col("start") + 1, F.col("_l")))
     table = F.broadcast(pieces.frame(words.sparkSession))
     hit = w.join(table, "sub", "left").where("id IS NOT NULL OR _l = 1")
-    return hit.select("word", *keep, "start", (F.col("start") + F.col("_l")).alias("end"),
+    first = (F.col("start") == 0) & (F.col("_l") == 1)
+    return hit.select("word", *[F.when(first, F.col(c)).alias(c) for c in keep], "start", (F.col("start") + F.col("_l")).alias("end"),
                       F.coalesce("id", -1 - F.col("start")).alias("id"),
                       F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
 
@@ -136,7 +142,7 @@ def encode_words(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame
     """``word, keep.., ids`` for distinct words; no shuffle if they are already dealt by word."""
     edges = lattice_edges(words, pieces, keep)
     grouped = edges.groupBy("word").agg(
-        F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"), *[F.first(c).alias(c) for c in keep])
+        F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"), *[F.first(c, ignorenulls=True).alias(c) for c in keep])
     return grouped.select("word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
 
 
@@ -206,13 +212,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         known: dict[str, bytes] = {}
-        for part, ids in zip(right.column("word").to_pylist(), right.column("ids").to_pylist()):
-            if min(ids) < 0:
-                ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
-            known[part] = np.array(ids, np.int32).tobytes()
+        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=10_000):
+            for part, ids in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
+                if min(ids) < 0:
+                    ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
+                known[part] = array("i", ids).tobytes()
+        del right
 
         class Words(dict):
             def __missing__(self, w: str) -> bytes:
+                if len(self) >= CACHE_WORDS:
+                    self.clear()
                 out = self[w] = b"".join([known[p] for p in parts_of(w.replace(" ", MARK), pairs)])
                 return out
 
