@@ -163,7 +163,8 @@ def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int],
         for b in batches:
             for i in range(b.num_rows):
                 row = {n: b.column(j)[i].values.to_numpy(zero_copy_only=False) for j, n in enumerate(b.schema.names)
-                       if n != "segment"}
+                       if n not in ("segment", "doc_ids")}
+                doc_ids = b.column(b.schema.get_field_index("doc_ids"))[i].values  # may hold nulls
                 ends = np.cumsum(row["counts"])
                 postings = {int(t): row["positions"][e - c:e] for t, e, c in zip(row["terms"], ends, row["counts"])}
                 starts, lengths = row["starts"], row["n_words"]
@@ -184,7 +185,7 @@ def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int],
                 name = b.column(0)[i].as_py()
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(np.arange(n)), pa.array([name] * n, pa.string()),
+                    [doc_ids, pa.array(np.arange(n)), pa.array([name] * n, pa.string()),
                      pa.array(lengths, pa.int64()),
                      pa.array([hit[a:z] - s for a, z, s in zip(lo, hi, starts)], pa.list_(pa.int64())),
                      pa.array([sorted(map(str, found.get(d, ()))) for d in range(n)], pa.list_(pa.string()))],
