@@ -18,7 +18,11 @@ start); matches never cross documents and are judged on the input.
    packed into shards of about ``SHARD_BYTES``.  Each shard's suffix array is
    induced (see ``suffix_array``); runs of it with a permuted common prefix of
    at least ``length`` are sets of equal windows, of which the earliest stays.
-4. The removed ranges of a document are merged and cut from its bytes.
+4. An anchor with more than ``SHARD_BYTES`` of segments (the edges of a passage
+   that very many documents share) is dealt over as many shards as that takes.
+   Each also lists the earliest place of every window it holds, by 128-bit
+   digest; of a digest listed by several shards all but the earliest go.
+5. The removed ranges of a document are merged and cut from its bytes.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose
 nothing; rows of one ``doc_id`` with equal text count as one document (both
@@ -264,9 +268,18 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, sent = [c[last] for c in cols], was_sent
 
 
+def dealt_segments(wanted: DataFrame) -> DataFrame:
+    """``wanted`` with ``part``: -1, or for an over-full key one of as many parts as keep each near ``SHARD_BYTES``."""
+    total = wanted.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > SHARD_BYTES)
+    # At most one row for every SHARD_BYTES of segments.
+    large = F.broadcast(total.select("key", F.ceil(F.col("bytes") / SHARD_BYTES).alias("parts")))
+    part = F.coalesce(F.pmod(F.xxhash64("doc_id", "tag", "start"), F.col("parts")), F.lit(-1)).cast("int")
+    return wanted.join(large, "key", "left").withColumn("part", part).drop("parts")
+
+
 def segment_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, doc_id, tag, start, bytes`` of the wanted segments, cut from their documents."""
-    spots = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "start", "size")).alias("spots"))
+    """``key, part, doc_id, tag, start, bytes`` of the wanted segments, cut from their documents."""
+    spots = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "part", "start", "size")).alias("spots"))
     once = packed_texts(docs).dropDuplicates(["doc_id", "tag"])
     rows = once.join(spots, ["doc_id", "tag"]).select("doc_id", "tag", "packed", "spots")
 
@@ -276,15 +289,15 @@ def segment_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 raw = z.decompress(b.column(2)[i].as_py())
                 s = b.column(3)[i].values
-                key, start, size = (s.field(k) for k in range(3))
+                key, part, start, size = (s.field(k) for k in range(4))
                 pieces = [raw[a:a + n] for a, n in zip(start.to_pylist(), size.to_pylist())]
                 k = len(pieces)
                 yield pa.RecordBatch.from_arrays(
-                    [key, pa.array([b.column(0)[i].as_py()] * k, pa.int64()),
+                    [key, part, pa.array([b.column(0)[i].as_py()] * k, pa.int64()),
                      pa.array([b.column(1)[i].as_py()] * k, pa.int64()), start, pa.array(pieces, pa.binary())],
-                    names=["key", "doc_id", "tag", "start", "bytes"])
+                    names=["key", "part", "doc_id", "tag", "start", "bytes"])
 
-    return rows.mapInArrow(run, "key long, doc_id long, tag long, start long, bytes binary")
+    return rows.mapInArrow(run, "key long, part int, doc_id long, tag long, start long, bytes binary")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -300,8 +313,9 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return identified(docs).mapInArrow(run, "doc_id long, tag long, packed binary")
 
 
-def repeated_windows(pieces: list[bytes], order: np.ndarray, length: int) -> list[np.ndarray]:
-    """Per piece, offsets of windows that also start at an earlier place.
+def repeated_windows(pieces: list[bytes], order: np.ndarray, length: int,
+                     firsts: bool = False) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per piece, offsets of windows that also start at an earlier place, and (with ``firsts``) of those that do not.
 
     ``order``: one ascending-by-place number per piece times 2^32, plus its
     start; a window's place is that number plus its offset.
@@ -317,25 +331,37 @@ def repeated_windows(pieces: list[bytes], order: np.ndarray, length: int) -> lis
     take = whole[sa]
     pos, run = sa[take].astype(np.int64), run[take]
     if not len(pos):
-        return [np.empty(0, np.int64) for _ in pieces]
+        none = [np.empty(0, np.int64) for _ in pieces]
+        return none, none
     place = order[piece[pos]] + (pos - begin[piece[pos]])
     new = np.concatenate([[True], run[1:] != run[:-1]])
     earliest = np.minimum.reduceat(place, np.flatnonzero(new))[np.cumsum(new) - 1]
-    late = np.sort(pos[place > earliest])
-    cuts = np.searchsorted(late, begin)
-    return [late[a:z] - b for a, z, b in zip(cuts, np.append(cuts[1:], len(late)), begin)]
+
+    def by_piece(found: np.ndarray) -> list[np.ndarray]:
+        found = np.sort(found)
+        cuts = np.searchsorted(found, begin)
+        return [found[a:z] - b for a, z, b in zip(cuts, np.append(cuts[1:], len(found)), begin)]
+
+    return by_piece(pos[place > earliest]), by_piece(pos[place == earliest]) if firsts else []
+
+
+_SHARD_SCHEMA = "digest long, digest2 long, doc_id long, tag long, lo long, hi long"
 
 
 def _shards(length: int):
-    """Segments sorted by key to ranges that go, through one suffix array per shard of whole keys."""
+    """Segments sorted by key and part to ranges that go, through one suffix array per shard of whole parts.
+
+    A part of a key also lists its windows that stay, with their digests.
+    """
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        ids, tags, starts = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, tags, starts = (np.array([r[i] for r in rows], np.int64) for i in (2, 3, 4))
         o = np.lexsort((tags, ids))
         new = np.concatenate([[False], (ids[o][1:] != ids[o][:-1]) | (tags[o][1:] != tags[o][:-1])])
         rank = np.empty(len(rows), np.int64)
         rank[o] = np.cumsum(new)
-        found = repeated_windows([r[4] for r in rows], (rank << 33) + starts, length)
+        found, firsts = repeated_windows([r[5] for r in rows], (rank << 33) + starts, length,
+                                         any(r[1] >= 0 for r in rows))
         out = [[], [], [], []]
         for i, offs in enumerate(found):
             if len(offs):
@@ -343,20 +369,34 @@ def _shards(length: int):
                 for c, v in zip(out, (np.full(len(lo), ids[i]), np.full(len(lo), tags[i]), lo, hi)):
                     c.append(v)
         cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "tag", "lo", "hi"])
+        none = pa.nulls(len(cols[0]), pa.int64())
+        names = ["digest", "digest2", "doc_id", "tag", "lo", "hi"]
+        yield pa.RecordBatch.from_arrays([none, none] + [pa.array(c) for c in cols], names=names)
+        digest = xxhash.xxh3_128_digest
+        raw, out = [], [[], [], []]
+        for i, offs in enumerate(firsts):
+            if rows[i][1] >= 0 and len(offs):
+                raw += [digest(rows[i][5][a:a + length]) for a in offs.tolist()]
+                for c, v in zip(out, (np.full(len(offs), ids[i]), np.full(len(offs), tags[i]), starts[i] + offs)):
+                    c.append(v)
+        if raw:
+            d = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
+            i, t, lo = (np.concatenate(c) for c in out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c)) for c in (d[:, 0], d[:, 1], i, t, lo, lo + length)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
-                if row[0] != last and size >= SHARD_BYTES:
-                    yield solve(held)
+                if row[:2] != last and size >= SHARD_BYTES:
+                    yield from solve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
-                last = row[0]
+                size += len(row[5])
+                last = row[:2]
         if held:
-            yield solve(held)
+            yield from solve(held)
 
     return run
 
@@ -377,10 +417,18 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     folded = stored(rows.mapInArrow(_fold, _FOLDED_SCHEMA), "segments")
     known = folded.where("kind = 0").select("doc_id", "tag", F.col("start").alias("lo"),
                                             (F.col("start") + F.col("size")).alias("hi"))
-    texts = segment_texts(docs, folded.where("kind = 1"))
-    found = (texts.repartition("key").sortWithinPartitions("key", "doc_id", "tag", "start")
-             .mapInArrow(_shards(length), "doc_id long, tag long, lo long, hi long"))
-    return stored(known.unionByName(found), "removed")
+    texts = segment_texts(docs, dealt_segments(folded.where("kind = 1")))
+    found = stored(texts.repartition("key", "part").sortWithinPartitions("key", "part", "doc_id", "tag", "start")
+                   .mapInArrow(_shards(length), _SHARD_SCHEMA), "shards")
+    # The windows that parts of one key list are folded like segments: a digest has one row per part at most.
+    windows = found.where("digest IS NOT NULL").select(
+        F.col("digest").alias("key"), F.col("digest2").alias("seg"), "doc_id", "tag", F.col("lo").alias("start"),
+        F.lit(length).alias("size"))
+    across = (windows.repartition("key", "seg").sortWithinPartitions(*_ROW[:5]).mapInArrow(_fold, _FOLDED_SCHEMA)
+              .where("kind = 0").select("doc_id", "tag", F.col("start").alias("lo"),
+                                        (F.col("start") + F.col("size")).alias("hi")))
+    within = found.where("digest IS NULL").select("doc_id", "tag", "lo", "hi")
+    return stored(known.unionByName(within).unionByName(across), "removed")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:

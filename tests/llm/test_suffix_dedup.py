@@ -122,3 +122,27 @@ def test_empty_and_null_id(spark):
     assert run(spark, []) == []
     t = "abcdefghij" * 3 + "klmnopq" * 20
     assert run(spark, [(None, t), (5, t)]) == brute([(None, t), (5, t)], 100)
+
+
+def test_a_passage_of_thousands_of_documents_does_not_meet_in_one_shard(spark, monkeypatch, tmp_path):
+    """The edges of a shared passage are segments of one key; no suffix array may hold them all."""
+    rnd = random.Random(8)
+    around = lambda k: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    passage = around(300)
+    rows = [(i, around(60) + passage + around(60)) for i in range(2000)]
+    whole = S.repeated_windows
+
+    def spy(pieces, *rest):
+        import os
+        import uuid
+
+        with open(os.path.join(str(tmp_path), uuid.uuid4().hex), "w") as f:
+            f.write(str(sum(map(len, pieces))))
+        return whole(pieces, *rest)
+
+    monkeypatch.setattr(S, "repeated_windows", spy)
+    monkeypatch.setattr(S, "SHARD_BYTES", 10_000)
+    assert run(spark, rows) == brute(rows, 100)
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    # A shard closes at the first part that reaches its size; parts are about that size themselves.
+    assert sizes and max(sizes) < 3 * 10_000
