@@ -13,8 +13,10 @@ when ``100 * |A and B| >= 75 * |A or B|``.
    one.  The order puts frequent shingles last: a fixed-size count sketch over
    all documents ranks them in levels, hash order inside a level.  The points
    of a bucket (a prefix shingle) are indexed in an R-tree and joined with it.
-   Frequent shingles are salted into ``SALTS`` trees, whose components are
-   then joined as nodes, by their coordinate maxima.
+   Frequent shingles are salted into ``SALTS`` trees, or as many as keep a
+   tree near ``TREE_SETS`` sets, whose components are then joined as nodes, by
+   their coordinate maxima.  The nodes of a shingle beyond ``NODE_BLOCK`` are
+   cut into blocks; every pair of blocks is a task of its own.
 4. Pairs that can link connect sets to clusters (connected components; a
    bucket sends a spanning forest of its pairs, never all of them).
 5. Inside a cluster the R-tree proposes pairs, nearest first, which are
@@ -52,6 +54,8 @@ FINE_FROM, FINE_GROUPS = 1024, 4096  # sets so large also have a finer point
 MANY = 255  # a packed count of this stands for any number
 LEAF = 32
 SALTS = 64
+TREE_SETS = 16_384
+NODE_BLOCK = 8192
 MAX_CLUSTER = 8000
 MAX_SHINGLES = 4_000_000
 
@@ -306,12 +310,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "salt", "set_id"])
 
 
-def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray, fine=None) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Spanning forest of the pairs that the bound allows, and each point's component."""
+def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray, fine=None,
+                    side: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Spanning forest of the pairs that the bound allows (with ``side``, only across sides), and each point's component."""
     tree, root, out = CountTree(points, least, most, fine), np.arange(len(points)), []
     for i in range(1, len(points)):
         near = tree.near(i)
         near = near[near < i]
+        if side is not None:
+            near = near[side[near] != side[i]]
         for r, j in zip(*np.unique(root[near], return_index=True)):
             out.append((i, int(near[j])))
             root[root == r] = i
@@ -356,21 +363,40 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _node_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, set, point, least, most), all salts of a token together, to edges between nodes."""
-    for token, rep, packed, least, most in _whole_runs(batches, 1):
+    """Rows (token, lo, hi, block, set, point, least, most), nodes of one or two blocks of a token, to edges between nodes."""
+    for token, one, other, block, rep, packed, least, most in _whole_runs(batches, 3):
         points, out = unpack_points(packed)[0], []
-        starts = np.flatnonzero(_new_run(token))
+        starts = np.flatnonzero(_new_run(token, one, other))
         for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(token)).tolist()):
             if hi - lo > 1:
-                forest, _ = possible_forest(points[lo:hi], least[lo:hi], most[lo:hi])
+                side = block[lo:hi] if one[lo] != other[lo] else None
+                forest, _ = possible_forest(points[lo:hi], least[lo:hi], most[lo:hi], side=side)
                 out += [(int(rep[lo + x]), int(rep[lo + y])) for x, y in forest]
         yield _edge_batch([x for x, _ in out], [y for _, y in out])
 
 
+def node_pairs(nodes: DataFrame) -> DataFrame:
+    """Nodes of every token in blocks of about ``NODE_BLOCK``, each with itself and with every other block."""
+    count = nodes.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE_BLOCK)
+    # At most one row for every NODE_BLOCK nodes.
+    large = F.broadcast(count.select("token", F.ceil(F.col("n") / NODE_BLOCK).cast("int").alias("blocks")))
+    rows = nodes.join(large, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                       "block", "a", "point", "least", "most")
+
+
 def candidate_edges(prefixes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all sets which share a prefix shingle and can link by their count vectors."""
-    salt = F.when(F.col("_at") < F.col("cold"), F.lit(-1)).otherwise(F.pmod("set_id", F.lit(SALTS))).cast("int")
-    tokens = prefixes.where("tokens IS NOT NULL").select("set_id", "cold", F.posexplode("tokens").alias("_at", "token"))
+    rows = prefixes.where("tokens IS NOT NULL")
+    often = rows.select(F.explode(F.expr("slice(tokens, cold + 1, size(tokens))")).alias("token"))
+    often = often.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SALTS * TREE_SETS)
+    # At most one row for every SALTS * TREE_SETS prefix shingles.
+    trees = F.broadcast(often.select("token", F.ceil(F.col("n") / TREE_SETS).alias("trees")))
+    tokens = rows.select("set_id", "cold", F.posexplode("tokens").alias("_at", "token")).join(trees, "token", "left")
+    salt = F.when(F.col("_at") < F.col("cold"), F.lit(-1)).otherwise(
+        F.pmod("set_id", F.coalesce("trees", F.lit(SALTS)))).cast("int")
     members = (tokens.select("token", salt.alias("salt"), "set_id").repartition("token", "salt")
                .sortWithinPartitions("token", "salt", "set_id")
                .mapInArrow(_shared, "token long, salt int, set_id long").dropDuplicates())
@@ -380,7 +406,7 @@ def candidate_edges(prefixes: DataFrame) -> DataFrame:
     found = stored(rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "set_id")
                    .mapInArrow(_bucket_edges, _EDGE_SCHEMA), "bucket-edges")
     nodes = found.where("token IS NOT NULL").select("token", "a", "point", "least", "most")
-    across = (nodes.repartition("token").sortWithinPartitions("token", "a")
+    across = (node_pairs(nodes).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "block", "a")
               .mapInArrow(_node_edges, _EDGE_SCHEMA))
     return found.where("b IS NOT NULL").select("a", "b").unionByName(across.select("a", "b")).distinct()
 

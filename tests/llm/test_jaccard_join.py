@@ -131,3 +131,36 @@ def test_connected_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (102, 101), (7, 7), (60, 30)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert {got[i] for i in range(1, 61)} == {1} and {got[100], got[101], got[102]} == {100}
+
+
+def test_the_nodes_of_a_common_shingle_do_not_meet_in_one_task(spark, monkeypatch, tmp_path):
+    """Documents of one template, too different to link by the bound, stay nodes of their own under its shingles."""
+    rnd = random.Random(12)
+    template = " ".join(f"t{i}" for i in range(164))
+    own = lambda k: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(k))
+    rows = [(i, template + " " + own(40)) for i in range(400)]
+    rows += [(1000 + i, t + f" z{i}") for i, (_, t) in enumerate(rows[::20])]  # and near copies of some
+    whole = J._node_edges
+
+    def spy(batches):
+        import os
+        import uuid
+        from collections import Counter
+
+        seen = Counter()
+
+        def counted():
+            for b in batches:
+                seen.update(zip(*(b.column(n).to_pylist() for n in b.schema.names if n in ("token", "lo", "hi"))))
+                yield b
+
+        yield from whole(counted())
+        with open(os.path.join(str(tmp_path), uuid.uuid4().hex), "w") as f:
+            f.write(str(max(seen.values(), default=0)))
+
+    monkeypatch.setattr(J, "_node_edges", spy)
+    monkeypatch.setattr(J, "NODE_BLOCK", 40, raising=False)
+    monkeypatch.setattr(J, "TREE_SETS", 1, raising=False)
+    assert run(spark, rows) == brute(rows)
+    most = max(int(p.read_text()) for p in tmp_path.iterdir())
+    assert 0 < most < 4 * 40
