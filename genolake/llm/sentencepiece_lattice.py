@@ -14,6 +14,8 @@ greedily and may choose other pieces of the same text.)
    of them are distinct).
 2. Each map task lists the distinct parts of its documents, in blocks of about
    ``BLOCK_BYTES`` of text; one shuffle brings every part together once.
+   Parts over ``MAX_PART`` characters (long runs without blanks) stay: step 5
+   folds them over their ends in one pass, with the last ends as state.
 3. Every substring of a part, up to the longest piece, is exploded and
    equi-joined to the piece table; a character without a piece of its own
    becomes an unknown edge.
@@ -25,9 +27,7 @@ greedily and may choose other pieces of the same text.)
    texts (shuffled compressed) in a co-group, which writes each whole text as
    ids.
 
-Defined cases: a null or empty text has no ids; words longer than
-``MAX_WORD`` characters (or ``MAX_BLANKS`` blanks) are encoded in parts of that
-size; a text that already holds the blank mark U+2581 reads back with a blank
+Defined cases: a null or empty text has no ids; words have any length; a text that already holds the blank mark U+2581 reads back with a blank
 there; repeated rows are encoded each; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -52,9 +52,9 @@ from .common import id_text
 MARK = "▁"
 BLOCK_BYTES = 6_000_000
 CACHE_WORDS = 200_000
-MAX_WORD, MAX_BLANKS = 256, 64
+MAX_PART = 256
 MAX_PIECES = 500_000
-WORD = " {0,%d}[^ ]{1,%d}| {1,%d}" % (MAX_BLANKS, MAX_WORD, MAX_BLANKS)
+WORD = " *[^ ]+| +"
 
 
 @dataclass
@@ -146,6 +146,32 @@ def encode_words(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame
     return grouped.select("word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
 
 
+def long_path(part: str, table: dict[str, tuple[int, float]], unknown_score: float, longest: int) -> array:
+    """Ids of the best path of a long part, as ``best_path`` finds them: ties go to the lesser start."""
+    n = len(part)
+    backs, ids = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
+    scores = [0.0] * (longest + 1)  # of the last ends, in a ring
+    get, ring = table.get, longest + 1
+    for end in range(1, n + 1):
+        best = None
+        for start in range(max(0, end - longest), end):
+            hit = get(part[start:end])
+            if hit is None:
+                if start < end - 1:
+                    continue
+                hit = (-1 - start, unknown_score)
+            s = scores[start % ring] + hit[1]
+            if best is None or s > best:
+                best, backs[end], ids[end] = s, start, hit[0]
+        scores[end % ring] = best
+    out, at = array("i"), n
+    while at:
+        out.append(ids[at])
+        at = backs[at]
+    out.reverse()
+    return out
+
+
 def parts_of(word: str, pairs: set[tuple[str, str]]) -> list[str]:
     """A word (blanks marked) cut wherever no piece holds both neighbours."""
     cuts = [0, *[i for i in range(1, len(word)) if (word[i - 1], word[i]) not in pairs], len(word)]
@@ -175,13 +201,15 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     pairs = {(p[i], p[i + 1]) for p, _, _ in pieces.rows for i in range(len(p) - 1)}
     rows, byte_ids, size = id_text(docs), pieces.byte_ids, BLOCK_BYTES
     find = re.compile(WORD).findall
+    shared = docs.sparkSession.sparkContext.broadcast({p: (i, s) for p, i, s in pieces.rows})
+    unknown_score, longest, max_part = pieces.unknown_score, pieces.longest, MAX_PART
 
     def words_in(text: str) -> list[str]:
         return find(" " + text) if text else []
 
     def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of(block, words):
-            found = sorted({p for w in words for p in parts_of(w.replace(" ", MARK), pairs)})
+            found = sorted({p for w in words for p in parts_of(w.replace(" ", MARK), pairs) if len(p) <= max_part})
             return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), pa.array(found, pa.string())],
                                               names=["block", "word"])
 
@@ -211,19 +239,27 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     coded = encode_words(parts, pieces, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
+        def packed_ids(part: str, ids) -> bytes:
+            if min(ids) < 0:
+                ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
+            return array("i", ids).tobytes()
+
         known: dict[str, bytes] = {}
         for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=10_000):
             for part, ids in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
-                if min(ids) < 0:
-                    ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
-                known[part] = array("i", ids).tobytes()
+                known[part] = packed_ids(part, ids)
         del right
 
+        def of_part(part: str) -> bytes:
+            if len(part) <= max_part:
+                return known[part]
+            return packed_ids(part, long_path(part, shared.value, unknown_score, longest))
+
         class Words(dict):
             def __missing__(self, w: str) -> bytes:
                 if len(self) >= CACHE_WORDS:
                     self.clear()
-                out = self[w] = b"".join([known[p] for p in parts_of(w.replace(" ", MARK), pairs)])
+                out = self[w] = b"".join([of_part(p) for p in parts_of(w.replace(" ", MARK), pairs)])
                 return out
 
         coded_words, out = Words(), []

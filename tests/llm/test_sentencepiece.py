@@ -77,3 +77,34 @@ def test_pieces_agree_with_the_library(spark):
 
 def test_empty(spark):
     assert encoded(spark, []) == {}
+
+
+def test_long_runs_without_blanks(spark, table):
+    """Plain dynamic programming over the whole text: no place is cut that a piece could cross."""
+    pieces, p = table
+    rnd = random.Random(6)
+
+    def whole(text):
+        w, state, back = (" " + text).replace(" ", L.MARK), [0.0], [None]
+        for end in range(1, len(w) + 1):
+            options = []
+            for start in range(max(0, end - p.longest), end):
+                if w[start:end] in pieces:
+                    i, s = pieces[w[start:end]]
+                    options.append((state[start] + s, -start, [i]))
+                elif end - start == 1:
+                    options.append((state[start] + p.unknown_score, -start, [p.byte_ids[b] for b in w[start].encode()]))
+            s, start, ids = max(options, key=lambda o: o[:2])
+            state.append(s)
+            back.append((-start, ids))
+        out, at = [], len(w)
+        while at:
+            out.append(back[at][1])
+            at = back[at][0]
+        return [i for ids in reversed(out) for i in ids]
+
+    texts = ["thequickbrownfoxjumpsoverthelazydog" * 60, "in" * 700, "a" + " " * 300 + "b", " " * 200, "ゼé漢字" * 200,
+             "".join(rnd.choice("etaoinshrdlu") for _ in range(5000)) + " end", "the\nand\tof\n" * 90]
+    got = encoded(spark, list(enumerate(texts)))
+    for i, t in enumerate(texts):
+        assert got[i] == whole(t), t[:40]
