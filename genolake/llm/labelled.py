@@ -21,7 +21,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
 
     The sample is the first rows in order of a hash of the id, so it does not
     depend on partitioning.  Conflicting or repeated labels of a document
-    count by their maximum; null labels are ignored.
+    count by their maximum; null labels are ignored.  Of several texts of one
+    id the one with the least hash is taken.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
@@ -29,7 +30,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     order = F.xxhash64(F.lit("sample"), "doc_id")
     picked = [known.where(F.col("label") == v).orderBy(order, "doc_id").limit(per_class) for v in (0, 1)]
     rows = id_text(docs).join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
-    return rows.dropDuplicates(["text", "label"]).select("doc_id", "text", "label")
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select("doc_id", F.col("least.text").alias("text"), "label").dropDuplicates(["text", "label"])
 
 
 def collected(df: DataFrame, bound: int) -> pd.DataFrame:

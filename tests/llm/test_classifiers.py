@@ -125,3 +125,14 @@ def test_planted_words_are_learned(spark):
     out = {r["doc_id"]: r for r in TX.classify(docs, tags).collect()}
     held = [i for i in out if out[i]["held_out"]]
     assert np.mean([out[i]["predicted"] == labels[i][1] for i in held]) > 0.9
+
+
+def test_full_sample_with_several_texts_of_one_id(spark):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    rows = [(i, f"{'loud' if i % 2 else 'calm'} words number {i} version {k} " * (5 + k)) for i in range(40) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for label in ("quality", "toxic"):
+        got = training_rows(docs, labels, label, 4).collect()
+        assert len(got) == 8 == len({r["doc_id"] for r in got}) and {(r["doc_id"], r["text"]) for r in got} <= set(rows)
+    assert len(QC.fit(docs, labels, per_class=4).labels) == 8
+    TX.learn(docs, labels, per_class=4)
