@@ -13,8 +13,10 @@ with its rarest terms, inside every segment; a phrase with a term the segment
 lacks ends at once.  Proximity matches ask only that every term lies within
 ``slop`` words of its place in the phrase.
 
-Size.  The test set is read to the driver in blocks of ``BLOCK_ITEMS`` items
-whose size is checked; its vocabulary's frequencies are the only other thing
+Size.  The test set is dealt into blocks of at most ``BLOCK_ITEMS`` items and
+``MAX_BLOCK_CHARS`` characters on Spark (an item larger than that is a block of
+its own) and read to the driver one block at a time, each of which costs a pass
+over the corpus; a block's vocabulary frequencies are the only other thing
 gathered there.  The index grows with the corpus and stays distributed.
 
 Defined cases: a null or empty text has no words (its document is returned
@@ -194,29 +196,41 @@ def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int],
     return index.mapInArrow(match, MATCH_SCHEMA)
 
 
-def test_items(benchmark: DataFrame) -> list[tuple]:
-    """The test set as driver rows; its size is checked first (documented bound)."""
+def item_blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The test set's distinct items in blocks that fit the driver: one, unless it is large."""
     items = benchmark.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    if size > MAX_BLOCK_CHARS:
-        raise ValueError(f"test set of {size} characters: pass it in blocks of at most {MAX_BLOCK_CHARS}")
-    return sorted((tuple(r) for r in items.collect()), key=str)
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    blocks = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["chars"] or 0) // MAX_BLOCK_CHARS))
+    if blocks <= 1:
+        return [items]
+    # Items are dealt to small slots by hash; consecutive slots are put together while they fit.
+    items = stored(items.distinct().withColumn("slot", F.pmod(F.xxhash64("item_id", "text"), F.lit(64 * blocks))), "items")
+    sizes = items.groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).collect()
+    starts, n, chars = [], BLOCK_ITEMS, MAX_BLOCK_CHARS
+    for r in sorted(sizes):
+        n, chars = n + r["n"], chars + r["chars"]
+        if not starts or n > BLOCK_ITEMS or chars > MAX_BLOCK_CHARS:
+            starts.append(r["slot"])
+            n, chars = r["n"], r["chars"]
+    return [items.where((F.col("slot") >= lo) & (F.col("slot") < hi)).drop("slot")
+            for lo, hi in zip(starts, [*starts[1:], 64 * blocks])]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """Per document row: ``doc_id, n_words, hits`` (word positions), ``items`` (ids as sorted strings).
 
-    Items are taken in blocks of ``BLOCK_ITEMS``; the blocks' findings meet in
-    one aggregation by document row.
+    Items are taken one block at a time; the blocks' findings meet in one
+    aggregation by document row.
     """
-    items = test_items(benchmark)
+    blocks = item_blocks(benchmark)
     out = None
-    for lo in range(0, max(len(items), 1), BLOCK_ITEMS):
-        phrases = Phrases(items[lo:lo + BLOCK_ITEMS], window)
+    for block in blocks:
+        phrases = Phrases(sorted((tuple(r) for r in block.collect()), key=str), window)
         index = build_index(docs, phrases.vocab, gap=window + slop + 1)
         found = find_phrases(index, phrases, term_frequencies(index), slop)
+        found = stored(found, "matches") if len(blocks) > 1 else found  # the driver lets go of the block
         out = found if out is None else out.unionByName(found)
-    if len(items) > BLOCK_ITEMS:
+    if len(blocks) > 1:
         out = out.groupBy("segment", "doc_row", "doc_id", "n_words").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))

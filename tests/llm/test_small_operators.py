@@ -253,3 +253,20 @@ def test_query_matches_duckdb(spark, name):
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
     assert sorted(cur.fetchall()) == sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_a_large_test_set_is_matched_in_blocks(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    want = sorted(tuple(r) for r in D.contamination(docs, bench).collect())
+    chars = [len(r["text"] or "") for r in bench.collect()]
+    sizes, whole = [], D.Phrases
+
+    def spy(items, window):
+        sizes.append(sum(len(t) for _, t in items))
+        return whole(items, window)
+
+    monkeypatch.setattr(D, "Phrases", spy)
+    monkeypatch.setattr(D, "MAX_BLOCK_CHARS", sum(chars) // 3)
+    assert sorted(tuple(r) for r in D.contamination(docs, bench).collect()) == want
+    assert len(sizes) > 2 and max(sizes) <= max(sum(chars) // 3, max(chars))
