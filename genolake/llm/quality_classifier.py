@@ -166,9 +166,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return id_text(docs).mapInArrow(vote, "doc_id long, score double")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold; one map pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep_unlearned: bool = False) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold; one map pass.
+
+    With ``keep_unlearned`` all rows stay if there was no training row: nothing learned, nothing rejected.
+    """
+    model = fit(docs, labels)
+    if keep_unlearned and not len(model.labels):
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def vote(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
