@@ -29,6 +29,20 @@ def id_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def with_tag(rows: DataFrame) -> DataFrame:
+    """``tag`` tells apart different texts of one id, or of null ids."""
+    return rows.withColumn("tag", F.xxhash64("text"))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows of ``gone(doc_id, tag)``, null ids included."""
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct()
+    own, tag = docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.withColumn("_own", own).withColumn("_own_tag", tag)
+    return rows.join(gone, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_tag") == F.col("_tag")),
+                     "left_anti").select(*docs.columns)
+
+
 def spread_salt(n: int):
     """A deterministic salt: equal rows from one scan spread over ``n`` keys."""
     return F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stored
+from .common import id_text, stored, with_tag
 
 WINDOW = 10
 SEGMENT_WORDS = 2_000_000
@@ -76,23 +76,23 @@ class Phrases:
         return [tuple(sorted(enumerate(p), key=lambda ot: (frequency.get(ot[1], 0), ot[0]))) for p in self.phrases]
 
 
-INDEX_SCHEMA = ("segment string, doc_ids array<long>, starts array<long>, n_words array<long>, "
+INDEX_SCHEMA = ("segment string, doc_ids array<long>, tags array<long>, starts array<long>, n_words array<long>, "
                 "terms array<int>, counts array<long>, positions array<long>")
 
 
 def build_index(docs: DataFrame, vocab: dict[bytes, int], gap: int, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """The postings of ``vocab``'s terms, one row per segment, stored; all documents are listed."""
 
-    def segment(name: str, doc_ids: list, lengths: list, parts: list) -> dict:
+    def segment(name: str, doc_ids: list, tags: list, lengths: list, parts: list) -> dict:
         starts = np.concatenate([[0], np.cumsum(np.asarray(lengths[:-1], np.int64) + gap)]) if lengths else []
         ids = np.concatenate([p for p, _ in parts]) if parts else np.empty(0, np.int32)
         at = np.concatenate([p + s for (_, p), s in zip(parts, starts)]) if parts else np.empty(0, np.int64)
         order = np.argsort(ids, kind="stable")
         terms, counts = np.unique(ids, return_counts=True)
-        return {"segment": name, "doc_ids": doc_ids, "starts": np.asarray(starts, np.int64), "n_words": lengths,
+        return {"segment": name, "doc_ids": doc_ids, "tags": tags, "starts": np.asarray(starts, np.int64), "n_words": lengths,
                 "terms": terms.astype(np.int32), "counts": counts.astype(np.int64), "positions": at[order]}
 
-    schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
+    schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("tags", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
                         ("n_words", pa.list_(pa.int64())), ("terms", pa.list_(pa.int32())),
                         ("counts", pa.list_(pa.int64())), ("positions", pa.list_(pa.int64()))])
 
@@ -100,29 +100,30 @@ def build_index(docs: DataFrame, vocab: dict[bytes, int], gap: int, segment_word
         from pyspark import TaskContext
 
         task, k = TaskContext.get().partitionId(), 0
-        doc_ids, lengths, parts, total = [], [], [], 0
+        doc_ids, tags, lengths, parts, total = [], [], [], [], 0
         lookup = vocab.get
 
         def close():
-            row = segment(f"{task}-{k}", doc_ids, lengths, parts)
+            row = segment(f"{task}-{k}", doc_ids, tags, lengths, parts)
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for b in batches:
-            for doc_id, text in zip(b.column(0), b.column(1)):
+            for doc_id, text, tag in zip(b.column(0), b.column(1), b.column(2)):
                 words = words_of(text.as_py())
                 ids = np.fromiter((lookup(w, -1) for w in words), np.int32, len(words))
                 at = np.flatnonzero(ids >= 0)
                 doc_ids.append(doc_id.as_py())
+                tags.append(tag.as_py())
                 lengths.append(len(words))
                 parts.append((ids[at], at))
                 total += len(words)
                 if total >= segment_words:
                     yield close()
-                    doc_ids, lengths, parts, total, k = [], [], [], 0, k + 1
+                    doc_ids, tags, lengths, parts, total, k = [], [], [], [], 0, k + 1
         if doc_ids:
             yield close()
 
-    return stored(id_text(docs).mapInArrow(cut, INDEX_SCHEMA), "postings")
+    return stored(with_tag(id_text(docs)).mapInArrow(cut, INDEX_SCHEMA), "postings")
 
 
 def term_frequencies(index: DataFrame) -> dict[int, int]:
@@ -150,7 +151,7 @@ def phrase_starts(plan: tuple, postings: dict[int, np.ndarray], slop: int = 0) -
     return starts
 
 
-MATCH_SCHEMA = "doc_id long, doc_row long, segment string, n_words long, hits array<long>, items array<string>"
+MATCH_SCHEMA = "doc_id long, tag long, doc_row long, segment string, n_words long, hits array<long>, items array<string>"
 
 
 def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int], slop: int = 0) -> DataFrame:
@@ -165,8 +166,9 @@ def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int],
         for b in batches:
             for i in range(b.num_rows):
                 row = {n: b.column(j)[i].values.to_numpy(zero_copy_only=False) for j, n in enumerate(b.schema.names)
-                       if n not in ("segment", "doc_ids")}
+                       if n not in ("segment", "doc_ids", "tags")}
                 doc_ids = b.column(b.schema.get_field_index("doc_ids"))[i].values  # may hold nulls
+                tags = b.column(b.schema.get_field_index("tags"))[i].values
                 ends = np.cumsum(row["counts"])
                 postings = {int(t): row["positions"][e - c:e] for t, e, c in zip(row["terms"], ends, row["counts"])}
                 starts, lengths = row["starts"], row["n_words"]
@@ -187,11 +189,11 @@ def find_phrases(index: DataFrame, phrases: Phrases, frequency: dict[int, int],
                 name = b.column(0)[i].as_py()
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(np.arange(n)), pa.array([name] * n, pa.string()),
+                    [doc_ids, tags, pa.array(np.arange(n)), pa.array([name] * n, pa.string()),
                      pa.array(lengths, pa.int64()),
                      pa.array([hit[a:z] - s for a, z, s in zip(lo, hi, starts)], pa.list_(pa.int64())),
                      pa.array([sorted(map(str, found.get(d, ()))) for d in range(n)], pa.list_(pa.string()))],
-                    names=["doc_id", "doc_row", "segment", "n_words", "hits", "items"])
+                    names=["doc_id", "tag", "doc_row", "segment", "n_words", "hits", "items"])
 
     return index.mapInArrow(match, MATCH_SCHEMA)
 
@@ -217,7 +219,12 @@ def item_blocks(benchmark: DataFrame) -> list[DataFrame]:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """Per document row: ``doc_id, n_words, hits`` (word positions), ``items`` (ids as sorted strings).
+    """Per document row: ``doc_id, n_words, hits`` (word positions), ``items`` (ids as sorted strings)."""
+    return matched_rows(docs, benchmark, window, slop).drop("tag")
+
+
+def matched_rows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """Per document row: ``doc_id, tag`` (hash of the text), ``n_words, hits`` (word positions), ``items`` (ids as sorted strings).
 
     Items are taken one block at a time; the blocks' findings meet in one
     aggregation by document row.
@@ -231,10 +238,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
         found = stored(found, "matches") if len(blocks) > 1 else found  # the driver lets go of the block
         out = found if out is None else out.unionByName(found)
     if len(blocks) > 1:
-        out = out.groupBy("segment", "doc_row", "doc_id", "n_words").agg(
+        out = out.groupBy("segment", "doc_row", "doc_id", "tag", "n_words").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return out.select("doc_id", "n_words", "hits", "items")
+    return out.select("doc_id", "tag", "n_words", "hits", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stored
+from .common import id_text, stored, with_tag
 from .graph import connected_components, stream_groups
 from .sketch import frequency_levels, slot
 
@@ -233,7 +233,7 @@ def shingle_levels(docs: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Per document ``doc_id, n, set_id``; with the first of equal sets in a task, also its point and its prefix
+    """Per document ``doc_id, tag`` (hash of the text), ``n, set_id``; with the first of equal sets in a task, also its point and its prefix
     shingles ``tokens``, of which the first ``cold`` are ordinary and the rest frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
@@ -258,12 +258,12 @@ def prefix_rows(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 tokens.append(s[order].view(np.int64))
                 cold.append(int((lv[order] == 0).sum()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary()),
+                [b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary()),
                  pa.array(tokens, pa.list_(pa.int64())), pa.array(cold, pa.int32())],
-                names=["doc_id", "n", "set_id", "point", "tokens", "cold"])
+                names=["doc_id", "tag", "n", "set_id", "point", "tokens", "cold"])
 
-    return id_text(docs).mapInArrow(
-        run, "doc_id long, n long, set_id long, point binary, tokens array<long>, cold int")
+    return with_tag(id_text(docs)).mapInArrow(
+        run, "doc_id long, tag long, n long, set_id long, point binary, tokens array<long>, cold int")
 
 
 def _whole_runs(batches: Iterator[pa.RecordBatch], keys: int = 2) -> Iterator[list[np.ndarray]]:
@@ -412,12 +412,14 @@ def candidate_edges(prefixes: DataFrame) -> DataFrame:
 
 
 def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Spanning links ``(a, b)`` of each cluster; ``members``: one ``doc_id, n, set_id, cluster`` per distinct set."""
+    """Spanning links ``(a, b)`` of each cluster; ``members``: one row ``least, n, set_id, cluster`` per distinct set."""
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("sets") / MAX_CLUSTER), F.ceil(F.col("total") / MAX_SHINGLES))
     m = members.join(size.where("sets > 1").select("cluster", blocks.cast("int").alias("blocks")), "cluster")
     m = m.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    with_text = id_text(docs).join(m.select("doc_id", "set_id", "cluster", "blocks", "block"), "doc_id")
+    m = m.select(F.col("least.doc_id").alias("_id"), F.col("least.tag").alias("_tag"), "set_id", "cluster", "blocks", "block")
+    rows = with_tag(id_text(docs))
+    with_text = rows.join(m, rows["doc_id"].eqNullSafe(m["_id"]) & (rows["tag"] == m["_tag"]))
     # Every set goes to the pair (own block, other block) once for each other block.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = (with_text.withColumn("other", other)
@@ -428,7 +430,7 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
         ids, at, sets, seen = t.column("set_id").to_pylist(), [], [], set()
         for i, text in enumerate(t.column("text")):
             s = shingles(text.as_py())
-            if ids[i] not in seen and fingerprint(s) == ids[i]:  # an id may have come with several texts
+            if ids[i] not in seen and fingerprint(s) == ids[i]:  # a text may have come repeated
                 seen.add(ids[i])
                 at.append(i)
                 sets.append(s)
@@ -444,18 +446,27 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (a null id only leads rows of null ids)."""
+    return grouped_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, tag, n_shingles, component_id, leads``: whether the row is the least, by id (null last) and text hash, of
+    its component."""
     levels = shingle_levels(docs)
     rows = stored(prefix_rows(docs, levels), "prefixes")
-    mine = rows.select("doc_id", "n", "set_id")
-    sets = mine.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    mine = rows.select("doc_id", "tag", "n", "set_id")
+    place = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "tag")
+    sets = mine.where("n > 0").groupBy("set_id").agg(F.min(place).alias("least"), F.min("n").alias("n"))
     clusters = connected_components(candidate_edges(rows))
     members = sets.join(clusters.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id")
     roots = connected_components(stored(verified_links(docs, stored(members, "members")), "links"))
     roots = roots.select(F.col("node").alias("set_id"), "root")
     grouped = sets.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    per_set = stored(grouped.join(least, "root").select("set_id", "component_id"), "set-components")
-    return mine.join(per_set, "set_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    least = grouped.groupBy("root").agg(F.min("least").alias("of_root"))
+    per_set = stored(grouped.join(least, "root").select("set_id", "of_root"), "set-components")
+    return mine.join(per_set, "set_id", "left").withColumn("component_id", F.col("of_root.doc_id")).select(
+        "doc_id", "tag", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        ((F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("component_id"))
+                              & (F.col("tag") == F.col("of_root.tag")))).alias("leads"))
