@@ -19,6 +19,7 @@ from .sharding import shard_rows
 from .suffix_dedup import dedup_digests
 from .token_store import stored_token_digests
 from .toxicity import classify as classify_toxicity
+from .vector_codes import vector_codes
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "failures")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vector_codes(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_decontamination": op2_decontamination,
@@ -76,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -42,4 +42,35 @@ SELECT conv_id, copies::BIGINT AS copies, count(DISTINCT turn)::BIGINT AS n_turn
 FROM marked JOIN kept USING (conv_id) GROUP BY conv_id, copies
 """
 
-SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10}
+
+
+def _vector_round(i: int) -> str:
+    """Parts assigned to codebook ``i`` and, from them, codebook ``i + 1``."""
+    return f"""
+a{i} AS (SELECT rid, part, min(64 * list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - e[j]) * (x[j] - e[j]))) + k)
+             AS best FROM p JOIN c{i} USING (part) GROUP BY ALL),
+m{i} AS (SELECT part, k, list(v ORDER BY j) AS e FROM (
+           SELECT part, (best % 64)::BIGINT AS k, j, floor(sum(x[j])::DOUBLE / count(*))::BIGINT AS v
+           FROM a{i} JOIN (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM p) USING (rid, part) GROUP BY ALL) GROUP BY ALL),
+c{i + 1} AS (SELECT part, k, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (part, k)),"""
+
+
+OP13 = f"""
+WITH v AS (SELECT *, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+           FROM embeddings WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS x
+      FROM (SELECT *, unnest(range(16)) AS part FROM v)),
+f AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM (
+        SELECT vec_id, arg_min(rid, q) AS rid FROM v WHERE vec_id IS NOT NULL GROUP BY vec_id ORDER BY vec_id LIMIT 64)),
+c0 AS (SELECT part, k, x AS e FROM p JOIN f USING (rid)),{_vector_round(0)}{_vector_round(1)}
+a2 AS (SELECT rid, part, min(64 * list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - e[j]) * (x[j] - e[j]))) + k)
+             AS best FROM p JOIN c2 USING (part) GROUP BY ALL),
+r AS (SELECT rid, string_agg(printf('%02x', (best % 64)::INT), '' ORDER BY part) AS code,
+             sum(best // 64)::BIGINT AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, k)) FROM c2) AS codebooks_sha256
+FROM v JOIN r USING (rid)
+"""
+
+SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10, "op13_vector_codes": OP13}
