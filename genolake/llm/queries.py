@@ -12,6 +12,7 @@ from .chat import format_chats
 from .common import table
 from .decontamination import contamination
 from .jaccard_join import near_duplicates
+from .periodic_runs import run_digests
 from .quality_classifier import classify as classify_quality
 from .quality_rules import rule_verdicts
 from .sentencepiece_lattice import round_trip
@@ -66,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "failures")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = vector_codes(table(spark, sf_dir, "embeddings"))
     return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -82,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_vector_codes": op13_vector_codes,
 }
