@@ -12,6 +12,7 @@ from .chat import format_chats
 from .common import table
 from .decontamination import contamination
 from .jaccard_join import near_duplicates
+from .mixing import mix
 from .periodic_runs import run_digests
 from .quality_classifier import classify as classify_quality
 from .quality_rules import rule_verdicts
@@ -67,6 +68,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "failures")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).taken()
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op11_mixing": op11_mixing,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_vector_codes": op13_vector_codes,
 }

@@ -73,4 +73,67 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 FROM v JOIN r USING (rid)
 """
 
-SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10, "op13_vector_codes": OP13}
+
+
+def _bits(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+def _mixed(i: int, value: str) -> str:
+    return _bits(f"'11:block:' || source_no || ':' || rnd || ':{i}:' || {value}")
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, source, len({_BLANK_WORDS})::BIGINT AS size
+      FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
+s0 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no
+       FROM (SELECT source, sum(size)::BIGINT AS ssize FROM d GROUP BY source)),
+s1 AS (SELECT *, [5, 2, 1][source_no % 3 + 1] AS w, 3 * ssize AS lim FROM s0),
+s2 AS (SELECT *, coalesce(sum(lim) OVER o, 0) AS lims, coalesce(sum(w) OVER o, 0) AS ws, sum(ssize) OVER () AS al, sum(w) OVER () AS alw
+       FROM s1 WINDOW o AS (ORDER BY lim / w, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s3 AS (SELECT *, (al - lims) * w > lim * (alw - ws) AS is_full FROM s2),
+s4 AS (SELECT *, al - sum(CASE WHEN is_full THEN lim ELSE 0 END) OVER () AS rem, sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () AS remw FROM s3),
+s5 AS (SELECT *, CASE WHEN is_full THEN lim::DOUBLE ELSE rem::DOUBLE * w / remw::DOUBLE END AS target,
+              ssize // 64 AS nfull, (ssize + 63) // 64 AS nblocks FROM s4),
+s6 AS (SELECT *, CASE WHEN is_full THEN 3 ELSE floor(target / greatest(ssize, 1))::BIGINT END AS rounds FROM s5),
+s7 AS (SELECT *, greatest(target - rounds * ssize, 0) AS rest FROM s6),
+s8 AS (SELECT *, least(floor(rest / 64 + 0.5)::BIGINT, nfull) AS k FROM s7),
+s9 AS (SELECT *, rounds * nblocks + CASE WHEN nblocks > nfull AND ssize - rest < abs(rest - k * 64) THEN nblocks ELSE k END AS quota,
+              greatest(ceil(sqrt(nfull::DOUBLE)), 1)::BIGINT AS a FROM s8),
+s AS (SELECT *, greatest(ceil(nfull::DOUBLE / a), 1)::BIGINT AS b,
+             coalesce(sum(quota) OVER (ORDER BY source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo FROM s9),
+ids AS (SELECT slot, slot // 1024 AS shard, {_bits("'11:slot:' || slot")} % n AS u
+        FROM (SELECT unnest(range(n)) AS slot, n FROM (SELECT sum(quota)::BIGINT AS n FROM s))),
+drawn AS (SELECT slot, source_no, row_number() OVER (PARTITION BY source_no ORDER BY shard, slot) - 1 AS nth
+          FROM ids JOIN s ON u >= lo AND u < lo + quota),
+got AS (SELECT s.source_no, s.quota, count(slot) AS got FROM s LEFT JOIN drawn USING (source_no) GROUP BY ALL),
+bal AS (SELECT *, greatest(got - quota, 0) AS over, greatest(quota - got, 0) AS short,
+               coalesce(sum(greatest(got - quota, 0)) OVER o, 0) AS over_at, coalesce(sum(greatest(quota - got, 0)) OVER o, 0) AS short_at
+        FROM got WINDOW o AS (ORDER BY source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+n AS (SELECT *, (nth * over) // got AS given, ((nth + 1) * over) // got > (nth * over) // got AS gives FROM drawn JOIN bal USING (source_no)),
+slots AS (SELECT slot, source_no, nth - given AS nth FROM n WHERE NOT gives
+          UNION ALL
+          SELECT slot, t.source_no, t.got + n.over_at + n.given - t.short_at
+          FROM n JOIN bal t ON gives AND n.over_at + n.given >= t.short_at AND n.over_at + n.given < t.short_at + t.short),
+start AS (SELECT slot, source_no, nfull, a, b, (nth // nblocks)::BIGINT AS rnd, (nth % nblocks)::BIGINT AS x FROM slots JOIN s USING (source_no)),
+walk AS (SELECT slot, source_no, nfull, a, b, rnd, x AS y, 0 AS step FROM start WHERE x < nfull
+  UNION ALL
+  SELECT slot, source_no, nfull, a, b, rnd, l2 * b + (r1 + {_mixed(4, 'l2')}) % b, step + 1 FROM (
+    SELECT *, (l1 + {_mixed(3, 'r1')}) % a AS l2 FROM (
+      SELECT *, (r0 + {_mixed(2, 'l1')}) % b AS r1 FROM (
+        SELECT *, (l0 + {_mixed(1, 'r0')}) % a AS l1 FROM (
+          SELECT *, y // b AS l0, y % b AS r0 FROM walk WHERE step = 0 OR y >= nfull))))),
+takes AS (SELECT source_no, block, count(*) AS times FROM (
+            SELECT source_no, y AS block FROM walk WHERE step > 0 AND y < nfull
+            UNION ALL SELECT source_no, x FROM start WHERE x >= nfull) GROUP BY ALL),
+p AS (SELECT d.*, source_no, ssize, target, coalesce(sum(size) OVER (PARTITION BY source_no ORDER BY doc_id NULLS FIRST, rid
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+seg AS (SELECT rid, source_no, block, least((block + 1) * 64, off + size) - greatest(block * 64, off) AS n
+        FROM (SELECT *, unnest(range(off // 64, (off + size - 1) // 64 + 1)) AS block FROM p WHERE size > 0)),
+t AS (SELECT rid, sum(n * times)::BIGINT AS taken FROM seg JOIN takes USING (source_no, block) GROUP BY rid)
+SELECT doc_id, size, ssize AS source_size, target, coalesce(taken, 0) AS taken FROM p LEFT JOIN t USING (rid)
+"""
+
+SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10, "op11_mixing": OP11,
+                       "op13_vector_codes": OP13}
