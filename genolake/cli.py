@@ -2,7 +2,7 @@
 
     spark-submit genolake/cli.py summary SOURCE [--region R] [--limit N]
     spark-submit genolake/cli.py shard SOURCE --base URI [--records-per-shard N]
-                 [--region R] [--run-id ID] [--compact]
+                 [--region R] [--run-id ID] [--redo] [--compact]
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ def main(argv=None) -> int:
     b.add_argument("--records-per-shard", type=int, default=10000)
     b.add_argument("--region")
     b.add_argument("--run-id")
+    b.add_argument("--redo", action="store_true", help="replace a committed run of this id")
+    b.add_argument("--storage-type", default="local", help="kind of sink: local or hadoop")
     b.add_argument("--compact", action="store_true", help="one file per shard (adds a shuffle)")
     common(b)
     args = p.parse_args(argv)
@@ -54,7 +56,7 @@ def main(argv=None) -> int:
         print(json.dumps({k: out[k] for k in ("total_variants", "total_bytes", "chromosomes")}))
     else:
         m = shard(spark, args.source, args.base, args.records_per_shard, args.region, args.run_id, args.compact,
-                  use_info_end=args.info_end, remote_schemes=schemes)
+                  redo=args.redo, sink=args.storage_type, use_info_end=args.info_end, remote_schemes=schemes)
         for r in m.select("path").orderBy("shard_id").toLocalIterator():
             print(r["path"])
     return 0

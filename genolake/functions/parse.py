@@ -89,17 +89,37 @@ def info_map(info: Column) -> Column:
             .otherwise(F.str_to_map(info, F.lit(";"), F.lit("="))))
 
 
+# Fixed forms of numbers in a VCF (the specification's grammar, a trailing point allowed as C readers allow it).
+FLOAT_TEXT = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$|^[-+]?(?i:inf|infinity|nan)$"
+INTEGER_TEXT = r"^[-+]?[0-9]+$"
+#: What a cast would take beyond them: Java's suffixes and hexadecimals, and blanks around a number.
+_FOREIGN = r"[dDfFxX\s]"
+
+
+def number(text: Column, sql_type: str) -> Column:
+    """A number as a VCF writes it; anything else (``1d``, ``0.1f``, blanks around it) is null."""
+    if sql_type not in ("double", "float", "int", "bigint", "long"):
+        return text.try_cast(sql_type)
+    form = FLOAT_TEXT if sql_type in ("double", "float") else INTEGER_TEXT
+    return F.when(text.rlike(form), text.try_cast(sql_type))
+
+
 def typed_list(text: Column, sql_type: str) -> Column:
     """Comma list -> array of ``sql_type``; ``.`` (or bad) items become null;
-    null stays null.  Element-wise array ``try_cast`` (codegen, no lambda)."""
-    return F.split(text, ",").try_cast(f"array<{sql_type}>")
+    null stays null.  Element-wise array ``try_cast`` (codegen, no lambda); only
+    a list with letters that a cast would take but a VCF does not know is
+    looked at item by item."""
+    items = F.split(text, ",")
+    cast = items.try_cast(f"array<{sql_type}>")
+    if sql_type == "string":
+        return cast
+    return F.when(text.rlike(_FOREIGN), F.transform(items, lambda x: number(x, sql_type))).otherwise(cast)
 
 
 def bad_list_items(text: Column, sql_type: str) -> Column:
     """True if some non-missing item of a comma list does not cast."""
-    items = F.split(text, ",")
-    return F.coalesce(F.size(F.array_remove(items, MISSING))
-                      != F.size(F.array_compact(items.try_cast(f"array<{sql_type}>"))), F.lit(False))
+    return F.coalesce(F.size(F.array_remove(F.split(text, ","), MISSING))
+                      != F.size(F.array_compact(typed_list(text, sql_type))), F.lit(False))
 
 
 def format_index(fkeys: Column, key: str) -> Column:
@@ -122,9 +142,9 @@ def genotype_structs(sample_parts: Column, gt_i: Column, gq_i: Column, pl_i: Col
         return F.struct(
             i.alias("sample_idx"),
             sample_value(p, gt_i).alias("gt"),
-            gq.try_cast("int").alias("gq"),
+            number(gq, "int").alias("gq"),
             typed_list(pl, "int").alias("pl"),
-            ((gq.isNotNull() & gq.try_cast("int").isNull())
+            ((gq.isNotNull() & number(gq, "int").isNull())
              | (pl.isNotNull() & bad_list_items(pl, "int"))).alias("bad"))
 
     return F.transform(sample_parts, one)
@@ -150,7 +170,7 @@ def typed_info(info: Column, definitions: dict[str, dict[str, str]]) -> Column:
         if t == "boolean":
             col = info_flag(info, key)
         elif d.get("Number") == "1":
-            col = missing_to_null(info_value(info, key)).try_cast(t)
+            col = number(missing_to_null(info_value(info, key)), t)
         else:
             col = typed_list(info_value(info, key), t)
         fields.append(col.alias(key))

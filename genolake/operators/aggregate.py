@@ -36,12 +36,30 @@ def count_in_range(v: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def python_float_text(c: Column) -> Column:
-    """Text of a double as Python's ``str(float)`` gives it for the usual
-    QUAL range; null gives ``None`` (what the reference prints)."""
-    plain = c.cast("decimal(38,6)").cast("string")
-    short = F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")
-    return (F.when(c.isNull(), F.lit("None"))
-            .when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), short).otherwise(c.cast("string")))
+    """Text of a double as Python's ``str(float)`` gives it; null gives ``None`` (what the reference prints).
+
+    Spark's own text has the same digits; it differs in writing an exponent
+    from 1e7 and below 1e-3, where Python does from 1e16 and below 1e-4, and in
+    the exponent's form (``1.0E-5``, ``1e-05``).
+    """
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), r"^-|\.0$", ""), r"\.", "")
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    size = F.length(mantissa)
+    whole = F.rpad(F.substr(mantissa, F.lit(1), F.least(size, exponent + 1)), exponent + 1, F.lit("0"))
+    rest = F.when(size > exponent + 1, F.substr(mantissa, exponent + 2)).otherwise(F.lit("0"))
+    large = F.concat(sign, whole, F.lit("."), rest)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), mantissa)
+    point = F.when(size > 1, F.concat(F.substr(mantissa, F.lit(1), F.lit(1)), F.lit("."), F.substr(mantissa, F.lit(2)))) \
+        .otherwise(mantissa)
+    digits = F.abs(exponent).cast("string")
+    far = F.concat(sign, point, F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                   F.when(F.length(digits) < 2, F.lit("0")).otherwise(F.lit("")), digits)
+    return (F.when(c.isNull(), F.lit("None")).when(F.isnan(c), F.lit("nan"))
+            .when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
+            .when(exponent.isNull(), text).when(exponent.between(0, 15), large)
+            .when(exponent.between(-4, -1), small).otherwise(far))
 
 
 def preview_text(v: DataFrame, ordinal: str = "ordinal") -> Column:

@@ -57,13 +57,13 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
         P.missing_to_null(g(2)).alias("id"),
         g(3).alias("ref"),
         P.list_field(g(4)).alias("alts"),
-        qual_t.try_cast("double").alias("qual"),
+        P.number(qual_t, "double").alias("qual"),
         P.list_field(g(6), ";").alias("filters"),
         info_t.alias("info_text"),
         P.info_map(info_t).alias("info"),
         F.when(F.size(F.col("_f8")) < 8, F.lit("fields")).alias("_short"),
         (pos_t.try_cast("bigint").isNull()).alias("_bad_pos"),
-        (qual_t.isNotNull() & qual_t.try_cast("double").isNull()).alias("_bad_qual"),
+        (qual_t.isNotNull() & P.number(qual_t, "double").isNull()).alias("_bad_qual"),
         P.missing_to_null(F.get(F.col("_fields"), 8)).alias("format"),
         F.split(F.get(F.col("_fields"), 8), ":").alias("_fk"),
         F.slice(F.col("_fields"), 10, F.greatest(F.size(F.col("_fields")) - 9, F.lit(0))).alias("_samples"),
@@ -78,7 +78,7 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
         "chrom", "contig_idx", "pos", "id", "ref", "alts", "qual", "filters", "info_text", "info",
         P.typed_list(af_t, "double").alias("af"),
         P.typed_list(ac_t, "int").alias("ac"),
-        P.missing_to_null(an_t).try_cast("int").alias("an"),
+        P.number(P.missing_to_null(an_t), "int").alias("an"),
         "format",
         P.format_index(fk, "GT").alias("_gt_i"), P.format_index(fk, "GQ").alias("_gq_i"),
         P.format_index(fk, "PL").alias("_pl_i"),
@@ -89,7 +89,7 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
             F.when(F.col("_bad_qual"), F.lit("qual")),
             F.when(P.bad_list_items(af_t, "double"), F.lit("AF")),
             F.when(P.bad_list_items(ac_t, "int"), F.lit("AC")),
-            F.when(an_t.isNotNull() & (an_t != ".") & an_t.try_cast("int").isNull(), F.lit("AN")),
+            F.when(an_t.isNotNull() & (an_t != ".") & P.number(an_t, "int").isNull(), F.lit("AN")),
             F.when(F.size(F.array_distinct(P.info_keys(info_txt))) < F.size(P.info_keys(info_txt)),
                    F.lit("INFO")),
         )).alias("_bad"),
@@ -114,7 +114,7 @@ def sample_rows(v: DataFrame, keep=("chrom", "pos", "ref"), with_pl: bool = Fals
                                                                               F.lit(0)))).alias("sample_idx", "_s"))
     parts = F.split(F.col("_s"), ":")
     cols = [*keep, "sample_idx", P.sample_value(parts, F.col("_gt_i")).alias("gt"),
-            P.sample_value(parts, F.col("_gq_i")).try_cast("int").alias("gq")]
+            P.number(P.sample_value(parts, F.col("_gq_i")), "int").alias("gq")]
     if with_pl:
         cols.append(P.typed_list(P.sample_value(parts, F.col("_pl_i")), "int").alias("pl"))
     return base.select(*cols)

@@ -1,9 +1,11 @@
 """Data-quality jobs on the variant table (Q1, Q2, Q3, J3).
 
 Every check is an aggregate; none collects a group.  Checks against the
-preceding record (sortedness, dense ordinals) use windows over blocks of
-consecutive records, or over shards, plus one row per block for the edges, so a
-contig with a third of the rows is not one task.
+preceding record (sortedness, dense ordinals) write the few columns they need
+once, then use windows over blocks of consecutive records, or over shards, plus
+one row per block for the edges.  The only shuffle of records is the one on the
+block; contig ranks, one row per contig, are counted and broadcast (beyond
+``BROADCAST_CONTIGS`` contigs the join is left to Spark).
 """
 
 from __future__ import annotations
@@ -11,8 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.parse import number
+from ..session import stored
 from ..sources.vcf_text import VcfHeader
 
+BROADCAST_CONTIGS = 100_000
+
 
 def info_definitions(spark: SparkSession, header: VcfHeader) -> DataFrame:
     rows = [(k, d.get("Number"), d.get("Type")) for k, d in header.info.items()]
@@ -29,21 +35,21 @@ def info_violations(v: DataFrame, header: VcfHeader) -> DataFrame:
     typ = F.map_from_arrays(F.lit(keys), F.lit([header.info[k].get("Type") or "String" for k in keys])) \
         if keys else F.create_map().cast("map<string,string>")
     e = v.select(F.size("alts").alias("n_alts"), F.explode("info").alias("key", "val"))
-    number, type_ = F.try_element_at(num, F.col("key")), F.try_element_at(typ, F.col("key"))
+    count, type_ = F.try_element_at(num, F.col("key")), F.try_element_at(typ, F.col("key"))
     items = F.split(F.col("val"), ",")
     n_items = F.when(F.col("val").isNull(), F.lit(0)).otherwise(F.size(items))
-    expected = (F.when(number == "A", F.col("n_alts"))
-                .when(number == "R", F.col("n_alts") + 1)
-                .when(number.rlike("^[0-9]+$"), number.cast("int")))
-    bad_type = (F.when(type_ == "Integer", F.exists(items, lambda x: (x != ".") & x.try_cast("int").isNull()))
-                .when(type_ == "Float", F.exists(items, lambda x: (x != ".") & x.try_cast("double").isNull()))
+    expected = (F.when(count == "A", F.col("n_alts"))
+                .when(count == "R", F.col("n_alts") + 1)
+                .when(count.rlike("^[0-9]+$"), count.cast("int")))
+    bad_type = (F.when(type_ == "Integer", F.exists(items, lambda x: (x != ".") & number(x, "int").isNull()))
+                .when(type_ == "Float", F.exists(items, lambda x: (x != ".") & number(x, "double").isNull()))
                 .when(type_ == "Flag", F.col("val").isNotNull())
                 .otherwise(F.lit(False)))
     issues = F.filter(F.array(
-        F.when(number.isNull(), F.lit("unknown_key")),
-        F.when(number.isNotNull() & expected.isNotNull() & (type_ != "Flag") & (n_items != expected),
+        F.when(count.isNull(), F.lit("unknown_key")),
+        F.when(count.isNotNull() & expected.isNotNull() & (type_ != "Flag") & (n_items != expected),
                F.lit("wrong_number")),
-        F.when(number.isNotNull() & F.coalesce(bad_type, F.lit(False)), F.lit("wrong_type"))),
+        F.when(count.isNotNull() & F.coalesce(bad_type, F.lit(False)), F.lit("wrong_type"))),
         lambda x: x.isNotNull())
     return (e.select("key", F.explode(issues).alias("issue"))
             .groupBy("key", "issue").agg(F.count(F.lit(1)).alias("n_records")))
@@ -75,6 +81,13 @@ def contig_ranks(v: DataFrame) -> DataFrame:
         "chrom", F.coalesce(F.col("_i").cast("long"), F.lit(1 << 40) + F.col("_o")).alias("_rank"))
 
 
+def _ranked(v: DataFrame) -> DataFrame:
+    """``v``, written once, with its contigs' ranks."""
+    v = stored(v, "order-check")
+    ranks = stored(contig_ranks(v), "contig-ranks")
+    return v.join(F.broadcast(ranks) if ranks.count() <= BROADCAST_CONTIGS else ranks, "chrom")
+
+
 def _with_previous(v: DataFrame, block: str) -> DataFrame:
     """Each record with its predecessor's ``chrom``, rank, position and block (``_p``; null for the first record).
 
@@ -106,7 +119,7 @@ def coordinate_order_report(v: DataFrame) -> DataFrame:
     record, so their positions, and returns to them, are checked too.
     """
     x = v.select("ordinal", "contig_idx", "chrom", "pos", F.floor(F.col("ordinal") / ORDER_BLOCK).alias("_b"))
-    x = _with_previous(x.join(contig_ranks(x), "chrom"), "_b")
+    x = _with_previous(_ranked(x), "_b")
     return x.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_records"), F.min("pos").alias("min_pos"),
                                   F.max("pos").alias("max_pos"), F.count_if(_backward()).alias("n_unsorted"))
 
@@ -118,7 +131,7 @@ def shard_validation(records: DataFrame, records_per_shard: int, total: int | No
     n = int(records_per_shard)
     total = records.count() if total is None else int(total)
     x = records.select("ordinal", "contig_idx", "chrom", "pos", "shard_id")
-    x = _with_previous(x.join(contig_ranks(x), "chrom"), "shard_id")
+    x = _with_previous(_ranked(x), "shard_id")
     w = Window.partitionBy("shard_id").orderBy("ordinal")
     x = x.withColumn("_step", F.col("ordinal") - F.lag("ordinal").over(w))
     inside = F.col("_p.block") == F.col("shard_id")

@@ -24,8 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.region import Region, parse_region, record_end
+from ..session import stored
 
 DEFAULT_BIN = 100_000
+# A region of this many bins is cut at the last base of its contig's records first.
+WIDE_BINS, MAX_CONTIGS = 10_000, 1_000
 # Estimated bytes of one binned region row in a broadcast hash relation
 # (contig name, three longs, id, row overhead).
 _REGION_ROW_BYTES = 96
@@ -53,15 +56,22 @@ def _binned_pairs(variants: DataFrame, regions: DataFrame, bin_width: int,
                   broadcast_max_bytes: int) -> DataFrame:
     w = int(bin_width)
     # Open-ended regions ("chr1:100-") are binned up to the last base any record of their contig
-    # covers; regions beyond it, or of contigs without records, overlap nothing.
-    tops = variants.groupBy("chrom").agg(F.max("_v_end")).where("chrom IS NOT NULL").collect()  # a row per contig
-    tops = variants.sparkSession.createDataFrame([tuple(r) for r in tops], "_r_chrom string, _top long")
-    rb = (regions.select(
+    # covers; only the contigs that have such regions are looked at, and mostly none has.
+    wide = F.expr(f"(end - start) div {w} >= {WIDE_BINS}")
+    rb = regions.select(
         F.col("chrom").alias("_r_chrom"), F.col("start").alias("_r_start"), F.col("end").alias("_r_end"),
         *[F.col(c) for c in regions.columns if c not in ("chrom", "start", "end")])
-        .join(tops, "_r_chrom").where("_r_start <= _top")
-        .withColumn("_bin", F.explode(F.sequence(
-            F.expr(f"_r_start div {w}"), F.expr(f"least(_r_end, _top) div {w}")))).drop("_top"))
+    last = F.col("_r_end")
+    contigs = [r["chrom"] for r in regions.where(wide).select("chrom").distinct().limit(MAX_CONTIGS + 1).collect()]
+    if contigs:
+        some = variants.where(F.col("chrom").isin(contigs)) if len(contigs) <= MAX_CONTIGS else variants
+        tops = stored(some.groupBy("chrom").agg(F.max("_v_end").alias("_top")).withColumnRenamed("chrom", "_t_chrom"), "contig-ends")
+        rb = rb.join(tops, rb["_r_chrom"] == tops["_t_chrom"], "left")
+        last = F.when(F.expr(f"(_r_end - _r_start) div {w} >= {WIDE_BINS}"), F.least("_r_end", F.coalesce("_top", F.lit(0)))) \
+            .otherwise(last)
+    rb = (rb.withColumn("_last", last).where("_r_start <= _last")
+          .withColumn("_bin", F.explode(F.sequence(F.expr(f"_r_start div {w}"), F.expr(f"_last div {w}"))))
+          .drop("_last", "_top", "_t_chrom"))
     n_binned = rb.count()  # size check before any broadcast
     vb = variants.withColumn("_bin", F.explode(F.sequence(
         F.expr(f"pos div {w}"), F.expr(f"_v_end div {w}"))))
@@ -125,12 +135,16 @@ def region_counts(variants: DataFrame, regions: DataFrame, **kw) -> DataFrame:
             .withColumn("n_variants", F.coalesce(F.col("n_variants"), F.lit(0).cast("long"))))
 
 
+def coordinate_keys(tie: tuple[str, ...] = ()) -> list:
+    """Sort keys of coordinate order; undeclared contigs (null ``contig_idx``) go last, by name."""
+    return [F.col("contig_idx").asc_nulls_last(), F.col("chrom"), F.col("pos"), *[F.col(c) for c in tie]]
+
+
 def sort_coordinates(df: DataFrame, partitions: int | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
     """Coordinate order (L3): range-partition on ``(contig_idx, pos)`` and
     sort inside partitions, so partition ``k`` holds the ``k``-th coordinate
     range and files written in partition order are globally sorted.  The
-    range bounds include ``pos``, so one contig is spread over many tasks.
-    Undeclared contigs (null ``contig_idx``) go last, by name."""
-    keys = [F.col("contig_idx").asc_nulls_last(), F.col("chrom"), F.col("pos"), *[F.col(c) for c in tie]]
+    range bounds include ``pos``, so one contig is spread over many tasks."""
+    keys = coordinate_keys(tie)
     out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return out.sortWithinPartitions(*keys)

@@ -293,6 +293,8 @@ DIRTY = BASE + f""",
 d as (
   select *, pos % 50 = 0 as f_qual, pos % 97 = 1 as f_pos, pos % 41 = 2 as f_af, pos % 37 = 3 as f_rep,
          pos % 29 = 4 as f_unk, pos % 31 = 5 as f_contig, pos % 200 = 6 as f_moved, pos % 53 = 7 as f_gq,
+         pos % 59 = 8 and pos % 50 <> 0 as f_qsuf, pos % 61 = 9 and pos % 41 <> 2 as f_asuf,
+         pos % 47 = 10 and pos % 59 <> 8 and pos % 50 <> 0 as f_tiny,
          alt2 is not null and g1 = 1 as f_12, linenumber = 4 as f_hap
   from v),
 dl as (
@@ -304,9 +306,11 @@ dl as (
   from d),
 dr as (
   select *, dchrom || chr(9) || case when f_pos then 'x' else '' end || cast(pos as varchar) || chr(9) || '.' || chr(9) || ref
-      || chr(9) || alt_text || chr(9) || case when f_qual then 'high' else coalesce(cast(qual as varchar), '.') end
+      || chr(9) || alt_text || chr(9) || case when f_qual then 'high' when f_qsuf then cast(quantity as varchar) || 'd'
+                                         when f_tiny then '0.0' || repeat('0', linenumber) || '25'
+                                         else coalesce(cast(qual as varchar), '.') end
       || chr(9) || filter || chr(9)
-      || 'AF=' || case when f_af then 'abc' when alt2 is not null then cast(af1 as varchar) || ',' || cast(af2 as varchar)
+      || 'AF=' || case when f_af then 'abc' when f_asuf then '0.1f' when alt2 is not null then cast(af1 as varchar) || ',' || cast(af2 as varchar)
                   else cast(af1 as varchar) end || ';DB'
       || case when f_rep then ';AF=9' else '' end || case when f_unk then ';ZZ=1' else '' end || chr(9)
       || case when linenumber = 5 then 'GQ:GT' else 'GT:GQ' end || chr(9)
@@ -336,9 +340,10 @@ _LAG = """(select *, lag(dchrom) over w as pchrom, lag(dpos) over w as ppos, lag
 
 SQL |= {
     "typed_rejects_dirty": DIRTY + """
-select count(*) as n_records, count(*) filter (where f_qual or f_pos or f_af or f_rep) as records_with_bad_fields,
-       count(*) filter (where f_qual or qual is null) as missing_qual, count(*) filter (where f_qual) as bad_qual,
-       count(*) filter (where f_pos) as bad_pos, count(*) filter (where f_af) as bad_af,
+select count(*) as n_records, count(*) filter (where f_qual or f_qsuf or f_pos or f_af or f_asuf or f_rep) as records_with_bad_fields,
+       count(*) filter (where f_qual or f_qsuf or (qual is null and not f_tiny)) as missing_qual,
+       count(*) filter (where f_qual or f_qsuf) as bad_qual,
+       count(*) filter (where f_pos) as bad_pos, count(*) filter (where f_af or f_asuf) as bad_af,
        count(*) filter (where f_rep) as repeated_info,
        cast(sum((f_gq or c1 = 3)::int + (linenumber = 2 or c2 = 3)::int + (c3 = 3)::int) as bigint) as missing_gq,
        count(*) filter (where f_gq) as bad_gq
@@ -346,9 +351,9 @@ from d""",
     "info_violations_dirty": DIRTY + """
 select 'ZZ' as key, 'unknown_key' as issue, count(*) as n_records from d where f_unk group by all having count(*) > 0
 union all
-select 'AF', 'wrong_number', count(*) from d where alt1 is null or (f_af and alt2 is not null) group by all having count(*) > 0
+select 'AF', 'wrong_number', count(*) from d where alt1 is null or ((f_af or f_asuf) and alt2 is not null) group by all having count(*) > 0
 union all
-select 'AF', 'wrong_type', count(*) from d where f_af group by all having count(*) > 0""",
+select 'AF', 'wrong_type', count(*) from d where f_af or f_asuf group by all having count(*) > 0""",
     "coordinate_sorted_dirty": DIRTY + f"""
 select dchrom as chrom, count(*) as n_records, min(dpos) as min_pos, max(dpos) as max_pos,
        count(*) filter (where {_back()}) as n_unsorted
@@ -405,3 +410,7 @@ select cast(shard_id as int) as shard_id, chrom, pos, ref,
        {_gt('c1')} || ';' || {_gt('c2')} || ';' || {_gt('c3', '|')} as genotypes_gt
 from shards"""),
 }
+
+from .oracle_tables import SQL as _TABLE_SQL  # noqa: E402
+
+SQL |= _TABLE_SQL

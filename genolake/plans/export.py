@@ -37,18 +37,35 @@ def _flat(df: DataFrame, list_sep: str = ",") -> DataFrame:
     return df.select(*cols)
 
 
+# A lone point, after any number of backslashes, gets one backslash more: ``.`` alone means null.
+_POINT = r"^\\*\.$"
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    """``df`` with its lone points changed."""
+    return df.select(*[F.when(F.col(f.name).rlike(_POINT), change(F.col(f.name))).otherwise(F.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by=()) -> DataFrame:
     """Tab-separated text with a header line, in a folder for each value of ``partition_by`` if given;
-    returns the flattened frame written."""
+    returns the flattened frame written.
+
+    Null is ``.``, as in a VCF; a text that is itself a point is written ``\\.``
+    and an empty text ``""``, so ``read_tsv`` gives all three back.
+    """
     flat = _flat(df)
-    w = flat.write.mode(mode).option("sep", "\t").option("header", True).option("nullValue", ".").option("emptyValue", "")
+    w = (_texts(flat, lambda c: F.concat(F.lit("\\"), c)).write.mode(mode).option("sep", "\t").option("header", True)
+         .option("nullValue", ".").option("emptyValue", '""')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     (w.partitionBy(*partition_by) if partition_by else w).csv(path)
     return flat
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return (spark.read.option("sep", "\t").option("header", True).option("nullValue", ".")
+    rows = (spark.read.option("sep", "\t").option("header", True).option("nullValue", ".").option("emptyValue", "")
             .option("mode", "FAILFAST").schema(schema).csv(path))
+    return _texts(rows, lambda c: F.substr(c, F.lit(2)))
 
 
 def write_columnar(df: DataFrame, path: str, fmt: str = "parquet", partition_by=("shard_id",),

@@ -1,18 +1,24 @@
 """The shard job (K1-K5, K3, S6): consecutive records -> fixed-size shards + manifest.
 
-Layout under ``base`` (one folder per run, append-only)::
-
-    shards/run_id=<id>/shard_id=<k>/part-*.parquet   records: ordinal, line, chrom, pos, ...
-    headers/run_id=<id>/part-*.json                   the VCF header lines, once per run (K3)
-    manifests/run_id=<id>/part-*.json                 one row per shard, written last (K4)
-    params/run_id=<id>/part-*.json                    the run's parameters
-
-Plan shape: ordinals cost one small job (counts per input split); the write
-is then a map-only job - broadcast join of split offsets, ``shard_id =
-ordinal div n``, partitioned write.  No shuffle of the records: a shard that
-straddles two input splits is written by two tasks into the same
-``shard_id=<k>`` folder.  ``compact=True`` instead shuffles on ``shard_id`` to
-get exactly one file per shard (the reference's one-file-per-shard form).
+Layout under ``base`` (append-only; ``<f>`` is the run id, with a suffix for a redo)::
+
+    shards/run_id=<f>/shard_id=<k>/part-*.parquet    records: ordinal, line, chrom, pos, ...
+    headers/run_id=<f>/part-*.json                   the VCF header lines, once per run (K3)
+    manifests/run_id=<f>/part-*.json                 one row per shard (K4)
+    zones/run_id=<f>/part-*.parquet                  coordinate range of each contig in each shard (S4)
+    params/run_id=<f>/part-*.json                    the run's parameters
+    commits/v=<n>/part-*.json                        the log of committed runs, written last (plans/commits.py)
+
+Plan shape: ``with_ordinal`` writes the records once with their input split and
+numbers them by a broadcast of the splits' offsets (counted first; beyond a
+million splits a shuffle join), so the partitioned write that follows has no
+shuffle: a shard that straddles two input splits gets two files in its folder.
+``compact=True`` instead shuffles on ``shard_id`` to get exactly one file per
+shard (the reference's one-file-per-shard form).
+
+Readers take a run's folder from the log, never from a listing: runs that are
+half-written, replaced or removed are not seen, and a reader that fixed a
+version keeps its snapshot while redos go on.
 """
 
 from __future__ import annotations
@@ -27,7 +33,10 @@ from ..functions.region import overlaps, parse_region
 from ..operators.flatten import flatten
 from ..operators.ordinal import with_ordinal, with_shard_id
 from ..sources.scan import VcfScan, open_vcf
-from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES
+from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES, naming_source
+from . import commits as L
+from .inventory import resolve_sink, safe_join
+from .zones import ZONE_SCHEMA, shard_zones
 
 RUN_ID_FORMAT = "%Y-%m-%d_%H-%M-%S"
 # Columns of a shard file; ``shard_id`` (and ``run_id`` when reading a base)
@@ -85,23 +94,32 @@ def manifest_of(records: DataFrame, shards_path: str | None = None) -> DataFrame
 
 def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000, region=None,
           run_id: str | None = None, compact: bool = False, scan: VcfScan | None = None,
-          redo: bool = False, use_info_end: bool = False, remote_schemes=DEFAULT_REMOTE_SCHEMES) -> DataFrame:
+          redo: bool = False, use_info_end: bool = False, remote_schemes=DEFAULT_REMOTE_SCHEMES,
+          sink: str = "local") -> DataFrame:
+    """Run the shard job (see ``_shard``); a read failure is an ``IOError`` that names the source (S5)."""
+    with naming_source(source, "shard"):
+        return _shard(spark, source, base, records_per_shard, region, run_id, compact, scan, redo, use_info_end,
+                      remote_schemes, sink)
+
+
+def _shard(spark, source, base, records_per_shard, region, run_id, compact, scan, redo, use_info_end, remote_schemes,
+           sink) -> DataFrame:
     """Run the shard job; returns the manifest DataFrame (read back from disk).
 
-    Each run writes only its own ``run_id=<id>`` folders with
-    ``errorifexists``: a repeated run id fails instead of overwriting.
-    ``redo=True`` deliberately rewrites that one run (its manifest is removed
-    first, so readers see it as uncommitted until the new manifest lands);
-    other runs are untouched.
+    A repeated run id fails instead of overwriting.  ``redo=True`` deliberately
+    replaces a run: its data go to a new folder, and readers change over to it
+    with the commit at the end; other runs are untouched.
     """
+    resolve_sink(sink)
     run_id = checked_run_id(run_id or new_run_id())
     scan = scan or open_vcf(spark, source, remote_schemes)
     base = base.rstrip("/")
-    shards_path = f"{base}/shards/run_id={run_id}"
-    mode = "overwrite" if redo else "errorifexists"
-    if redo:  # uncommit first: replace the manifest by an empty one
-        spark.createDataFrame([], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite") \
-            .json(f"{base}/manifests/run_id={run_id}")
+    state = L.run_state(spark, base, run_id)
+    if state and not redo:
+        raise FileExistsError(f"run {run_id} is committed already (version {state['version']}); redo=True replaces it")
+    folder = L.new_folder(run_id, redo)
+    shards_path, headers_path, manifests_path, zones_path, params_path = (
+        safe_join(base, f"{kind}/run_id={folder}") for kind in ("shards", "headers", "manifests", "zones", "params"))
     recs = shard_records(scan, records_per_shard, region, use_info_end)
     out = recs.select("shard_id", "ordinal", F.col("value").alias("line"), "raw_len",
                       "chrom", "contig_idx", "pos", "ref")
@@ -112,86 +130,98 @@ def shard(spark: SparkSession, source, base: str, records_per_shard: int = 10000
     obs = Observation(f"shard-{run_id}")
     out = out.observe(obs, F.count(F.lit(1)).alias("records_written"))
     (out.sortWithinPartitions("shard_id", "ordinal")
-     .write.mode(mode).partitionBy("shard_id").parquet(shards_path))
+     .write.mode("errorifexists").partitionBy("shard_id").parquet(shards_path))
     written_rows = int(obs.get.get("records_written", 0))
-    spark.createDataFrame([(i, ln) for i, ln in enumerate(scan.header.lines)], "line_no int, line string") \
-        .coalesce(1).write.mode(mode).json(f"{base}/headers/run_id={run_id}")
+    header = spark.createDataFrame([(i, ln) for i, ln in enumerate(scan.header.lines)], "line_no int, line string")
+    header.coalesce(1).write.mode("errorifexists").json(headers_path)
     written = spark.read.schema(SHARD_FILE_SCHEMA).parquet(shards_path)
-    manifest = manifest_of(written, shards_path).cache()
-    in_manifest = manifest.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
-    if int(in_manifest) != written_rows:
-        raise RuntimeError(f"run {run_id}: {written_rows} records written but {in_manifest} read back")
+    manifest_of(written, shards_path).write.mode("errorifexists").json(manifests_path)
+    shard_zones(written).write.mode("errorifexists").parquet(zones_path)
+    manifest = spark.read.schema(MANIFEST_SCHEMA).json(manifests_path)
+    totals = manifest.agg(F.count(F.lit(1)).alias("shards"), F.coalesce(F.sum("n_records"), F.lit(0)).alias("n")).first()
+    if int(totals["n"]) != written_rows:
+        raise RuntimeError(f"run {run_id}: {written_rows} records written but {totals['n']} read back")
     params = spark.createDataFrame(
-        [(run_id, str(source), int(records_per_shard), str(region) if region else None,
-          datetime.now(timezone.utc).replace(tzinfo=None), bool(compact), written_rows)],
-        "run_id string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
-        "compact boolean, records_written long")
-    params.coalesce(1).write.mode(mode).json(f"{base}/params/run_id={run_id}")
-    # The manifest is written last: its presence marks the run committed.
-    manifest.coalesce(1).write.mode(mode).json(f"{base}/manifests/run_id={run_id}")
-    manifest.unpersist()
+        [(run_id, folder, str(source), int(records_per_shard), str(region) if region else None,
+          datetime.now(timezone.utc).replace(tzinfo=None), bool(compact), written_rows)], PARAMS_SCHEMA)
+    params.coalesce(1).write.mode("errorifexists").json(params_path)
+    L.commit(spark, base, run_id, "replace" if state else "add", folder, totals["shards"], written_rows)
     return read_manifest(spark, base, run_id)
 
 
-def read_params(spark: SparkSession, base: str) -> DataFrame:
-    """Parameters and observed counts of every run."""
-    return spark.read.schema(
-        "run_id string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
-        "compact boolean, records_written long").json(f"{base.rstrip('/')}/params")
-
-
+PARAMS_SCHEMA = ("run_id string, folder string, source string, records_per_shard int, region string, finished_at timestamp_ntz, "
+                 "compact boolean, records_written long")
 MANIFEST_SCHEMA = ("shard_id int, n_records long, first_ordinal long, last_ordinal long, first_chrom string, "
                    "first_pos long, last_chrom string, last_pos long, n_bytes long, shard_name string, "
                    "path string")
 
 
-def read_manifest(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
-    """Manifest rows (all committed runs, or one run) with ``run_id``."""
-    root = f"{base.rstrip('/')}/manifests"
-    path = f"{root}/run_id={run_id}" if run_id else root
-    df = spark.read.schema(MANIFEST_SCHEMA).option("basePath", root).json(path)
-    if run_id:
-        df = df.withColumn("run_id", F.lit(run_id))
+def _of_runs(spark: SparkSession, base: str, kind: str, schema: str, fmt: str, run_id: str | None, version: int | None,
+             max_listed_runs: int = 10_000) -> DataFrame:
+    """Rows of one kind of file of the committed runs, with ``run_id``.
+
+    The folders come from the log: those of one run, or of all runs if they
+    are at most ``max_listed_runs``; beyond that all folders are listed and
+    joined with the log.
+    """
+    log = L.read_log(spark, base)
+    if run_id is not None:
+        log = log.where(F.col("run_id") == checked_run_id(run_id))
+    runs = L.runs_at(log, version).where("n_shards > 0" if kind == "shards" else "true").select("run_id", "folder")
+    listed = runs.limit(max_listed_runs + 1).collect()
+    if not listed:
+        return spark.createDataFrame([], f"{schema}, run_id string")
+    root = f"{base.rstrip('/')}/{kind}"
+    reader = spark.read.format(fmt).schema(f"{schema}, run_id string").option("basePath", root)
+    if len(listed) > max_listed_runs:
+        df = reader.load(root).withColumnRenamed("run_id", "_folder")
+        return df.join(runs, df["_folder"] == runs["folder"]).drop("_folder", "folder")
+    df = reader.load([f"{root}/run_id={r['folder']}" for r in listed])
+    renamed = {r["folder"]: r["run_id"] for r in listed if r["folder"] != r["run_id"]}
+    if renamed:  # redone runs: the folder's name gives way to the run's
+        names = F.create_map(*[F.lit(x) for kv in renamed.items() for x in kv])
+        df = df.withColumn("run_id", F.coalesce(F.try_element_at(names, F.col("run_id")), F.col("run_id")))
     return df
 
 
-def read_shards(spark: SparkSession, base: str, run_id: str | None = None,
-                shard_id: int | None = None, committed_only: bool = True,
-                max_listed_runs: int = 10_000) -> DataFrame:
-    """Shard records (S6); ``run_id``/``shard_id`` filters prune folders.
+def read_params(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """Parameters and observed counts of every committed run."""
+    runs = L.runs_at(L.read_log(spark, base), version)
+    if runs.isEmpty():
+        return spark.createDataFrame([], PARAMS_SCHEMA)
+    rows = spark.read.schema(PARAMS_SCHEMA).option("recursiveFileLookup", "true").json(f"{base.rstrip('/')}/params")
+    return rows.join(runs.select("folder"), "folder", "left_semi")
+
 
-    With ``committed_only``, only runs with a manifest are returned (a run
-    that failed half-way has shards but no manifest).
+def read_manifest(spark: SparkSession, base: str, run_id: str | None = None, version: int | None = None) -> DataFrame:
+    """Manifest rows (all committed runs, or one run) with ``run_id``."""
+    return _of_runs(spark, base, "manifests", MANIFEST_SCHEMA, "json", run_id, version)
+
+
+def read_zones(spark: SparkSession, base: str, run_id: str | None = None, version: int | None = None) -> DataFrame:
+    """Coordinate range of each contig in each shard (see ``plans/zones.py``) with ``run_id``."""
+    return _of_runs(spark, base, "zones", ZONE_SCHEMA, "parquet", run_id, version)
+
+
+def read_shards(spark: SparkSession, base: str, run_id: str | None = None, shard_id: int | None = None,
+                version: int | None = None, max_listed_runs: int = 10_000) -> DataFrame:
+    """Shard records (S6) of committed runs; ``run_id``/``shard_id`` prune folders.
+
+    ``version`` reads the state of an earlier commit (a snapshot): a redo in
+    between changes nothing for this reader.
     """
-    root = f"{base.rstrip('/')}/shards"
-    if run_id is not None:  # only this run's folders (or one shard's) are listed, and its manifest alone read
-        run = f"{root}/run_id={checked_run_id(run_id)}"
-        if committed_only and read_manifest(spark, base, run_id).limit(1).count() == 0:
-            return spark.createDataFrame([], SHARD_SCHEMA)
-        df = spark.read.schema(SHARD_SCHEMA).option("basePath", root).parquet(run)
-        return df if shard_id is None else df.where(F.col("shard_id") == int(shard_id))
-    df = spark.read.schema(SHARD_SCHEMA).option("basePath", root).parquet(root)
-    if shard_id is not None:
-        df = df.where(F.col("shard_id") == int(shard_id))
-    if committed_only:
-        runs = read_manifest(spark, base).select("run_id").distinct()
-        committed = runs.limit(max_listed_runs + 1).collect()
-        if len(committed) <= max_listed_runs:
-            # A literal IN list on the partition column prunes run folders at the scan.
-            df = df.where(F.col("run_id").isin([r["run_id"] for r in committed]))
-        else:
-            df = df.join(runs, "run_id", "left_semi")
-    return df
+    df = _of_runs(spark, base, "shards", SHARD_FILE_SCHEMA, "parquet", run_id, version, max_listed_runs)
+    return df if shard_id is None else df.where(F.col("shard_id") == int(shard_id))
 
 
 def read_header_table(spark: SparkSession, base: str, run_id: str) -> DataFrame:
-    return spark.read.schema("line_no int, line string").json(f"{base.rstrip('/')}/headers/run_id={run_id}")
+    return _of_runs(spark, base, "headers", "line_no int, line string", "json", run_id, None).select("line_no", "line")
 
 
 def shard_as_vcf_text(spark: SparkSession, base: str, run_id: str, shard_id: int) -> DataFrame:
     """One shard as VCF lines: the run's header, then its records (K3)."""
     h = read_header_table(spark, base, run_id).select(
         F.lit(0).alias("_part"), F.col("line_no").cast("long").alias("_k"), F.col("line").alias("value"))
-    b = read_shards(spark, base, run_id, shard_id, committed_only=False).select(
+    b = read_shards(spark, base, run_id, shard_id).select(
         F.lit(1).alias("_part"), F.col("ordinal").alias("_k"), F.col("line").alias("value"))
     return h.unionByName(b).orderBy("_part", "_k").select("value")

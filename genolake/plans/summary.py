@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import preview_text
 from ..sources.scan import open_vcf
-from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES
+from ..sources.vcf_text import DEFAULT_REMOTE_SCHEMES, naming_source
 
 log = logging.getLogger(__name__)
 
@@ -29,17 +29,13 @@ def summarize(spark: SparkSession, source, region=None, limit: int | None = None
     h = scan.header
     log.info("%s: version %s, %d samples, %d contigs", source, h.version, len(h.samples), len(h.contigs))
     shown = min(preview, limit) if limit else preview  # the preview never passes the limit
-    try:
+    with naming_source(source, "stream"):
         v = scan.head(limit, region, use_info_end) if limit else scan.variants(region, use_info_end=use_info_end)
         per = v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("raw_len").alias("b")).collect()
         lines = []
         if shown > 0 and per:
             first = (v if limit else scan.head(shown, region, use_info_end)).where(F.col("ordinal") < shown)
             lines = [r["t"] for r in first.orderBy("ordinal").select(preview_text(first).alias("t")).collect()]
-    except (FileNotFoundError, ValueError):
-        raise
-    except Exception as e:  # S5: a read failure names the source
-        raise IOError(f"Failed to stream VCF {source}: {e}") from e
     for ln in lines:
         print(ln)
     chromosomes = {r["chrom"]: int(r["n"]) for r in sorted(per, key=lambda r: r["chrom"] or "")}

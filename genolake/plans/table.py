@@ -29,9 +29,13 @@ def with_bucket(df: DataFrame, width: int = DEFAULT_BUCKET) -> DataFrame:
 
 
 def load_table(df: DataFrame, path: str, width: int = DEFAULT_BUCKET, partitions: int | None = None,
-               mode: str = "errorifexists", fmt: str = "parquet") -> str:
+               mode: str = "errorifexists", fmt: str = "parquet", cluster: list | None = None,
+               options: dict[str, str] | None = None) -> str:
     """Write ``df`` (needs chrom, pos; ref/alt used for clustering if present).
 
+    ``cluster`` gives another order inside a bucket than (ref, alt, pos),
+    ``options`` go to the writer.
+
     The schema and the bucket width are stored with the table.  An append must
     fit both (fields may be added, not removed or retyped); ``ValueError``
     says what does not.
@@ -44,11 +48,12 @@ def load_table(df: DataFrame, path: str, width: int = DEFAULT_BUCKET, partitions
         if problems:
             raise ValueError(f"load into {path}: {'; '.join(problems)}")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cluster = [c for c in ("ref", "alt") if c in df.columns]
+    if cluster is None:
+        cluster = [c for c in ("ref", "alt") if c in df.columns]
     out = (with_bucket(df, width)
            .repartitionByRange(n, "chrom", "pos")
            .sortWithinPartitions("chrom", "pos_bucket", *cluster, "pos"))
-    out.write.mode(mode).format(fmt).partitionBy("chrom", "pos_bucket").save(path)
+    out.write.mode(mode).format(fmt).options(**(options or {})).partitionBy("chrom", "pos_bucket").save(path)
     # The schema is stored beside the data (a "_" folder, skipped by readers)
     # so later loads can be checked with ``schema.check_schema`` (Q4).
     meta = json.loads(schema_json(df)) | {"bucket": int(width)}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import aggregate as A
@@ -19,13 +19,13 @@ from .operators import compare as C
 from .operators import quality as Q
 from .operators import regions as R
 from .operators.flatten import alt_text, flatten
-from .operators.ordinal import with_ordinal
+from .operators.ordinal import with_ordinal, with_sorted_ordinal
 from .plans import export as E
 from .plans import shard as S
 from .plans import table as TB
 from .plans.summary import summarize
 from .session import scratch_path, session_key
-from .streaming.incremental import start_incremental_load
+from .streaming.incremental import read_loaded, start_incremental_load
 from .sources.dirty import materialize_dirty_vcf
 from .sources.fixture import materialize_fixture_vcf
 from .sources.scan import VcfScan, open_vcf
@@ -520,7 +520,7 @@ def table_range_read(spark, sf_dir):
 
 @query
 def incremental_load(spark, sf_dir):
-    """Two runs and a redo, loaded by three calls with default settings; a run without manifest stays out."""
+    """Two runs and a redo, loaded by three calls with default settings; a run that was not committed stays out."""
     base, out = scratch_path(spark, "incremental-runs"), scratch_path(spark, "incremental-alleles")
     scan = fixture_scan(spark, sf_dir)
     S.shard(spark, None, base, 9000, "chr1", run_id="run-a", scan=scan)
@@ -532,24 +532,15 @@ def incremental_load(spark, sf_dir):
     start_incremental_load(spark, base, out, header=scan.header).awaitTermination()
     S.shard(spark, None, base, 9000, "chr4", run_id="run-a", scan=scan, redo=True)
     start_incremental_load(spark, base, out, header=scan.header).awaitTermination()
-    return spark.read.parquet(out).groupBy("run_id", "chrom").agg(F.count(F.lit(1)).alias("n_alleles"))
+    return read_loaded(spark, out).groupBy("run_id", "chrom").agg(F.count(F.lit(1)).alias("n_alleles"))
 
 
 @query
 def coordinate_sort(spark, sf_dir):
-    """Records in hash order sorted again: numbered by the order of the sorted partitions."""
+    """Records in hash order sorted again: numbered by their place in the sorted partitions."""
     v = fixture_scan(spark, sf_dir).variants().select("chrom", "contig_idx", "pos", "ref", "value")
-    out = R.sort_coordinates(v.repartition(16, "ref", "pos"), partitions=16, tie=("value",))
-    path = scratch_path(spark, "coordinate-sorted")
-    out.withColumn("_split_file", F.format_string("%05d", F.spark_partition_id())).withColumn("_split_start", F.lit(0)) \
-        .write.parquet(path)
-    placed = spark.read.parquet(path).withColumn("_k", F.col("_split_file").cast("int"))
-    w = Window.partitionBy("_k").orderBy("contig_idx", "pos", "value")
-    sizes = {r["_k"]: r["n"] for r in placed.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).collect()}  # 16 rows
-    base = F.lit(0)
-    for k in sorted(sizes):
-        base = base + F.when(F.col("_k") > k, F.lit(sizes[k])).otherwise(0)
-    return placed.select((base + F.row_number().over(w) - 1).cast("long").alias("ordinal"), "chrom", "pos", "ref")
+    out = with_sorted_ordinal(v.repartition(16, "ref", "pos"), R.coordinate_keys(("value",)))
+    return out.select("ordinal", "chrom", "pos", "ref")
 
 
 @query
@@ -592,3 +583,6 @@ def tsv_per_shard(spark, sf_dir):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema.fields if f.name != "shard_id")
     t = E.read_tsv(spark, path, schema + ", shard_id int")
     return t.select("shard_id", "chrom", "pos", "ref", "genotypes_gt")
+
+
+from . import registry_tables  # noqa: E402,F401  (adds its queries to QUERIES)

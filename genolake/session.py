@@ -54,15 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="genolake-ck-"))
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return conf
-    global _PRIVATE_ROOT
-    if _PRIVATE_ROOT is None:
-        _PRIVATE_ROOT = tempfile.mkdtemp(prefix="genolake-ck-")
-    return _PRIVATE_ROOT
-
-
-_PRIVATE_ROOT: str | None = None
+    if not conf:  # where the executors are is not known here
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return conf
 
 
 def session_key(spark: SparkSession) -> str:
@@ -76,3 +70,10 @@ def session_key(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path under the shared checkpoint directory."""
     return f"{checkpoint_root(spark).rstrip('/')}/genolake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, name: str):
+    """``df`` written once to the shared scratch folder and read back with its schema."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 Rendered from the same relation; faults are set by remainders of the
 position (fixed values, mirrored by the SQL twins in ``oracle.py``): unreadable
-QUAL, POS, AF and GQ, a repeated and an unknown INFO key, undeclared contigs,
+QUAL, POS, AF and GQ (also numbers with a Java suffix), very small QUAL, a repeated and an unknown INFO key, undeclared contigs,
 records moved out of order, FORMAT with its keys swapped, samples without
 their last key, haploid and ``1/2`` calls.
 """
@@ -17,7 +17,7 @@ from .fixture import GT_CODES, HEADER_LINES, fixture_relation
 
 # fault -> (modulus, remainder) of the position
 FAULTS = {"qual": (50, 0), "pos": (97, 1), "af": (41, 2), "repeat": (37, 3), "unknown": (29, 4), "contig": (31, 5),
-          "moved": (200, 6), "gq": (53, 7)}
+          "moved": (200, 6), "gq": (53, 7), "qual_suffix": (59, 8), "af_suffix": (61, 9), "tiny": (47, 10)}
 
 
 def _fault(name: str) -> Column:
@@ -41,7 +41,7 @@ def dirty_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = F.when(F.col("linenumber") == 5, F.concat_ws(":", q, text)).otherwise(F.concat_ws(":", text, q))
         return out if drop is None else F.when(drop, text).otherwise(out)
 
-    af = F.when(_fault("af"), F.lit("abc")).when(two, F.concat_ws(",", F.col("af1").cast("string"),
+    af = F.when(_fault("af"), F.lit("abc")).when(_fault("af_suffix"), F.lit("0.1f")).when(two, F.concat_ws(",", F.col("af1").cast("string"),
                                                                   F.col("af2").cast("string"))) \
         .otherwise(F.col("af1").cast("string"))
     info = F.concat(F.lit("AF="), af, F.lit(";DB"), F.when(_fault("repeat"), ";AF=9").otherwise(""),
@@ -51,7 +51,8 @@ def dirty_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "\t", F.when(_fault("contig"), F.concat(F.lit("scaf"), F.col("contig_idx").cast("string"))).otherwise(F.col("chrom")),
         F.when(_fault("pos"), F.concat(F.lit("x"), F.col("pos").cast("string"))).otherwise(F.col("pos").cast("string")),
         F.lit("."), F.col("ref"), alts,
-        F.when(_fault("qual"), "high").otherwise(F.coalesce(F.col("qual").cast("string"), F.lit("."))),
+        F.when(_fault("qual"), "high").when(_fault("qual_suffix"), F.concat(F.col("quantity").cast("string"), F.lit("d")))
+        .when(_fault("tiny"), F.concat(F.lit("0.0"), F.repeat(F.lit("0"), F.col("linenumber")), F.lit("25"))).otherwise(F.coalesce(F.col("qual").cast("string"), F.lit("."))),
         F.col("filter"), info, F.when(F.col("linenumber") == 5, "GQ:GT").otherwise("GT:GQ"),
         sample("g1", "/", (two & (F.col("g1") == 1), "1/2"), _fault("gq")),
         sample("g2", "/", drop=F.col("linenumber") == 2),

@@ -13,6 +13,10 @@ from ..session import scratch_path
 from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, literal_path, read_header, read_lines
 
 
+# ``head`` takes this many records at most to the driver, from this many files; beyond, it counts splits.
+TAKE_MAX, TAKE_FILES = 20_000, 8
+
+
 @dataclass
 class VcfScan:
     """A VCF source: its header and its line relation."""
@@ -57,13 +61,46 @@ class VcfScan:
     def head(self, n: int | None, region: Region | str | None = None, use_info_end: bool = False) -> DataFrame:
         """The first ``n`` records in file order (``ordinal < n``); 0 or None: all of them.
 
-        Files in path order are the VCF's order, so the records lie in the
-        shortest prefix of the sorted file list that holds ``n`` of them.  The
-        prefix grows in doubling batches (records counted by input split);
+        Files in path order are the VCF's order.  Up to ``TAKE_MAX`` records
+        are taken from the leading files one after another: Spark's ``take``
+        runs on a file's leading splits only, more of them as long as records
+        are missing, so ten records of a file of any size cost its first split.
+
+        What is still missing then (more records, or many files with few of
+        them) lies in the shortest prefix of the remaining files that holds it.
+        The prefix grows in doubling batches (records counted by input split);
         then only the splits that hold the first ``n`` are numbered.  If the
         input was cut differently meanwhile, the counts disagree and the call
         fails rather than answer wrongly.
         """
+        files = sorted(self.lines.inputFiles())
+        if n and files and n <= TAKE_MAX:
+            rows: list[tuple[str, int]] = []
+            for at, file in enumerate(files[:TAKE_FILES]):
+                more = self._on([file])._leading(n - len(rows), region, use_info_end)
+                if more is None:
+                    return self._counted_head(n, region, use_info_end)
+                rows += more
+                if len(rows) >= n or at + 1 == len(files):
+                    return self._numbered(rows)
+            rest = self._on(files[TAKE_FILES:])._counted_head(n - len(rows), region, use_info_end)
+            return self._numbered(rows).unionByName(rest.withColumn("ordinal", F.col("ordinal") + len(rows)))
+        return self._counted_head(n, region, use_info_end)
+
+    def _leading(self, n: int, region: Region | str | None, use_info_end: bool) -> list[tuple[str, int]] | None:
+        """Up to ``n`` first records of a source of one file, in its order (None: its splits did not come in order)."""
+        wanted = self.variants(region, with_split=True, use_info_end=use_info_end)
+        rows = wanted.select("value", "raw_len", "_split_start").take(n)
+        if any(a["_split_start"] > b["_split_start"] for a, b in zip(rows, rows[1:])):
+            return None
+        return [(r["value"], r["raw_len"]) for r in rows]
+
+    def _numbered(self, rows: list[tuple[str, int]]) -> DataFrame:
+        """Wide rows of record lines at hand."""
+        lines = self.spark.createDataFrame([(v, b, i) for i, (v, b) in enumerate(rows)], "value string, raw_len int, ordinal long")
+        return flatten(lines, self.header)
+
+    def _counted_head(self, n: int | None, region: Region | str | None, use_info_end: bool) -> DataFrame:
         from ..operators.ordinal import SPLIT_COLS, limit_records, prefix_sum, with_ordinal
 
         def records(files: list[str]) -> DataFrame:

@@ -6,13 +6,16 @@ input splits, so plain-text files are scanned by many tasks.  ``.gz`` files
 task each; files named ``.bgz`` are refused because the text source would
 hand back raw compressed bytes.
 
-The header (``#`` lines) of a single file is read from its head, bounded by the
-header's size; that of several files is the union of all their headers.
+The header (``#`` lines) of a file is read from its head, bounded by the
+header's size; that of several files is the union of all their headers, their
+heads read side by side.
 """
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from urllib.parse import unquote, urlparse
 
@@ -73,6 +76,17 @@ def read_lines(spark: SparkSession, source, remote_schemes=DEFAULT_REMOTE_SCHEME
         raise IOError(f"Failed to open VCF {', '.join(sources)}: {e}") from e
 
 
+@contextmanager
+def naming_source(source, what: str):
+    """Read failures inside the block become an ``IOError`` that names the source (S5); own errors pass."""
+    try:
+        yield
+    except (OSError, ValueError, RuntimeError):
+        raise
+    except Exception as e:
+        raise IOError(f"Failed to {what} VCF {source}: {e}") from e
+
+
 @dataclass
 class VcfHeader:
     """What the header declares; small, lives on the driver."""
@@ -143,45 +157,47 @@ def literal_path(uri: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def read_header(spark: SparkSession, lines: DataFrame, first_chunk: int = 1024) -> VcfHeader:
-    """The header of a source.
+def file_header_lines(spark: SparkSession, file: str, first_chunk: int = 128) -> list[str]:
+    """The ``#`` lines that start one file.
 
-    One file: ``take`` from its head, growing until the first record line, so
-    the cost is the header's length; if the rows taken do not start the file,
-    its ``#`` lines are filtered out of a whole scan.
-
-    Several files: the distinct ``#`` lines of all of them in one job, first
-    file first.  Contigs and definitions are the union; the sample columns
-    must agree (same names, same order) wherever a file names them, else
-    ``ValueError``: sample values are read by their place.
+    ``take`` from its head, growing until the first record line: the jobs read
+    the file's first split, and of it little more than the header; of record
+    lines only one character comes along.  A header longer than the split is
+    filtered out of the whole file.
+    """
+    lines = spark.read.text(literal_path(file)).select("value", F.col("_metadata.file_block_start").alias("_b"))
+    cut = F.when(F.col("value").startswith("#"), F.col("value")).otherwise(F.substring("value", 1, 1))
+    n = first_chunk
+    while True:
+        rows = lines.select(cut.alias("value"), "_b").take(n)
+        head = [r["value"] for r in rows if r["_b"] == 0]
+        body = next((i for i, v in enumerate(head) if not v.startswith("#")), None)
+        if body is not None or len(rows) < n and len(head) == len(rows):
+            return head[:body]
+        if len(head) < len(rows):
+            marked = lines.where(F.col("value").startswith("#")).withColumn("_i", F.monotonically_increasing_id())
+            return [r["value"] for r in marked.orderBy("_b", "_i").collect()]
+        n *= 4
+
+
+HEADS_AT_ONCE = 16
+
+
+def read_header(spark: SparkSession, lines: DataFrame) -> VcfHeader:
+    """The header of a source, from the heads of its files (no record is read beyond them).
+
+    Several files: contigs and definitions are the union, first file first;
+    the sample columns must agree (same names, same order) wherever a file
+    names them, else ``ValueError``: sample values are read by their place.
     """
     files = sorted(lines.inputFiles())
-    if not files:
-        return VcfHeader()
-    if len(files) == 1:
-        first = spark.read.text(literal_path(files[0])).select(
-            "value", F.col("_metadata.file_block_start").alias("_b"))
-        n = first_chunk
-        while True:
-            rows = first.take(n)
-            if any(r["_b"] != 0 for r in rows):
-                break
-            head = []
-            for r in rows:
-                if not r["value"].startswith("#"):
-                    return parse_header_lines(head)
-                head.append(r["value"])
-            if len(rows) < n:
-                return parse_header_lines(head)
-            n *= 4
-    marked = lines.where(F.col("value").startswith("#")).select(
-        "value", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                          F.monotonically_increasing_id().alias("i")).alias("at"))
-    distinct = marked.groupBy("value").agg(F.min("at").alias("at")).orderBy("at").collect()
-    names = {r["value"] for r in distinct if r["value"].startswith("#CHROM")}
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:  # small jobs, many of them
+        heads = list(pool.map(lambda f: file_header_lines(spark, f), files))
+    distinct = list(dict.fromkeys(ln for head in heads for ln in head))
+    names = {ln for ln in distinct if ln.startswith("#CHROM")}
     if len({tuple(n.rstrip("\r").split("\t")[9:]) for n in names}) > 1:
         raise ValueError(f"the files name different sample columns: {sorted(names)[:4]}")
-    return parse_header_lines([r["value"] for r in distinct])
+    return parse_header_lines(distinct)
 
 
 def body_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
