@@ -34,13 +34,24 @@ def with_tag(rows: DataFrame) -> DataFrame:
     return rows.withColumn("tag", F.xxhash64("text"))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``docs`` has it (in any case)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows of ``gone(doc_id, tag)``, null ids included."""
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct()
-    own, tag = docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    rows = docs.withColumn("_own", own).withColumn("_own_tag", tag)
-    return rows.join(gone, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_tag") == F.col("_tag")),
-                     "left_anti").select(*docs.columns)
+    i, t, own, own_tag = unused(docs, "_id", "_tag", "_own", "_own_tag")
+    gone = gone.select(F.col("doc_id").alias(i), F.col("tag").alias(t)).distinct()
+    rows = docs.withColumn(own, docs["doc_id"].cast("long")) \
+        .withColumn(own_tag, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    return rows.join(gone, F.col(own).eqNullSafe(F.col(i)) & (F.col(own_tag) == F.col(t)), "left_anti").select(*docs.columns)
 
 
 def spread_salt(n: int):

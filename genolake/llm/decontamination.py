@@ -21,8 +21,9 @@ gathered there.  The index grows with the corpus and stays distributed.
 
 Defined cases: a null or empty text has no words (its document is returned
 with zeros, its item never occurs); repeated documents are matched each on
-their own; repeated items count by distinct ``item_id``; empty tables give
-empty or all-clean results; extra columns are ignored.
+their own; repeated items count by distinct ``item_id``, and items without an id
+as one whose id is the empty text; empty tables give empty or all-clean
+results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,9 +68,9 @@ class Phrases:
                 at = index.setdefault(ids[i:i + size], len(index))
                 if at == len(owners):
                     owners.append(set())
-                owners[at].add(item_id)
+                owners[at].add("" if item_id is None else str(item_id))
         self.phrases = list(index)
-        self.owners = [sorted(o, key=str) for o in owners]
+        self.owners = [sorted(o) for o in owners]
 
     def rarest_first(self, frequency: dict[int, int]) -> list[tuple[tuple[int, int], ...]]:
         """Each phrase as (offset, term) pairs, rarest term of the corpus first."""
@@ -226,8 +227,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
 def matched_rows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """Per document row: ``doc_id, tag`` (hash of the text), ``n_words, hits`` (word positions), ``items`` (ids as sorted strings).
 
-    Items are taken one block at a time; the blocks' findings meet in one
-    aggregation by document row.
+    Items are taken one block at a time; the blocks' findings meet by document
+    id and text hash.  That key lies in the data, so it does not matter how a
+    pass cuts its input: rows equal in both have equal findings, and come back
+    as often as they are there.
     """
     blocks = item_blocks(benchmark)
     out = None
@@ -235,12 +238,16 @@ def matched_rows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
         phrases = Phrases(sorted((tuple(r) for r in block.collect()), key=str), window)
         index = build_index(docs, phrases.vocab, gap=window + slop + 1)
         found = find_phrases(index, phrases, term_frequencies(index), slop)
-        found = stored(found, "matches") if len(blocks) > 1 else found  # the driver lets go of the block
+        if len(blocks) > 1:  # written: the driver lets go of the block
+            found = stored(found.groupBy("doc_id", "tag", "n_words").agg(
+                F.count(F.lit(1)).alias("copies"), F.first("hits").alias("hits"), F.first("items").alias("items")), "matches")
         out = found if out is None else out.unionByName(found)
-    if len(blocks) > 1:
-        out = out.groupBy("segment", "doc_row", "doc_id", "tag", "n_words").agg(
+    if len(blocks) > 1:  # a row a block and distinct document
+        out = out.groupBy("doc_id", "tag", "n_words").agg(
+            F.max("copies").alias("copies"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return out.select("doc_id", "tag", "n_words", "hits", "items")
 
 

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 from .sketch import frequency_levels, slot
 from .suffix_array import permuted_lcp, suffix_array
 
@@ -465,9 +465,10 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs``, all columns, with the repeated bytes cut from ``text`` (a character cut in part goes whole)."""
+    i, t, found_in, mine, mine_tag = unused(docs, "_id", "_tag", "_ranges", "_own", "_own_tag")
     ranges = removed_ranges(docs, length).groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("_ranges"))
-    ranges = ranges.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "_ranges")
+        F.collect_list(F.struct("lo", "hi")).alias(found_in))
+    ranges = ranges.select(F.col("doc_id").alias(i), F.col("tag").alias(t), found_in)
 
     @F.arrow_udf("string")
     def cut_out(text: pa.Array, found: pa.Array) -> pa.Array:
@@ -484,9 +485,9 @@ def cut_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     tag = F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     own = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
-    joined = docs.withColumn("_own", own).withColumn("_own_tag", tag).join(
-        ranges, (F.col("_own") == F.col("_id")) & (F.col("_own_tag") == F.col("_tag")), "left")
-    return joined.withColumn("text", cut_out("text", "_ranges")).select(*docs.columns)
+    joined = docs.withColumn(mine, own).withColumn(mine_tag, tag).join(
+        ranges, (F.col(mine) == F.col(i)) & (F.col(mine_tag) == F.col(t)), "left")
+    return joined.withColumn("text", cut_out("text", found_in)).select(*docs.columns)
 
 
 def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -270,3 +270,35 @@ def test_a_large_test_set_is_matched_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(D, "MAX_BLOCK_CHARS", sum(chars) // 3)
     assert sorted(tuple(r) for r in D.contamination(docs, bench).collect()) == want
     assert len(sizes) > 2 and max(sizes) <= max(sum(chars) // 3, max(chars))
+
+
+def test_blocks_agree_however_each_pass_cuts_its_input(spark, monkeypatch, tmp_path):
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    part = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60).select("doc_id", "text")
+    item = bench.first()["text"]
+    odd = spark.createDataFrame([(None, item), (None, item), (None, None), (5, item), (5, item), (5, "x"), (6, "")], part.schema)
+    part.unionByName(odd).repartition(12).write.parquet(str(tmp_path / "docs"))
+    read = lambda: spark.read.parquet(str(tmp_path / "docs"))
+    want = sorted(map(tuple, D.matches(read(), bench).collect()), key=str)
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 12)
+    build, passes = D.build_index, []
+
+    def other_splits(docs, *args, **kw):
+        passes.append(len(passes))
+        spark.conf.set("spark.sql.files.minPartitionNum", str(1 + 5 * passes[-1]))
+        return build(read(), *args, **kw)
+
+    monkeypatch.setattr(D, "build_index", other_splits)
+    try:
+        got = sorted(map(tuple, D.matches(read(), bench).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(passes) > 2 and got == want
+
+
+def test_items_without_an_id(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(None, words), (None, words + " more"), ("b", "q " * 11)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "a " + words), (2, words + " " + "q " * 11), (3, "clean")], "doc_id long, text string")
+    got = {r["doc_id"]: (list(r["items"]), len(r["hits"])) for r in D.matches(docs, bench).collect()}
+    assert got == {1: ([""], 12), 2: (["", "b"], 23), 3: ([], 0)}
