@@ -13,19 +13,26 @@ greedily and may choose other pieces of the same text.)
    no path can join there, so parts are encoded on their own (and far fewer
    of them are distinct).
 2. Each map task lists the distinct parts of its documents, in blocks of about
-   ``BLOCK_BYTES`` of text; one shuffle brings every part together once.
+   ``BLOCK_BYTES`` of text; one shuffle, over as many partitions as the texts'
+   size asks for, brings every part together once (once for every
+   ``GROUP_TASKS`` map tasks, which bounds the list of blocks that hold it).
    Parts over ``MAX_PART`` characters (long runs without blanks) stay: step 5
    folds them over their ends in one pass, with the last ends as state.
 3. Every substring of a part, up to the longest piece, is exploded and
    equi-joined to the piece table; a character without a piece of its own
    becomes an unknown edge.
-4. Edges are grouped by part (already together, so without a shuffle) and
+4. Edges are grouped by part, named by 128 bits of its hash (already together,
+   so without a shuffle), and
    folded with ``aggregate`` over the ends: the state holds the best score,
    start and piece of every end so far; a second fold walks back.  Unknown
    characters become byte pieces.
 5. The parts' ids go back to the blocks that hold them and meet the blocks'
    texts (shuffled compressed) in a co-group, which writes each whole text as
-   ids.
+   ids; checksums and decoding proofs are taken there, beside the ids.
+
+Both passes over the documents cut them alike only if they read the same rows
+in the same order, as they do from files; hand in a written table, not the
+result of a shuffle (a part that is missing raises ``KeyError``).
 
 Defined cases: a null or empty text has no ids; words have any length; a text that already holds the blank mark U+2581 reads back with a blank
 there; repeated rows are encoded each; an empty table gives an empty result;
@@ -38,7 +45,7 @@ import math
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +58,9 @@ from .common import id_text
 
 MARK = "▁"
 BLOCK_BYTES = 6_000_000
+GROUP_TASKS = 1 << 10
+# text bytes for each partition of parts, and the most partitions asked for
+PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
 CACHE_WORDS = 200_000
 MAX_PART = 256
 MAX_PIECES = 500_000
@@ -99,19 +109,19 @@ class Pieces:
         return spark.createDataFrame(self.rows, "sub string, id int, score double")
 
 
-def lattice_edges(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
-    """``word, keep.., start, end, id, score``: every piece of every word; id < 0 marks an unknown character.
+def lattice_edges(words: DataFrame, pieces: Pieces, key: list[str], keep: list[str]) -> DataFrame:
+    """``key.., keep.., start, end, id, score``: every piece of every ``word``; id < 0 marks an unknown character.
 
     Only the edge over the first character carries ``keep`` (null on the others): there is one for every word.
     """
-    w = words.select("word", *keep, F.length("word").alias("_n"))
+    w = words.select(*dict.fromkeys([*key, "word", *keep]), F.length("word").alias("_n"))
     w = w.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     w = w.withColumn("_l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("_n") - F.col("start")))))
     w = w.withColumn("sub", F.substring("word", F.col("start") + 1, F.col("_l")))
     table = F.broadcast(pieces.frame(words.sparkSession))
     hit = w.join(table, "sub", "left").where("id IS NOT NULL OR _l = 1")
     first = (F.col("start") == 0) & (F.col("_l") == 1)
-    return hit.select("word", *[F.when(first, F.col(c)).alias(c) for c in keep], "start", (F.col("start") + F.col("_l")).alias("end"),
+    return hit.select(*key, *[F.when(first, F.col(c)).alias(c) for c in keep], "start", (F.col("start") + F.col("_l")).alias("end"),
                       F.coalesce("id", -1 - F.col("start")).alias("id"),
                       F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
 
@@ -138,11 +148,11 @@ def best_path(edges: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), first, step, back)
 
 
-def encode_words(words: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
-    """``word, keep.., ids`` for distinct words; no shuffle if they are already dealt by word."""
-    edges = lattice_edges(words, pieces, keep)
-    grouped = edges.groupBy("word").agg(
-        F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"), *[F.first(c, ignorenulls=True).alias(c) for c in keep])
+def encode_words(words: DataFrame, pieces: Pieces, key: list[str], keep: list[str]) -> DataFrame:
+    """``word, keep.., ids`` for words that differ in ``key``; no shuffle if they are already dealt by it."""
+    edges = lattice_edges(words, pieces, key, ["word", *keep])
+    grouped = edges.groupBy(*key).agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"),
+                                      *[F.first(c, ignorenulls=True).alias(c) for c in ("word", *keep)])
     return grouped.select("word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
 
 
@@ -195,9 +205,25 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
                     k, held = k + 1, 0
 
 
+ENCODED_SCHEMA = "doc_id long, text string, n_words long, ids array<int>"
+#: (rows of doc_id and text, words of each, ids of each as int32 bytes) -> the rows to return
+Finish = Callable[[pa.RecordBatch, list[int], list[bytes]], pa.Table]
+
+
+def id_lists(arrays: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(arrays), np.int32), pa.int32()))
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id, text, n_words, ids`` of every row of ``docs``."""
-    pieces = Pieces.read(model)
+    def finish(b: pa.RecordBatch, n_words: list[int], arrays: list[bytes]) -> pa.Table:
+        return pa.table({"doc_id": b.column(0), "text": b.column(1), "n_words": pa.array(n_words, pa.int64()), "ids": id_lists(arrays)})
+
+    return _encoded(docs, Pieces.read(model), finish, ENCODED_SCHEMA)
+
+
+def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> DataFrame:
     pairs = {(p[i], p[i + 1]) for p, _, _ in pieces.rows for i in range(len(p) - 1)}
     rows, byte_ids, size = id_text(docs), pieces.byte_ids, BLOCK_BYTES
     find = re.compile(WORD).findall
@@ -234,9 +260,14 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                                                                                       pa.binary())],
                                              names=["block", "packed"])
 
-    parts = rows.mapInArrow(list_parts, "block long, word string")
-    parts = parts.groupBy("word").agg(F.collect_list("block").alias("blocks"))
-    coded = encode_words(parts, pieces, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    key = ["h1", "h2", "g"]
+    parts = (rows.mapInArrow(list_parts, "block long, word string")
+             .withColumn("h1", F.xxhash64("word")).withColumn("h2", F.xxhash64(F.lit(1), "word"))
+             .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}"))
+             .repartition(min(total // PARTITION_TEXT + 1, MAX_PARTITIONS), *key))
+    parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list("block").alias("blocks"))
+    coded = encode_words(parts, pieces, key, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         def packed_ids(part: str, ids) -> bytes:
@@ -270,15 +301,12 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                     words = words_in(t.as_py())
                     n_words.append(len(words))
                     arrays.append(b"".join(map(coded_words.__getitem__, words)))
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in arrays])]).astype(np.int32)
-                flat = np.frombuffer(b"".join(arrays), np.int32)
-                out.append(pa.table({"doc_id": b.column(0), "text": b.column(1), "n_words": pa.array(n_words, pa.int64()),
-                                     "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))}))
+                out.append(finish(b, n_words, arrays))
         return pa.concat_tables(out)
 
     texts = rows.mapInArrow(pack, "block long, packed binary")
     return (texts.groupBy("block").cogroup(coded.groupBy("of_block"))
-            .applyInArrow(write, "doc_id long, text string, n_words long, ids array<int>"))
+            .applyInArrow(write, schema))
 
 
 def decode_ids(ids: np.ndarray, texts: list[bytes]) -> str:
@@ -286,32 +314,30 @@ def decode_ids(ids: np.ndarray, texts: list[bytes]) -> str:
     return raw.decode("utf-8", "replace")[1:]  # the blank set before every text
 
 
-def decoded_digests(encoded: DataFrame, model: str) -> DataFrame:
+DIGEST_SCHEMA = ("doc_id long, n_words long, n_pieces long, ids array<int>, ids_crc32 long, decoded_crc32 long, "
+                 "round_trip boolean")
+
+
+def digests(texts: list[bytes]) -> Finish:
     """``doc_id, n_words, n_pieces, ids, ids_crc32, decoded_crc32, round_trip`` of encoded rows.
 
     Checksums are of the ids as little-endian unsigned 32-bit integers and of
     the decoded text's UTF-8 bytes.
     """
-    texts = Pieces.read(model).texts
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, crc, back, same = [], [], [], []
-            for i in range(b.num_rows):
-                ids = b.column(3)[i].values.to_numpy()
-                text = decode_ids(ids, texts)
-                n.append(len(ids))
-                crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                back.append(zlib.crc32(text.encode()))
-                same.append(text == b.column(1)[i].as_py().replace(MARK, " "))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n, pa.int64()), b.column(3), pa.array(crc, pa.int64()),
-                 pa.array(back, pa.int64()), pa.array(same, pa.bool_())],
-                names=["doc_id", "n_words", "n_pieces", "ids", "ids_crc32", "decoded_crc32", "round_trip"])
-
-    return encoded.select("doc_id", "text", "n_words", "ids").mapInArrow(
-        run, "doc_id long, n_words long, n_pieces long, ids array<int>, ids_crc32 long, decoded_crc32 long, "
-             "round_trip boolean")
+    def finish(b: pa.RecordBatch, n_words: list[int], arrays: list[bytes]) -> pa.Table:
+        n, crc, back, same = [], [], [], []
+        for text, raw in zip(b.column(1), arrays):
+            ids = np.frombuffer(raw, np.int32)
+            decoded = decode_ids(ids, texts)
+            n.append(len(ids))
+            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+            back.append(zlib.crc32(decoded.encode()))
+            same.append(decoded == text.as_py().replace(MARK, " "))
+        return pa.table({"doc_id": b.column(0), "n_words": pa.array(n_words, pa.int64()), "n_pieces": pa.array(n, pa.int64()),
+                         "ids": id_lists(arrays), "ids_crc32": pa.array(crc, pa.int64()), "decoded_crc32": pa.array(back, pa.int64()),
+                         "round_trip": pa.array(same, pa.bool_())})
+
+    return finish
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -327,5 +353,6 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """Encode every text, decode the ids, and digest both."""
-    return decoded_digests(encode(docs, model), model)
+    """Encode every text, decode the ids, and digest both (beside the ids: texts do not travel again)."""
+    pieces = Pieces.read(model)
+    return _encoded(docs, pieces, digests(pieces.texts), DIGEST_SCHEMA)
