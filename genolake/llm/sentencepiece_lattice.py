@@ -13,9 +13,11 @@ greedily and may choose other pieces of the same text.)
    no path can join there, so parts are encoded on their own (and far fewer
    of them are distinct).
 2. Each map task lists the distinct parts of its documents, in blocks of about
-   ``BLOCK_BYTES`` of text; one shuffle, over as many partitions as the texts'
-   size asks for, brings every part together once (once for every
-   ``GROUP_TASKS`` map tasks, which bounds the list of blocks that hold it).
+   ``BLOCK_BYTES`` of text, dealt to buckets by checksum (a block's parts of
+   one bucket travel as one text, joined by blanks, which no part holds); one
+   shuffle, over as many partitions as the texts' size asks for, brings every
+   part together once (once for every ``GROUP_TASKS`` map tasks, which bounds
+   the list of blocks that hold it).
    Parts over ``MAX_PART`` characters (long runs without blanks) stay: step 5
    folds them over their ends in one pass, with the last ends as state.
 3. Every substring of a part, up to the longest piece, is exploded and
@@ -57,7 +59,7 @@ from pyspark.sql import functions as F
 from .common import id_text
 
 MARK = "▁"
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 12_000_000
 GROUP_TASKS = 1 << 10
 # text bytes for each partition of parts, and the most partitions asked for
 PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
@@ -233,11 +235,18 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
     def words_in(text: str) -> list[str]:
         return find(" " + text) if text else []
 
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    partitions = min(total // PARTITION_TEXT + 1, MAX_PARTITIONS)
+    buckets = 2 * partitions
+
     def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of(block, words):
-            found = sorted({p for w in words for p in parts_of(w.replace(" ", MARK), pairs) if len(p) <= max_part})
-            return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), pa.array(found, pa.string())],
-                                              names=["block", "word"])
+            dealt: dict[int, list[str]] = {}
+            for p in {p for w in words for p in parts_of(w.replace(" ", MARK), pairs) if len(p) <= max_part}:
+                dealt.setdefault(zlib.crc32(p.encode()) % buckets, []).append(p)
+            return pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32()), pa.array([block] * len(dealt), pa.int64()),
+                                               pa.array([" ".join(x) for x in dealt.values()], pa.string())],
+                                              names=["bucket", "block", "parts"])
 
         current, words = None, set()
         for block, b in _blocks(batches, size):
@@ -260,12 +269,11 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
                                                                                       pa.binary())],
                                              names=["block", "packed"])
 
-    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    key = ["h1", "h2", "g"]
-    parts = (rows.mapInArrow(list_parts, "block long, word string")
+    key = ["bucket", "h1", "h2", "g"]
+    parts = (rows.mapInArrow(list_parts, "bucket int, block long, parts string").repartition(partitions, "bucket")
+             .select("bucket", "block", F.explode(F.split("parts", " ")).alias("word"))
              .withColumn("h1", F.xxhash64("word")).withColumn("h2", F.xxhash64(F.lit(1), "word"))
-             .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}"))
-             .repartition(min(total // PARTITION_TEXT + 1, MAX_PARTITIONS), *key))
+             .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}")))
     parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list("block").alias("blocks"))
     coded = encode_words(parts, pieces, key, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
 
@@ -276,9 +284,13 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
             return array("i", ids).tobytes()
 
         known: dict[str, bytes] = {}
-        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=10_000):
-            for part, ids in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
-                known[part] = packed_ids(part, ids)
+        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=50_000):
+            names, lists = chunk.column(0).to_pylist(), chunk.column(1)
+            flat = lists.flatten().to_numpy()
+            raw, ends = flat.tobytes(), np.cumsum(lists.value_lengths().to_numpy())
+            known.update(zip(names, [raw[a:z] for a, z in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]))
+            for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), "right")).tolist():  # unknown characters
+                known[names[i]] = packed_ids(names[i], lists[i].as_py())
         del right
 
         def of_part(part: str) -> bytes:
