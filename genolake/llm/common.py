@@ -12,14 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back.
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back (``compression``: not the session's own).
 
     Cuts lineage with files every executor can read; a lost executor costs a
     re-read, never a recomputation with other row placement.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

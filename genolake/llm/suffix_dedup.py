@@ -280,11 +280,12 @@ def dealt_segments(wanted: DataFrame) -> DataFrame:
 def segment_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``key, part, doc_id, tag, start, bytes`` of the wanted segments, cut from their documents."""
     spots = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "part", "start", "size")).alias("spots"))
-    once = packed_texts(docs).dropDuplicates(["doc_id", "tag"])
+    dictionary = text_dictionary(docs)
+    once = packed_texts(docs, dictionary).dropDuplicates(["doc_id", "tag"])
     rows = once.join(spots, ["doc_id", "tag"]).select("doc_id", "tag", "packed", "spots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
+        z = zstandard.ZstdDecompressor(**_shared(dictionary))
         for b in batches:
             for i in range(b.num_rows):
                 raw = z.decompress(b.column(2)[i].as_py())
@@ -300,10 +301,29 @@ def segment_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, part int, doc_id long, tag long, start long, bytes binary")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
+SAMPLE_TEXTS, SAMPLE_BYTES, DICTIONARY_BYTES = 2_000, 8_000, 64_000
+
+
+def text_dictionary(docs: DataFrame) -> bytes:
+    """What the texts have in common, for their compressor: learned from the beginnings of a few (empty if too few)."""
+    rows = docs.select(F.substring(F.coalesce(F.col("text"), F.lit("")), 1, SAMPLE_BYTES).alias("t")).limit(SAMPLE_TEXTS).collect()
+    sample = [r["t"].encode() for r in rows if r["t"]]
+    if sum(map(len, sample)) < 20 * DICTIONARY_BYTES:
+        return b""
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
+    except zstandard.ZstdError:  # nothing in common
+        return b""
+
+
+def _shared(dictionary: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+
+
+def packed_texts(docs: DataFrame, dictionary: bytes) -> DataFrame:
     """``doc_id, tag, packed``: compressed bytes of every row, for a shuffle by document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=6, **_shared(dictionary))
         for b in batches:
             ids = [NULL_ID if i is None else i for i in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -414,12 +434,12 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     level = frequency_levels(docs, anchors)
     rows = segment_rows(docs, level, length).repartition("key").sortWithinPartitions(*_ROW[:5])
-    folded = stored(rows.mapInArrow(_fold, _FOLDED_SCHEMA), "segments")
+    folded = stored(rows.mapInArrow(_fold, _FOLDED_SCHEMA), "segments", "zstd")
     known = folded.where("kind = 0").select("doc_id", "tag", F.col("start").alias("lo"),
                                             (F.col("start") + F.col("size")).alias("hi"))
     texts = segment_texts(docs, dealt_segments(folded.where("kind = 1")))
     found = stored(texts.repartition("key", "part").sortWithinPartitions("key", "part", "doc_id", "tag", "start")
-                   .mapInArrow(_shards(length), _SHARD_SCHEMA), "shards")
+                   .mapInArrow(_shards(length), _SHARD_SCHEMA), "shards", "zstd")
     # The windows that parts of one key list are folded like segments: a digest has one row per part at most.
     windows = found.where("digest IS NOT NULL").select(
         F.col("digest").alias("key"), F.col("digest2").alias("seg"), "doc_id", "tag", F.col("lo").alias("start"),
@@ -428,17 +448,18 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
               .where("kind = 0").select("doc_id", "tag", F.col("start").alias("lo"),
                                         (F.col("start") + F.col("size")).alias("hi")))
     within = found.where("digest IS NULL").select("doc_id", "tag", "lo", "hi")
-    return stored(known.unionByName(within).unionByName(across), "removed")
+    return stored(known.unionByName(within).unionByName(across), "removed", "zstd")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (remaining bytes) and ``spans`` for every row of ``docs``."""
     ranges = removed_ranges(docs, length).groupBy("doc_id", "tag").agg(
         F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    rows = packed_texts(docs).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "packed", "ranges")
+    dictionary = text_dictionary(docs)
+    rows = packed_texts(docs, dictionary).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "packed", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
+        z = zstandard.ZstdDecompressor(**_shared(dictionary))
         for b in batches:
             ids, total, removed, spans, kept = [], [], [], [], []
             for i in range(b.num_rows):
