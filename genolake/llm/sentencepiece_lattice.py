@@ -47,8 +47,10 @@ import math
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +65,6 @@ BLOCK_BYTES = 12_000_000
 GROUP_TASKS = 1 << 10
 # text bytes for each partition of parts, and the most partitions asked for
 PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
-CACHE_WORDS = 200_000
 MAX_PART = 256
 MAX_PIECES = 500_000
 WORD = " *[^ ]+| +"
@@ -155,7 +156,7 @@ def encode_words(words: DataFrame, pieces: Pieces, key: list[str], keep: list[st
     edges = lattice_edges(words, pieces, key, ["word", *keep])
     grouped = edges.groupBy(*key).agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("edges"),
                                       *[F.first(c, ignorenulls=True).alias(c) for c in ("word", *keep)])
-    return grouped.select("word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
+    return grouped.select(*key, "word", *keep, best_path(F.col("edges"), F.length("word")).alias("ids"))
 
 
 def long_path(part: str, table: dict[str, tuple[int, float]], unknown_score: float, longest: int) -> array:
@@ -184,10 +185,31 @@ def long_path(part: str, table: dict[str, tuple[int, float]], unknown_score: flo
     return out
 
 
-def parts_of(word: str, pairs: set[tuple[str, str]]) -> list[str]:
-    """A word (blanks marked) cut wherever no piece holds both neighbours."""
-    cuts = [0, *[i for i in range(1, len(word)) if (word[i - 1], word[i]) not in pairs], len(word)]
-    return [word[a:z] for a, z in zip(cuts, cuts[1:])]
+class Neighbours:
+    """The pairs of neighbouring characters that some piece holds; cuts words wherever none does."""
+
+    def __init__(self, pairs: set[tuple[str, str]]):
+        self.chars = np.array(sorted({ord(c) for p in pairs for c in p}), np.uint32)
+        a, b = (np.searchsorted(self.chars, [ord(p[i]) for p in pairs]) for i in (0, 1))
+        self.next = np.zeros((len(self.chars) + 1, len(self.chars) // 8 + 1), np.uint8)  # a bit a pair
+        np.bitwise_or.at(self.next, (a, b >> 3), (1 << (b & 7)).astype(np.uint8))
+
+    def parts(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of all words (blanks marked), one after another, and where each word's begin."""
+        text = "".join(words).replace(" ", MARK)
+        begin = np.cumsum([0, *map(len, words)])
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
+        at = np.where(self.chars[at] == points, at, len(self.chars))  # the last row holds no pair
+        left, right = at[:-1], at[1:]
+        bits = self.next[left, np.minimum(right >> 3, self.next.shape[1] - 1)] >> (right & 7).astype(np.uint8)
+        joined = (bits & 1).astype(bool) & (right < len(self.chars))
+        cut = np.ones(len(points) + 1, bool)
+        cut[1:-1] = ~joined
+        cut[begin] = True
+        cuts = np.flatnonzero(cut)
+        ends = cuts.tolist()
+        return [text[a:z] for a, z in zip(ends, ends[1:])], np.searchsorted(cuts, begin)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -240,10 +262,13 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
     buckets = 2 * partitions
 
     def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        neighbours = Neighbours(pairs)
+
         def rows_of(block, words):
             dealt: dict[int, list[str]] = {}
-            for p in {p for w in words for p in parts_of(w.replace(" ", MARK), pairs) if len(p) <= max_part}:
-                dealt.setdefault(zlib.crc32(p.encode()) % buckets, []).append(p)
+            for p in set(neighbours.parts(list(words))[0]):
+                if len(p) <= max_part:
+                    dealt.setdefault(zlib.crc32(p.encode()) % buckets, []).append(p)
             return pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32()), pa.array([block] * len(dealt), pa.int64()),
                                                pa.array([" ".join(x) for x in dealt.values()], pa.string())],
                                               names=["bucket", "block", "parts"])
@@ -275,7 +300,12 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
              .withColumn("h1", F.xxhash64("word")).withColumn("h2", F.xxhash64(F.lit(1), "word"))
              .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}")))
     parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list("block").alias("blocks"))
-    coded = encode_words(parts, pieces, key, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
+    coded = encode_words(parts, pieces, key, ["blocks"])
+    # still together by bucket: a row for each bucket and block, so the way back has few rows
+    coded = (coded.select("bucket", F.explode("blocks").alias("of_block"), F.struct("word", "ids").alias("c"))
+             .groupBy("bucket", "of_block").agg(F.collect_list("c").alias("c"))
+             .select("of_block", F.concat_ws(" ", "c.word").alias("words"), F.transform("c.ids", F.size).alias("sizes"),
+                     F.flatten("c.ids").alias("ids")))
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         def packed_ids(part: str, ids) -> bytes:
@@ -284,13 +314,13 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
             return array("i", ids).tobytes()
 
         known: dict[str, bytes] = {}
-        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=50_000):
-            names, lists = chunk.column(0).to_pylist(), chunk.column(1)
-            flat = lists.flatten().to_numpy()
-            raw, ends = flat.tobytes(), np.cumsum(lists.value_lengths().to_numpy())
+        for chunk in right.select(["words", "sizes", "ids"]).to_batches():
+            names = " ".join(chunk.column(0).to_pylist()).split(" ")
+            flat, ends = chunk.column(2).flatten().to_numpy(), np.cumsum(chunk.column(1).flatten().to_numpy())
+            raw = flat.tobytes()
             known.update(zip(names, [raw[a:z] for a, z in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]))
             for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), "right")).tolist():  # unknown characters
-                known[names[i]] = packed_ids(names[i], lists[i].as_py())
+                known[names[i]] = packed_ids(names[i], flat[ends[i - 1] if i else 0:ends[i]].tolist())
         del right
 
         def of_part(part: str) -> bytes:
@@ -298,23 +328,17 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
                 return known[part]
             return packed_ids(part, long_path(part, shared.value, unknown_score, longest))
 
-        class Words(dict):
-            def __missing__(self, w: str) -> bytes:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                out = self[w] = b"".join([of_part(p) for p in parts_of(w.replace(" ", MARK), pairs)])
-                return out
-
-        coded_words, out = Words(), []
+        number: dict[str, int] = defaultdict(count().__next__)  # of the block's distinct words
+        batches = []
         for packed in left.column("packed"):
             for b in pa.ipc.open_stream(packed.as_py()):
-                n_words, arrays = [], []
-                for t in b.column(1):
-                    words = words_in(t.as_py())
-                    n_words.append(len(words))
-                    arrays.append(b"".join(map(coded_words.__getitem__, words)))
-                out.append(finish(b, n_words, arrays))
-        return pa.concat_tables(out)
+                batches.append((b, [array("i", [number[w] for w in words_in(t)]) for t in b.column(1).to_pylist()]))
+        parts, begin = Neighbours(pairs).parts(list(number))
+        coded_parts, begin = list(map(of_part, parts)), begin.tolist()
+        coded_words = [b"".join(coded_parts[a:z]) for a, z in zip(begin, begin[1:])]
+        del parts, coded_parts, number, known
+        of_word = coded_words.__getitem__
+        return pa.concat_tables([finish(b, list(map(len, docs)), [b"".join(map(of_word, d)) for d in docs]) for b, docs in batches])
 
     texts = rows.mapInArrow(pack, "block long, packed binary")
     return (texts.groupBy("block").cogroup(coded.groupBy("of_block"))
