@@ -1,8 +1,11 @@
 """Toxicity by a weighted lexicon.
 
-Folding: lower case, accents removed, look-alike letters of other scripts and
-digit or sign substitutions read as the letters they imitate (``1`` stands for
-i and l alike, so these two fold together), everything else a blank.  Folding maps characters one to one, so spans stay valid in the text.
+Folding: compatibility forms taken apart (NFKD: mathematical, full-width and
+accented letters), combining marks and format characters (zero-width ones, soft
+hyphens) dropped, lower case, look-alike letters of other scripts and digit or
+sign substitutions read as the letters they imitate (``1`` stands for i and l
+alike, so these two fold together), everything else a blank.  ``fold_places``
+gives the place in the text of every folded character.
 
 Lexicon: word stems (a stem matches at the start of a word) with weights.  An
 Aho-Corasick automaton finds all stems in one pass; per word the heaviest stem
@@ -15,7 +18,10 @@ class): Spark counts in how many document families of each class a stem
 occurs (near copies share a family: the least hash over their word triples).
 Stems much more frequent in toxic documents stay, unless a shorter stem that is
 kept already tells as much; phrases around a stem that occur in clean documents
-only become exceptions.  The lexicon is bounded by ``MAX_STEMS``.
+only become exceptions.  Every stem and phrase over the thresholds is taken: a
+share of the sample's families must hold it, which bounds their number.  Of a
+family the text with the least hash (then id) speaks, so the fit is the same in
+every run; the sample is written once.
 
 Defined cases: null or empty texts have no match and get the base score;
 without training rows the score is 0; repeated rows score alike; extra
@@ -25,6 +31,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 import zlib
 from collections import Counter
@@ -36,11 +43,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, stored
 from .labelled import collected, held_out, training_rows
 
 PER_CLASS = 8192
-MAX_STEMS = 2000
 STEM_SIZES = (3, 4, 5, 6, 7, 8)
 MIN_FAMILIES = 6
 MIN_SHARE = 0.004
@@ -57,27 +63,35 @@ LOOKALIKES = {
 }
 
 
-def _fold_table() -> dict[int, str]:
-    out = {cp: " " for cp in range(0x80) if not chr(cp).isalpha()}
-    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFF00, 0xFF5F)]:
-        ch = chr(cp)
-        base = unicodedata.normalize("NFKD", ch)[:1].lower()
-        out[cp] = base if base.isalpha() else " "
-    for cp in range(0x300, 0x370):  # combining marks
-        out[cp] = " "
-    for k, v in LOOKALIKES.items():
-        out[ord(k)] = v
-    return {cp: "i" if v == "l" else v for cp, v in out.items()} | {ord("l"): "i"}
+#: Blocks of combining marks for letters of any script.
+MARKS = [*range(0x300, 0x370), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x2100), *range(0xFE20, 0xFE30)]
+
+
+def _fold_table() -> dict[int, str | None]:
+    out: dict[int, str | None] = {cp: " " for cp in range(0x80) if not chr(cp).isalpha()}
+    out |= {cp: " " for cp in [*range(0x80, 0x250), *range(0x2000, 0x2070)] if not chr(cp).isalpha()}
+    out |= {ord(k): v for k, v in LOOKALIKES.items()}
+    out = {cp: "i" if v == "l" else v for cp, v in out.items()} | {ord("l"): "i"}
+    dropped = [cp for cp in [*range(0x20000), *range(0xE0000, 0xE0200)] if unicodedata.category(chr(cp)) == "Cf"]
+    return out | dict.fromkeys([*MARKS, *dropped])
 
 
 _FOLD = _fold_table()
 
 
 def fold(text: str) -> str:
-    """Folded text, one character for one of the lower-cased text."""
+    """Folded text."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text)
     return text.lower().translate(_FOLD)
 
 
+def fold_places(text: str) -> tuple[str, list[int]]:
+    """Folded text and, of each of its characters, the place in ``text`` of the character it came from."""
+    parts = [fold(c) for c in text]
+    return "".join(parts), [i for i, p in enumerate(parts) for _ in p]
+
+
 @dataclass
 class Lexicon:
     stems: dict[str, float]
@@ -182,33 +196,34 @@ def pick_stems(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> di
         shorter = [kept[stem[:k]] for k in range(1, len(stem)) if stem[:k] in kept]
         if not shorter or w > max(shorter) + 1.0:
             kept[stem] = w
-    top = sorted(kept, key=lambda s: (-rated[s][0] * kept[s], s))[:MAX_STEMS]
-    return {s: kept[s] for s in sorted(top)}
+    return {s: kept[s] for s in sorted(kept)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Lexicon:
     """Lexicon, exceptions and curve from the bounded training sample."""
     sample = training_rows(docs, labels, label, per_class).mapInArrow(
         _families, "doc_id long, folded string, label int, family long")
-    sample = sample.dropDuplicates(["family", "label"]).persist()
-    try:
-        size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-        toxic, clean = size.get(1, 0), size.get(0, 0)
-        if not toxic or not clean:
-            return Lexicon({}, curve=(-30.0, 0.0, 0.0))
-        least = max(MIN_FAMILIES, MIN_SHARE * toxic)
-        counts = (sample.select("folded", "label").mapInArrow(_count_stems, "stem string, label int, n long")
-                  .groupBy("stem").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
-                                       F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
-                  .where((F.col("a") >= least)
-                         & ((F.col("a") + 0.5) / (toxic + 1) >= MIN_RATIO * (F.col("b") + 0.5) / (clean + 1)))
-                  .orderBy(F.col("a").desc(), "b", "stem").limit(20 * MAX_STEMS))
-        lexicon = Lexicon(pick_stems([tuple(r) for r in counts.collect()], toxic, clean))
-        lexicon.exceptions = _exceptions(sample, lexicon, least)
-        lexicon.curve = _curve(sample, lexicon, 2 * per_class)
-        return lexicon
-    finally:
-        sample.unpersist()
+    first = F.min(F.struct(F.xxhash64("folded").alias("h"), "doc_id", "folded")).alias("f")
+    sample = stored(sample.groupBy("family", "label").agg(first)
+                    .select(F.col("f.doc_id").alias("doc_id"), F.col("f.folded").alias("folded"), "label"), "toxicity-sample")
+    size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = size.get(1, 0), size.get(0, 0)
+    if not toxic or not clean:
+        return Lexicon({}, curve=(-30.0, 0.0, 0.0))
+    least = max(MIN_FAMILIES, MIN_SHARE * toxic)
+    counts = (sample.select("folded", "label").mapInArrow(_count_stems, "stem string, label int, n long")
+              .groupBy("stem").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
+                                   F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
+              .where((F.col("a") >= least)
+                     & ((F.col("a") + 0.5) / (toxic + 1) >= MIN_RATIO * (F.col("b") + 0.5) / (clean + 1)))
+              .orderBy(F.col("a").desc(), "b", "stem"))
+    lexicon = Lexicon(pick_stems([tuple(r) for r in counts.collect()], toxic, clean))
+    lexicon.exceptions = _exceptions(sample, lexicon, least)
+    lexicon.curve = _curve(sample, lexicon, 2 * per_class)
+    return lexicon
+
+
+_WORDS = re.compile(r"\S+").finditer
 
 
 def _exceptions(sample: DataFrame, lexicon: Lexicon, least: float) -> list[str]:
@@ -221,9 +236,11 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon, least: float) -> list[str]:
             rows = []
             for folded, label in zip(b.column(0), b.column(1)):
                 text = folded.as_py()
-                around = set()
-                for s in hits(text, a):
-                    before, after = text[max(0, s - 64):s].split()[-1:], text[s:s + 96].split()[:2]
+                around, found = set(), hits(text, a)
+                words = [(m.start(), m.group()) for m in _WORDS(text)] if found else []
+                at = {s: i for i, (s, _) in enumerate(words)}
+                for i in (at[s] for s in found if s in at):
+                    before, after = [w for _, w in words[max(0, i - 1):i]], [w for _, w in words[i:i + 2]]
                     around.add(" ".join(after))
                     around.add(" ".join(before + after[:1]))
                 rows += [(p, label.as_py()) for p in around if " " in p]
@@ -232,7 +249,7 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon, least: float) -> list[str]:
 
     seen = (sample.select("folded", "label").mapInArrow(phrases, "phrase string, label int").groupBy("phrase")
             .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-            .where((F.col("a") == 0) & (F.col("b") >= least)).orderBy(F.col("b").desc(), "phrase").limit(MAX_STEMS))
+            .where((F.col("a") == 0) & (F.col("b") >= least)).orderBy(F.col("b").desc(), "phrase"))
     return [r["phrase"] for r in seen.collect()]
 
 

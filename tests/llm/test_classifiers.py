@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -102,6 +103,14 @@ def test_folding():
     assert len(TX.fold("Ünï 1d10t")) == 9
     assert TX.fold("1D10T") == TX.fold("idiot") == TX.fold("іdіоt") == TX.fold("ïdïöt") == TX.fold("!idiot")[1:]
     assert TX.fold("c1own") == TX.fold("clown")
+    plain = TX.fold("you idiot there")
+    evasions = ["you idio\u0301t there", "you idi\u200bot there", "you İdiot there", "you \U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d there",
+                "you ｉｄｉｏｔ there", "you i\u00addi\u2060ot there", "you ïdïöt there", "you ⓘⓓⓘⓞⓣ there", "you idi\ufeffot there"]
+    for e in evasions:
+        assert TX.fold(e) == TX.fold(unicodedata.normalize("NFD", e)) == TX.fold(unicodedata.normalize("NFC", e)) == plain
+        folded, places = TX.fold_places(e)
+        assert folded == plain and len(places) == len(folded) and [e[i] for i in places[:4]] == list("you ")
+        assert places[-5:] == list(range(len(e) - 5, len(e)))
 
 
 def test_planted_words_are_learned(spark):
