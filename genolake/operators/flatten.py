@@ -101,16 +101,16 @@ def flatten(body: DataFrame, header: VcfHeader | None = None) -> DataFrame:
         "_bad")
 
 
-def sample_rows(v: DataFrame, keep=("chrom", "pos", "ref"), with_pl: bool = False) -> DataFrame:
+def sample_rows(v: DataFrame, keep=("chrom", "pos", "ref"), with_pl: bool = False, outer: bool = False) -> DataFrame:
     """One row per (record, sample) straight from the line: ``sample_idx,
-    gt, gq`` (and ``pl``).  ``posexplode`` + plain expressions, all in
+    gt, gq`` (and ``pl``); with ``outer`` a record without samples keeps a row of nulls.  ``posexplode`` + plain expressions, all in
     whole-stage codegen; FORMAT positions are computed once per record."""
     fields = P.all_fields("value")
     fk = F.split(F.get(F.col("_fields"), 8), ":")
     base = v.select(*keep, fields.alias("_fields"))
     base = base.select(*keep, P.format_index(fk, "GT").alias("_gt_i"), P.format_index(fk, "GQ").alias("_gq_i"),
                        P.format_index(fk, "PL").alias("_pl_i"),
-                       F.posexplode(F.slice(F.col("_fields"), 10, F.greatest(F.size(F.col("_fields")) - 9,
+                       (F.posexplode_outer if outer else F.posexplode)(F.slice(F.col("_fields"), 10, F.greatest(F.size(F.col("_fields")) - 9,
                                                                               F.lit(0)))).alias("sample_idx", "_s"))
     parts = F.split(F.col("_s"), ":")
     cols = [*keep, "sample_idx", P.sample_value(parts, F.col("_gt_i")).alias("gt"),

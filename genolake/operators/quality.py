@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import number
 from ..session import stored
+from .flatten import sample_rows
 from ..sources.vcf_text import VcfHeader
 
 BROADCAST_CONTIGS = 100_000
@@ -56,20 +57,23 @@ def info_violations(v: DataFrame, header: VcfHeader) -> DataFrame:
 
 
 def completeness(v: DataFrame) -> DataFrame:
-    """One row of missing-value counts (record level and per genotype)."""
-    g = F.col("genotypes")
-    return v.agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_if(F.col("id").isNull()).alias("missing_id"),
-        F.count_if(F.col("qual").isNull()).alias("missing_qual"),
-        F.count_if(F.size("alts") == 0).alias("missing_alt"),
-        F.count_if(F.size("filters") == 0).alias("missing_filter"),
-        F.count_if(F.size(F.map_keys("info")) == 0).alias("missing_info"),
-        F.coalesce(F.sum(F.size(F.filter(g, lambda x: x["gt"].isNull() | x["gt"].contains(".")))),
-                   F.lit(0)).cast("long").alias("missing_gt"),
-        F.coalesce(F.sum(F.size(F.filter(g, lambda x: x["gq"].isNull()))), F.lit(0)).cast("long")
-        .alias("missing_gq"),
-        F.coalesce(F.sum(F.size(g)), F.lit(0)).cast("long").alias("n_genotypes"))
+    """One row of missing-value counts (record level and per genotype).
+
+    One pass over exploded sample fields (``sample_rows``, code-generated): a
+    record's own values are counted on its first row, which a record without
+    samples has too.
+    """
+    flags = {"missing_id": F.col("id").isNull(), "missing_qual": F.col("qual").isNull(), "missing_alt": F.size("alts") == 0,
+             "missing_filter": F.size("filters") == 0,
+             "missing_info": F.col("info_text").isNull() | F.col("info_text").isin("", ".")}
+    rows = sample_rows(v.select("value", *[c.alias(k) for k, c in flags.items()]), keep=tuple(flags), outer=True)
+    first, sample = F.coalesce(F.col("sample_idx"), F.lit(0)) == 0, F.col("sample_idx").isNotNull()
+    return rows.agg(
+        F.count_if(first).alias("n_records"),
+        *[F.count_if(first & F.col(k)).alias(k) for k in flags],
+        F.count_if(sample & (F.col("gt").isNull() | F.col("gt").contains("."))).alias("missing_gt"),
+        F.count_if(sample & F.col("gq").isNull()).alias("missing_gq"),
+        F.count_if(sample).alias("n_genotypes"))
 
 
 ORDER_BLOCK = 100_000

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.region import Region, overlaps, parse_region
 from ..operators.flatten import flatten
 from ..session import scratch_path
-from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, literal_path, read_header, read_lines
+from .vcf_text import DEFAULT_REMOTE_SCHEMES, VcfHeader, body_lines, literal_path, naming_source, read_header, read_lines
 
 
 # ``head`` takes this many records at most to the driver, from this many files; beyond, it counts splits.
@@ -73,6 +73,10 @@ class VcfScan:
         input was cut differently meanwhile, the counts disagree and the call
         fails rather than answer wrongly.
         """
+        with naming_source(self.source, "read"):
+            return self._head(n, region, use_info_end)
+
+    def _head(self, n: int | None, region: Region | str | None, use_info_end: bool) -> DataFrame:
         files = sorted(self.lines.inputFiles())
         if n and files and n <= TAKE_MAX:
             rows: list[tuple[str, int]] = []

@@ -460,3 +460,29 @@ def test_split_rows_agree_with_the_allele_table(spark, vcf):
     b = SP.split_fields(scan.variants(), scan.header, ["AF"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert TB.with_bucket(a, 10).columns[-1] == "pos_bucket"
+
+
+def test_completeness_counts_records_without_samples(spark, vcf):
+    head = HEADER.replace("\tFORMAT\tNA1\tNA2\tNA3", "")
+    scan = open_vcf(spark, vcf(head + "\n" + tsv(("chr1", 1, ".", "A", "C", ".", "PASS", "."), ("chr1", 2, "x", "A", ".", 5, ".", "DP=1"))))
+    got = Q.completeness(scan.variants()).first().asDict()
+    assert got == {"n_records": 2, "missing_id": 1, "missing_qual": 1, "missing_alt": 1, "missing_filter": 1, "missing_info": 1,
+                   "missing_gt": 0, "missing_gq": 0, "n_genotypes": 0}
+    full = open_vcf(spark, vcf(HEADER + "\n" + tsv(("chr1", 1, ".", "A", "C", ".", "PASS", ".", "GQ:GT", "5:0/1", "x", "7:./1")), "b.vcf"))
+    got = Q.completeness(full.variants()).first().asDict()
+    assert [got[k] for k in ("n_records", "missing_gt", "missing_gq", "n_genotypes")] == [1, 2, 1, 3]
+
+
+def test_read_failures_name_the_source(spark, vcf, monkeypatch, tmp_path):
+    scan = open_vcf(spark, vcf(HEADER + "\n" + tsv(*records(3))))
+    scan.source = "hdfs://nn/cohort.vcf"
+
+    def fails(*_, **__):
+        raise Exception("connection lost")
+
+    monkeypatch.setattr(type(scan), "_leading", fails)
+    with pytest.raises(IOError, match="hdfs://nn/cohort.vcf.*connection lost"):
+        scan.head(2)
+    monkeypatch.setattr(S, "shard_records", fails)
+    with pytest.raises(IOError, match="hdfs://nn/other.vcf.*connection lost"):
+        S.shard(spark, "hdfs://nn/other.vcf", str(tmp_path / "b"), scan=scan)
