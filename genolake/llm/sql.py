@@ -2,6 +2,48 @@
 
 _BLANK_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
+_UPPER = "".join(map(chr, range(65, 91)))
+
+
+def _lower(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _item_words(text: str) -> str:
+    return rf"regexp_extract_all({_lower(text)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+OP2 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_item_words('text')} AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item_id, ws, least(len(ws), 10) AS n
+      FROM (SELECT item_id, {_item_words('text')} AS ws FROM benchmark) WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+       FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM b)),
+dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w
+       FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw))),
+m AS (SELECT DISTINCT rid, n, i, item_id FROM dw JOIN iw USING (n, w)),
+h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rid, n, i FROM m))
+      GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id FROM m)
+      GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
+"""
+
+OP6 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_lower('text')}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
+      FROM (SELECT *, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both_have >= 75 * (a.n + b.n - both_have)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(y) FROM r WHERE r.x = d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
 OP10 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, {_BLANK_WORDS} AS ws FROM d),
@@ -135,5 +177,5 @@ t AS (SELECT rid, sum(n * times)::BIGINT AS taken FROM seg JOIN takes USING (sou
 SELECT doc_id, size, ssize AS source_size, target, coalesce(taken, 0) AS taken FROM p LEFT JOIN t USING (rid)
 """
 
-SQL: dict[str, str] = {"op9_chat_formatting": OP9, "op10_quality_rules": OP10, "op11_mixing": OP11,
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op6_jaccard_join": OP6, "op9_chat_formatting": OP9, "op10_quality_rules": OP10, "op11_mixing": OP11,
                        "op13_vector_codes": OP13}
