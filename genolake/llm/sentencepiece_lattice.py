@@ -61,7 +61,7 @@ from pyspark.sql import functions as F
 from .common import id_text
 
 MARK = "▁"
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 6_000_000
 GROUP_TASKS = 1 << 10
 # text bytes for each partition of parts, and the most partitions asked for
 PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
@@ -300,12 +300,7 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
              .withColumn("h1", F.xxhash64("word")).withColumn("h2", F.xxhash64(F.lit(1), "word"))
              .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}")))
     parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list("block").alias("blocks"))
-    coded = encode_words(parts, pieces, key, ["blocks"])
-    # still together by bucket: a row for each bucket and block, so the way back has few rows
-    coded = (coded.select("bucket", F.explode("blocks").alias("of_block"), F.struct("word", "ids").alias("c"))
-             .groupBy("bucket", "of_block").agg(F.collect_list("c").alias("c"))
-             .select("of_block", F.concat_ws(" ", "c.word").alias("words"), F.transform("c.ids", F.size).alias("sizes"),
-                     F.flatten("c.ids").alias("ids")))
+    coded = encode_words(parts, pieces, key, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         def packed_ids(part: str, ids) -> bytes:
@@ -314,9 +309,9 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
             return array("i", ids).tobytes()
 
         known: dict[str, bytes] = {}
-        for chunk in right.select(["words", "sizes", "ids"]).to_batches():
-            names = " ".join(chunk.column(0).to_pylist()).split(" ")
-            flat, ends = chunk.column(2).flatten().to_numpy(), np.cumsum(chunk.column(1).flatten().to_numpy())
+        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=50_000):
+            names, lists = chunk.column(0).to_pylist(), chunk.column(1)
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
             raw = flat.tobytes()
             known.update(zip(names, [raw[a:z] for a, z in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]))
             for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), "right")).tolist():  # unknown characters
@@ -338,7 +333,9 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
         coded_words = [b"".join(coded_parts[a:z]) for a, z in zip(begin, begin[1:])]
         del parts, coded_parts, number, known
         of_word = coded_words.__getitem__
-        return pa.concat_tables([finish(b, list(map(len, docs)), [b"".join(map(of_word, d)) for d in docs]) for b, docs in batches])
+        out = pa.concat_tables([finish(b, list(map(len, docs)), [b"".join(map(of_word, d)) for d in docs]) for b, docs in batches])
+        pa.default_memory_pool().release_unused()  # the worker lives on
+        return out
 
     texts = rows.mapInArrow(pack, "block long, packed binary")
     return (texts.groupBy("block").cogroup(coded.groupBy("of_block"))
