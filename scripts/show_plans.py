@@ -30,6 +30,11 @@ NOTES = {
                          "broadcast under the size limit; variants are not shuffled.",
     "genotype_class_counts": "Per-sample rows via posexplode and the regex classifier, partially aggregated "
                              "in the same stage.",
+    "join_alleles_bucketed": "Allele join of two bucketed tables: no Exchange under the join or the aggregation of the known "
+                             "side; only the count per contig is shuffled. (At this size the known side is broadcast; with broadcasts off "
+                             "it is a sort-merge join without Exchange, tested in tests/test_runs_tables.py.)",
+    "region_over_shards": "Region read: the scan lists only the shard folders whose zone meets the region; contig and position "
+                          "are pushed to the row groups.",
     "shard_write": "Shard records: broadcast join of the per-split offsets (driver-counted), no exchange of "
                    "the records before the partitioned write.",
 }
@@ -56,6 +61,8 @@ def main():
         .groupBy("chrom").agg(F.count(F.lit(1)).alias("variants")),
         "region_join_parts": R.region_counts(scan.variants(), part_regions(spark, sf)),
         "genotype_class_counts": QUERIES["genotype_class_counts"](spark, sf),
+        "join_alleles_bucketed": QUERIES["join_alleles_bucketed"](spark, sf),
+        "region_over_shards": QUERIES["region_over_shards"](spark, sf),
         "shard_write": S.shard_records(scan, 5000).select("shard_id", "ordinal", "value"),
     }
     out = ["# Physical plans of the key plan shapes", "",
