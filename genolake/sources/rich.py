@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, session_key
-from .fixture import GT_CODES, HEADER_LINES, fixture_relation
+from .fixture import GT_CODES, HEADER_LINES, write_sorted_vcf
 
 RICH_HEADER = [ln for ln in HEADER_LINES if not ln.startswith("#CHROM")] + [
     '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count">',
@@ -31,9 +31,8 @@ def _list(n: Column, first: Column, step: int = 1) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: (first + i * step).cast("string")), ",")
 
 
-def rich_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sort key and line of every record."""
-    fx = fixture_relation(spark, sf_dir)
+def rich_line(fx: DataFrame) -> tuple[DataFrame, Column]:
+    """The fuller line of every record, and the columns it is made of."""
     sub = (F.col("linenumber") == 3) & F.col("alt1").isNotNull()
     fx = (fx.withColumn("ref2", F.when(sub, F.concat("ref", F.lit("CA"))).otherwise(F.col("ref")))
           .withColumn("a1", F.when(sub, F.concat("alt1", F.lit("TA"))).otherwise(F.col("alt1")))
@@ -61,7 +60,7 @@ def rich_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref2", alts, F.coalesce(F.col("qual").cast("string"), F.lit(".")),
         "filter", F.concat(F.lit("AF="), af, F.lit(";DB"), extra), F.lit("GT:GQ:PL:AD"), sample("g1", "/", F.lit(False)),
         sample("g2", "/", F.col("haploid")), sample("g3", "|", F.lit(False)))
-    return fx.select(F.col("contig_idx").cast("long").alias("k1"), F.col("pos").cast("long").alias("k2"), line.alias("value"))
+    return fx, line
 
 
 _CACHE: dict[tuple, str] = {}
@@ -71,9 +70,5 @@ def materialize_rich_vcf(spark: SparkSession, sf_dir: str) -> str:
     """The VCF as sorted text part files, written once per session and input."""
     key = (session_key(spark), sf_dir)
     if key not in _CACHE:
-        header = spark.createDataFrame([(-1, i, ln) for i, ln in enumerate(RICH_HEADER)], "k1 long, k2 long, value string")
-        out = scratch_path(spark, "rich-vcf")
-        (header.unionByName(rich_relation(spark, sf_dir)).orderBy("k1", "k2", "value").select("value")
-         .write.mode("errorifexists").text(out))
-        _CACHE[key] = out
+        _CACHE[key] = write_sorted_vcf(spark, sf_dir, RICH_HEADER, rich_line, scratch_path(spark, "rich-vcf"))
     return _CACHE[key]
