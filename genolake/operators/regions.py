@@ -14,6 +14,7 @@ the region set only):
   only when its binned row count times a row-size estimate is below
   ``broadcast_max_bytes`` (default 64 MB); otherwise
   both sides are shuffled on (chrom, bin) and AQE splits skewed bins.
+  A semi join needs no pairs: there the regions are merged first.
 
 Regions are a DataFrame ``(region_id, chrom, start, end)``, 1-based inclusive.
 """
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 from ..functions.region import Region, parse_region, record_end
 from ..session import stored
+from .intervals import merged_with_gaps
 
-DEFAULT_BIN = 100_000
+DEFAULT_BIN, MIN_BIN = 100_000, 100
 # A region of this many bins is cut at the last base of its contig's records first.
 WIDE_BINS, MAX_CONTIGS = 10_000, 1_000
 # Estimated bytes of one binned region row in a broadcast hash relation
@@ -102,28 +104,63 @@ def overlap_pairs(variants: DataFrame, regions: DataFrame, small_max: int = 1000
         .withColumnRenamed("_r_end", "region_end")
 
 
+def _in_cells(v: DataFrame, regions: DataFrame, bin_width: int, broadcast_max_bytes: int) -> DataFrame:
+    """Records that overlap a region, each once, however deep the regions lie on each other.
+
+    The regions are merged; an island's cell runs from the base after the
+    island before it to its own last base.  Cells do not overlap, so a record's
+    position lies in one cell at most, and the record overlaps a region exactly
+    if it reaches the start of that cell's island: a left-semi join on (contig,
+    bin of the position) without pairs.  Bins are as wide as an island on
+    average (``bin_width`` at most): about two rows an island, and few cells a bin.
+    """
+    cells = stored(merged_with_gaps(regions.where("start <= end")).select(
+        F.col("chrom").alias("_r_chrom"), F.col("start").alias("_r_start"), F.col("end").alias("_r_end"),
+        F.coalesce(F.col("before") + 1, F.least("start", F.lit(0))).alias("_cell")), "region-cells")
+    # a cell as far as records can lie in it: open ends and far gaps make no bins beyond the records
+    span = cells.agg(F.count(F.lit(1)).alias("n"), F.max("_r_end").alias("last"),
+                     F.sum((F.col("_r_end") - F.col("_cell")).cast("double")).alias("bases")).first()
+    if not span["n"]:
+        return v.where("false")
+    last = F.col("_r_end")
+    if span["last"] // bin_width >= WIDE_BINS:
+        tops = stored(v.groupBy("chrom").agg(F.max("pos").alias("_top")).withColumnRenamed("chrom", "_t_chrom"), "contig-ends")
+        cells = cells.join(tops, cells["_r_chrom"] == tops["_t_chrom"]).drop("_t_chrom")
+        last = F.least("_r_end", "_top")
+    cells = cells.withColumn("_last", last).where("_cell <= _last").drop("_top")
+    w = int(min(bin_width, max(MIN_BIN, span["bases"] // span["n"])))
+    binned = cells.withColumn("_bin", F.explode(F.sequence(F.expr(f"_cell div {w}"), F.expr(f"_last div {w}")))).drop("_last")
+    if binned.count() * _REGION_ROW_BYTES <= broadcast_max_bytes:
+        binned = F.broadcast(binned)
+    cond = ((v["chrom"] == binned["_r_chrom"]) & (F.expr(f"pos div {w}") == binned["_bin"]) & (v["pos"] >= binned["_cell"])
+            & (v["pos"] <= binned["_r_end"]) & (v["_v_end"] >= binned["_r_start"]))
+    return v.join(binned, cond, "left_semi")
+
+
 def overlapping_any(variants: DataFrame, regions: DataFrame, small_max: int = 1000,
                     bin_width: int = DEFAULT_BIN, broadcast_max_bytes: int = 64 << 20,
                     use_info_end: bool = False, key: str | None = None) -> DataFrame:
     """Variants overlapping at least one region, each once (semi join, U1).
 
     Few regions: a broadcast left-semi join (no duplicates by construction).
-    Many regions: binned pairs, then one row per variant by ``key`` (a
-    unique record id such as ``ordinal``; a row id is added if absent).  The
-    de-duplication shuffles only matched pairs.
+    Many regions: a left-semi join with the cells of the merged regions (see
+    ``_in_cells``).  Only records whose INFO/END lies before POS, which no
+    merged region can judge, are paired with the regions and then made one row
+    by ``key`` (a unique record id such as ``ordinal``; a row id is added if absent).
     """
     v = _prepare(variants, use_info_end)
     n = regions.count()
     if n <= small_max:
         return _small_join(v, regions, "left_semi").drop("_v_end")
-    added = key is None
+    out = _in_cells(v.where("_v_end >= pos"), regions.select("chrom", "start", "end"), bin_width, broadcast_max_bytes).drop("_v_end")
+    if not (use_info_end and "info" in v.columns):
+        return out
     k = key or "_vid"
-    if added:
-        v = v.withColumn(k, F.monotonically_increasing_id())
-    cols = [c for c in v.columns if c != "_v_end"]
-    pairs = _binned_pairs(v, regions.select("chrom", "start", "end"), bin_width, broadcast_max_bytes)
-    out = pairs.select(*cols).dropDuplicates([k])
-    return out.drop(k) if added else out
+    back = v.where("_v_end < pos")
+    if key is None:
+        back = back.withColumn(k, F.monotonically_increasing_id())
+    pairs = _binned_pairs(back, regions.select("chrom", "start", "end"), bin_width, broadcast_max_bytes)
+    return out.unionByName(pairs.dropDuplicates([k]).select(*out.columns))
 
 
 def region_counts(variants: DataFrame, regions: DataFrame, **kw) -> DataFrame:
