@@ -24,6 +24,14 @@ from ..operators.alleles import VARIANT_KEY
 from ..session import session_key
 
 
+BUCKET_ROWS = 250_000
+
+
+def buckets_for(rows: int, least: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Number of buckets for about ``rows`` rows: they grow in number, so that what one task sorts does not."""
+    return max(least, -(-rows // bucket_rows))
+
+
 def write_bucketed(df: DataFrame, path: str, buckets: int, key: tuple[str, ...] = VARIANT_KEY, files_per_bucket: int = 1) -> str:
     """Write ``df`` as ``buckets`` sorted buckets of ``key`` under ``path`` (which must not exist)."""
     if buckets < 1 or files_per_bucket < 1:

@@ -103,8 +103,9 @@ def join_alleles_bucketed(spark, sf_dir):
     """``join_alleles`` over two bucketed tables: no shuffle of calls or known alleles."""
     calls, known = _pass_and_qual(spark, sf_dir)
     cols = ["chrom", "pos", "ref", "alt", "qual"]
-    a = B.write_bucketed(calls.select(*cols), scratch_path(spark, "calls-bucketed"), BUCKETS)
-    b = B.write_bucketed(known.select(*cols), scratch_path(spark, "known-bucketed"), BUCKETS, files_per_bucket=2)
+    n = B.buckets_for(fixture_scan(spark, sf_dir).body().count(), BUCKETS)
+    a = B.write_bucketed(calls.select(*cols), scratch_path(spark, "calls-bucketed"), n)
+    b = B.write_bucketed(known.select(*cols), scratch_path(spark, "known-bucketed"), n, files_per_bucket=2)
     j = C.annotate_by_allele(B.open_bucketed(spark, a), B.open_bucketed(spark, b))
     return j.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_alleles"), F.count_if(F.col("n_known") > 0).alias("n_matched"),
                                   F.sum("n_known").cast("long").alias("n_known_rows"))
@@ -192,7 +193,7 @@ def decompose_mnv(spark, sf_dir):
 @query
 def recompose_mnv(spark, sf_dir):
     """The same rows put together again: the alleles they came from."""
-    v = _ordered(rich_scan(spark, sf_dir))
+    v = _ordered(rich_scan(spark, sf_dir), "chrom", "pos", "ref", "alts", "qual", "af")
     d = SP.decompose_substitutions(AL.split_multiallelic(v, keep=("ordinal", "chrom", "pos", "ref", "qual")))
     return SP.recompose_substitutions(d, ("ordinal", "allele_idx")).select("chrom", "pos", "ref", "alt", "allele_idx", "qual")
 
@@ -202,7 +203,7 @@ def recompose_mnv(spark, sf_dir):
 @query
 def region_tree_join(spark, sf_dir):
     """Variants and regions by interval trees: no bins."""
-    v = _ordered(fixture_scan(spark, sf_dir)).select("ordinal", "chrom", "pos", "ref")
+    v = _ordered(fixture_scan(spark, sf_dir), "chrom", "pos", "ref")
     regions = part_regions(spark, sf_dir)
     n = I.tree_pairs(v, regions).groupBy("region_id").agg(F.count(F.lit(1)).alias("n"))
     return regions.select("region_id").join(n, "region_id", "left").select(
@@ -217,7 +218,7 @@ def merged_regions(spark, sf_dir):
 @query
 def region_set_sorted(spark, sf_dir):
     """Variants of many overlapping regions, each once, in coordinate order."""
-    v = _ordered(fixture_scan(spark, sf_dir)).select("ordinal", "chrom", "contig_idx", "pos", "ref", "alts", "qual", "value")
+    v = _ordered(fixture_scan(spark, sf_dir), "chrom", "contig_idx", "pos", "ref", "alts", "qual", "value")
     merged = I.merge_regions(part_regions(spark, sf_dir)).select("chrom", "start", "end")
     out = R.overlapping_any(v, merged, key="ordinal")
     out = with_sorted_ordinal(out, R.coordinate_keys(("value",)), "place")

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from genolake import registry as REG
+from genolake.operators import quality as Q
 from genolake.operators import regions as R
+from genolake.plans.buckets import buckets_for
 from genolake.sources import fixture as FX
 
 from .conftest import SF_SMALL
@@ -63,3 +65,17 @@ def test_semi_join_of_records_that_end_before_they_start(spark):
     for key in ("vid", None):
         out = R.overlapping_any(v, r, small_max=0, use_info_end=True, key=key)
         assert sorted(x["vid"] for x in out.collect()) == [2, 3]
+
+
+def test_order_checks_get_more_partitions(spark, monkeypatch):
+    v = spark.range(1000).select(F.col("id").alias("ordinal"), F.lit(0).alias("contig_idx"), F.lit("chr1").alias("chrom"),
+                                 (F.col("id") * 3 % 101).alias("pos"), (F.col("id") / 50).cast("int").alias("shard_id"))
+    want = sorted(Q.shard_validation(v, 50).collect())
+    monkeypatch.setattr(Q, "PARTITION_ROWS", 50)
+    out = Q.shard_validation(v, 50)
+    assert "hashpartitioning(shard_id" in (text := out._jdf.queryExecution().toString()) and ", 20)" in text
+    assert sorted(out.collect()) == want
+
+
+def test_buckets_grow_in_number():
+    assert [buckets_for(n, 16, 100) for n in (0, 1600, 1601, 100_000)] == [16, 16, 17, 1000]
