@@ -68,20 +68,25 @@ def split_fields(v: DataFrame, header: VcfHeader, keys: list[str] | None = None,
     ``keys`` limits the INFO keys (default: all the header declares).
     """
     keys = [k for k in (header.info if keys is None else keys) if k in header.info]
-    rows = _exploded(v, [*keep, "info_text"])
-    cols = []
-    for k in keys:
-        d, text = header.info[k], P.info_value(F.col("info_text"), k)
+    # Texts are found and cast once a record, below the explode; an allele's row only picks from the lists.
+    parsed, texts = [], [P.info_flag(F.col("info_text"), k) if header.info[k].get("Type") == "Flag" and
+                         header.info[k].get("Number") not in PER_ALLELE else P.info_value(F.col("info_text"), k) for k in keys]
+    read = v.select(*keep, "alts", *[t.alias(f"_k{i}") for i, t in enumerate(texts)])
+    for i, k in enumerate(keys):
+        d, text = header.info[k], F.col(f"_k{i}")
         if d.get("Number") in PER_ALLELE:
-            col = allele_values(_typed(text, d), d["Number"], F.col("_i"), F.col("_n"))
+            col = _typed(text, d)
         elif d.get("Type") == "Flag":
-            col = P.info_flag(F.col("info_text"), k)
+            col = text
         elif d.get("Number") == "1":
             col = F.get(_typed(P.missing_to_null(text), d), F.lit(0))
         else:
             col = _typed(text, d)
-        cols.append(col.alias(f"info_{k}"))
-    return rows.select(*keep, "alt", F.col("_i").alias("allele_idx"), *cols)
+        parsed.append(col.alias(f"_k{i}"))
+    rows = _exploded(read.select(*keep, "alts", *parsed), [*keep, *[f"_k{i}" for i in range(len(keys))]])
+    cols = [allele_values(F.col(f"_k{i}"), header.info[k]["Number"], F.col("_i"), F.col("_n"))
+            if header.info[k].get("Number") in PER_ALLELE else F.col(f"_k{i}") for i, k in enumerate(keys)]
+    return rows.select(*keep, "alt", F.col("_i").alias("allele_idx"), *[c.alias(f"info_{k}") for c, k in zip(cols, keys)])
 
 
 def split_genotype(gt: Column, idx: Column) -> Column:

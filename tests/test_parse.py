@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from genolake.functions import parse as P
 from genolake.operators.alleles import genotypes_long, split_multiallelic
 from genolake.sources.scan import open_vcf
 
@@ -109,3 +110,13 @@ def test_typed_info_from_header(spark, vcf):
     assert rows[200].asDict() == {"AF": None, "DP": None, "DB": False}
     assert rows[300]["DP"] == 5  # repeated key: first wins
     assert rows[400]["AF"] == [None] and rows[400]["DP"] is None  # bad values are null
+
+
+def test_info_values_read_from_the_text(spark):
+    rows = [("AF=1;XAF=2",), ("XAF=2;AF=3",), ("AF;AF=4",), ("AF=",), ("AF",), ("BAF=1",), ("A.F=1;AF=a=b",), (None,), (".",)]
+    df = spark.createDataFrame(rows, "info string")
+    got = df.select(P.info_value(F.col("info"), "AF").alias("v"), P.info_flag(F.col("info"), "AF").alias("f"),
+                    P.info_value(F.col("info"), "A.F").alias("d")).collect()
+    assert [r["v"] for r in got] == ["1", "3", "4", "", None, None, "a=b", None, None]
+    assert [r["f"] for r in got] == [True, True, True, True, True, False, True, False, False]
+    assert [r["d"] for r in got] == [None] * 6 + ["1", None, None]

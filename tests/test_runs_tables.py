@@ -179,6 +179,15 @@ def test_split_fields_by_number(spark, vcf):
     assert (s[(2, 1, "NA3")]["gt"], s[(2, 1, "NA3")]["fmt_PL"]) == ("1/0/1", [4, 5])
 
 
+def test_split_fields_reads_texts_once_a_record(spark, vcf):
+    """Below the explode: an allele's row holds no text to cut or cast."""
+    scan = open_vcf(spark, vcf(RICH_HEAD + "\n" + tsv(("chr1", 1, *RECORD))))
+    out = SP.split_fields(scan.variants(), scan.header)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "split(" not in above and "split(" in below and "regexp_extract" not in plan and "RLIKE(info_text" not in plan
+
+
 def test_genotype_index_against_enumeration(spark):
     for n in range(1, 7):
         order = [(j, k) for k in range(n + 1) for j in range(k + 1)]
