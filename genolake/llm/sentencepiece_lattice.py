@@ -28,13 +28,14 @@ greedily and may choose other pieces of the same text.)
    folded with ``aggregate`` over the ends: the state holds the best score,
    start and piece of every end so far; a second fold walks back.  Unknown
    characters become byte pieces.
-5. The parts' ids go back to the blocks that hold them and meet the blocks'
-   texts (shuffled compressed) in a co-group, which writes each whole text as
+5. The parts' ids go back to the blocks that hold them, in one row a bucket
+   and block without the parts themselves (the block lists its parts again, in
+   the same order; checksums prove it), and meet the blocks' texts (shuffled compressed) in a co-group, which writes each whole text as
    ids; checksums and decoding proofs are taken there, beside the ids.
 
 Both passes over the documents cut them alike only if they read the same rows
 in the same order, as they do from files; hand in a written table, not the
-result of a shuffle (a part that is missing raises ``KeyError``).
+result of a shuffle (lists of parts that differ raise ``KeyError``).
 
 Defined cases: a null or empty text has no ids; words have any length; a text that already holds the blank mark U+2581 reads back with a blank
 there; repeated rows are encoded each; an empty table gives an empty result;
@@ -66,6 +67,7 @@ GROUP_TASKS = 1 << 10
 # text bytes for each partition of parts, and the most partitions asked for
 PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
 MAX_PART = 256
+PLACE = 2 * MAX_PART  # a part's place in its list and its number of ids travel as one number
 MAX_PIECES = 500_000
 WORD = " *[^ ]+| +"
 
@@ -255,32 +257,44 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
     unknown_score, longest, max_part = pieces.unknown_score, pieces.longest, MAX_PART
 
     def words_in(text: str) -> list[str]:
-        return find(" " + text) if text else []
+        """The words of a text, each without the blank that begins it."""
+        if not text or text[0] != " " and text[-1] != " " and "  " not in text:
+            return text.split(" ") if text else []
+        return [w[1:] for w in find(" " + text)]
+
+    def dealt(parts: list[str]) -> tuple[dict[int, list[str]], dict[int, int]]:
+        """The distinct parts of a block, long ones apart, by bucket, in the order of their first places (the same on both
+        passes), and each bucket's sum of checksums."""
+        out, sums = defaultdict(list), defaultdict(int)
+        for p in dict.fromkeys(parts):
+            if len(p) <= max_part:
+                c = zlib.crc32(p.encode())
+                out[c % buckets].append(p)
+                sums[c % buckets] += c
+        return out, sums
 
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     partitions = min(total // PARTITION_TEXT + 1, MAX_PARTITIONS)
     buckets = 2 * partitions
+    id_type = "smallint" if max(i for _, i, _ in pieces.rows) < 1 << 15 else "int"
 
     def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         neighbours = Neighbours(pairs)
 
         def rows_of(block, words):
-            dealt: dict[int, list[str]] = {}
-            for p in set(neighbours.parts(list(words))[0]):
-                if len(p) <= max_part:
-                    dealt.setdefault(zlib.crc32(p.encode()) % buckets, []).append(p)
-            return pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32()), pa.array([block] * len(dealt), pa.int64()),
-                                               pa.array([" ".join(x) for x in dealt.values()], pa.string())],
+            out, _ = dealt(neighbours.parts([" " + w for w in words])[0])
+            return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([block] * len(out), pa.int64()),
+                                               pa.array([" ".join(x) for x in out.values()], pa.string())],
                                               names=["bucket", "block", "parts"])
 
-        current, words = None, set()
+        current, words = None, {}  # a dictionary keeps the order
         for block, b in _blocks(batches, size):
             if block != current and words:
                 yield rows_of(current, words)
-                words = set()
+                words = {}
             current = block
             for t in b.column(1):
-                words.update(words_in(t.as_py()))
+                words.update(dict.fromkeys(words_in(t.as_py())))
         if words:
             yield rows_of(current, words)
 
@@ -294,13 +308,20 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
                                                                                       pa.binary())],
                                              names=["block", "packed"])
 
-    key = ["bucket", "h1", "h2", "g"]
+    key = ["h1", "h2", "bucket", "g"]  # the hash first: sorts compare it alone
     parts = (rows.mapInArrow(list_parts, "bucket int, block long, parts string").repartition(partitions, "bucket")
-             .select("bucket", "block", F.explode(F.split("parts", " ")).alias("word"))
+             .select("bucket", "block", F.posexplode(F.split("parts", " ")).alias("at", "word"))
              .withColumn("h1", F.xxhash64("word")).withColumn("h2", F.xxhash64(F.lit(1), "word"))
              .withColumn("g", F.expr(f"block div {GROUP_TASKS << 24}")))
-    parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list("block").alias("blocks"))
-    coded = encode_words(parts, pieces, key, ["blocks"]).select(F.explode("blocks").alias("of_block"), "word", "ids")
+    parts = parts.groupBy(*key).agg(F.first("word").alias("word"), F.collect_list(F.struct("block", "at")).alias("blocks"))
+    # Still together by bucket: one row a bucket and block, which names parts by their places in the block's list.
+    coded = (encode_words(parts, pieces, key, ["blocks"])
+             .select("bucket", F.crc32(F.col("word").cast("binary")).alias("sum"), "ids", F.explode("blocks").alias("b"))
+             .select("bucket", F.col("b.block").alias("of_block"), "sum",
+                     F.struct((F.col("b.at") * PLACE + F.size("ids")).alias("place"), F.col("ids").cast(f"array<{id_type}>").alias("ids"))
+                     .alias("c"))
+             .groupBy("of_block", "bucket").agg(F.collect_list("c").alias("c"), F.sum("sum").alias("sum"))
+             .select("of_block", "bucket", "sum", F.col("c.place").alias("places"), F.flatten("c.ids").alias("ids")))
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         def packed_ids(part: str, ids) -> bytes:
@@ -308,28 +329,32 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
                 ids = [k for i in ids for k in ([i] if i >= 0 else [byte_ids[b] for b in part[-1 - i].encode()])]
             return array("i", ids).tobytes()
 
-        known: dict[str, bytes] = {}
-        for chunk in right.select(["word", "ids"]).to_batches(max_chunksize=50_000):
-            names, lists = chunk.column(0).to_pylist(), chunk.column(1)
-            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-            raw = flat.tobytes()
-            known.update(zip(names, [raw[a:z] for a, z in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]))
-            for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), "right")).tolist():  # unknown characters
-                known[names[i]] = packed_ids(names[i], flat[ends[i - 1] if i else 0:ends[i]].tolist())
-        del right
-
         def of_part(part: str) -> bytes:
             if len(part) <= max_part:
-                return known[part]
+                raise KeyError(part)
             return packed_ids(part, long_path(part, shared.value, unknown_score, longest))
 
         number: dict[str, int] = defaultdict(count().__next__)  # of the block's distinct words
         batches = []
         for packed in left.column("packed"):
             for b in pa.ipc.open_stream(packed.as_py()):
-                batches.append((b, [array("i", [number[w] for w in words_in(t)]) for t in b.column(1).to_pylist()]))
-        parts, begin = Neighbours(pairs).parts(list(number))
-        coded_parts, begin = list(map(of_part, parts)), begin.tolist()
+                batches.append((b, [array("i", map(number.__getitem__, words_in(t))) for t in b.column(1).to_pylist()]))
+        parts, begin = Neighbours(pairs).parts([" " + w for w in number])
+        (lists, sums), known = dealt(parts), {}
+        for row in range(right.num_rows):
+            bucket, check, places, ids = (right.column(c)[row] for c in ("bucket", "sum", "places", "ids"))
+            names, places = lists[bucket.as_py()], places.values.to_numpy()
+            if sums[bucket.as_py()] != check.as_py():
+                raise KeyError(f"the texts of bucket {bucket} were cut differently before")
+            flat, ends, at = ids.values.to_numpy().astype(np.int32), np.cumsum(places % PLACE), places // PLACE
+            raw, begins = flat.tobytes(), [0, *(4 * ends[:-1]).tolist()]
+            known.update(zip(map(names.__getitem__, at.tolist()), [raw[a:z] for a, z in zip(begins, (4 * ends).tolist())]))
+            for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat < 0), "right")).tolist():  # unknown characters
+                known[names[at[i]]] = packed_ids(names[at[i]], flat[ends[i - 1] if i else 0:ends[i]].tolist())
+        del right, lists
+        coded_parts, begin = list(map(known.get, parts)), begin.tolist()
+        if None in coded_parts:
+            coded_parts = [of_part(p) if c is None else c for p, c in zip(parts, coded_parts)]
         coded_words = [b"".join(coded_parts[a:z]) for a, z in zip(begin, begin[1:])]
         del parts, coded_parts, number, known
         of_word = coded_words.__getitem__

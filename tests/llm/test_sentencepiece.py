@@ -108,3 +108,16 @@ def test_long_runs_without_blanks(spark, table):
     got = encoded(spark, list(enumerate(texts)))
     for i, t in enumerate(texts):
         assert got[i] == whole(t), t[:40]
+
+
+def test_ids_travel_back_without_the_parts(spark, table, monkeypatch):
+    """One row a bucket and block, which names parts by place; no text beside the ids."""
+    monkeypatch.setattr(L, "BLOCK_BYTES", 300)
+    rows = [(i, f"word{i % 7}  two{i % 5} あい the{i}") for i in range(60)] + [(60, " a"), (61, "b "), (62, "c" * 300 + " d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id").localCheckpoint()
+    out = L.encode(docs, MODEL)
+    back = out._jdf.queryExecution().analyzed().children().apply(1)
+    names = {back.output().apply(i).name() for i in range(back.output().size())}
+    assert names == {"of_block", "bucket", "sum", "places", "ids"}
+    got = {r["doc_id"]: list(r["ids"]) for r in out.collect()}
+    assert len(got) == 63 and all(got[i] == best(table, t) for i, t in rows)
