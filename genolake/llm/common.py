@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genolake.session import scratch_path
 
+MARK_BITS = 25
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +60,30 @@ def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return rows.join(gone, F.col(own).eqNullSafe(F.col(i)) & (F.col(own_tag) == F.col(t)), "left_anti").select(*docs.columns)
 
 
+def may_match(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` less most of those whose ``keys`` are not among ``wanted``'s, so that a join after it shuffles few of them.
+
+    ``2**MARK_BITS`` marks (4 MB, whatever the size of the tables) are set from hashes of the wanted keys, null or not; no
+    wanted row is ever left out, and another passes only under a mark that is set by chance.
+    """
+    def place(df: DataFrame):
+        return F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(1 << MARK_BITS)).cast("int")
+
+    at = wanted.select(place(wanted).alias("_p"))
+    words = at.groupBy(F.shiftright("_p", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, _p & 63))").alias("bits")).toArrow()
+    marks = np.zeros(1 << MARK_BITS - 6, np.int64)
+    marks[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    shared, n = rows.sparkSession.sparkContext.broadcast(marks), len(rows.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = b.column(n).to_numpy()
+            set_ = (shared.value[p >> 6] >> (p & 63).astype(np.int64)) & 1
+            yield b.select(list(range(n))).filter(pa.array(set_.astype(bool)))
+
+    return rows.withColumn("_p", place(rows)).mapInArrow(run, rows.schema)
+
+
 def spread_salt(n: int):
     """A deterministic salt: equal rows from one scan spread over ``n`` keys."""
     return F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")

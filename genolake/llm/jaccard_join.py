@@ -11,7 +11,10 @@ when ``100 * |A and B| >= 75 * |A or B|``.
 3. Buckets (lossless).  Linked sets overlap in at least 75 % of each, so under
    any fixed order of the shingles their first ``n - ceil(0.75 n) + 1`` share
    one.  The order puts frequent shingles last: a fixed-size count sketch over
-   all documents ranks them in levels, hash order inside a level.  The points
+   all documents ranks them in levels, hash order inside a level.  Under the
+   first shingle that two sets share, both have all they share still before
+   them: a set stays in a bucket only if, by sizes and places, some other one
+   of it can still overlap enough with it.  The points
    of a bucket (a prefix shingle) are indexed in an R-tree and joined with it.
    Frequent shingles are salted into ``SALTS`` trees, or as many as keep a
    tree near ``TREE_SETS`` sets, whose components are then joined as nodes, by
@@ -43,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stored, with_tag
+from .common import id_text, may_match, stored, with_tag
 from .graph import connected_components, stream_groups
 from .sketch import frequency_levels, slot
 
@@ -291,23 +294,54 @@ def _new_run(*cols: np.ndarray) -> np.ndarray:
     return out
 
 
+def farthest(n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Largest size of a set that can link with one of ``n`` shingles if the first they share is its ``at``-th (from 0)."""
+    return ((DENOMINATOR + NUMERATOR) * (n - at) - NUMERATOR * n) // NUMERATOR
+
+
+def with_partner(run: np.ndarray, n: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Whether each row may have a partner in its run: another with ``n <= far`` both ways (exact in runs of two, in larger
+    ones a superset).  ``run``: ascending numbers; ``far``: see ``farthest``."""
+    span = np.int64(max(n.max(initial=0), far.max(initial=0)) + 1)
+    order = np.lexsort((n, run))
+    base, n, far = run[order].astype(np.int64) * span, n[order], far[order]
+    key, at = base + n, np.arange(len(n))
+    start = np.searchsorted(base, base)
+    # A smaller set before it, of those its own reach allows; the runs' spans keep their maxima apart.
+    most = np.maximum.accumulate(base + far)
+    last = np.minimum(at, np.searchsorted(key, base + far, "right")) - 1
+    smaller = (last >= start) & (most[last] - base >= n)
+    # A larger one after it: the next in size is within its reach, and some later one reaches back.
+    after = np.append(base[1:] == base[:-1], False)
+    back = np.maximum.accumulate((far - base)[::-1])[::-1]
+    larger = after & (np.append(n[1:], 0) <= far) & (np.append(back[1:], 0) + base >= n)
+    out = np.empty(len(n), bool)
+    out[order] = smaller | larger
+    return out
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (token, salt, set): distinct members of runs of two sets or more, and of salted runs.
+    """From rows sorted by (token, salt, set), with the set's size and the token's place in it: distinct members of runs
+    that may have a partner there, and of salted runs.
 
     An unsalted run is renamed by a digest of its members, so that the many
     shingles which the same sets share make one bucket (a clash of digests
     would only join two buckets).
     """
     for cols in _whole_runs(batches):
-        first = _new_run(*cols)
-        token, salt, sid = (c[first] for c in cols)
+        first = _new_run(*cols[:3])
+        token, salt, sid, place = (c[first] for c in cols)
         run = np.cumsum(_new_run(token, salt)) - 1
-        keep = (np.bincount(run)[run] > 1) | (salt >= 0)
+        n = place >> 32
+        keep = with_partner(run, n, farthest(n, place & 0xFFFFFFFF)) | (salt >= 0)
+        token, salt, sid, run = (c[keep] for c in (token, salt, sid, run))
+        if not len(run):
+            continue
+        run = np.cumsum(_new_run(run)) - 1
         starts = np.flatnonzero(_new_run(run))
         digest = _mix(np.add.reduceat(_mix(sid.view(np.uint64)), starts) + np.bincount(run).astype(np.uint64))
         token = np.where(salt >= 0, token, digest.view(np.int64)[run])
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token, salt, sid)],
-                                         names=["token", "salt", "set_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (token, salt, sid)], names=["token", "salt", "set_id"])
 
 
 def possible_forest(points: np.ndarray, least: np.ndarray, most: np.ndarray, fine=None,
@@ -394,10 +428,11 @@ def candidate_edges(prefixes: DataFrame) -> DataFrame:
     often = often.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SALTS * TREE_SETS)
     # At most one row for every SALTS * TREE_SETS prefix shingles.
     trees = F.broadcast(often.select("token", F.ceil(F.col("n") / TREE_SETS).alias("trees")))
-    tokens = rows.select("set_id", "cold", F.posexplode("tokens").alias("_at", "token")).join(trees, "token", "left")
+    tokens = rows.select("set_id", "n", "cold", F.posexplode("tokens").alias("_at", "token")).join(trees, "token", "left")
     salt = F.when(F.col("_at") < F.col("cold"), F.lit(-1)).otherwise(
         F.pmod("set_id", F.coalesce("trees", F.lit(SALTS)))).cast("int")
-    members = (tokens.select("token", salt.alias("salt"), "set_id").repartition("token", "salt")
+    place = F.shiftleft("n", 32) + F.col("_at")  # one number: it travels with every prefix shingle
+    members = (tokens.select("token", salt.alias("salt"), "set_id", place.alias("place")).repartition("token", "salt")
                .sortWithinPartitions("token", "salt", "set_id")
                .mapInArrow(_shared, "token long, salt int, set_id long").dropDuplicates())
     members = stored(members, "buckets")
@@ -417,8 +452,10 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     blocks = F.greatest(F.ceil(F.col("sets") / MAX_CLUSTER), F.ceil(F.col("total") / MAX_SHINGLES))
     m = members.join(size.where("sets > 1").select("cluster", blocks.cast("int").alias("blocks")), "cluster")
     m = m.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    m = m.select(F.col("least.doc_id").alias("_id"), F.col("least.tag").alias("_tag"), "set_id", "cluster", "blocks", "block")
-    rows = with_tag(id_text(docs))
+    m = stored(m.select(F.col("least.doc_id").alias("_id"), F.col("least.tag").alias("_tag"), "set_id", "cluster", "blocks", "block"),
+               "candidates")
+    # Most texts are in no cluster: they don't travel to the join.
+    rows = may_match(with_tag(id_text(docs)), m.select(F.col("_id").alias("doc_id"), F.col("_tag").alias("tag")), ["doc_id", "tag"])
     with_text = rows.join(m, rows["doc_id"].eqNullSafe(m["_id"]) & (rows["tag"] == m["_tag"]))
     # Every set goes to the pair (own block, other block) once for each other block.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

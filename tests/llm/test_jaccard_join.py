@@ -164,3 +164,54 @@ def test_the_nodes_of_a_common_shingle_do_not_meet_in_one_task(spark, monkeypatc
     assert run(spark, rows) == brute(rows)
     most = max(int(p.read_text()) for p in tmp_path.iterdir())
     assert 0 < most < 4 * 40
+
+
+def test_a_partner_is_kept_wherever_two_sets_can_link():
+    rnd = J.np.random.default_rng(4)
+    for _ in range(300):
+        run = J.np.sort(rnd.integers(0, 12, 30))
+        n = rnd.integers(1, rnd.choice([9, 60, 400]), 30)
+        far = J.farthest(n, J.np.array([rnd.integers(0, J.prefix_size(int(k))) for k in n]))
+        got, size = J.with_partner(run, n, far), J.np.bincount(run, minlength=12)
+        for i in range(30):
+            want = any(run[i] == run[j] and n[j] <= far[i] and n[i] <= far[j] for j in range(30) if i != j)
+            assert got[i] >= want and (got[i] == want or size[run[i]] > 2)
+
+
+def test_places_rule_out_buckets_but_no_link():
+    """Under the first shingle that two sets share, all others they share come later: nothing else is left out."""
+    rnd = random.Random(6)
+    for _ in range(400):
+        n = rnd.choice([3, 8, 40, 200])
+        a = {rnd.getrandbits(40) for _ in range(n)}
+        b = {x for x in a if rnd.random() < 0.93} | {rnd.getrandbits(40) for _ in range(rnd.randrange(n // 6 + 1))}
+        a, b = (J.np.array(sorted(x), "uint64") for x in (a, b))
+        if len(b) and J.linked(a, b):
+            one = min(set(a.tolist()) & set(b.tolist()))
+            x, y = (J.np.searchsorted(s, J.np.uint64(one)) for s in (a, b))
+            assert x < J.prefix_size(len(a)) and y < J.prefix_size(len(b))
+            assert len(b) <= J.farthest(J.np.int64(len(a)), x) and len(a) <= J.farthest(J.np.int64(len(b)), y)
+
+
+def test_sets_that_share_a_late_shingle_alone_meet_in_no_bucket():
+    """Two sets of 100 under their 20th shingle can overlap in 81 at most; of the third run one has its partner's size."""
+    import pyarrow as pa
+
+    rows = [(1, -1, 10, 100, 19), (1, -1, 11, 100, 19), (2, -1, 10, 100, 3), (2, -1, 12, 70, 0), (3, -1, 10, 100, 3), (3, -1, 13, 99, 5),
+            (4, 0, 10, 100, 24)]
+    cols = [pa.array([(r[3] << 32) + r[4] if i == 3 else r[i] for r in rows], pa.int64()) for i in range(4)]
+    out = pa.Table.from_batches(J._shared(iter([pa.RecordBatch.from_arrays(cols, names=["token", "salt", "set_id", "place"])])))
+    assert out.column("set_id").to_pylist() == [10, 13, 10] and out.column("salt").to_pylist() == [-1, -1, 0]
+
+
+def test_only_texts_of_clusters_travel(spark):
+    """Marks keep every wanted row, null ids included, and leave out nearly all others."""
+    from genolake.llm.common import may_match
+
+    rows = spark.createDataFrame([(i, f"t {i}") for i in range(2000)] + [(None, "n"), (7, None), (7, "t 7")], "doc_id long, text string")
+    wanted = rows.where("doc_id % 100 = 7 or doc_id is null or text is null").select("text", "doc_id")
+    got = [tuple(r) for r in may_match(rows, wanted, ["doc_id", "text"]).collect()]
+    need = [tuple(r) for r in rows.join(wanted.distinct(), rows["doc_id"].eqNullSafe(wanted["doc_id"])
+                                        & rows["text"].eqNullSafe(wanted["text"]), "left_semi").collect()]
+    assert len(need) == 23 and not set(need) - set(got) and got.count((7, "t 7")) == 2 and len(got) < 40
+    assert may_match(rows, wanted.limit(0), ["doc_id", "text"]).count() == 0
