@@ -63,6 +63,7 @@ from .common import id_text
 
 MARK = "▁"
 BLOCK_BYTES = 6_000_000
+CUT_WORDS = 16_384  # words cut into parts at a time
 GROUP_TASKS = 1 << 10
 # text bytes for each partition of parts, and the most partitions asked for
 PARTITION_TEXT, MAX_PARTITIONS = 2_000_000, 20_000
@@ -198,6 +199,14 @@ class Neighbours:
 
     def parts(self, words: list[str]) -> tuple[list[str], np.ndarray]:
         """The parts of all words (blanks marked), one after another, and where each word's begin."""
+        out, begin = [], []
+        for k in range(0, len(words), CUT_WORDS):  # the arrays of a few words at a time stay small
+            some, at = self._cut(words[k:k + CUT_WORDS])
+            begin.append(at[:-1] + len(out))
+            out += some
+        return out, np.concatenate([*begin, np.array([len(out)])])
+
+    def _cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
         text = "".join(words).replace(" ", MARK)
         begin = np.cumsum([0, *map(len, words)])
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -249,9 +258,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     return _encoded(docs, Pieces.read(model), finish, ENCODED_SCHEMA)
 
 
-def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> DataFrame:
-    pairs = {(p[i], p[i + 1]) for p, _, _ in pieces.rows for i in range(len(p) - 1)}
-    rows, byte_ids, size = id_text(docs), pieces.byte_ids, BLOCK_BYTES
+def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str, size: int | None = None) -> DataFrame:
+    neighbours = Neighbours({(p[i], p[i + 1]) for p, _, _ in pieces.rows for i in range(len(p) - 1)})
+    rows, byte_ids, size = id_text(docs), pieces.byte_ids, size or BLOCK_BYTES
     find = re.compile(WORD).findall
     shared = docs.sparkSession.sparkContext.broadcast({p: (i, s) for p, i, s in pieces.rows})
     unknown_score, longest, max_part = pieces.unknown_score, pieces.longest, MAX_PART
@@ -279,8 +288,6 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
     id_type = "smallint" if max(i for _, i, _ in pieces.rows) < 1 << 15 else "int"
 
     def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        neighbours = Neighbours(pairs)
-
         def rows_of(block, words):
             out, _ = dealt(neighbours.parts([" " + w for w in words])[0])
             return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([block] * len(out), pa.int64()),
@@ -297,6 +304,8 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
                 words.update(dict.fromkeys(words_in(t.as_py())))
         if words:
             yield rows_of(current, words)
+        del words
+        pa.default_memory_pool().release_unused()  # the worker lives on, idle in the lattice's stage
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -339,7 +348,7 @@ def _encoded(docs: DataFrame, pieces: Pieces, finish: Finish, schema: str) -> Da
         for packed in left.column("packed"):
             for b in pa.ipc.open_stream(packed.as_py()):
                 batches.append((b, [array("i", map(number.__getitem__, words_in(t))) for t in b.column(1).to_pylist()]))
-        parts, begin = Neighbours(pairs).parts([" " + w for w in number])
+        parts, begin = neighbours.parts([" " + w for w in number])
         (lists, sums), known = dealt(parts), {}
         for row in range(right.num_rows):
             bucket, check, places, ids = (right.column(c)[row] for c in ("bucket", "sum", "places", "ids"))
@@ -410,7 +419,10 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """Encode every text, decode the ids, and digest both (beside the ids: texts do not travel again)."""
+def round_trip(docs: DataFrame, model: str, block_bytes: int | None = None) -> DataFrame:
+    """Encode every text, decode the ids, and digest both (beside the ids: texts do not travel again).
+
+    ``block_bytes`` (``BLOCK_BYTES``): larger blocks take fewer CPU seconds and more of a worker's memory; results are the same.
+    """
     pieces = Pieces.read(model)
-    return _encoded(docs, pieces, digests(pieces.texts), DIGEST_SCHEMA)
+    return _encoded(docs, pieces, digests(pieces.texts), DIGEST_SCHEMA, block_bytes)

@@ -121,3 +121,20 @@ def test_ids_travel_back_without_the_parts(spark, table, monkeypatch):
     assert names == {"of_block", "bucket", "sum", "places", "ids"}
     got = {r["doc_id"]: list(r["ids"]) for r in out.collect()}
     assert len(got) == 63 and all(got[i] == best(table, t) for i, t in rows)
+
+
+def test_words_are_cut_a_few_at_a_time_and_blocks_change_nothing(spark, table, monkeypatch):
+    """No array is made over all characters of a block's words; block sizes change no row."""
+    n = L.Neighbours({(t[i], t[i + 1]) for t, _, _ in table[1].rows for i in range(len(t) - 1)})
+    rnd = random.Random(8)
+    words = [" " + "".join(rnd.choice("aeinrst0日é") for _ in range(rnd.randrange(12))) for _ in range(100)]
+    whole, begin = n.parts(words)
+    sizes, cut = [], L.Neighbours._cut
+    monkeypatch.setattr(L.Neighbours, "_cut", lambda self, some: sizes.append(len(some)) or cut(self, some), raising=False)
+    monkeypatch.setattr(L, "CUT_WORDS", 7, raising=False)
+    parts, at = n.parts(words)
+    assert parts == whole and at.tolist() == begin.tolist() and max(sizes) == 7 and n.parts([])[0] == []
+    assert ["".join(parts[a:z]) for a, z in zip(at, at[1:])] == [w.replace(" ", L.MARK) for w in words]
+    docs = spark.createDataFrame([(i, " ".join(words[i:i + 9])) for i in range(60)] + [(None, None), (3, "")], "doc_id long, text string")
+    one, two = (sorted(map(str, L.round_trip(docs, MODEL, *size).collect())) for size in ((), (64,)))
+    assert one == two
