@@ -121,32 +121,58 @@ class Model:
         return np.clip((weight * self.labels[near]).sum(1) / weight.sum(1), 0, 1)
 
 
+def _packed(v: np.ndarray) -> bytes:
+    """The terms that a text has: their numbers (16 bits each), then their values (float16); most are zero."""
+    at = np.flatnonzero(v)
+    return at.astype("<u2").tobytes() + v[at].astype("<f2").tobytes()
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    """Term rows (float32) from ``_packed``."""
+    out = np.zeros((len(packed), TERMS), np.float32)
+    for row, p in zip(out, packed):
+        half = len(p) // 2
+        row[np.frombuffer(p, "<u2", half // 2)] = np.frombuffer(p, "<f2", half // 2, half)
+    return out
+
+
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        packed = [terms(t.as_py()).astype(np.float16).tobytes() for t in b.column(1)]
+        packed = [_packed(terms(t.as_py())) for t in b.column(1)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(packed, pa.binary())],
                                          names=["doc_id", "label", "terms"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS,
         dimensions: int = DIMENSIONS) -> Model:
-    """Latent-semantic model of a bounded training sample; term rows come from Spark, the SVD is local."""
+    """Latent-semantic model of a bounded training sample; term rows come from Spark, the SVD is local.
+
+    Term rows reach the driver without their zeros and are unpacked a block at a time.
+    """
     sample = training_rows(docs, labels, label, per_class)
     rows = collected(sample.mapInArrow(_term_rows, "doc_id long, label int, terms binary"), 2 * per_class)
     if rows.empty:
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32),
                      np.zeros((0, 1), np.float32), np.zeros(0))
-    x = np.frombuffer(b"".join(rows["terms"]), np.float16).reshape(len(rows), TERMS).astype(np.float32)
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
+    packed, known = rows["terms"].tolist(), rows["label"].to_numpy(np.float64)
+    del rows
+
+    def blocks() -> Iterator[np.ndarray]:
+        return (_unpacked(packed[lo:lo + BLOCK]) for lo in range(0, len(packed), BLOCK))
+
+    holders = sum((x > 0).sum(0) for x in blocks())
+    idf = (np.log((1 + len(packed)) / (1 + holders)) + 1).astype(np.float32)
     gram = np.zeros((TERMS, TERMS), np.float32)
-    for lo in range(0, len(x), BLOCK):
-        y = x[lo:lo + BLOCK] * idf
+    for x in blocks():
+        y = x * idf
         y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
         gram += y.T @ y
     _, vectors = np.linalg.eigh(gram)
+    del gram
     projection = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions]).astype(np.float32)
-    model = Model(idf, projection, np.zeros((0, 1), np.float32), rows["label"].to_numpy(np.float64))
-    model.vectors = np.concatenate([model.embed(x[lo:lo + BLOCK]) for lo in range(0, len(x), BLOCK)])
+    del vectors
+    model = Model(idf, projection, np.zeros((0, 1), np.float32), known)
+    model.vectors = np.concatenate([model.embed(x) for x in blocks()])
     return model
 
 

@@ -145,3 +145,37 @@ def test_full_sample_with_several_texts_of_one_id(spark):
         assert len(got) == 8 == len({r["doc_id"] for r in got}) and {(r["doc_id"], r["text"]) for r in got} <= set(rows)
     assert len(QC.fit(docs, labels, per_class=4).labels) == 8
     TX.learn(docs, labels, per_class=4)
+
+
+def test_fit_holds_term_rows_without_their_zeros(monkeypatch):
+    """The driver's share of the quality model: term rows travel packed and are unpacked a block at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd, n = random.Random(5), 2048
+    texts = ["".join(rnd.choice("abcdefgh ,.\n") for _ in range(200)) for _ in range(n)] + [""]
+    batch = pa.record_batch([pa.array(range(n + 1), pa.int64()), pa.array(texts), pa.array([i % 2 for i in range(n + 1)], pa.int32())],
+                            names=["doc_id", "text", "label"])
+
+    class Sample:
+        def mapInArrow(self, run, schema):
+            return pa.Table.from_batches(list(run([batch])))
+
+    monkeypatch.setattr(QC, "training_rows", lambda *_: Sample())
+    monkeypatch.setattr(QC, "collected", lambda rows, bound: rows.to_pandas())
+    held = Sample().mapInArrow(QC._term_rows, "")["terms"].to_pylist()
+    assert max(map(len, held)) < QC.TERMS  # half of a dense float16 row
+    assert np.array_equal(QC._unpacked(held), np.stack([QC.terms(t) for t in texts]).astype(np.float16))
+
+    # No dense array of the whole sample is made.
+    monkeypatch.setattr(np.linalg, "eigh", lambda gram: (None, np.eye(QC.TERMS, dtype=np.float32)))
+    tracemalloc.start()
+    try:
+        model = QC.fit(None, None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    square = 4 * QC.TERMS ** 2
+    assert isinstance(model.vectors, np.ndarray) and len(model.labels) == n + 1
+    assert peak < 2 * square + 6 * 4 * QC.BLOCK * QC.TERMS + len(held) * 2000
