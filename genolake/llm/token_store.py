@@ -18,6 +18,8 @@ holds ``CHUNK_IDS`` consecutive ids of a shard (the last may be shorter):
 Encoding uses the tokenizers library.  Its byte-level pre-tokenizer never
 joins text across a space that follows a non-blank character, so texts are cut
 there and each distinct piece is encoded once per worker (bounded cache).
+Pieces of common characters are cut into pre-tokens by the pre-tokenizer's own
+pattern here, all others by the library.
 
 Defined cases: a null or empty text is one end id; a long document spans
 chunks; rows with equal ``doc_id`` follow each other (by crc32, then length);
@@ -45,11 +47,23 @@ from .common import id_text, partition_offsets, spread_salt
 
 CHUNK_IDS = 1 << 16
 CACHE_PIECES, CACHE_WORDS = 1_000_000, 600_000
-_CUT, _UNSAFE = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S)(?= )")
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+# The byte-level pre-tokenizer's pattern over characters whose classes never changed: Latin letters, digits, ASCII signs, blanks.
+_LETTERS, _SIGNS, _BLANKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~", r" \n\r\t"
+_PRE_TOKENS = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+")
+# The byte letters of bytes that are no printable characters, by the library's rule: the n-th of them is U+0100 + n.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def blanks_meet(text: str) -> bool:
+    """Whether a space follows another blank."""
+    return any(c in text and c + " " in text for c in _SPACES)
 
 
 class WordIds(dict):
-    """Ids (packed) of a pre-token in the library's byte letters: pieces with other punctuation share it."""
+    """Ids (packed) of a pre-token: its text, or after a NUL its byte letters. Pieces with other punctuation share it."""
 
     def __init__(self, model, dtype):
         super().__init__()
@@ -58,7 +72,8 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        out = self[word] = array(self.code, [t.id for t in self.tokenize(word)]).tobytes()
+        letters = word[1:] if word[0] == "\0" else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        out = self[word] = array(self.code, [t.id for t in self.tokenize(letters)]).tobytes()
         return out
 
 
@@ -68,16 +83,26 @@ class PieceIds(dict):
     def __init__(self, tokenizer, dtype):
         super().__init__()
         self.pre, self.words = tokenizer.pre_tokenizer.pre_tokenize_str, WordIds(tokenizer.model, dtype)
+        kind = repr(tokenizer.pre_tokenizer)
+        self.own = kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind
+
+    def pre_tokens(self, piece: str) -> list[str]:
+        """The pre-tokens of ``piece``, as ``WordIds`` takes them."""
+        if self.own:
+            out = _PRE_TOKENS.findall(piece)
+            if sum(map(len, out)) == len(piece):  # only common characters
+                return out
+        return ["\0" + w for w, _ in self.pre(piece)]
 
     def encode(self, piece: str) -> bytes:
         """``piece`` as it stands, through pre-tokenizer and model."""
-        return b"".join([self.words[w] for w, _ in self.pre(piece)])
+        return b"".join(map(self.words.__getitem__, self.pre_tokens(piece)))
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
-        if piece.isascii() and piece.isalpha():  # one pre-token; the space becomes U+0120
-            out = self.words["Ġ" + piece]
+        if piece.isascii() and piece.isalpha():  # one pre-token
+            out = self.words[" " + piece]
         else:
             out = self.encode(" " + piece)
         self[piece] = out
@@ -100,7 +125,7 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-        if _UNSAFE.search(text):
+        if blanks_meet(text):
             first, *rest = _CUT.split(text)
             rest = [p[1:] for p in rest]
         else:
@@ -273,17 +298,18 @@ def read_digests(spark, path: str) -> DataFrame:
         out = []
         for parts in pieces:
             crc = None
-            for p in parts:
+            for p in parts if parts is not None else ():
                 crc = p["crc"] if crc is None else crc_combine(crc, p["crc"], 4 * p["n"])
             out.append(crc)
-        return pd.Series(out, dtype="int64")
+        return pd.Series(out, dtype="Int64")
 
     docs = read_pieces(spark, path).groupBy("shard", "doc_no", "doc_id").agg(
         F.min("at").alias("_at"), F.sum("n").alias("n_tokens"),
         F.array_sort(F.collect_list(F.struct("piece_no", "n", "crc"))).alias("_pieces"))
     return (docs.join(F.broadcast(offsets), docs["shard"] == offsets["_pid"])
             .select("doc_id", (F.col("_off") + F.col("_at")).alias("start"), "n_tokens",
-                    joined("_pieces").alias("ids_crc32")))
+                    F.coalesce(F.when(F.size("_pieces") == 1, F.col("_pieces")[0]["crc"]),
+                               joined(F.when(F.size("_pieces") > 1, F.col("_pieces")))).alias("ids_crc32")))
 
 
 def stored_token_digests(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

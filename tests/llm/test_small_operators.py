@@ -302,3 +302,32 @@ def test_items_without_an_id(spark):
     docs = spark.createDataFrame([(1, "a " + words), (2, words + " " + "q " * 11), (3, "clean")], "doc_id long, text string")
     got = {r["doc_id"]: (list(r["items"]), len(r["hits"])) for r in D.matches(docs, bench).collect()}
     assert got == {1: ([""], 12), 2: (["", "b"], 23), 3: ([], 0)}
+
+
+def test_common_pieces_are_cut_as_the_library_does():
+    pieces = T.Encoder(public_tokenizers.path("byte_bpe_50k.json")).pieces
+    library, calls = pieces.pre, []
+    pieces.pre = lambda piece: calls.append(piece) or library(piece)
+    rnd = random.Random(11)
+    common = "abzZé ÿÀɏ'''sdmtlvre019.,!-_ \n\t\r "
+    for alphabet, own in ((common, True), (common + "×Ġ\x00\x0b  漢½👍", False)):
+        for _ in range(3000):
+            piece = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14)))
+            words = [w[1:] if w[0] == "\0" else w.encode().decode("latin-1").translate(T._BYTE_LETTERS)
+                     for w in pieces.pre_tokens(piece)]
+            assert words == [w for w, _ in library(piece)], piece
+        assert bool(calls) != own  # the library is not called for common characters
+
+
+def test_encoder_keeps_texts_and_byte_letters_apart():
+    encoder = T.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("the Ġthe \x00Ġthe Ġthe× the", "\x00 \x00a é é Ã© Ã©\x00", "it's don't 'll  \n x'S \t", "ɏ½ Ȁ12 ÿ"):
+        assert encoder.ids(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_space_after_a_blank_is_found():
+    rnd, blanks = random.Random(13), re.compile(r"\s ")
+    assert all(bool(re.fullmatch(r"\s", chr(c))) == (chr(c) in T._SPACES) for c in range(0x110000))
+    for _ in range(5000):
+        text = "".join(rnd.choice("aé漢" + " " * 3 + "\n\t\x1f\x85\u2003") for _ in range(rnd.randint(0, 6)))
+        assert T.blanks_meet(text) == bool(blanks.search(text)), text
