@@ -33,7 +33,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,32 +51,43 @@ LENGTH = 100
 GRAM = 16
 BLOCK_BYTES = 2_000_000
 SHARD_BYTES = 2_000_000
+ANCHOR_BYTES = 64_000
+AT_ONCE = 1 << 15  # positions: their arrays stay in a core's cache
 _POS_BITS = 24
 _ODD = [np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
 def gram_hashes(x: np.ndarray) -> np.ndarray:
     """64-bit hash of the 16 bytes at every position (those inside the array)."""
-    h = x.astype(np.uint64) + np.uint64(1)
-    for i, odd in enumerate(_ODD):
-        step = 1 << i
-        if len(h) <= step:
-            return np.empty(0, np.uint64)
-        h = h[:-step] * odd + h[step:]
-        h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    n = max(len(x) - GRAM + 1, 0)
+    out = np.empty(n, np.uint64)
+    for lo in range(0, n, AT_ONCE):
+        hi = min(lo + AT_ONCE, n)
+        h = x[lo:hi + GRAM - 1].astype(np.uint64) + np.uint64(1)
+        for i, odd in enumerate(_ODD):
+            step = 1 << i
+            h = h[:-step] * odd + h[step:]
+            h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        out[lo:hi] = h ^ (h >> np.uint64(32))
+    return out
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
     """Position of the least hash in each run of ``width`` (leftmost on ties)."""
     n = len(h) - width + 1
-    key = (h & ~np.uint64((1 << _POS_BITS) - 1)) | np.arange(len(h), dtype=np.uint64)
-    pad = -len(key) % width
-    k = np.concatenate([key, np.full(pad, ~np.uint64(0))]).reshape(-1, width)
-    left = np.minimum.accumulate(k, axis=1).ravel()
-    right = np.minimum.accumulate(k[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(right[:n], left[width - 1:width - 1 + n]) & np.uint64((1 << _POS_BITS) - 1)).astype(np.int64)
+    out = np.empty(n, np.int64)
+    for lo in range(0, n, AT_ONCE):
+        hi = min(lo + AT_ONCE, n)
+        least = h[lo:hi + width - 1] & ~np.uint64((1 << _POS_BITS) - 1)
+        least |= np.arange(lo, hi + width - 1, dtype=np.uint64)
+        run = 1  # each entry is the least of the run that begins at it
+        while run < width:
+            step = min(run, width - run)
+            least = np.minimum(least[:-step], least[step:])
+            run += step
+        out[lo:hi] = least & np.uint64((1 << _POS_BITS) - 1)
+    return out
 
 
 def cut(x: np.ndarray, sizes: np.ndarray, length: int, level: np.ndarray | None):
@@ -92,19 +103,46 @@ def cut(x: np.ndarray, sizes: np.ndarray, length: int, level: np.ndarray | None)
     at = _least(h, width)
     n = len(at)
     ends = np.cumsum(sizes)
-    doc = np.repeat(np.arange(len(sizes)), sizes)[:n]
-    valid = np.arange(n) + length <= ends[doc]
-    key, mark = h[at], at
-    if level is not None and (hot := level[slot(key)] > 0).any():
+    begins = ends - sizes
+    valid = np.ones(n, bool)
+    for a, z in zip(np.maximum(begins, ends - length + 1).tolist(), ends.tolist()):
+        valid[a:z] = False
+    new = np.ones(n, bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    if level is not None and (level[slot(h[at[new]])] > 0).any():  # an anchor is looked up once a run
+        key = h[at]
+        hot = level[slot(key)] > 0
         other = _least((h ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0x2545F4914F6CDD1D), width)
         key = np.where(hot, (key ^ (h[other] >> np.uint64(7))) * _ODD[1] + h[other], key)
         mark = np.where(hot, (at + 1) * (1 << _POS_BITS) + other, at)
-    new = np.ones(n, bool)
-    new[1:] = (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1]) | ~valid[:-1]
+        np.not_equal(mark[1:], mark[:-1], out=new[1:])
+    else:
+        key = None
+    new[1:] |= ~valid[:-1]
+    new[begins[begins < n]] = True
     first = np.flatnonzero(new & valid)
     bound = np.flatnonzero(new | ~valid)
     nxt = np.append(bound, n)[np.searchsorted(bound, first, side="right")]
-    return key[first], doc[first], first, nxt - first + length - 1
+    doc = np.searchsorted(ends, first, side="right")
+    return h[at[first]] if key is None else key[first], doc, first, nxt - first + length - 1
+
+
+def anchor_keys(texts: Iterable[str], length: int) -> Iterator[np.ndarray]:
+    """The anchors of all segments; short documents are cut many at a time."""
+    held, size = [], 0
+    for t in texts:
+        for _, p in _pieces(t.encode(), length):
+            if held and size + len(p) > ANCHOR_BYTES:
+                yield _joined_keys(held, length)
+                held, size = [], 0
+            held.append(p)
+            size += len(p)
+    if held:
+        yield _joined_keys(held, length)
+
+
+def _joined_keys(parts: list[bytes], length: int) -> np.ndarray:
+    return cut(np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts], np.int64), length, None)[0]
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -426,13 +464,7 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
 
-    def anchors(texts):
-        for t in texts:
-            raw = t.encode()
-            for _, p in _pieces(raw, length):
-                yield cut(np.frombuffer(p, np.uint8), np.array([len(p)]), length, None)[0]
-
-    level = frequency_levels(docs, anchors)
+    level = frequency_levels(docs, lambda texts: anchor_keys(texts, length))
     rows = segment_rows(docs, level, length).repartition("key").sortWithinPartitions(*_ROW[:5])
     folded = stored(rows.mapInArrow(_fold, _FOLDED_SCHEMA), "segments", "zstd")
     known = folded.where("kind = 0").select("doc_id", "tag", F.col("start").alias("lo"),

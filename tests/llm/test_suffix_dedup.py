@@ -146,3 +146,42 @@ def test_a_passage_of_thousands_of_documents_does_not_meet_in_one_shard(spark, m
     sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
     # A shard closes at the first part that reaches its size; parts are about that size themselves.
     assert sizes and max(sizes) < 3 * 10_000
+
+
+def test_documents_are_cut_together_as_alone(monkeypatch):
+    """Blocks and the chunks of their positions change no segment; many short documents make few blocks."""
+    rnd, length = random.Random(17), 20
+    texts = ["".join(rnd.choice("ab") for _ in range(rnd.choice([0, 3, 19, 20, 21, 90]))) for _ in range(300)]
+    raws = [t.encode() for t in texts]
+    width = length - S.GRAM + 1
+
+    def plain(raw, level):
+        """(key, start, bytes) of the runs of windows with one anchor, window by window."""
+        h = S.gram_hashes(np.frombuffer(raw, np.uint8)).tolist()
+        other = [(v ^ 0x5851F42D4C957F2D) * 0x2545F4914F6CDD1D % 2**64 for v in h]
+        out, last = [], None
+        for i in range(len(raw) - length + 1):
+            least, second = (min(range(i, i + width), key=lambda j: (x[j] >> 24, j)) for x in (h, other))
+            hot = level is not None and level[h[least] >> 64 - 21] > 0
+            key = ((h[least] ^ h[second] >> 7) * 0xC2B2AE3D27D4EB4F + h[second]) % 2**64 if hot else h[least]
+            mark = (least, second) if hot else least
+            if mark == last:
+                out[-1][2] += 1
+            else:
+                out.append([key, i, length])
+            last = mark
+        return [tuple(r) for r in out]
+
+    some = (np.random.default_rng(3).random(1 << 21) < 0.5).astype(np.uint8)
+    for level in (None, np.zeros(1 << 21, np.uint8), some):
+        wanted = [(d, *row) for d, raw in enumerate(raws) for row in plain(raw, level)]
+        for at_once in (1 << 15, 7):
+            monkeypatch.setattr(S, "AT_ONCE", at_once)
+            key, doc, first, size = S.cut(np.frombuffer(b"".join(raws), np.uint8), np.array([len(r) for r in raws]), length, level)
+            begin = np.cumsum([0, *map(len, raws)])
+            assert list(zip(doc.tolist(), key.tolist(), (first - begin[doc]).tolist(), size.tolist())) == wanted
+    found = list(S.anchor_keys(texts, length))
+    assert len(found) == 1
+    assert found[0].tolist() == [k for raw in raws for k, _, _ in plain(raw, None)]
+    monkeypatch.setattr(S, "ANCHOR_BYTES", 100)
+    assert np.concatenate(list(S.anchor_keys(texts, length))).tolist() == found[0].tolist()
