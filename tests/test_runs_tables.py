@@ -13,6 +13,7 @@ from genolake.operators.aggregate import python_float_text
 from genolake.operators.alleles import split_multiallelic
 from genolake.operators.ordinal import with_ordinal, with_sorted_ordinal
 from genolake.plans import buckets as B, clustered as CL, commits as L, export as E, rollup as RU, shard as S, table as TB, zones as Z
+from genolake.session import checkpoint_root
 from genolake.sources.scan import open_vcf
 from genolake.sources.vcf_text import file_header_lines
 from genolake.streaming.incremental import read_loaded, start_incremental_load
@@ -425,6 +426,25 @@ def test_merkle_hashes(spark, tmp_path):
     assert "collect_list" not in plan(C.merkle_hashes(a))
 
 
+def test_block_hashes_shuffle_no_lines(spark, no_broadcast):
+    rows = [("a", i // 40, i, f"line {i}") for i in range(200)] + [("a", None, 7, "no shard")]
+    recs = spark.createDataFrame(rows, "run_id string, shard_id int, ordinal long, line string")
+    blocks = C.block_hashes(recs, block=16)
+    assert "BroadcastHashJoin" in plan(blocks) and "SortMergeJoin" not in plan(blocks)
+    got = {(r["shard_id"], r["block"]): r["n_records"] for r in blocks.collect()}
+    assert got == {(s, b): n for s in range(5) for b, n in enumerate((16, 16, 8))}
+
+
+def test_shard_job_leaves_no_numbered_copy(spark, tmp_path):
+    scratch = checkpoint_root(spark).removeprefix("file:") + "/genolake"
+    folders = lambda: {f for f in os.listdir(scratch) if f.startswith("ordinals-")} if os.path.isdir(scratch) else set()
+    src, base, before = source(tmp_path, records(90)), str(tmp_path / "runs"), folders()
+    S.shard(spark, src, base, 40, run_id="a")
+    assert folders() == before
+    rows = S.read_shards(spark, base, "a").select("shard_id", "ordinal").collect()
+    assert sorted(map(tuple, rows)) == [(i // 40, i) for i in range(90)]
+
+
 # -- texts and numbers -------------------------------------------------------------------
 
 def test_number_grammar(spark):
