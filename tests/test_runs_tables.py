@@ -274,6 +274,33 @@ def test_tree_join(spark, vcf):
     assert I.tree_pairs(v.limit(0), r).count() == 0 and I.tree_pairs(v, r.limit(0)).count() == 0
 
 
+def test_tree_gives_its_pairs_in_bounded_blocks():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    start = rng.integers(0, 500, 777)
+    end = start + rng.choice([0, 0, 9, 700], 777)
+    lo = rng.integers(-50, 600, 90)
+    hi = lo + rng.choice([0, 5, 400, 1 << 40], 90)
+    tree = I.IntervalTree(start, end)
+    want = sorted((a, b) for a in range(90) for b in range(777) if start[b] <= hi[a] and end[b] >= lo[a])
+    for at_once in (1, 3, 64, 1 << 20):
+        blocks = list(tree.overlap_blocks(lo, hi, at_once))
+        assert all(len(q) == len(p) < 2 * at_once for q, p in blocks)
+        assert sorted((a, b) for q, p in blocks for a, b in zip(q.tolist(), tree.order[p].tolist())) == want
+
+
+def test_tree_join_holds_neither_regions_nor_pairs(spark):
+    # every region meets every record: far more pairs than one batch holds
+    v = spark.range(1500).select(F.col("id").alias("ordinal"), F.lit("chr1").alias("chrom"), (F.col("id") % 7 + 100).alias("pos"), F.lit("A").alias("ref"))
+    r = spark.range(600).select(F.when(F.col("id") > 0, F.col("id")).alias("region_id"), F.lit("chr1").alias("chrom"),
+                                F.lit(1).cast("long").alias("start"), F.lit(5000).cast("long").alias("end"))
+    got = I.tree_pairs(v, r, partition_rows=400)
+    assert "MapInArrow" in plan(got) and "CoGroups" not in plan(got)
+    n = got.groupBy("region_id").agg(F.count("*").alias("n"), F.count_distinct("key").alias("d")).collect()
+    assert len(n) == 600 and {(x["n"], x["d"]) for x in n} == {(1500, 1500)} and None in {x["region_id"] for x in n}
+
+
 # -- bounded reads ---------------------------------------------------------------
 
 def tasks_of(spark, name, action):
