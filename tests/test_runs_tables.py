@@ -1,9 +1,11 @@
 """Commit log, zone maps, bucketed, clustered and counted tables: small cases and plans."""
 
+import hashlib
 import os
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -453,6 +455,36 @@ def test_merkle_hashes(spark, tmp_path):
     assert "collect_list" not in plan(C.merkle_hashes(a))
 
 
+def test_shard_hashes_of_whole_and_scattered_shards(spark):
+    """Shards inside a task, dealt over tasks, larger than a task holds, with repeated and null ordinals, lines and ids."""
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    rows = [(r, i // 40, i, f"line {i}") for r in "ab" for i in range(130)]
+    rows += [("c", 0, 7, "x"), ("c", 0, 7, "w"), ("c", 0, None, "v"), ("c", 0, 3, None), ("c", 1, 1, None), (None, None, 2, "y"), (None, None, 1, "z")]
+    want = {}
+    for run, shard in {x[:2] for x in rows}:
+        own = sorted(((o is not None, o or 0, t is not None, sha(t) if t is not None else "") for r, s, o, t in rows if (r, s) == (run, shard)))
+        want[run, shard] = (len(own), sha(",".join(x[3] for x in own if x[2])))
+    recs = spark.createDataFrame(rows, "run_id string, shard_id int, ordinal long, line string")
+    for held in (C.HELD_RECORDS, 50, 20):
+        for dealt in (recs.coalesce(1), recs.repartition(1), recs.repartition(5), recs.repartition(4, "run_id", "shard_id")):
+            got = {(x["run_id"], x["shard_id"]): (x["n_records"], x["shard_hash"]) for x in C.shard_hashes(dealt, held=held).collect()}
+            assert got == want
+
+
+def test_shard_hashes_shuffle_a_row_for_a_whole_shard():
+    n = 10_000
+    lines = [hashlib.sha256(b"%d" % i).digest() for i in range(n)]
+
+    def batch(at, to):
+        return pa.RecordBatch.from_pydict({"run_id": ["a"] * (to - at), "shard_id": [i // 4000 for i in range(at, to)], "ordinal": list(range(at, to)),
+                                           "_h": lines[at:to], "_total": [min(n, (i // 4000 + 1) * 4000) - i // 4000 * 4000 for i in range(at, to)]})
+
+    out = pa.Table.from_batches(C._held_hashes(batch(i, min(n - 5, i + 900)) for i in range(0, n - 5, 900))).to_pylist()
+    whole, rest = [x for x in out if x["shard_hash"]], [x for x in out if not x["shard_hash"]]
+    assert [(x["shard_id"], x["n_records"]) for x in whole] == [(0, 4000), (1, 4000)] and len(rest) == 1995
+    assert whole[1]["shard_hash"] == hashlib.sha256(",".join(h.hex() for h in lines[4000:8000]).encode()).hexdigest()
+
+
 def test_block_hashes_shuffle_no_lines(spark, no_broadcast):
     rows = [("a", i // 40, i, f"line {i}") for i in range(200)] + [("a", None, 7, "no shard")]
     recs = spark.createDataFrame(rows, "run_id string, shard_id int, ordinal long, line string")
